@@ -56,7 +56,7 @@ def start_sink(
     """Start one sink in append mode; ``available_now`` takes what is there and ends."""
     sink = SINKS[name]
     writer = sink.shape(scored).writeStream.outputMode("append").format(sink.format)
-    writer = writer.options(**sink.options).queryName(f"{name}-{abs(hash(base))}")
+    writer = writer.options(**sink.options).queryName(f"{name}:{base}")
     if sink.keeps_files:
         writer = writer.option("path", output_path(base, name)).option(
             "checkpointLocation", checkpoint_path(base, name)

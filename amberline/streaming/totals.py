@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from amberline.operators.running import running_fraud_rate
@@ -11,20 +10,16 @@ from amberline.streaming.sinks import checkpoint_path, output_path
 
 
 def write_running_batch(batch: DataFrame, batch_id: int, base: str, every: int = 50) -> None:
-    """Write this batch's milestones, going on from the newest earlier batch.
+    """Write this batch's milestones, going on from the batch before.
 
-    A batch run again after a failure looks only at earlier batches and overwrites its own folder.
+    A batch run again after a failure reads only the earlier batch and overwrites its own folder.
     """
-    spark = batch.sparkSession
     path = output_path(base, "running")
     start = (0, 0)
     if batch_id > 0:
-        layout = "transactions bigint, frauds bigint, fraud_rate double, is_final boolean, batch_id bigint"
-        finals = spark.read.schema(layout).parquet(path).where("is_final")
-        newest = (
-            finals.where(F.col("batch_id") < batch_id).orderBy(F.desc("batch_id")).limit(1).collect()
-        )
-        start = (newest[0]["transactions"], newest[0]["frauds"]) if newest else start
+        earlier = batch.sparkSession.read.parquet(f"{path}/batch_id={batch_id - 1}")
+        last = earlier.where("is_final").first()
+        start = (last["transactions"], last["frauds"])
     milestones = running_fraud_rate(batch, every, start)
     milestones.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

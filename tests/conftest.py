@@ -1,0 +1,28 @@
+import os
+
+import pytest
+
+from amberline.session import build_session
+
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "amberline-tests",
+        "local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
+        spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def data():
+    return DATA
