@@ -1,63 +1,69 @@
-"""Small column helpers shared by the operators."""
+"""SQL fragments and column helpers shared by the operators."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Mapping
 
+from pyspark.sql import DataFrame
 
-def flag(condition: Column) -> Column:
-    """1 where the condition holds, 0 where it is false or unknown."""
-    return F.coalesce(condition.cast("int"), F.lit(0))
 
+def with_sql(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add (or replace) columns given as SQL expressions, in one projection."""
+    kept = [f"`{name}`" for name in df.columns if name not in columns]
+    return df.selectExpr(*kept, *aliased(columns))
 
-def to_number(name: str) -> Column:
-    """Tolerant text-to-double: anything that is not a number becomes null."""
-    return F.col(name).try_cast("double")
 
+def aliased(columns: Mapping[str, str]) -> list[str]:
+    return [f"{sql} AS `{name}`" for name, sql in columns.items()]
 
-def to_time(name: str) -> Column:
-    """Tolerant text-to-timestamp: anything that is not a time becomes null."""
-    return F.try_to_timestamp(F.col(name))
 
+def flag(condition: str) -> str:
+    """1 where the condition holds, 0 where it is false or unknown."""
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
 
-# Amounts below this are summed as whole cents in 64 bits; a sum that overflows fails loudly.
-CENTS_LIMIT = 1e13
 
+def text(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
-def money_parts(name: str) -> dict[str, Column]:
-    """Columns to sum an amount by: ``_cents``, and ``_huge`` for what does not fit cents.
 
-    Whole cents are added as integers: exact, so the result does not depend on the order in
-    which tasks finish, and much cheaper than decimals. Null and NaN amounts are in neither.
-    """
-    value = F.nanvl(F.col(name), F.lit(None).cast("double"))
-    fits = F.abs(value) < CENTS_LIMIT
-    return {"_cents": F.when(fits, F.floor(value * 100 + 0.5)), "_huge": F.when(~fits, value)}
+def ratio(part: str, whole: str) -> str:
+    """part / whole, null when the whole is 0."""
+    return f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
 
 
-def money_sum(within: Column | None = None) -> Column:
-    """Sum over the ``money_parts`` columns, of the rows in ``within`` if given; 0 when there are none."""
-    cents, huge = F.col("_cents"), F.col("_huge")
-    if within is not None:
-        cents, huge = F.when(within, cents), F.when(within, huge)
-    zero = F.lit(0.0)
-    return F.coalesce(F.sum(cents).cast("double") / 100, zero) + F.coalesce(F.sum(huge), zero)
+def percent(part: str, whole: str, digits: int = 1) -> str:
+    return f"round(try_divide(CAST({part} * 100 AS DOUBLE), CAST({whole} AS DOUBLE)), {digits})"
 
 
-def money_count(within: Column | None = None) -> Column:
-    present = F.coalesce("_cents", "_huge").isNotNull()
-    return F.count_if(present if within is None else present & within)
+def status_label(predicted: str = "is_fraud_predicted") -> str:
+    return f"CASE WHEN {predicted} = 1 THEN 'FRAUD' ELSE 'LEGIT' END"
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """part / whole, null when the whole is 0."""
-    return F.try_divide(part.cast("double"), whole.cast("double"))
+# Amounts below this are summed as whole cents in 64 bits; a sum that overflows fails loudly.
+CENTS_LIMIT = "1e13D"
+
+
+def money_parts(amount: str) -> dict[str, str]:
+    """Columns to sum an amount by: ``_cents``, and ``_huge`` for what does not fit cents.
+
+    Whole cents are added as integers: exact, so the result does not depend on the order in
+    which tasks finish, and much cheaper than decimals. Null and NaN amounts are in neither.
+    """
+    value = f"nanvl({amount}, CAST(NULL AS DOUBLE))"
+    return {
+        "_cents": f"CASE WHEN abs({value}) < {CENTS_LIMIT} THEN floor({value} * 100 + 0.5D) END",
+        "_huge": f"CASE WHEN abs({value}) >= {CENTS_LIMIT} THEN {value} END",
+    }
 
 
-def percent(part: Column, whole: Column, digits: int = 1) -> Column:
-    return F.round(F.try_divide((part * 100).cast("double"), whole.cast("double")), digits)
+def money_sum(within: str = "true") -> str:
+    """Sum over the ``money_parts`` columns of the rows in ``within``; 0 when there are none."""
+    cents = f"sum(_cents) FILTER (WHERE {within})"
+    huge = f"sum(_huge) FILTER (WHERE {within})"
+    return f"coalesce(CAST({cents} AS DOUBLE) / 100, 0D) + coalesce({huge}, 0D)"
 
 
-def status_label(predicted: Column) -> Column:
-    return F.when(predicted == 1, "FRAUD").otherwise("LEGIT")
+def money_count(within: str = "true") -> str:
+    return f"count_if(coalesce(_cents, _huge) IS NOT NULL AND {within})"

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from amberline.functions.columns import text
 
 
 @dataclass(frozen=True)
@@ -15,9 +13,6 @@ class Rule:
     name: str
     predicate: str
 
-    def column(self) -> Column:
-        return F.expr(self.predicate)
-
 
 # The rule thresholds and the two scores.
 DEFAULT_RULES: tuple[Rule, ...] = (
@@ -32,11 +27,16 @@ PROBABILITY_CLEAR = 0.1
 DECISION_THRESHOLD = 0.5
 
 
-def any_rule(rules: Sequence[Rule]) -> Column:
+def any_rule(rules: Sequence[Rule]) -> str:
     """True when at least one rule holds; unknown when none holds but some cannot be decided."""
-    return reduce(lambda left, right: left | right, (rule.column() for rule in rules), F.lit(False))
+    return " OR ".join(f"({rule.predicate})" for rule in rules) or "false"
+
+
+def rule_probability(rules: Sequence[Rule] = DEFAULT_RULES) -> str:
+    return f"CASE WHEN {any_rule(rules)} THEN {PROBABILITY_HIT}D ELSE {PROBABILITY_CLEAR}D END"
 
 
-def fired_names(rules: Sequence[Rule]) -> Column:
+def fired_names(rules: Sequence[Rule]) -> str:
     """Names of the rules that hold, in rule order."""
-    return F.array_compact(F.array(*(F.when(rule.column(), rule.name) for rule in rules)))
+    named = ", ".join(f"CASE WHEN {rule.predicate} THEN {text(rule.name)} END" for rule in rules)
+    return f"array_compact(array({named}))"

@@ -4,52 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amberline.functions.columns import flag, to_time
+from amberline.functions.columns import flag, text, with_sql
 
 # The cities treated as risky and the thresholds of the amount flags.
 RISKY_LOCATIONS: tuple[str, ...] = ("Lagos", "Mumbai", "Manila", "Dhaka")
 HIGH_AMOUNT = 1000
 LOW_AMOUNT = 10
 ONLINE_MARK = "Online"
-WEEKEND_DAYS = (1, 7)  # Sunday, Saturday
 
 # A risk table is broadcast up to this many distinct locations and bytes of text.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 16 * 1024 * 1024
 SALTS = 32
 
+# Text that is no time gives null; an offset in the text is converted to the session zone.
+_MOMENT = "try_to_timestamp(timestamp)"
 
-def time_features() -> dict[str, Column]:
-    moment = to_time("timestamp")
-    return {
-        "hour": F.hour(moment),
-        "day_of_week": F.dayofweek(moment),
-        "is_weekend": flag(F.dayofweek(moment).isin(*WEEKEND_DAYS)),
-    }
-
-
-def amount_features() -> dict[str, Column]:
-    amount = F.col("amount")
-    return {
-        "amount_log": F.log1p(amount),
-        "is_high_amount": flag(amount > HIGH_AMOUNT),
-        "is_low_amount": flag(amount < LOW_AMOUNT),
-    }
-
+TIME_FEATURES = {
+    "hour": f"hour({_MOMENT})",
+    "day_of_week": f"dayofweek({_MOMENT})",
+    "is_weekend": flag(f"dayofweek({_MOMENT}) IN (1, 7)"),  # Sunday, Saturday
+}
+AMOUNT_FEATURES = {
+    "amount_log": "log1p(amount)",
+    "is_high_amount": flag(f"amount > {HIGH_AMOUNT}"),
+    "is_low_amount": flag(f"amount < {LOW_AMOUNT}"),
+}
+MERCHANT_FEATURES = {
+    "merchant_length": "length(merchant)",
+    "is_online_merchant": flag(f"contains(merchant, {text(ONLINE_MARK)})"),
+}
 
-def location_features(locations: Sequence[str] = RISKY_LOCATIONS) -> dict[str, Column]:
-    return {"location_risk": flag(F.col("location").isin(*locations))}
 
-
-def merchant_features() -> dict[str, Column]:
-    merchant = F.col("merchant")
-    return {
-        "merchant_length": F.length(merchant),
-        "is_online_merchant": flag(merchant.contains(ONLINE_MARK)),
-    }
+def location_features(locations: Sequence[str] = RISKY_LOCATIONS) -> dict[str, str]:
+    listed = ", ".join(text(name) for name in locations) or "NULL"
+    return {"location_risk": flag(f"location IN ({listed})")}
 
 
 def engineer_features(
@@ -61,17 +53,15 @@ def engineer_features(
     column, joined (see ``flag_risky_locations``).
     """
     if isinstance(risky_locations, DataFrame):
-        staged = df.withColumns({**time_features(), **amount_features()})
-        flagged = flag_risky_locations(staged, risky_locations)
-        return flagged.withColumns(merchant_features())
-    return df.withColumns(
-        {
-            **time_features(),
-            **amount_features(),
-            **location_features(risky_locations),
-            **merchant_features(),
-        }
-    )
+        staged = with_sql(df, {**TIME_FEATURES, **AMOUNT_FEATURES})
+        return with_sql(flag_risky_locations(staged, risky_locations), MERCHANT_FEATURES)
+    added = {
+        **TIME_FEATURES,
+        **AMOUNT_FEATURES,
+        **location_features(risky_locations),
+        **MERCHANT_FEATURES,
+    }
+    return with_sql(df, added)
 
 
 def flag_risky_locations(
@@ -84,18 +74,19 @@ def flag_risky_locations(
     ``SALTS`` tasks, which adaptive skew handling can split further.
     """
     known = risk_table.select("location").where("location IS NOT NULL").distinct()
-    columns = [*df.columns, flag(F.col("_listed")).alias("location_risk")]
-    rows, size = known.limit(broadcast_rows + 1).agg(
-        F.count("*"), F.coalesce(F.sum(F.octet_length("location")), F.lit(0))
-    ).first()
+    kept = [f"`{name}`" for name in df.columns if name != "location_risk"]
+    columns = [*kept, f"{flag('_listed')} AS location_risk"]
+    rows, size = (
+        known.limit(broadcast_rows + 1)
+        .selectExpr("count(*)", "coalesce(sum(octet_length(location)), 0)")
+        .first()
+    )
     if rows <= broadcast_rows and size <= BROADCAST_BYTES:
-        listed = F.broadcast(known.withColumn("_listed", F.lit(True)))
-        return df.join(listed, "location", "left").select(*columns)
-    listed = known.select(
-        "location",
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
-        F.lit(True).alias("_listed"),
+        listed = F.broadcast(known.selectExpr("location", "true AS _listed"))
+        return df.join(listed, "location", "left").selectExpr(*columns)
+    listed = known.selectExpr(
+        "location", f"explode(sequence(0, {SALTS - 1})) AS _salt", "true AS _listed"
     )
-    salt = F.pmod(F.xxhash64("transaction_id", "kafka_timestamp"), F.lit(SALTS)).cast("int")
-    salted = df.withColumn("_salt", salt)
-    return salted.join(listed, ["location", "_salt"], "left").select(*columns)
+    salt = f"CAST(pmod(xxhash64(transaction_id, kafka_timestamp), {SALTS}) AS INT)"
+    salted = with_sql(df, {"_salt": salt})
+    return salted.join(listed, ["location", "_salt"], "left").selectExpr(*columns)

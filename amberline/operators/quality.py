@@ -2,41 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amberline.functions.columns import percent
+from amberline.functions.columns import aliased, percent, text
 from amberline.schemas import TRANSACTION, ddl, names
 
+_FIELDS = names(TRANSACTION)
+_NO_FIELD = " AND ".join(f"r.`{name}` IS NULL" for name in _FIELDS)
 
-def _checked(messages: DataFrame) -> DataFrame:
-    """(body, r, kafka_timestamp): ``r`` holds the fields and, for text that does not fit, ``bad``."""
-    body = F.col("value").cast("string")
-    record = F.from_json(
-        F.col("body"), f"{ddl(TRANSACTION)}, `bad` string", {"columnNameOfCorruptRecord": "bad"}
-    )
-    return messages.select(body.alias("body"), F.col("timestamp").alias("kafka_timestamp")).select(
-        "body", record.alias("r"), "kafka_timestamp"
-    )
+# Text the record parser rejects leaves no field at all, so only such rows are parsed again to
+# tell broken JSON from values of the wrong type.
+_REASON = f"""CASE
+    WHEN body IS NULL OR trim(body) = '' THEN 'empty'
+    WHEN r.bad IS NOT NULL AND {_NO_FIELD} AND try_parse_json(body) IS NULL THEN 'not_json'
+    WHEN r.bad IS NOT NULL THEN 'wrong_type'
+    WHEN {_NO_FIELD} THEN 'no_known_field' END"""
+REASONS = ("empty", "not_json", "wrong_type", "no_known_field")
 
 
-def _reason() -> Column:
-    """Why a message cannot be taken as it is; null when it can."""
-    fields = F.array(*(F.col(f"r.{name}").isNull() for name in names(TRANSACTION)))
+def _judged(messages: DataFrame) -> DataFrame:
+    """(body, r, reason, kafka_timestamp): the record ``r``, and why a message cannot be taken."""
+    schema = f"{ddl(TRANSACTION)}, `bad` string"
+    record = f"from_json(body, '{schema}', map('columnNameOfCorruptRecord', 'bad')) AS r"
     return (
-        F.when(F.col("body").isNull() | (F.trim("body") == ""), "empty")
-        .when(F.try_parse_json("body").isNull(), "not_json")
-        .when(F.col("r.bad").isNotNull(), "wrong_type")
-        .when(F.forall(fields, lambda absent: absent), "no_known_field")
+        messages.selectExpr("CAST(value AS STRING) AS body", "timestamp AS kafka_timestamp")
+        .selectExpr("body", f"inline(array(struct({record})))", "kafka_timestamp")
+        .selectExpr("body", "r", f"{_REASON} AS reason", "kafka_timestamp")
     )
 
 
 def quarantine(messages: DataFrame) -> DataFrame:
     """Messages that are empty, not JSON, of a wrong type or without any known field, and why."""
-    judged = _checked(messages).select("body", "kafka_timestamp", _reason().alias("reason"))
-    return judged.where("reason IS NOT NULL").select(
-        F.col("body").alias("value"), "reason", "kafka_timestamp"
-    )
+    judged = _judged(messages).where("reason IS NOT NULL")
+    return judged.selectExpr("body AS value", "reason", "kafka_timestamp")
 
 
 def schema_violations(messages: DataFrame) -> DataFrame:
@@ -44,65 +45,52 @@ def schema_violations(messages: DataFrame) -> DataFrame:
 
     The message checks exclude one another; the field checks run on messages that pass them.
     """
-    judged = _checked(messages).select(_reason().alias("reason"), "r")
-    sound = F.col("reason").isNull()
-    checks: dict[str, Column] = {
-        name: F.col("reason") == name for name in ("empty", "not_json", "wrong_type", "no_known_field")
-    }
-    for name in names(TRANSACTION):
-        checks[f"missing_{name}"] = sound & F.col(f"r.{name}").isNull()
+    sound = "reason IS NULL"
+    checks = {name: f"reason = '{name}'" for name in REASONS}
+    checks |= {f"missing_{name}": f"{sound} AND r.`{name}` IS NULL" for name in _FIELDS}
     checks["bad_timestamp"] = (
-        sound & F.col("r.timestamp").isNotNull() & F.try_to_timestamp(F.col("r.timestamp")).isNull()
+        f"{sound} AND r.timestamp IS NOT NULL AND try_to_timestamp(r.timestamp) IS NULL"
     )
-    checks["negative_amount"] = sound & (F.col("r.amount") < 0)
-    checks["bad_label"] = sound & ~F.col("r.is_fraud").isin(0, 1)
-    counted = judged.agg(
-        F.count("*").alias("checked"),
-        *(F.count_if(condition).alias(name) for name, condition in checks.items()),
+    checks["negative_amount"] = f"{sound} AND r.amount < 0"
+    checks["bad_label"] = f"{sound} AND r.is_fraud NOT IN (0, 1)"
+    counts = {name: f"count_if({condition})" for name, condition in checks.items()}
+    counted = _judged(messages).selectExpr("count(*) AS n_rows", *aliased(counts))
+    rows = _as_rows(counted, list(checks))
+    return rows.selectExpr(
+        "name AS check", "n AS violations", "n_rows AS checked", f"{percent('n', 'n_rows')} AS violation_pct"
     )
-    return _as_rows(counted, list(checks), "check", "violations", "checked", "violation_pct")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Nulls per column: rows (column_name, null_count, row_count, null_pct)."""
-    counted = df.agg(
-        F.count("*").alias("_rows"),
-        *(F.count_if(F.col(f"`{name}`").isNull()).alias(name) for name in df.columns),
-    )
-    return _as_rows(counted, df.columns, "column_name", "null_count", "_rows", "null_pct", "row_count")
-
-
-def _as_rows(
-    counted: DataFrame, columns: list[str], key: str, value: str, whole: str, share: str, whole_as: str = ""
-) -> DataFrame:
-    """One wide row of counts as one row per count."""
-    entries = [
-        F.struct(F.lit(name).alias(key), F.col(f"`{name}`").alias(value)) for name in columns
-    ]
-    return counted.select(F.col(whole), F.inline(F.array(*entries))).select(
-        key,
-        value,
-        F.col(whole).alias(whole_as or whole),
-        percent(F.col(value), F.col(whole)).alias(share),
+    counts = {name: f"count_if(`{name}` IS NULL)" for name in df.columns}
+    rows = _as_rows(df.selectExpr("count(*) AS n_rows", *aliased(counts)), df.columns)
+    return rows.selectExpr(
+        "name AS column_name", "n AS null_count", "n_rows AS row_count", f"{percent('n', 'n_rows')} AS null_pct"
     )
 
 
-def freshness(df: DataFrame, as_of: Column | str, by: str | None = None) -> DataFrame:
-    """Seconds from the newest arrival to ``as_of``, per ``by`` if given."""
-    moment = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+def _as_rows(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One wide row of counts as one row (n_rows, name, n) per count."""
+    entries = ", ".join(f"struct({text(name)} AS name, `{name}` AS n)" for name in columns)
+    return counted.selectExpr("n_rows", f"inline(array({entries}))")
+
+
+def freshness(df: DataFrame, as_of: str, by: str | None = None) -> DataFrame:
+    """Whole seconds from the newest arrival to ``as_of``, per ``by`` if given."""
     newest = df.groupBy(*([by] if by else [])).agg(F.max("kafka_timestamp").alias("newest"))
-    age = F.timestamp_diff("SECOND", F.col("newest"), moment)
-    return newest.withColumn("age_seconds", age)
+    age = f"timestampdiff(SECOND, newest, CAST({text(as_of)} AS TIMESTAMP))"
+    return newest.selectExpr("*", f"{age} AS age_seconds")
 
 
 def deduplicate(df: DataFrame, within: str = "10 minutes") -> DataFrame:
     """One row per ``transaction_id``; rows without an id are all kept.
 
-    On a stream the repeats of an id are recognised within ``within`` of arrival time. Copies
-    are dropped before the shuffle, so an id repeated many times stays cheap in batch.
+    On a stream the repeats of an id are recognised within ``within`` of arrival time. In batch
+    copies are dropped before the shuffle, so an id repeated many times stays cheap.
     """
-    anonymous = df.where(F.col("transaction_id").isNull())
-    named = df.where(F.col("transaction_id").isNotNull())
+    anonymous = df.where("transaction_id IS NULL")
+    named = df.where("transaction_id IS NOT NULL")
     if df.isStreaming:
         unique = named.withWatermark("kafka_timestamp", within).dropDuplicatesWithinWatermark(
             ["transaction_id"]

@@ -9,111 +9,114 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amberline.functions.columns import money_count, money_parts, money_sum, percent, ratio
-
+from amberline.functions.columns import (
+    aliased,
+    money_count,
+    money_parts,
+    money_sum,
+    percent,
+    ratio,
+    text,
+)
 
-def _predicted() -> Column:
-    return F.col("is_fraud_predicted") == 1
+_FLAGGED = "is_fraud_predicted = 1"
+_LABELLED = "is_fraud = 1"
 
+_COUNTS = {
+    "total_transactions": "count(*)",
+    "fraud_detected": f"count_if({_FLAGGED})",
+    "actual_fraud": f"count_if({_LABELLED})",
+    "true_positives": f"count_if({_FLAGGED} AND {_LABELLED})",
+}
 
-def _named(columns: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
 
+def _if_both(share: str) -> str:
+    return f"CASE WHEN fraud_detected > 0 AND actual_fraud > 0 THEN {share} END"
 
-def _counts() -> list[Column]:
-    actual = F.col("is_fraud") == 1
-    return [
-        F.count("*").alias("total_transactions"),
-        F.count_if(_predicted()).alias("fraud_detected"),
-        F.count_if(actual).alias("actual_fraud"),
-        F.count_if(_predicted() & actual).alias("true_positives"),
-    ]
 
+_PRECISION = f"{_if_both(ratio('true_positives', 'fraud_detected'))} AS precision"
+_RECALL = f"{_if_both(ratio('true_positives', 'actual_fraud'))} AS recall"
 
-def _when_both_present(value: Column) -> Column:
-    return F.when((F.col("fraud_detected") > 0) & (F.col("actual_fraud") > 0), value)
 
-
-def _precision_recall() -> dict[str, Column]:
-    hits = F.col("true_positives")
-    return {
-        "precision": _when_both_present(ratio(hits, F.col("fraud_detected"))),
-        "recall": _when_both_present(ratio(hits, F.col("actual_fraud"))),
-    }
+def _with_money(df: DataFrame) -> DataFrame:
+    return df.selectExpr("is_fraud_predicted", "is_fraud", *aliased(money_parts("amount")))
 
 
 def summary(df: DataFrame) -> DataFrame:
     """One row of counts, shares, precision, recall and amounts; null where undefined."""
-    rows = df.select("is_fraud_predicted", "is_fraud", *_named(money_parts("amount")))
-    totals = rows.agg(
-        *_counts(),
-        money_sum().alias("total_amount"),
-        money_sum(_predicted()).alias("fraud_amount"),
-        money_count().alias("_amounts"),
-        money_count(_predicted()).alias("_flagged_amounts"),
-    )
-    return totals.select(
+    amounts = {
+        "total_amount": money_sum(),
+        "fraud_amount": money_sum(_FLAGGED),
+        "n_amounts": money_count(),
+        "n_flagged_amounts": money_count(_FLAGGED),
+    }
+    totals = _with_money(df).selectExpr(*aliased(_COUNTS), *aliased(amounts))
+    return totals.selectExpr(
         "total_transactions",
         "fraud_detected",
-        percent(F.col("fraud_detected"), F.col("total_transactions")).alias("fraud_detected_pct"),
+        f"{percent('fraud_detected', 'total_transactions')} AS fraud_detected_pct",
         "actual_fraud",
-        percent(F.col("actual_fraud"), F.col("total_transactions")).alias("actual_fraud_pct"),
+        f"{percent('actual_fraud', 'total_transactions')} AS actual_fraud_pct",
         "true_positives",
-        *_named(_precision_recall()),
+        _PRECISION,
+        _RECALL,
         "total_amount",
         "fraud_amount",
-        ratio(F.col("total_amount"), F.col("_amounts")).alias("avg_amount"),
-        ratio(F.col("fraud_amount"), F.col("_flagged_amounts")).alias("avg_fraud_amount"),
+        f"{ratio('total_amount', 'n_amounts')} AS avg_amount",
+        f"{ratio('fraud_amount', 'n_flagged_amounts')} AS avg_fraud_amount",
     )
 
 
 def quality_metrics(df: DataFrame) -> DataFrame:
     """Precision and recall of the prediction against the label, with their counts."""
-    counted = df.agg(*_counts()).drop("total_transactions")
-    return counted.withColumns(_precision_recall())
+    counted = df.selectExpr(*aliased(_COUNTS))
+    return counted.selectExpr("fraud_detected", "actual_fraud", "true_positives", _PRECISION, _RECALL)
 
 
 def kpis(df: DataFrame) -> DataFrame:
     """The headline tiles: total, flagged, flagged share and volume in whole currency units."""
-    rows = df.select("is_fraud_predicted", "is_fraud", *_named(money_parts("amount")))
-    totals = rows.agg(*_counts(), money_sum().alias("volume"))
-    return totals.select(
+    totals = _with_money(df).selectExpr(*aliased(_COUNTS), f"{money_sum()} AS volume")
+    return totals.selectExpr(
         "total_transactions",
         "fraud_detected",
-        percent(F.col("fraud_detected"), F.col("total_transactions")).alias("fraud_rate"),
-        F.round("volume", 0).alias("total_amount"),
+        f"{percent('fraud_detected', 'total_transactions')} AS fraud_rate",
+        "round(volume, 0) AS total_amount",
     )
 
 
+# The names shown for the predicted classes.
+CLASS_LABELS = {0: "Legitimate", 1: "Fraudulent"}
+
+
 def class_split(df: DataFrame) -> DataFrame:
     """Rows per predicted class with their share of the classified rows; absent classes are left out."""
-    classes = {0: "Legitimate", 1: "Fraudulent"}
-    predicted = F.col("is_fraud_predicted")
-    counted = df.agg(*(F.count_if(predicted == value).alias(name) for value, name in classes.items()))
-    classified = sum((F.col(name) for name in classes.values()), F.lit(0))
-    rows = [
-        F.struct(
-            F.lit(value).alias("is_fraud_predicted"),
-            F.lit(name).alias("label"),
-            F.col(name).alias("transactions"),
-            percent(F.col(name), classified).alias("share_pct"),
-        )
-        for value, name in classes.items()
-    ]
-    return counted.select(F.inline(F.array(*rows))).where("transactions > 0")
+    counts = {name: f"count_if(is_fraud_predicted = {value})" for value, name in CLASS_LABELS.items()}
+    classified = f"({' + '.join(counts)})"
+    rows = ", ".join(
+        f"struct({value} AS is_fraud_predicted, {text(name)} AS label, {name} AS transactions, "
+        f"{percent(name, classified)} AS share_pct)"
+        for value, name in CLASS_LABELS.items()
+    )
+    counted = df.selectExpr(*aliased(counts))
+    return counted.selectExpr(f"inline(array({rows}))").where("transactions > 0")
 
 
 def top_locations(df: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` locations with most flagged rows; ties by name."""
-    flagged = df.where(_predicted() & F.col("location").isNotNull())
+    flagged = df.where(f"{_FLAGGED} AND location IS NOT NULL")
     counted = flagged.groupBy("location").agg(F.count("*").alias("fraud_count"))
-    return counted.orderBy(F.desc("fraud_count"), F.asc("location")).limit(k)
+    return counted.orderBy(F.desc("fraud_count"), "location").limit(k)
+
 
+# Equal ends are moved half a unit apart each, so a constant column has a range too.
+_SPAN = """struct(lo - CASE WHEN lo = hi THEN 0.5D ELSE 0D END AS lo,
+                  hi + CASE WHEN lo = hi THEN 0.5D ELSE 0D END AS hi) AS span"""
 
-def _spread(lo: Column, hi: Column) -> Column:
-    """Equal ends are moved half a unit apart each, so a constant column has a range too."""
-    pad = F.when(lo == hi, 0.5).otherwise(0.0)
-    return F.struct((lo - pad).alias("lo"), (hi + pad).alias("hi"))
+
+def _span_of(values: DataFrame, bounds: tuple[float, float] | None) -> Column:
+    if bounds:
+        return F.expr(f"struct({float(bounds[0])}D AS lo, {float(bounds[1])}D AS hi)")
+    return values.selectExpr("min(x) AS lo", "max(x) AS hi").selectExpr(_SPAN).scalar()
 
 
 def histogram(
@@ -128,50 +131,43 @@ def histogram(
 
     Bins are closed on the left, the last on both sides. All classes of ``by`` share one range:
     ``bounds``, or else the column's own minimum and maximum, which takes a second scan that
-    reads this column only. Null and NaN values, and values outside ``bounds``, are in no bin.
+    reads the needed columns only. Null and NaN values, and values outside ``bounds``, are in
+    no bin.
     """
-    value = F.col(column).cast("double")
-    present = df.where(F.col(column).isNotNull() & ~F.isnan(value))
+    keys = [by] if by else []
+    values = df.selectExpr(f"CAST(`{column}` AS DOUBLE) AS x", *keys).where("NOT isnan(x)")
     if by:
-        present = present.where(F.col(by).isin(*classes))
-    if bounds is None:
-        span = present.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).select(
-            _spread(F.col("lo"), F.col("hi"))
-        ).scalar()
-    else:
-        span = _spread(F.lit(float(bounds[0])), F.lit(float(bounds[1])))
-        present = present.where(value.between(*bounds))
-
-    def edge(index: Column) -> Column:
-        low, high = F.col("span.lo"), F.col("span.hi")
-        return F.when(index == bins, high).otherwise(low + index * ((high - low) / bins))
+        values = values.where(f"{by} IN ({', '.join(map(str, classes))})")
+    if bounds:
+        values = values.where(f"x BETWEEN {float(bounds[0])}D AND {float(bounds[1])}D")
+    span = _span_of(values, bounds)
+
+    def edge(index: str) -> str:
+        return (
+            f"CASE WHEN {index} = {bins} THEN span.hi "
+            f"ELSE span.lo + {index} * ((span.hi - span.lo) / {bins}) END"
+        )
 
     # The division can land one bin off by a rounding error; the edges decide.
-    keys = [by] if by else []
-    placed = present.select(value.alias("x"), *keys, span.alias("span"))
-    guess = F.least(
-        F.floor((F.col("x") - F.col("span.lo")) / ((F.col("span.hi") - F.col("span.lo")) / bins)),
-        F.lit(bins - 1),
-    ).cast("int")
-    guessed = placed.select("x", *keys, "span", guess.alias("g"))
+    guess = f"CAST(least(floor((x - span.lo) / ((span.hi - span.lo) / {bins})), {bins - 1}) AS INT)"
     slot = (
-        F.when(F.col("x") < edge(F.col("g")), F.col("g") - 1)
-        .when((F.col("g") < bins - 1) & (F.col("x") >= edge(F.col("g") + 1)), F.col("g") + 1)
-        .otherwise(F.col("g"))
+        f"CASE WHEN x < {edge('g')} THEN g - 1 "
+        f"WHEN g < {bins - 1} AND x >= {edge('(g + 1)')} THEN g + 1 ELSE g END"
     )
-    counted = guessed.select(slot.alias("bin"), *keys).groupBy("bin", *keys).agg(F.count("*").alias("n"))
+    guessed = values.withColumn("span", span).selectExpr("*", f"{guess} AS g")
+    counted = guessed.selectExpr(f"{slot} AS bin", *keys).groupBy("bin", *keys).agg(F.count("*").alias("n"))
 
     # At most bins x classes rows on either side of this join.
-    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    frame = df.sparkSession.range(0, bins, 1, 1).selectExpr("CAST(id AS INT) AS bin")
     if by:
-        frame = frame.withColumn(by, F.explode(F.array(*(F.lit(value) for value in classes))))
+        frame = frame.selectExpr("bin", f"explode(array({', '.join(map(str, classes))})) AS `{by}`")
     filled = frame.join(F.broadcast(counted), ["bin", *keys], "left").withColumn("span", span)
-    return filled.where("span.lo IS NOT NULL").select(
+    return filled.where("span.lo IS NOT NULL").selectExpr(
         "bin",
-        edge(F.col("bin")).alias("lower"),
-        edge(F.col("bin") + 1).alias("upper"),
+        f"{edge('bin')} AS lower",
+        f"{edge('(bin + 1)')} AS upper",
         *keys,
-        F.coalesce("n", F.lit(0)).alias("n"),
+        "coalesce(n, 0L) AS n",
     )
 
 
@@ -200,20 +196,22 @@ def amount_buckets(df: DataFrame) -> DataFrame:
     Buckets are closed on the left. Null, NaN and negative amounts are counted as ``other``.
     """
     labels = [label for label, _ in AMOUNT_BUCKETS] + [OTHER_BUCKET]
-    amount = F.col("amount")
-    position = F.when(amount.isNull() | F.isnan(amount), len(labels) - 1)
-    for index in reversed(range(len(AMOUNT_BUCKETS))):
-        position = position.when(amount >= AMOUNT_BUCKETS[index][1], index)
-    placed = df.select(position.otherwise(len(labels) - 1).alias("bucket_no"), "is_fraud_predicted")
+    other = len(labels) - 1
+    downwards = " ".join(
+        f"WHEN amount >= {low} THEN {index}" for index, (_, low) in reversed(list(enumerate(AMOUNT_BUCKETS)))
+    )
+    placed = df.selectExpr(
+        f"CASE WHEN isnan(amount) THEN {other} {downwards} ELSE {other} END AS bucket_no",
+        "is_fraud_predicted",
+    )
     counted = placed.groupBy("bucket_no").agg(
-        F.count_if(F.col("is_fraud_predicted") == 0).alias("legitimate"),
-        F.count_if(_predicted()).alias("fraudulent"),
+        F.expr("count_if(is_fraud_predicted = 0) AS legitimate"),
+        F.expr(f"count_if({_FLAGGED}) AS fraudulent"),
     )
-    frame = df.sparkSession.range(len(labels)).select(F.col("id").cast("int").alias("bucket_no"))
-    label = F.element_at(F.array(*(F.lit(name) for name in labels)), F.col("bucket_no") + 1)
-    return frame.join(F.broadcast(counted), "bucket_no", "left").select(
+    frame = df.sparkSession.range(0, len(labels), 1, 1).selectExpr("CAST(id AS INT) AS bucket_no")
+    return frame.join(F.broadcast(counted), "bucket_no", "left").selectExpr(
         "bucket_no",
-        label.alias("bucket"),
-        F.coalesce("legitimate", F.lit(0)).alias("legitimate"),
-        F.coalesce("fraudulent", F.lit(0)).alias("fraudulent"),
+        f"element_at(array({', '.join(map(text, labels))}), bucket_no + 1) AS bucket",
+        "coalesce(legitimate, 0L) AS legitimate",
+        "coalesce(fraudulent, 0L) AS fraudulent",
     )

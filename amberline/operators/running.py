@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amberline.functions.columns import flag, percent
@@ -55,7 +55,7 @@ def running_fraud_rate(
     slots = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = ["kafka_timestamp", "transaction_id", "label"]
     counted = (
-        df.select("kafka_timestamp", "transaction_id", flag(F.col("is_fraud") == 1).alias("label"))
+        df.selectExpr("kafka_timestamp", "transaction_id", f"{flag('is_fraud = 1')} AS label")
         .groupBy(*key)
         .agg(F.count("*").alias("copies"))
     )
@@ -71,44 +71,43 @@ def running_fraud_rate(
 
     # One row per slot, so this single-task window sorts at most ``slots`` rows.
     totals = rows.groupBy("slot").agg(F.max("seen").alias("slot_seen"), F.max("fraud").alias("slot_fraud"))
-    before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
+    before = "OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    starts = totals.selectExpr(
         "slot",
-        (F.coalesce(F.sum("slot_seen").over(before), F.lit(0)) + start[0]).alias("seen_before"),
-        (F.coalesce(F.sum("slot_fraud").over(before), F.lit(0)) + start[1]).alias("fraud_before"),
-    )
-    placed = rows.join(F.broadcast(starts), "slot").select(
-        "copies",
-        "label",
-        (F.col("seen") + F.col("seen_before")).alias("seen"),
-        (F.col("fraud") + F.col("fraud_before")).alias("fraud"),
+        f"coalesce(sum(slot_seen) {before}, 0) + {start[0]} AS seen_before",
+        f"coalesce(sum(slot_fraud) {before}, 0) + {start[1]} AS fraud_before",
     )
     # A counted row covers the positions (seen - copies, seen].
-    first = F.floor((F.col("seen") - F.col("copies")) / every) + 1
-    crossing = placed.withColumns(
-        {"first": first, "last": F.floor(F.col("seen") / every)}
-    ).where("first <= last")
-    short = crossing.where(F.col("last") - F.col("first") < CHUNK)
+    crossing = (
+        rows.join(F.broadcast(starts), "slot")
+        .selectExpr("copies", "label", "seen + seen_before AS seen", "fraud + fraud_before AS fraud")
+        .selectExpr(
+            "label",
+            "seen",
+            "fraud",
+            f"(seen - copies) DIV {every} + 1 AS first",
+            f"seen DIV {every} AS last",
+        )
+        .where("first <= last")
+    )
+    short = crossing.where(f"last - first < {CHUNK}")
     long = (
-        crossing.where(F.col("last") - F.col("first") >= CHUNK)
-        .withColumn("first", F.explode(F.sequence("first", "last", F.lit(CHUNK))))
-        .withColumn("last", F.least("last", F.col("first") + CHUNK - 1))
+        crossing.where(f"last - first >= {CHUNK}")
+        .withColumn("first", F.expr(f"explode(sequence(first, last, {CHUNK}L))"))
+        .withColumn("last", F.expr(f"least(last, first + {CHUNK - 1})"))
         .repartition(slots, "first")
     )
-    milestone = short.unionByName(long).withColumn("m", F.explode(F.sequence("first", "last")))
-    at = F.col("m") * every
-    reported = milestone.select(
-        at.alias("transactions"),
-        (F.col("fraud") - (F.col("seen") - at) * F.col("label")).alias("frauds"),
-        F.lit(False).alias("is_final"),
+    milestones = short.unionByName(long).selectExpr(
+        "label", "seen", "fraud", f"explode(sequence(first * {every}, last * {every}, {every}L)) AS transactions"
+    )
+    reported = milestones.selectExpr(
+        "transactions", "fraud - (seen - transactions) * label AS frauds", "false AS is_final"
+    )
+    final = totals.selectExpr(
+        f"coalesce(sum(slot_seen), 0) + {start[0]} AS transactions",
+        f"coalesce(sum(slot_fraud), 0) + {start[1]} AS frauds",
+        "true AS is_final",
     )
-    final = totals.agg(
-        (F.coalesce(F.sum("slot_seen"), F.lit(0)) + start[0]).alias("transactions"),
-        (F.coalesce(F.sum("slot_fraud"), F.lit(0)) + start[1]).alias("frauds"),
-    ).withColumn("is_final", F.lit(True))
-    return reported.unionByName(final).select(
-        "transactions",
-        "frauds",
-        percent(F.col("frauds"), F.col("transactions")).alias("fraud_rate"),
-        "is_final",
+    return reported.unionByName(final).selectExpr(
+        "transactions", "frauds", f"{percent('frauds', 'transactions')} AS fraud_rate", "is_final"
     )

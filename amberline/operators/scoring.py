@@ -8,42 +8,39 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amberline.functions.columns import flag
+from amberline.functions.columns import flag, with_sql
 from amberline.functions.rules import (
     DECISION_THRESHOLD,
     DEFAULT_RULES,
-    PROBABILITY_CLEAR,
-    PROBABILITY_HIT,
     Rule,
-    any_rule,
     fired_names,
+    rule_probability,
 )
 from amberline.schemas import FEATURES, names
 
 _GAPPY = ("hour", "day_of_week", "amount_log", "merchant_length")
 
 
-def _verdict(probability: Column, method: str) -> dict[str, Column]:
-    return {
-        "fraud_probability": probability,
-        "is_fraud_predicted": flag(probability > DECISION_THRESHOLD),
-        "prediction_method": F.lit(method),
-    }
-
-
-def rule_probability(rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
-    return F.when(any_rule(rules), PROBABILITY_HIT).otherwise(PROBABILITY_CLEAR)
+def _verdict(df: DataFrame, probability: str, method: str) -> DataFrame:
+    scored = with_sql(df, {"fraud_probability": probability})
+    return with_sql(
+        scored,
+        {
+            "is_fraud_predicted": flag(f"fraud_probability > {DECISION_THRESHOLD}D"),
+            "prediction_method": f"'{method}'",
+        },
+    )
 
 
 def score_rules(
     df: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, explain: bool = False
 ) -> DataFrame:
     """Score feature rows by the rules; ``explain`` adds ``rules_fired array<string>``."""
-    scored = df.withColumns(_verdict(rule_probability(rules), "rule_based"))
-    return scored.withColumn("rules_fired", fired_names(rules)) if explain else scored
+    scored = _verdict(df, rule_probability(rules), "rule_based")
+    return with_sql(scored, {"rules_fired": fired_names(rules)}) if explain else scored
 
 
 def _with_model_probability(df: DataFrame, model: PipelineModel, name: str) -> DataFrame:
@@ -54,7 +51,7 @@ def _with_model_probability(df: DataFrame, model: PipelineModel, name: str) -> D
 def score_model(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Score feature rows by a fitted pipeline that yields a ``probability`` vector."""
     applied = _with_model_probability(df, model, "_p")
-    return applied.withColumns(_verdict(F.col("_p"), "model")).drop("_p")
+    return _verdict(applied, "_p", "model").drop("_p")
 
 
 def score_ensemble(
@@ -65,8 +62,8 @@ def score_ensemble(
 ) -> DataFrame:
     """weight * rule probability + (1 - weight) * model probability."""
     applied = _with_model_probability(df, model, "_p")
-    blend = rule_probability(rules) * weight + F.col("_p") * (1 - weight)
-    return applied.withColumns(_verdict(blend, "ensemble")).drop("_p")
+    blend = f"{weight}D * {rule_probability(rules)} + {1 - weight}D * _p"
+    return _verdict(applied, blend, "ensemble").drop("_p")
 
 
 def score(

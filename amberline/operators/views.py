@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amberline.functions.columns import status_label, to_number, to_time
+from amberline.functions.columns import aliased, status_label, with_sql
 from amberline.schemas import ALERTS, CONSOLE_COLUMNS, RESULTS, names
 
 
@@ -29,32 +29,23 @@ def legitimate(scored: DataFrame) -> DataFrame:
 
 def coerce_results(raw: DataFrame) -> DataFrame:
     """Make text ``amount``, ``fraud_probability`` and ``processed_time`` typed; bad text is null."""
-    return raw.withColumns(
+    return with_sql(
+        raw,
         {
-            "amount": to_number("amount"),
-            "fraud_probability": to_number("fraud_probability"),
-            "processed_time": to_time("processed_time"),
-        }
+            "amount": "try_cast(amount AS DOUBLE)",
+            "fraud_probability": "try_cast(fraud_probability AS DOUBLE)",
+            "processed_time": "try_to_timestamp(processed_time)",
+        },
     )
 
 
 def alert_card(alerts: DataFrame) -> DataFrame:
     """Alert fields for display: missing text is ``N/A``, missing numbers 0, money to 2 places."""
-
-    def text(name: str):
-        return F.coalesce(F.col(name).cast("string"), F.lit("N/A")).alias(name)
-
-    def number(name: str):
-        return F.round(F.coalesce(F.col(name), F.lit(0.0)), 2).alias(name)
-
-    return alerts.select(
-        text("transaction_id"),
-        text("user_id"),
-        number("amount"),
-        text("location"),
-        text("merchant"),
-        number("fraud_probability"),
-    )
+    texts = ("transaction_id", "user_id", "location", "merchant")
+    numbers = ("amount", "fraud_probability")
+    shown = {name: f"coalesce(CAST({name} AS STRING), 'N/A')" for name in texts}
+    shown |= {name: f"round(coalesce({name}, 0D), 2)" for name in numbers}
+    return alerts.selectExpr(*aliased(shown))
 
 
 def recent_alerts(alerts: DataFrame, k: int = 5, with_total: bool = False) -> DataFrame:
@@ -71,9 +62,6 @@ def recent_alerts(alerts: DataFrame, k: int = 5, with_total: bool = False) -> Da
 def recent_transactions(results: DataFrame, k: int = 8) -> DataFrame:
     """The ``k`` newest rows as user, amount, place and status."""
     newest = results.orderBy(F.desc("processed_time"), F.asc("transaction_id")).limit(k)
-    return newest.select(
-        "user_id",
-        F.round("amount", 2).alias("amount"),
-        "location",
-        status_label(F.col("is_fraud_predicted")).alias("status"),
+    return newest.selectExpr(
+        "user_id", "round(amount, 2) AS amount", "location", f"{status_label()} AS status"
     )

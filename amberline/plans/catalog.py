@@ -7,16 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amberline.functions.columns import status_label
+from amberline.functions.columns import aliased, status_label
 from amberline.functions.rules import DEFAULT_RULES
 from amberline.operators import quality, report, views
 from amberline.operators.decode import parse_transactions, to_messages
 from amberline.operators.features import (
-    amount_features,
+    AMOUNT_FEATURES,
+    MERCHANT_FEATURES,
+    TIME_FEATURES,
     engineer_features,
     location_features,
-    merchant_features,
-    time_features,
 )
 from amberline.operators.running import running_fraud_rate
 from amberline.operators.scoring import score, score_ensemble, score_model, score_rules, train_model
@@ -89,20 +89,17 @@ def parse_tampered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = transactions(spark, sf_dir).withColumns(time_features())
-    return rows.select("transaction_id", *time_features())
+    return transactions(spark, sf_dir).selectExpr("transaction_id", *aliased(TIME_FEATURES))
 
 
 def features_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = transactions(spark, sf_dir).withColumns(amount_features())
-    return rows.select("transaction_id", *amount_features()).withColumn(
-        "amount_log", F.round("amount_log", 8)
-    )
+    rows = transactions(spark, sf_dir).selectExpr("transaction_id", *aliased(AMOUNT_FEATURES))
+    return rows.withColumn("amount_log", F.round("amount_log", 8))
 
 
 def features_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    added = {**location_features(), **merchant_features()}
-    return transactions(spark, sf_dir).withColumns(added).select("transaction_id", *added)
+    added = {**location_features(), **MERCHANT_FEATURES}
+    return transactions(spark, sf_dir).selectExpr("transaction_id", *aliased(added))
 
 
 def features_risk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,9 +116,9 @@ def features_risk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows each rule holds for."""
     rows = engineer_features(transactions(spark, sf_dir))
-    counted = rows.agg(*(F.count_if(rule.column()).alias(rule.name) for rule in DEFAULT_RULES))
-    pairs = [F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("hits")) for r in DEFAULT_RULES]
-    return counted.select(F.inline(F.array(*pairs)))
+    counted = rows.selectExpr(*(f"count_if({rule.predicate}) AS {rule.name}" for rule in DEFAULT_RULES))
+    pairs = ", ".join(f"struct('{r.name}' AS rule, {r.name} AS hits)" for r in DEFAULT_RULES)
+    return counted.selectExpr(f"inline(array({pairs}))")
 
 
 def rules_fired(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +168,7 @@ def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = _scored(spark, sf_dir).select(status_label(F.col("is_fraud_predicted")).alias("status"))
+    labelled = _scored(spark, sf_dir).selectExpr(f"{status_label()} AS status")
     return labelled.groupBy("status").agg(F.count("*").alias("transactions"))
 
 

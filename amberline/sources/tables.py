@@ -3,30 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from amberline.functions.columns import aliased
+
+_FROM_EVENTS = {
+    "transaction_id": "CAST(event_id AS STRING)",
+    "user_id": "CAST(user_id + 1000 AS INT)",
+    "amount": "value * 40D",
+    "timestamp": "concat(substr(CAST(ts AS STRING), 1, 10), 'T', substr(CAST(ts AS STRING), 12, 8))",
+    "location": """CASE user_id % 12 WHEN 0 THEN 'Lagos' WHEN 1 THEN 'Mumbai' WHEN 2 THEN 'Austin'
+                                     WHEN 3 THEN 'Boston' ELSE 'Denver' END""",
+    "merchant": """CASE event_type WHEN 'view' THEN 'Online Books' WHEN 'click' THEN 'Acme Ltd'
+                                   ELSE concat('Shop ', event_type) END""",
+    "is_fraud": "CAST(event_id % 33 = 0 AS INT)",
+    "kafka_timestamp": "CAST(ts AS TIMESTAMP)",
+}
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map events to the transaction columns plus ``kafka_timestamp`` (see FIXTURES.md section 6)."""
-    user = F.col("user_id")
-    place = user % 12
-    kind = F.col("event_type")
-    clock = F.col("ts").cast("string")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_id").cast("string").alias("transaction_id"),
-        (user + 1000).cast("int").alias("user_id"),
-        (F.col("value") * 40.0).alias("amount"),
-        F.concat(F.substring(clock, 1, 10), F.lit("T"), F.substring(clock, 12, 8)).alias("timestamp"),
-        F.when(place == 0, "Lagos")
-        .when(place == 1, "Mumbai")
-        .when(place == 2, "Austin")
-        .when(place == 3, "Boston")
-        .otherwise("Denver")
-        .alias("location"),
-        F.when(kind == "view", "Online Books")
-        .when(kind == "click", "Acme Ltd")
-        .otherwise(F.concat(F.lit("Shop "), kind))
-        .alias("merchant"),
-        (F.col("event_id") % 33 == 0).cast("int").alias("is_fraud"),
-        F.col("ts").cast("timestamp").alias("kafka_timestamp"),
-    )
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*aliased(_FROM_EVENTS))

@@ -5,37 +5,34 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from amberline.functions.columns import percent
+from amberline.functions.columns import aliased, percent
 from amberline.schemas import SCORED, ddl
 
 
-def _per_window(df: DataFrame, width: str, late: str, measures: list[Column]) -> DataFrame:
+def _per_window(df: DataFrame, width: str, late: str, measures: dict[str, str]) -> DataFrame:
     # Event times are arbitrary, so windows and watermark go by arrival time.
     source = df.withWatermark("kafka_timestamp", late) if df.isStreaming else df
-    grouped = source.groupBy(F.window("kafka_timestamp", width).alias("w")).agg(*measures)
-    return grouped.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *grouped.columns[1:]
-    )
+    grouped = source.groupBy(F.window("kafka_timestamp", width).alias("w"))
+    counted = grouped.agg(*(F.expr(column) for column in aliased(measures)))
+    return counted.selectExpr("w.start AS window_start", "w.end AS window_end", *measures)
 
 
 def throughput(df: DataFrame, width: str = "1 minute", late: str = "10 minutes") -> DataFrame:
     """Transactions per arrival window."""
-    return _per_window(df, width, late, [F.count("*").alias("transactions")])
+    return _per_window(df, width, late, {"transactions": "count(*)"})
 
 
 def flag_rate_over_time(
     scored: DataFrame, width: str = "1 minute", late: str = "10 minutes"
 ) -> DataFrame:
     """Transactions, flagged ones and their share per arrival window."""
-    flagged = F.count_if(F.col("is_fraud_predicted") == 1)
-    counted = _per_window(
-        scored, width, late, [F.count("*").alias("transactions"), flagged.alias("flagged")]
-    )
-    return counted.withColumn("flag_rate", percent(F.col("flagged"), F.col("transactions")))
+    measures = {"transactions": "count(*)", "flagged": "count_if(is_fraud_predicted = 1)"}
+    counted = _per_window(scored, width, late, measures)
+    return counted.selectExpr("*", f"{percent('flagged', 'transactions')} AS flag_rate")
 
 
 def latency(spark: SparkSession, predictions_path: str) -> DataFrame:
@@ -44,15 +41,15 @@ def latency(spark: SparkSession, predictions_path: str) -> DataFrame:
     Rows are read with two columns only; percentiles are mergeable sketches.
     """
     files = spark.read.schema(ddl(SCORED)).parquet(predictions_path)
-    waited = files.select(
-        (F.unix_micros("_metadata.file_modification_time") - F.unix_micros("kafka_timestamp")).alias("us")
+    waited = files.selectExpr(
+        "unix_micros(_metadata.file_modification_time) - unix_micros(kafka_timestamp) AS us"
     )
-    ranks = F.percentile_approx("us", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    found = waited.agg(F.count("us").alias("transactions"), ranks.alias("p"), F.max("us").alias("worst"))
-    return found.select(
-        "transactions",
-        *((F.col("p")[i] / 1_000_000).alias(name) for i, name in enumerate(("p50", "p95", "p99"))),
-        (F.col("worst") / 1_000_000).alias("max"),
+    return waited.selectExpr(
+        "count(us) AS transactions",
+        "percentile_approx(us, array(0.5, 0.95, 0.99)) AS p",
+        "max(us) AS worst",
+    ).selectExpr(
+        "transactions", "p[0] / 1e6D AS p50", "p[1] / 1e6D AS p95", "p[2] / 1e6D AS p99", "worst / 1e6D AS max"
     )
 
 
