@@ -134,12 +134,20 @@ def histogram(
     reads the needed columns only. Null and NaN values, and values outside ``bounds``, are in
     no bin.
     """
+    # What is in no bin becomes a null bin, which the join below leaves out. A filter would be
+    # pushed down and compute the column a second time.
     keys = [by] if by else []
-    values = df.selectExpr(f"CAST(`{column}` AS DOUBLE) AS x", *keys).where("NOT isnan(x)")
-    if by:
-        values = values.where(f"{by} IN ({', '.join(map(str, classes))})")
+    value = f"nanvl(CAST(`{column}` AS DOUBLE), CAST(NULL AS DOUBLE))"
     if bounds:
-        values = values.where(f"x BETWEEN {float(bounds[0])}D AND {float(bounds[1])}D")
+        low, high = (f"{float(end)}D" for end in bounds)
+        value = f"CASE WHEN {value} BETWEEN {low} AND {high} THEN {value} END"
+    if by:
+        known = f"`{by}` IN ({', '.join(map(str, classes))})"
+        grouping = [f"CASE WHEN {known} THEN `{by}` END AS `{by}`"]
+        value = f"CASE WHEN {known} THEN {value} END"
+    else:
+        grouping = []
+    values = df.selectExpr(f"{value} AS x", *grouping)
     span = _span_of(values, bounds)
 
     def edge(index: str) -> str:
@@ -149,7 +157,8 @@ def histogram(
         )
 
     # The division can land one bin off by a rounding error; the edges decide.
-    guess = f"CAST(least(floor((x - span.lo) / ((span.hi - span.lo) / {bins})), {bins - 1}) AS INT)"
+    place = f"floor((x - span.lo) / ((span.hi - span.lo) / {bins}))"
+    guess = f"CAST(CASE WHEN x IS NOT NULL THEN least({place}, {bins - 1}) END AS INT)"
     slot = (
         f"CASE WHEN x < {edge('g')} THEN g - 1 "
         f"WHEN g < {bins - 1} AND x >= {edge('(g + 1)')} THEN g + 1 ELSE g END"
@@ -157,7 +166,7 @@ def histogram(
     guessed = values.withColumn("span", span).selectExpr("*", f"{guess} AS g")
     counted = guessed.selectExpr(f"{slot} AS bin", *keys).groupBy("bin", *keys).agg(F.count("*").alias("n"))
 
-    # At most bins x classes rows on either side of this join.
+    # At most (bins + 1) x (classes + 1) rows on either side of this join.
     frame = df.sparkSession.range(0, bins, 1, 1).selectExpr("CAST(id AS INT) AS bin")
     if by:
         frame = frame.selectExpr("bin", f"explode(array({', '.join(map(str, classes))})) AS `{by}`")

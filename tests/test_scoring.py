@@ -1,0 +1,188 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from amberline.functions.rules import DEFAULT_RULES, Rule
+from amberline.operators.features import engineer_features, flag_risky_locations
+from amberline.operators.scoring import (
+    score,
+    score_ensemble,
+    score_model,
+    score_rules,
+    train_model,
+)
+from amberline.schemas import SCORED, names
+from amberline.sources.models import load_model
+from tests.helpers import NOON_FRIDAY, NOON_SATURDAY, NOON_WEDNESDAY, frame, tx
+
+CASES = [
+    (tx(amount=5000.0), 0.1),
+    (tx(amount=5000.01), 0.8),
+    (tx(amount=1.0), 0.1),
+    (tx(amount=0.99), 0.8),
+    (tx(amount=2000.0, timestamp=NOON_SATURDAY), 0.1),
+    (tx(amount=2000.01, timestamp=NOON_SATURDAY), 0.8),
+    (tx(amount=2000.01, timestamp=NOON_FRIDAY), 0.1),
+    (tx(timestamp="2024-03-06T05:59:59"), 0.8),
+    (tx(timestamp="2024-03-06T06:00:00"), 0.1),
+    (tx(timestamp="2024-03-06T00:00:00"), 0.8),
+    (tx(location="Lagos"), 0.8),
+    (tx(location="lagos"), 0.1),
+    (tx(location=None), 0.1),
+    (tx(amount=None, timestamp="2024-03-06T03:00:00"), 0.8),
+    (tx(amount=None, timestamp="2024-03-06T09:00:00"), 0.1),
+    (tx(amount=float("nan")), 0.8),
+    (tx(amount=-1.0), 0.8),
+    (tx(timestamp="garbage"), 0.1),
+    (tx(timestamp=None), 0.1),
+    (tx(transaction_id=None, user_id=None, amount=None, timestamp=None, location=None, merchant=None, is_fraud=None), 0.1),
+]
+
+
+def test_rule_boundaries(spark):
+    rows = [{**row, "transaction_id": str(index)} for index, (row, _) in enumerate(CASES)]
+    scored = score_rules(engineer_features(frame(spark, rows)))
+    assert scored.columns == names(SCORED)
+    found = {int(row.transaction_id): row for row in scored.collect()}
+    for index, (row, want) in enumerate(CASES):
+        assert found[index].fraud_probability == want, row
+        assert found[index].is_fraud_predicted == int(want == 0.8)
+        assert found[index].prediction_method == "rule_based"
+
+
+def features_of(spark, **given):
+    return engineer_features(frame(spark, [tx(**given)])).first()
+
+
+@pytest.mark.parametrize(
+    ("amount", "high", "low"), [(1000.0, 0, 0), (1000.01, 1, 0), (10.0, 0, 0), (9.99, 0, 1), (None, 0, 0)]
+)
+def test_amount_flags(spark, amount, high, low):
+    row = features_of(spark, amount=amount)
+    assert (row.is_high_amount, row.is_low_amount) == (high, low)
+
+
+def test_amount_log(spark):
+    assert features_of(spark, amount=0.0).amount_log == 0.0
+    assert features_of(spark, amount=-1.0).amount_log is None
+    assert features_of(spark, amount=None).amount_log is None
+
+
+@pytest.mark.parametrize(
+    ("merchant", "length", "online"),
+    [("Online Books", 12, 1), ("online books", 12, 0), ("café", 4, 0), (None, None, 0)],
+)
+def test_merchant(spark, merchant, length, online):
+    row = features_of(spark, merchant=merchant)
+    assert (row.merchant_length, row.is_online_merchant) == (length, online)
+
+
+@pytest.mark.parametrize(
+    ("text", "hour", "day", "weekend"),
+    [
+        ("2024-03-02T23:15:00+05:00", 18, 7, 1),
+        (NOON_FRIDAY, 12, 6, 0),
+        ("2024-03-10T00:00:00", 0, 1, 1),
+        ("garbage", None, None, 0),
+        (None, None, None, 0),
+    ],
+)
+def test_time(spark, text, hour, day, weekend):
+    row = features_of(spark, timestamp=text)
+    assert (row.hour, row.day_of_week, row.is_weekend) == (hour, day, weekend)
+
+
+@pytest.mark.parametrize("limit", [100, 1])
+def test_risk_table_small_and_large_agree(spark, limit):
+    places = ["Lagos", "Mumbai", "Denver", None, "O'Hara"]
+    rows = frame(spark, [tx(transaction_id=str(i), location=p) for i, p in enumerate(places * 3)])
+    table = spark.createDataFrame([("Lagos",), ("O'Hara",), ("Lagos",), (None,), ("Oslo",)], "location string")
+    flagged = flag_risky_locations(rows, table, broadcast_rows=limit)
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (limit == 100)
+    found = flagged.collect()
+    assert len(found) == 15
+    assert all(row.location_risk == int(row.location in ("Lagos", "O'Hara")) for row in found)
+
+
+def test_custom_list_with_quotes(spark):
+    rows = frame(spark, [tx(location="O'Hara"), tx(location="Lagos"), tx(location="back\\slash")])
+    found = engineer_features(rows, ["O'Hara", "back\\slash"]).collect()
+    assert [row.location_risk for row in found] == [1, 0, 1]
+
+
+def test_custom_rules_and_reasons(spark):
+    rows = engineer_features(frame(spark, [tx(amount=6000.0, location="Lagos"), tx(transaction_id="t2")]))
+    explained = {r.transaction_id: r.rules_fired for r in score_rules(rows, explain=True).collect()}
+    assert explained == {"t1": ["high_amount", "risky_location"], "t2": []}
+    mine = [Rule("any denver", "location = 'Denver'")]
+    assert [r.is_fraud_predicted for r in score_rules(rows, mine).orderBy("transaction_id").collect()] == [0, 1]
+    assert all(r.fraud_probability == 0.1 for r in score_rules(rows, []).collect())
+
+
+amounts = st.one_of(st.none(), st.floats(-10, 10000, allow_nan=False))
+moments = st.one_of(
+    st.none(), st.just("nonsense"), st.datetimes().map(lambda m: m.replace(microsecond=0, year=2024).isoformat())
+)
+places = st.sampled_from([None, "Lagos", "Denver", "Dhaka"])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(amounts, moments.filter(lambda m: not m or "02-29" not in m), places), min_size=1, max_size=30))
+def test_any_rule_is_the_or_of_its_rules(spark, rows):
+    given_rows = [
+        tx(transaction_id=str(i), amount=a, timestamp=m, location=p) for i, (a, m, p) in enumerate(rows)
+    ]
+    featured = engineer_features(frame(spark, given_rows))
+    singles = [f"coalesce({rule.predicate}, false)" for rule in DEFAULT_RULES]
+    scored = score_rules(featured, explain=True).selectExpr(
+        "is_fraud_predicted", "size(rules_fired) AS fired", f"{' OR '.join(singles)} AS any_single"
+    )
+    for row in scored.collect():
+        assert row.is_fraud_predicted == int(row.any_single) == int(row.fired > 0)
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rows = [
+        tx(
+            transaction_id=str(i),
+            amount=None if i % 17 == 0 else float(i * 30),
+            merchant=None if i % 13 == 0 else "m" * (i % 9),
+            timestamp="bad" if i % 19 == 0 else NOON_WEDNESDAY,
+            is_fraud=None if i % 23 == 0 else int(i > 150),
+        )
+        for i in range(300)
+    ]
+    return engineer_features(frame(spark, rows)).cache()
+
+
+def test_model_saved_loaded_and_applied(spark, labelled, tmp_path):
+    path = str(tmp_path / "model")
+    train_model(labelled).save(path)
+    model = load_model(path)
+    by_model = score(labelled, model)
+    assert by_model.columns == names(SCORED)
+    rows = by_model.collect()
+    assert len(rows) == 300
+    assert {row.prediction_method for row in rows} == {"model"}
+    assert all(0 <= row.fraud_probability <= 1 for row in rows)
+    assert all(row.is_fraud_predicted == int(row.fraud_probability > 0.5) for row in rows)
+    right = [row.is_fraud_predicted == row.is_fraud for row in rows if row.is_fraud is not None and row.amount]
+    assert sum(right) / len(right) > 0.9
+
+
+def test_ensemble_blends(spark, labelled):
+    model = train_model(labelled)
+    rules = {r.transaction_id: r.fraud_probability for r in score_rules(labelled).collect()}
+    models = {r.transaction_id: r.fraud_probability for r in score_model(labelled, model).collect()}
+    for row in score_ensemble(labelled, model, weight=0.25).collect():
+        want = 0.25 * rules[row.transaction_id] + 0.75 * models[row.transaction_id]
+        assert row.fraud_probability == pytest.approx(want)
+        assert row.prediction_method == "ensemble"
+
+
+def test_no_model_means_rules(spark, labelled, tmp_path, caplog):
+    assert load_model(str(tmp_path / "absent")) is None
+    assert "scoring by rules" in caplog.text
+    assert score(labelled, None).first().prediction_method == "rule_based"
