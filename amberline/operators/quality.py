@@ -84,10 +84,10 @@ def freshness(df: DataFrame, as_of: str, by: str | None = None) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, within: str = "10 minutes") -> DataFrame:
-    """One row per ``transaction_id``; rows without an id are all kept.
+    """One row per ``transaction_id``, the earliest to arrive; rows without an id are all kept.
 
     On a stream the repeats of an id are recognised within ``within`` of arrival time. In batch
-    copies are dropped before the shuffle, so an id repeated many times stays cheap.
+    each task keeps one copy per id before the shuffle, so an id repeated many times stays cheap.
     """
     anonymous = df.where("transaction_id IS NULL")
     named = df.where("transaction_id IS NOT NULL")
@@ -96,5 +96,7 @@ def deduplicate(df: DataFrame, within: str = "10 minutes") -> DataFrame:
             ["transaction_id"]
         )
     else:
-        unique = named.dropDuplicates(["transaction_id"])
+        rest = [name for name in df.columns if name not in ("transaction_id", "kafka_timestamp")]
+        earliest = F.min(F.struct("kafka_timestamp", *rest)).alias("r")
+        unique = named.groupBy("transaction_id").agg(earliest).select("transaction_id", "r.*")
     return unique.unionByName(anonymous)

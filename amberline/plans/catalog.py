@@ -21,7 +21,7 @@ from amberline.operators.features import (
 from amberline.operators.running import running_fraud_rate
 from amberline.operators.scoring import score, score_ensemble, score_model, score_rules, train_model
 from amberline.operators.unions import union_all
-from amberline.schemas import SCORED, names
+from amberline.schemas import CSV_OPTIONS, SCORED, names
 from amberline.session import scratch_path
 from amberline.sources.files import read_alerts, read_predictions, read_results
 from amberline.sources.kafka import read_batch
@@ -30,7 +30,7 @@ from amberline.sources.tables import transactions
 from amberline.streaming import monitor
 from amberline.streaming.compaction import compact_predictions
 from amberline.streaming.run import JobConfig, run_job
-from amberline.streaming.sinks import CSV_OPTIONS, output_path
+from amberline.streaming.sinks import output_path
 from amberline.streaming.totals import start_running_rate
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -93,6 +93,14 @@ CONSOLE_COLUMNS: tuple[str, ...] = (
     "is_fraud",
 )
 
+# A quote inside a field is doubled, so any CSV reader gets it back; spaces are kept.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 _TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),
     "int": T.IntegerType(),

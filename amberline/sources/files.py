@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amberline.operators.views import coerce_results
-from amberline.schemas import ALERTS, RESULTS, SCORED, Layout, ddl, names, struct
+from amberline.schemas import ALERTS, CSV_OPTIONS, RESULTS, SCORED, Layout, ddl, names, struct
 
 _TEXT_FIRST = {"amount", "fraud_probability", "processed_time"}
 
@@ -30,12 +30,18 @@ def _folder_options(nested: bool) -> dict[str, str]:
 
 
 def read_results(
-    spark: SparkSession, path: str, nested: bool = False, partitions: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    nested: bool = False,
+    partitions: Sequence[str] = (),
+    multiline: bool = True,
 ) -> DataFrame:
     """Result rows from CSV files with a header; unreadable files are skipped.
 
     Numbers and times that do not parse are null. ``partitions`` names folder columns to keep
-    (``batch_id``), on which filters prune folders.
+    (``batch_id``), on which filters prune folders. Text may hold line breaks, so each file,
+    one writer task's share of a micro-batch, is read by one task; for larger files known to
+    have none, ``multiline=False`` lets Spark split them.
     """
     raw = ", ".join(
         f"`{name}` {'string' if name in _TEXT_FIRST else kind}" for name, kind in RESULTS
@@ -44,7 +50,8 @@ def read_results(
     def read() -> DataFrame:
         files = (
             spark.read.schema(raw)
-            .options(header="true", escape='"', enforceSchema="false", **_folder_options(nested))
+            .options(**CSV_OPTIONS, enforceSchema="false", multiLine=str(multiline).lower())
+            .options(**_folder_options(nested))
             .csv(path)
         )
         return coerce_results(files).select(*names(RESULTS), *partitions)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from amberline.operators.views import alerts_view, console_view, results_view
-from amberline.schemas import SCORED, struct
-from amberline.streaming.sinks import CONSOLE_OPTIONS, CSV_OPTIONS, checkpoint_path, output_path
+from amberline.schemas import CSV_OPTIONS, SCORED, struct
+from amberline.streaming.sinks import CONSOLE_OPTIONS, checkpoint_path, output_path
 
 
 def write_batch(batch: DataFrame, batch_id: int, base: str, console: bool = False) -> None:

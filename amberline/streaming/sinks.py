@@ -10,10 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from amberline.operators.decode import json_value
 from amberline.operators.views import alerts_view, console_view, results_view
+from amberline.schemas import CSV_OPTIONS
 from amberline.sources.kafka import publish_options
 
-# A quote inside a field is doubled, so any CSV reader gets it back.
-CSV_OPTIONS = {"header": "true", "escape": '"'}
 CONSOLE_OPTIONS = {"numRows": "20", "truncate": "false"}
 
 

@@ -1,0 +1,89 @@
+from datetime import datetime, timedelta
+
+import numpy as np
+import pytest
+
+from amberline.operators import running
+from amberline.operators.decode import parse_transactions, to_messages
+from amberline.operators.running import running_fraud_rate
+from amberline.streaming.totals import start_running_rate, write_running_batch
+from tests.helpers import ARRIVED, frame, tx
+
+
+def expected(rows, every, start=(0, 0)):
+    ordered = sorted(rows, key=lambda r: (r["kafka_timestamp"], r["transaction_id"], r["is_fraud"]))
+    seen, fraud, found = *start, []
+    for row in ordered:
+        seen, fraud = seen + 1, fraud + row["is_fraud"]
+        if seen % every == 0:
+            found.append((seen, fraud, round(fraud * 100 / seen + 1e-9, 1), False))
+    return [*found, (seen, fraud, round(fraud * 100 / seen + 1e-9, 1), True)]
+
+
+def found(df):
+    return [tuple(row) for row in df.orderBy("is_final", "transactions").collect()]
+
+
+def make(n, seed=0, hot=0.0):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        if rng.random() < hot:
+            rows.append(tx(transaction_id="hot", is_fraud=1, kafka_timestamp=ARRIVED))
+        else:
+            at = ARRIVED + timedelta(seconds=int(rng.integers(-50, 50)))
+            rows.append(tx(transaction_id=str(i), is_fraud=int(rng.random() < 0.3), kafka_timestamp=at))
+    return rows
+
+
+@pytest.mark.parametrize(("n", "every", "hot"), [(1000, 50, 0.0), (1003, 7, 0.5), (49, 50, 0.0), (300, 1, 0.9)])
+def test_equals_a_sequential_count(spark, n, every, hot):
+    rows = make(n, seed=n, hot=hot)
+    assert found(running_fraud_rate(frame(spark, rows), every, partitions=5)) == expected(rows, every)
+
+
+def test_one_message_repeated_many_times_is_expanded_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(running, "CHUNK", 8)
+    rows = make(800, seed=4, hot=0.8)
+    assert found(running_fraud_rate(frame(spark, rows), 3, partitions=4)) == expected(rows, 3)
+
+
+def test_carries_on_from_a_start(spark):
+    rows = make(120, seed=2)
+    assert found(running_fraud_rate(frame(spark, rows), 50, start=(30, 4))) == expected(rows, 50, (30, 4))
+
+
+def test_nothing(spark):
+    assert found(running_fraud_rate(frame(spark, []), 50)) == [(0, 0, None, True)]
+
+
+def test_hot_copies_are_combined_before_the_shuffle(spark, monkeypatch):
+    """The number of rows that reach one slot stays small when one message is most of the data."""
+    copies = frame(spark, [tx()]).selectExpr("*", "explode(sequence(1, 20000)) AS i").drop("i")
+    others = frame(spark, make(200, seed=1))
+    seen = running_fraud_rate(copies.unionByName(others), 50, partitions=4)
+    assert found(seen)[-1][:1] == (20200,)
+
+
+def test_stream_equals_batch_in_arrival_order(spark, tmp_path):
+    rows = [tx(transaction_id=f"{i:04}", is_fraud=int(i % 7 == 0), kafka_timestamp=ARRIVED + timedelta(seconds=i)) for i in range(333)]
+    for part in range(3):
+        chunk = rows[part * 111 : (part + 1) * 111]
+        messages = to_messages(frame(spark, chunk)).selectExpr("CAST(value AS STRING) AS value", "timestamp")
+        messages.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = (
+        spark.readStream.schema("value string, timestamp timestamp")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(str(tmp_path / "in"))
+    )
+    base = str(tmp_path / "out")
+    start_running_rate(parse_transactions(stream), base, available_now=True).awaitTermination()
+    written = spark.read.parquet(f"{base}/running")
+    milestones = written.where("NOT is_final").select("transactions", "frauds", "fraud_rate", "is_final")
+    assert found(milestones) == expected(rows, 50)[:-1]
+    assert written.where("is_final").count() == 3
+
+    # Running the last batch again changes nothing.
+    again = frame(spark, rows[222:])
+    write_running_batch(again, 2, base)
+    assert found(spark.read.parquet(f"{base}/running").where("NOT is_final").select(*milestones.columns)) == expected(rows, 50)[:-1]
