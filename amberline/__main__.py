@@ -14,9 +14,17 @@ from amberline.operators.features import engineer_features
 from amberline.operators.scoring import score
 from amberline.session import build_session
 from amberline.sources.files import read_alerts, read_predictions, read_results
-from amberline.sources.kafka import SERVERS, TOPIC, read_batch, replay_options, stream_options
+from amberline.sources.kafka import (
+    MAX_PER_TRIGGER,
+    SERVERS,
+    TOPIC,
+    read_batch,
+    replay_options,
+    stream_options,
+)
 from amberline.sources.models import load_model
 from amberline.streaming.compaction import compact_predictions
+from amberline.streaming.monitor import LagListener
 from amberline.streaming.run import JobConfig, run_job
 from amberline.streaming.sinks import output_path
 
@@ -30,17 +38,24 @@ def _source(args: argparse.Namespace, kafka: dict[str, str]) -> dict[str, str]:
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     config = JobConfig(
         base=args.base,
-        source=_source(args, stream_options(args.servers, args.topic, args.starting)),
+        source=_source(
+            args,
+            stream_options(
+                args.servers, args.topic, args.starting, args.max_per_trigger, args.min_partitions
+            ),
+        ),
         model_path=args.model,
         fan_out=not args.separate,
         available_now=args.once,
         dedup_within=args.dedup_within,
     )
+    if args.lag:
+        spark.streams.addListener(LagListener(spark, output_path(args.base, "lag")))
     run_job(spark, config)
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
-    messages = read_batch(spark, _source(args, replay_options(args.servers, args.topic)))
+    messages = read_batch(spark, _source(args, replay_options(args.servers, args.topic, args.min_partitions)))
     model = load_model(args.model) if args.model else None
     scored = score(engineer_features(parse_transactions(messages, guard=False)), model)
     scored.write.mode("overwrite").parquet(output_path(args.base, "replay"))
@@ -95,8 +110,11 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--messages", help="read message files from this folder instead of a topic")
         sub.add_argument("--format", default="parquet", help="format of the message files")
         sub.add_argument("--model", help="folder of a fitted pipeline")
+        sub.add_argument("--min-partitions", type=int, help="split the topic into at least this many tasks")
         if name == "stream":
             sub.add_argument("--starting", default="latest", choices=["latest", "earliest"])
+            sub.add_argument("--max-per-trigger", type=int, default=MAX_PER_TRIGGER)
+            sub.add_argument("--lag", action="store_true", help="record how far the topic is ahead")
             sub.add_argument("--separate", action="store_true", help="one query per sink")
             sub.add_argument("--once", action="store_true", help="take what is there and end")
             sub.add_argument("--dedup-within", help="drop repeats of an id this close together")

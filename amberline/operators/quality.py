@@ -86,8 +86,9 @@ def freshness(df: DataFrame, as_of: str, by: str | None = None) -> DataFrame:
 def deduplicate(df: DataFrame, within: str = "10 minutes") -> DataFrame:
     """One row per ``transaction_id``, the earliest to arrive; rows without an id are all kept.
 
-    On a stream the repeats of an id are recognised within ``within`` of arrival time. In batch
-    each task keeps one copy per id before the shuffle, so an id repeated many times stays cheap.
+    On a stream the repeats of an id are recognised within ``within`` of arrival time; copies of
+    one id meet in one task, at most as many as a trigger takes in. In batch each task keeps one
+    copy per id before the shuffle, so an id repeated many times stays cheap.
     """
     anonymous = df.where("transaction_id IS NULL")
     named = df.where("transaction_id IS NOT NULL")

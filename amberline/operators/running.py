@@ -1,10 +1,11 @@
 """Running totals in arrival order, exact and without a single-task window.
 
-1. Equal (time, id, label) rows are counted first, so a message repeated many times is one row.
-2. The counted rows are range-partitioned on their now unique key into slots and sorted there.
-3. One Arrow pass per slot adds the running totals inside the slot; only those few integers
-   are written, to the shared scratch folder, so slots cannot change between their two uses.
-4. The slots' totals (one row per slot) give every slot its start; rows that cross a multiple
+1. Rows are range-partitioned on (time, id, label) into slots and sorted there. A message
+   repeated so often that it would fill a slot is first counted to one row (see ``_with_copies``).
+2. One Arrow pass per slot adds the running totals inside the slot and joins neighbours of
+   equal label into runs, along which the totals grow evenly. The runs, a few integers each,
+   are written to the shared scratch folder, so slots cannot change between their two uses.
+3. The slots' totals (one row per slot) give every slot its start; runs that cross a multiple
    of ``every`` are then expanded, the long ones in chunks spread over tasks.
 """
 
@@ -12,8 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,25 +22,52 @@ from amberline.functions.columns import flag, percent
 from amberline.session import scratch_path
 
 CHUNK = 100_000
-_SLOT_ROW = "slot int, copies bigint, label int, seen bigint, fraud bigint"
+HEAVY_ROWS = 100_000
+BUCKETS_PER_SLOT = 16
+_KEY = ("kafka_timestamp", "transaction_id", "label")
+_RUN = "copies bigint, label int, seen bigint, fraud bigint"
 
 
-def _accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (copies, label) rows to runs of one label with the totals at their end."""
     seen = fraud = 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        copies = batch.column("copies")
-        labelled = pc.multiply(copies, batch.column("label").cast(pa.int64()))
-        running_seen = pc.add(pc.cumulative_sum(copies), seen)
-        running_fraud = pc.add(pc.cumulative_sum(labelled), fraud)
-        seen, fraud = running_seen[-1].as_py(), running_fraud[-1].as_py()
+        copies = batch.column("copies").to_numpy()
+        label = batch.column("label").to_numpy()
+        ends = np.append(np.flatnonzero(np.diff(label)), len(label) - 1)
+        seen_at = np.cumsum(copies)[ends] + seen
+        fraud_at = np.cumsum(copies * label)[ends] + fraud
+        length = np.diff(seen_at, prepend=seen)
+        seen, fraud = int(seen_at[-1]), int(fraud_at[-1])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("slot"), copies, batch.column("label"), running_seen, running_fraud],
-            names=["slot", "copies", "label", "seen", "fraud"],
+            [pa.array(column) for column in (length, label[ends], seen_at, fraud_at)],
+            names=["copies", "label", "seen", "fraud"],
         )
 
 
+def _with_copies(rows: DataFrame, slots: int) -> DataFrame:
+    """The rows with ``copies``, how many equal rows each stands for.
+
+    Rows are counted by a hash of their key into a fixed number of buckets, which is cheap. Only
+    a bucket above half a slot's share can hold a message repeated that often; the rows of such
+    buckets, at most two per slot, are grouped, which counts copies before the shuffle. All
+    others stand for themselves.
+    """
+    bucket = F.expr(f"pmod(xxhash64({', '.join(_KEY)}), {BUCKETS_PER_SLOT * slots})")
+    sizes = rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    large = sizes.selectExpr("bucket", "n", "sum(n) OVER () AS total").where(
+        f"n > {HEAVY_ROWS} AND n * {2 * slots} > total"
+    )
+    heavy = [row.bucket for row in large.select("bucket").collect()]
+    single = rows.withColumn("copies", F.lit(1).cast("bigint"))
+    if not heavy:
+        return single
+    grouped = rows.where(bucket.isin(heavy)).groupBy(*_KEY).agg(F.count("*").alias("copies"))
+    return single.where(~bucket.isin(heavy)).unionByName(grouped)
+
+
 def running_fraud_rate(
     df: DataFrame,
     every: int = 50,
@@ -49,37 +77,35 @@ def running_fraud_rate(
     """Transactions and labelled frauds seen so far, at every ``every``-th row and at the end.
 
     Order is (kafka_timestamp, transaction_id, label). ``start`` is the (transactions, frauds)
-    seen before this frame, so a stream can carry on from batch to batch. Batch frames only.
+    seen before this frame, so a stream can carry on from batch to batch. Batch frames only;
+    the frame is read three times (bucket sizes, range bounds, rows), three columns each.
     """
     spark = df.sparkSession
     slots = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = ["kafka_timestamp", "transaction_id", "label"]
-    counted = (
-        df.selectExpr("kafka_timestamp", "transaction_id", f"{flag('is_fraud = 1')} AS label")
-        .groupBy(*key)
-        .agg(F.count("*").alias("copies"))
-    )
+    rows = df.selectExpr("kafka_timestamp", "transaction_id", f"{flag('is_fraud = 1')} AS label")
     path = scratch_path(spark, "running")
     (
-        counted.repartitionByRange(slots, *key)
-        .sortWithinPartitions(*key)
-        .select(F.spark_partition_id().alias("slot"), "copies", "label")
-        .mapInArrow(_accumulate, _SLOT_ROW)
+        _with_copies(rows, slots)
+        .repartitionByRange(slots, *_KEY)
+        .sortWithinPartitions(*_KEY)
+        .select("copies", "label")
+        .mapInArrow(_runs, _RUN)
+        .select(F.spark_partition_id().alias("slot"), "*")
         .write.parquet(path)
     )
-    rows = spark.read.schema(_SLOT_ROW).parquet(path)
+    runs = spark.read.schema(f"slot int, {_RUN}").parquet(path)
 
     # One row per slot, so this single-task window sorts at most ``slots`` rows.
-    totals = rows.groupBy("slot").agg(F.max("seen").alias("slot_seen"), F.max("fraud").alias("slot_fraud"))
+    totals = runs.groupBy("slot").agg(F.max("seen").alias("slot_seen"), F.max("fraud").alias("slot_fraud"))
     before = "OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     starts = totals.selectExpr(
         "slot",
         f"coalesce(sum(slot_seen) {before}, 0) + {start[0]} AS seen_before",
         f"coalesce(sum(slot_fraud) {before}, 0) + {start[1]} AS fraud_before",
     )
-    # A counted row covers the positions (seen - copies, seen].
+    # A run covers the positions (seen - copies, seen].
     crossing = (
-        rows.join(F.broadcast(starts), "slot")
+        runs.join(F.broadcast(starts), "slot")
         .selectExpr("copies", "label", "seen + seen_before AS seen", "fraud + fraud_before AS fraud")
         .selectExpr(
             "label",

@@ -11,7 +11,7 @@ def run(spark, *words):
 def test_stream_report_compact_replay(spark, tmp_path, capsys):
     inbox, base = str(tmp_path / "in"), str(tmp_path / "out")
     send(spark, inbox, batch_of(0, 10))
-    run(spark, "stream", "--base", base, "--messages", inbox, "--once")
+    run(spark, "stream", "--base", base, "--messages", inbox, "--once", "--lag")
     capsys.readouterr()
     printed = []
     for kind in ("parquet", "csv"):

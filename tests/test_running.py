@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 import numpy as np
 import pytest
@@ -36,14 +36,17 @@ def make(n, seed=0, hot=0.0):
     return rows
 
 
+@pytest.mark.parametrize("heavy_rows", [0, running.HEAVY_ROWS])
 @pytest.mark.parametrize(("n", "every", "hot"), [(1000, 50, 0.0), (1003, 7, 0.5), (49, 50, 0.0), (300, 1, 0.9)])
-def test_equals_a_sequential_count(spark, n, every, hot):
+def test_equals_a_sequential_count(spark, monkeypatch, n, every, hot, heavy_rows):
+    monkeypatch.setattr(running, "HEAVY_ROWS", heavy_rows)
     rows = make(n, seed=n, hot=hot)
     assert found(running_fraud_rate(frame(spark, rows), every, partitions=5)) == expected(rows, every)
 
 
 def test_one_message_repeated_many_times_is_expanded_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(running, "CHUNK", 8)
+    monkeypatch.setattr(running, "HEAVY_ROWS", 100)
     rows = make(800, seed=4, hot=0.8)
     assert found(running_fraud_rate(frame(spark, rows), 3, partitions=4)) == expected(rows, 3)
 
@@ -57,12 +60,15 @@ def test_nothing(spark):
     assert found(running_fraud_rate(frame(spark, []), 50)) == [(0, 0, None, True)]
 
 
-def test_hot_copies_are_combined_before_the_shuffle(spark, monkeypatch):
-    """The number of rows that reach one slot stays small when one message is most of the data."""
+def test_only_repeated_messages_are_counted_to_one_row(spark, monkeypatch):
+    monkeypatch.setattr(running, "HEAVY_ROWS", 1000)
     copies = frame(spark, [tx()]).selectExpr("*", "explode(sequence(1, 20000)) AS i").drop("i")
-    others = frame(spark, make(200, seed=1))
-    seen = running_fraud_rate(copies.unionByName(others), 50, partitions=4)
-    assert found(seen)[-1][:1] == (20200,)
+    rows = copies.unionByName(frame(spark, make(200, seed=1)))
+    keyed = rows.selectExpr("kafka_timestamp", "transaction_id", "is_fraud AS label")
+    counted = running._with_copies(keyed, 4)
+    assert counted.count() == 201
+    assert counted.agg({"copies": "sum"}).first()[0] == 20200
+    assert found(running_fraud_rate(rows, 50, partitions=4))[-1][0] == 20200
 
 
 def test_stream_equals_batch_in_arrival_order(spark, tmp_path):

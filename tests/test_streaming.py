@@ -69,6 +69,32 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path, fan_out):
     assert rows_of(read_alerts(spark, f"{base}/alerts")) == rows_of(alerts_view(want))
 
 
+def test_batch_that_failed_half_way_is_written_once(spark, tmp_path, monkeypatch):
+    from amberline.streaming import fanout
+
+    inbox, base = tmp_path / "in", str(tmp_path / "out")
+    send(spark, inbox, batch_of(0))
+    send(spark, inbox, batch_of(20))
+    config = JobConfig(base, source_of(inbox, maxFilesPerTrigger="1"), console=False, available_now=True)
+    calls = []
+
+    def failing_once(scored):
+        calls.append(scored)
+        if len(calls) == 2:
+            raise RuntimeError("lost on purpose")
+        return alerts_view(scored)
+
+    monkeypatch.setattr(fanout, "alerts_view", failing_once)
+    with pytest.raises(StreamingQueryException, match="lost on purpose"):
+        run_job(spark, config)
+    run_job(spark, config)
+    assert len(calls) == 3
+    want = expected(spark, inbox)
+    assert rows_of(read_predictions(spark, f"{base}/predictions")) == rows_of(want)
+    assert rows_of(read_results(spark, f"{base}/results")) == rows_of(results_view(want))
+    assert rows_of(read_alerts(spark, f"{base}/alerts")) == rows_of(alerts_view(want))
+
+
 def test_console(spark, tmp_path, capfd):
     inbox = tmp_path / "in"
     send(spark, inbox, batch_of(0, 3))
