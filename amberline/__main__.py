@@ -49,9 +49,14 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         available_now=args.once,
         dedup_within=args.dedup_within,
     )
+    listener = LagListener(spark, output_path(args.base, "lag"))
     if args.lag:
-        spark.streams.addListener(LagListener(spark, output_path(args.base, "lag")))
-    run_job(spark, config)
+        spark.streams.addListener(listener)
+    try:
+        run_job(spark, config)
+    finally:
+        if args.lag:
+            spark.streams.removeListener(listener)
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,23 +28,31 @@ _KEY = ("kafka_timestamp", "transaction_id", "label")
 _RUN = "copies bigint, label int, seen bigint, fraud bigint"
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (copies, label) rows to runs of one label with the totals at their end."""
-    seen = fraud = 0
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        copies = batch.column("copies").to_numpy()
-        label = batch.column("label").to_numpy()
-        ends = np.append(np.flatnonzero(np.diff(label)), len(label) - 1)
-        seen_at = np.cumsum(copies)[ends] + seen
-        fraud_at = np.cumsum(copies * label)[ends] + fraud
-        length = np.diff(seen_at, prepend=seen)
-        seen, fraud = int(seen_at[-1]), int(fraud_at[-1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(column) for column in (length, label[ends], seen_at, fraud_at)],
-            names=["copies", "label", "seen", "fraud"],
-        )
+def _run_finder() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The Arrow pass: sorted (copies, label) rows to runs of one label, with the totals at their end.
+
+    It is an inner function so that it travels to the workers whole; they need not have this
+    library installed.
+    """
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = fraud = 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            copies = batch.column("copies").to_numpy()
+            label = batch.column("label").to_numpy()
+            ends = np.append(np.flatnonzero(np.diff(label)), len(label) - 1)
+            seen_at = np.cumsum(copies)[ends] + seen
+            fraud_at = np.cumsum(copies * label)[ends] + fraud
+            length = np.diff(seen_at, prepend=seen)
+            seen, fraud = int(seen_at[-1]), int(fraud_at[-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column) for column in (length, label[ends], seen_at, fraud_at)],
+                names=["copies", "label", "seen", "fraud"],
+            )
+
+    return runs
 
 
 def _with_copies(rows: DataFrame, slots: int) -> DataFrame:
@@ -89,7 +97,7 @@ def running_fraud_rate(
         .repartitionByRange(slots, *_KEY)
         .sortWithinPartitions(*_KEY)
         .select("copies", "label")
-        .mapInArrow(_runs, _RUN)
+        .mapInArrow(_run_finder(), _RUN)
         .select(F.spark_partition_id().alias("slot"), "*")
         .write.parquet(path)
     )
