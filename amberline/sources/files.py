@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amberline.operators.unions import union_all
 from amberline.operators.views import coerce_results
 from amberline.schemas import ALERTS, CSV_OPTIONS, RESULTS, SCORED, Layout, ddl, names, struct
 
@@ -29,12 +31,40 @@ def _folder_options(nested: bool) -> dict[str, str]:
     return {**options, "recursiveFileLookup": "true"} if nested else options
 
 
+def _raw(name: str) -> str:
+    """Type a results column is read as, before text is made typed; unknown columns are text."""
+    return "string" if name in _TEXT_FIRST else dict(RESULTS).get(name, "string")
+
+
+def _other_headers(spark: SparkSession, path: str, nested: bool) -> dict[str, list[str]]:
+    """Files whose header is not the standard one, by header line.
+
+    One scan of the text, which keeps only lines that look like a header: names throughout,
+    one of them known. A file with the standard header is standard whatever its text holds.
+    """
+    known = "|".join(names(RESULTS))
+    name = '"?[A-Za-z_][A-Za-z0-9_]*"?'
+    lines = spark.read.options(**_folder_options(nested)).text(path).select(
+        F.rtrim(F.col("value")).alias("line"), F.col("_metadata.file_path").alias("file")
+    )
+    headers = lines.where(F.col("line").rlike(f"^{name}(,{name})*$") & F.col("line").rlike(rf"\b({known})\b"))
+    per_file = headers.groupBy("file").agg(
+        F.max(F.replace("line", F.lit('"'), F.lit("")) == ",".join(names(RESULTS))).alias("standard"),
+        F.max_by("line", F.length("line")).alias("line"),
+    )
+    found: dict[str, list[str]] = {}
+    for row in per_file.where("NOT standard").collect():
+        found.setdefault(row.line.replace('"', ""), []).append(row.file)
+    return found
+
+
 def read_results(
     spark: SparkSession,
     path: str,
     nested: bool = False,
     partitions: Sequence[str] = (),
     multiline: bool = True,
+    by_name: bool = True,
 ) -> DataFrame:
     """Result rows from CSV files with a header; unreadable files are skipped.
 
@@ -42,19 +72,33 @@ def read_results(
     (``batch_id``), on which filters prune folders. Text may hold line breaks, so each file,
     one writer task's share of a micro-batch, is read by one task; for larger files known to
     have none, ``multiline=False`` lets Spark split them.
+
+    Files with columns in another order, missing or added are matched by name; a missing column
+    is null. Finding them takes a scan of the text, which ``by_name=False`` leaves out where all
+    files are known to be written by this library; other files would then be skipped.
     """
-    raw = ", ".join(
-        f"`{name}` {'string' if name in _TEXT_FIRST else kind}" for name, kind in RESULTS
-    )
 
-    def read() -> DataFrame:
-        files = (
-            spark.read.schema(raw)
+    def scan(columns: Sequence[str], paths: str | list[str], besides: Sequence[str] = ()) -> DataFrame:
+        reader = (
+            spark.read.schema(", ".join(f"`{name}` {_raw(name)}" for name in columns))
             .options(**CSV_OPTIONS, enforceSchema="false", multiLine=str(multiline).lower())
             .options(**_folder_options(nested))
-            .csv(path)
         )
-        return coerce_results(files).select(*names(RESULTS), *partitions)
+        if isinstance(paths, list) and partitions:
+            reader = reader.option("basePath", path)
+        wanted = [name for name in columns if name in names(RESULTS)]
+        files = reader.csv(paths)
+        if besides:
+            files = files.where(~F.col("_metadata.file_path").isin(*besides))
+        return files.select(*wanted, *partitions)
+
+    def read() -> DataFrame:
+        others = _other_headers(spark, path, nested) if by_name else {}
+        frames = [scan(names(RESULTS), path, besides=sum(others.values(), []))]
+        for header, files in others.items():
+            # The metadata column has paths as URIs, the reader takes them plain.
+            frames.append(scan(header.split(","), [unquote(file) for file in files]))
+        return coerce_results(union_all(frames)).select(*names(RESULTS), *partitions)
 
     return _or_empty(spark, RESULTS, read)
 

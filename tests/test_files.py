@@ -65,6 +65,39 @@ def test_unreadable_numbers_and_times_are_null(spark, tmp_path):
     assert rows["y"].is_fraud_predicted == 0
 
 
+@pytest.mark.parametrize("multiline", [True, False])
+def test_files_are_matched_by_column_name(spark, tmp_path, multiline):
+    standard = names(RESULTS)
+    values = dict(zip(standard, ["?", "1", "5.5", "L", '"amount\nmerchant\n"' if multiline else "M", "0.8", "1", "0", "rule_based", "2024-03-10T08:00:00.000Z"]))
+
+    def write(folder, columns, key, quoted=False):
+        where = tmp_path / "all" / folder
+        where.mkdir(parents=True, exist_ok=True)
+        head = ",".join(f'"{c}"' if quoted else c for c in columns)
+        row = ",".join({**values, "transaction_id": key, "note": "x"}[c] for c in columns)
+        (where / f"{key}.csv").write_text(f"{head}\n{row}\n")
+
+    write("batch_id=0", standard, "std")
+    write("batch_id=0", standard, "quoted", quoted=True)
+    write("batch_id=1", standard[::-1], "reversed & 50% so")
+    write("batch_id=1", ["amount", "transaction_id"], "short")
+    write("batch_id=1", [*standard, "note"], "long")
+    (tmp_path / "all" / "batch_id=1" / "broken.csv.gz").write_bytes(b"no gzip")
+    found = read_results(spark, str(tmp_path / "all"), partitions=["batch_id"], multiline=multiline)
+    rows = {r.transaction_id: r for r in found.collect()}
+    assert set(rows) == {"std", "quoted", "reversed & 50% so", "short", "long"} and found.count() == 5
+    for column in names(RESULTS):
+        assert len(found.select(column).collect()) == 5, column
+    assert found.where("amount > 5").count() == 5 and found.where("location = 'L'").count() == 4
+    full = {"std", "quoted", "reversed & 50% so", "long"}
+    assert {tuple(rows[key])[1:10] for key in full} == {tuple(rows["std"])[1:10]}
+    assert rows["std"].merchant == ("amount\nmerchant\n" if multiline else "M")
+    assert rows["reversed & 50% so"].processed_time == ARRIVED
+    assert (rows["short"].amount, rows["short"].location, rows["short"].batch_id) == (5.5, None, 1)
+    assert read_results(spark, str(tmp_path / "all"), by_name=False).count() == 2
+    assert read_results(spark, str(tmp_path / "all"), nested=True).count() == 5
+
+
 def test_nested_folders_and_partitions(spark, scored, tmp_path):
     write_batch(scored, 0, str(tmp_path))
     write_batch(scored, 1, str(tmp_path))
