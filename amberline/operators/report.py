@@ -134,20 +134,20 @@ def histogram(
     reads the needed columns only. Null and NaN values, and values outside ``bounds``, are in
     no bin.
     """
-    # What is in no bin becomes a null bin, which the join below leaves out. A filter would be
-    # pushed down and compute the column a second time.
-    keys = [by] if by else []
+    # Each (bin, class) is a cell number; what belongs to none is cell -1, which no row of the
+    # frame below matches. A filter, or a key that can be null, would be pushed below the
+    # projections and compute the column again.
     value = f"nanvl(CAST(`{column}` AS DOUBLE), CAST(NULL AS DOUBLE))"
     if bounds:
         low, high = (f"{float(end)}D" for end in bounds)
         value = f"CASE WHEN {value} BETWEEN {low} AND {high} THEN {value} END"
+    groups = list(classes) if by else [0]
+    group = "0"
     if by:
-        known = f"`{by}` IN ({', '.join(map(str, classes))})"
-        grouping = [f"CASE WHEN {known} THEN `{by}` END AS `{by}`"]
-        value = f"CASE WHEN {known} THEN {value} END"
-    else:
-        grouping = []
-    values = df.selectExpr(f"{value} AS x", *grouping)
+        ranks = " ".join(f"WHEN {cls} THEN {rank}" for rank, cls in enumerate(groups))
+        group = f"CASE `{by}` {ranks} ELSE -1 END"
+        value = f"CASE WHEN `{by}` IN ({', '.join(map(str, groups))}) THEN {value} END"
+    values = df.selectExpr(f"{value} AS x", f"{group} AS c")
     span = _span_of(values, bounds)
 
     def edge(index: str) -> str:
@@ -163,19 +163,21 @@ def histogram(
         f"CASE WHEN x < {edge('g')} THEN g - 1 "
         f"WHEN g < {bins - 1} AND x >= {edge('(g + 1)')} THEN g + 1 ELSE g END"
     )
-    guessed = values.withColumn("span", span).selectExpr("*", f"{guess} AS g")
-    counted = guessed.selectExpr(f"{slot} AS bin", *keys).groupBy("bin", *keys).agg(F.count("*").alias("n"))
-
-    # At most (bins + 1) x (classes + 1) rows on either side of this join.
-    frame = df.sparkSession.range(0, bins, 1, 1).selectExpr("CAST(id AS INT) AS bin")
-    if by:
-        frame = frame.selectExpr("bin", f"explode(array({', '.join(map(str, classes))})) AS `{by}`")
-    filled = frame.join(F.broadcast(counted), ["bin", *keys], "left").withColumn("span", span)
-    return filled.where("span.lo IS NOT NULL").selectExpr(
-        "bin",
-        f"{edge('bin')} AS lower",
-        f"{edge('(bin + 1)')} AS upper",
-        *keys,
+    guessed = values.withColumn("span", span).selectExpr("x", "c", "span", f"{guess} AS g")
+    cells = guessed.selectExpr(f"coalesce(({slot}) * {len(groups)} + c, -1) AS cell")
+    counted = cells.groupBy("cell").agg(F.count("*").alias("n"))
+
+    # At most bins x classes + 1 rows on either side of this join.
+    frame = df.sparkSession.range(0, bins * len(groups), 1, 1).selectExpr("CAST(id AS INT) AS cell")
+    filled = frame.join(F.broadcast(counted), "cell", "left").withColumn("span", span)
+    placed = filled.where("span.lo IS NOT NULL").selectExpr(
+        "*", f"cell DIV {len(groups)} AS b", f"element_at(array({', '.join(map(str, groups))}), cell % {len(groups)} + 1) AS cls"
+    )
+    return placed.selectExpr(
+        "CAST(b AS INT) AS bin",
+        f"{edge('b')} AS lower",
+        f"{edge('(b + 1)')} AS upper",
+        *([f"cls AS `{by}`"] if by else []),
         "coalesce(n, 0L) AS n",
     )
 

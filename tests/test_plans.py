@@ -52,3 +52,10 @@ def test_messages_are_parsed_once(spark, data):
         frame = contract.queries()[name](spark, data)
         assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
     assert tampered(spark, data).count() == transactions(spark, data).count()
+
+
+@pytest.mark.parametrize("name", ["amount_histogram", "probability_histogram", "amount_buckets"])
+def test_derived_columns_are_not_computed_again_for_a_filter(spark, data, name):
+    plan = contract.queries()[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if re.search(r"\bFilter\b", line)]
+    assert all("scalar-subquery" in line and len(line) < 120 for line in filters), filters
