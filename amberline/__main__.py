@@ -93,8 +93,11 @@ def report_loop(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    batches = (args.first_batch, args.last_batch) if args.last_batch is not None else None
-    compact_predictions(spark, output_path(args.base, "predictions"), output_path(args.base, "daily"), batches)
+    batches, target = None, "daily"
+    if args.last_batch is not None:
+        batches = (args.first_batch, args.last_batch)
+        target = f"daily-{args.first_batch}-{args.last_batch}"
+    compact_predictions(spark, output_path(args.base, "predictions"), output_path(args.base, target), batches)
 
 
 def parser() -> argparse.ArgumentParser:

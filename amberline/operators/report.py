@@ -170,8 +170,11 @@ def histogram(
     # At most bins x classes + 1 rows on either side of this join.
     frame = df.sparkSession.range(0, bins * len(groups), 1, 1).selectExpr("CAST(id AS INT) AS cell")
     filled = frame.join(F.broadcast(counted), "cell", "left").withColumn("span", span)
+    in_order = ", ".join(map(str, groups))
     placed = filled.where("span.lo IS NOT NULL").selectExpr(
-        "*", f"cell DIV {len(groups)} AS b", f"element_at(array({', '.join(map(str, groups))}), cell % {len(groups)} + 1) AS cls"
+        "*",
+        f"cell DIV {len(groups)} AS b",
+        f"element_at(array({in_order}), cell % {len(groups)} + 1) AS cls",
     )
     return placed.selectExpr(
         "CAST(b AS INT) AS bin",

@@ -11,14 +11,15 @@ from amberline.sources.files import read_predictions
 def compact_predictions(
     spark: SparkSession, source: str, target: str, batches: tuple[int, int] | None = None
 ) -> DataFrame:
-    """Rewrite scored rows under ``arrival_date=<day>``, on which reports can prune.
+    """Rewrite scored rows to ``target`` under ``arrival_date=<day>``, on which reports can prune.
 
-    ``batches`` limits the work to batch ids from-to. The rebalance lets adaptive execution
+    ``batches`` limits the work to batch ids from-to. What ``target`` held is replaced, so a run
+    can be repeated; give each range of batches a folder of its own. The rebalance lets adaptive execution
     size the files: small dates are packed together, a date with much of the data is split.
     """
     rows = read_predictions(spark, source, partitions=["batch_id"] if batches else [])
     if batches:
         rows = rows.where(F.col("batch_id").between(*batches)).drop("batch_id")
     dated = rows.withColumn("arrival_date", F.to_date("kafka_timestamp"))
-    dated.hint("rebalance", "arrival_date").write.mode("append").partitionBy("arrival_date").parquet(target)
+    dated.hint("rebalance", "arrival_date").write.mode("overwrite").partitionBy("arrival_date").parquet(target)
     return read_predictions(spark, target, partitions=["arrival_date"])

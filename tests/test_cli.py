@@ -20,7 +20,10 @@ def test_stream_report_compact_replay(spark, tmp_path, capsys):
         for word in ("total_transactions", "Legitimate", "$100-500", "FRAUD"):
             assert word in printed[-1]
     assert printed[0] == printed[1]
-    run(spark, "compact", "--base", base)
+    for _ in range(2):
+        run(spark, "compact", "--base", base)
+    run(spark, "compact", "--base", base, "--last-batch", "0")
+    assert read_predictions(spark, f"{base}/daily-0-0").count() == 10
     assert read_predictions(spark, f"{base}/daily").count() == 10
     run(spark, "replay", "--base", base, "--messages", inbox)
     assert read_predictions(spark, f"{base}/replay").count() == 10
