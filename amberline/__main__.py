@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import argparse
 import time
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -13,41 +14,44 @@ from amberline.operators.decode import parse_transactions
 from amberline.operators.features import engineer_features
 from amberline.operators.scoring import score
 from amberline.session import build_session
-from amberline.sources.files import read_alerts, read_predictions, read_results
+from amberline.sources.files import read_results, unread_files
 from amberline.sources.kafka import (
     MAX_PER_TRIGGER,
-    SERVERS,
     TOPIC,
     read_batch,
     replay_options,
     stream_options,
 )
 from amberline.sources.models import load_model
-from amberline.streaming.compaction import compact_predictions
+from amberline.streaming import compaction
+from amberline.streaming.compaction import KINDS, read_compacted
 from amberline.streaming.monitor import LagListener
 from amberline.streaming.run import JobConfig, run_job
-from amberline.streaming.sinks import output_path
+from amberline.streaming.sinks import SINKS, output_path
 
 CHARTS_EVERY = 5
 
 
-def _source(args: argparse.Namespace, kafka: dict[str, str]) -> dict[str, str]:
-    return {"format": args.format, "path": args.messages} if args.messages else kafka
+def _source(args: argparse.Namespace, options: Callable[..., dict[str, str]], *more) -> dict[str, str]:
+    if args.messages:
+        return {"format": args.format, "path": args.messages}
+    if not args.servers:
+        raise SystemExit("give --servers, or --messages for message files")
+    return options(args.servers, args.topic, *more)
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    wanted = [name for name in args.sinks.split(",") if not (args.no_console and name == "console")]
     config = JobConfig(
         base=args.base,
-        source=_source(
-            args,
-            stream_options(
-                args.servers, args.topic, args.starting, args.max_per_trigger, args.min_partitions
-            ),
-        ),
+        source=_source(args, stream_options, args.starting, args.max_per_trigger, args.min_partitions),
         model_path=args.model,
         fan_out=not args.separate,
+        sinks=tuple(wanted),
+        every=args.every,
         available_now=args.once,
         dedup_within=args.dedup_within,
+        quarantine=args.quarantine,
     )
     listener = LagListener(spark, output_path(args.base, "lag"))
     if args.lag:
@@ -57,24 +61,43 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     finally:
         if args.lag:
             spark.streams.removeListener(listener)
+            listener.flush()
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
-    messages = read_batch(spark, _source(args, replay_options(args.servers, args.topic, args.min_partitions)))
+    messages = read_batch(spark, _source(args, replay_options, args.min_partitions))
     model = load_model(args.model) if args.model else None
     scored = score(engineer_features(parse_transactions(messages, guard=False)), model)
     scored.write.mode("overwrite").parquet(output_path(args.base, "replay"))
 
 
-def show_report(spark: SparkSession, base: str, charts: bool, kind: str = "parquet") -> None:
-    """Parquet holds the same rows as the CSV folder, and lets each figure read its columns only."""
+def show_report(
+    spark: SparkSession,
+    base: str,
+    charts: bool,
+    kind: str = "parquet",
+    since: str | None = None,
+    until: str | None = None,
+) -> None:
+    """Parquet holds the same rows as the CSV folder, and lets each figure read its columns only.
+
+    Compacted days are read instead of the batches they hold; ``since`` and ``until`` prune them.
+    """
     if kind == "csv":
         results = read_results(spark, output_path(base, "results"))
+        results = results.where(_between("processed_time", since, until))
     else:
-        results = views.results_view(read_predictions(spark, output_path(base, "predictions")))
-    alerts = read_alerts(spark, output_path(base, "alerts"))
+        results = views.results_view(read_compacted(spark, base, "predictions", since, until))
+    alerts = read_compacted(spark, base, "alerts", since, until)
+    for name in ("results", "alerts"):
+        skipped = unread_files(spark, output_path(base, name))
+        if kind == "csv" or name == "alerts":
+            for row in skipped.toLocalIterator():
+                print(f"unreadable, skipped: {row.file} ({row.length} bytes)")
     report.summary(results).show(vertical=True, truncate=False)
-    views.alert_card(views.recent_alerts(alerts)).show(truncate=False)
+    latest = views.recent_alerts(alerts, with_total=True)
+    views.alert_card(latest).show(truncate=False)
+    latest.selectExpr("coalesce(max(total_alerts), 0) AS total_alerts").show()
     if charts:
         report.class_split(results).show()
         report.amount_histogram(results).orderBy("bin", "is_fraud_predicted").show(60)
@@ -84,20 +107,24 @@ def show_report(spark: SparkSession, base: str, charts: bool, kind: str = "parqu
         views.recent_transactions(results).show(truncate=False)
 
 
+def _between(column: str, since: str | None, until: str | None) -> str:
+    ends = [f"to_date({column}) >= DATE '{since}'"] if since else []
+    ends += [f"to_date({column}) <= DATE '{until}'"] if until else []
+    return " AND ".join(ends) or "true"
+
+
 def report_loop(spark: SparkSession, args: argparse.Namespace) -> None:
     """Print the report ``times`` times; the distributions on the first and every fifth after it."""
     for turn in range(args.times):
         if turn:
             time.sleep(args.refresh)
-        show_report(spark, args.base, charts=turn % CHARTS_EVERY == 0, kind=args.results)
+        show_report(spark, args.base, turn % CHARTS_EVERY == 0, args.results, getattr(args, "from"), args.to)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    batches, target = None, "daily"
-    if args.last_batch is not None:
-        batches = (args.first_batch, args.last_batch)
-        target = f"daily-{args.first_batch}-{args.last_batch}"
-    compact_predictions(spark, output_path(args.base, "predictions"), output_path(args.base, target), batches)
+    for name in KINDS:
+        chunk = compaction.compact(spark, args.base, name, args.keep)
+        print(f"{name}: {chunk or 'nothing to compact'}")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -113,7 +140,7 @@ def parser() -> argparse.ArgumentParser:
 
     for name, run in (("stream", stream), ("replay", replay)):
         sub = command(name, run)
-        sub.add_argument("--servers", default=SERVERS)
+        sub.add_argument("--servers", help="addresses of the topic's brokers")
         sub.add_argument("--topic", default=TOPIC)
         sub.add_argument("--messages", help="read message files from this folder instead of a topic")
         sub.add_argument("--format", default="parquet", help="format of the message files")
@@ -124,15 +151,20 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--max-per-trigger", type=int, default=MAX_PER_TRIGGER)
             sub.add_argument("--lag", action="store_true", help="record how far the topic is ahead")
             sub.add_argument("--separate", action="store_true", help="one query per sink")
+            sub.add_argument("--sinks", default=",".join(SINKS), help="outputs, separated by commas")
+            sub.add_argument("--no-console", action="store_true")
+            sub.add_argument("--every", default="5 seconds", help="trigger interval of the one query")
+            sub.add_argument("--quarantine", action="store_true", help="keep messages that cannot be taken")
             sub.add_argument("--once", action="store_true", help="take what is there and end")
             sub.add_argument("--dedup-within", help="drop repeats of an id this close together")
     sub = command("report", report_loop)
     sub.add_argument("--results", choices=["parquet", "csv"], default="parquet")
     sub.add_argument("--times", type=int, default=1)
     sub.add_argument("--refresh", type=int, default=20, help="seconds between reports")
+    sub.add_argument("--from", help="first day of arrival, as 2024-01-31")
+    sub.add_argument("--to", help="last day of arrival")
     sub = command("compact", compact)
-    sub.add_argument("--first-batch", type=int, default=0)
-    sub.add_argument("--last-batch", type=int)
+    sub.add_argument("--keep", type=int, default=1, help="newest batches of each run to leave as they are")
     return root
 
 

@@ -41,29 +41,15 @@ def status_label(predicted: str = "is_fraud_predicted") -> str:
     return f"CASE WHEN {predicted} = 1 THEN 'FRAUD' ELSE 'LEGIT' END"
 
 
-# Amounts below this are summed as whole cents in 64 bits; a sum that overflows fails loudly.
-CENTS_LIMIT = "1e13D"
+def amount_sum(amount: str = "amount", within: str = "true") -> str:
+    """Sum of the amounts in ``within``; null and NaN are left out, 0 when there are none."""
+    return f"coalesce(sum(nanvl({amount}, CAST(NULL AS DOUBLE))) FILTER (WHERE {within}), 0D)"
 
 
-def money_parts(amount: str) -> dict[str, str]:
-    """Columns to sum an amount by: ``_cents``, and ``_huge`` for what does not fit cents.
+def amount_count(amount: str = "amount", within: str = "true") -> str:
+    return f"count_if(nanvl({amount}, CAST(NULL AS DOUBLE)) IS NOT NULL AND {within})"
 
-    Whole cents are added as integers: exact, so the result does not depend on the order in
-    which tasks finish, and much cheaper than decimals. Null and NaN amounts are in neither.
-    """
-    value = f"nanvl({amount}, CAST(NULL AS DOUBLE))"
-    return {
-        "_cents": f"CASE WHEN abs({value}) < {CENTS_LIMIT} THEN floor({value} * 100 + 0.5D) END",
-        "_huge": f"CASE WHEN abs({value}) >= {CENTS_LIMIT} THEN {value} END",
-    }
 
-
-def money_sum(within: str = "true") -> str:
-    """Sum over the ``money_parts`` columns of the rows in ``within``; 0 when there are none."""
-    cents = f"sum(_cents) FILTER (WHERE {within})"
-    huge = f"sum(_huge) FILTER (WHERE {within})"
-    return f"coalesce(CAST({cents} AS DOUBLE) / 100, 0D) + coalesce({huge}, 0D)"
-
-
-def money_count(within: str = "true") -> str:
-    return f"count_if(coalesce(_cents, _huge) IS NOT NULL AND {within})"
+def money(value: str, digits: int = 2) -> str:
+    """An amount as it is reported. Only here is it rounded."""
+    return f"round({value}, {digits})"

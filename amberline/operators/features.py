@@ -15,11 +15,6 @@ HIGH_AMOUNT = 1000
 LOW_AMOUNT = 10
 ONLINE_MARK = "Online"
 
-# A risk table is broadcast up to this many distinct locations and bytes of text.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 16 * 1024 * 1024
-SALTS = 32
-
 # Text that is no time gives null; an offset in the text is converted to the session zone.
 _MOMENT = "try_to_timestamp(timestamp)"
 
@@ -64,29 +59,12 @@ def engineer_features(
     return with_sql(df, added)
 
 
-def flag_risky_locations(
-    df: DataFrame, risk_table: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def flag_risky_locations(df: DataFrame, risk_table: DataFrame) -> DataFrame:
     """Add ``location_risk`` by an equi-join with a risk table of any size.
 
-    The table's distinct size is checked first. A small one is broadcast. A larger one is
-    shuffled, with each side salted so that a location holding much of the data is spread over
-    ``SALTS`` tasks, which adaptive skew handling can split further.
+    The table's distinct locations are computed once. Adaptive execution sees their size and
+    broadcasts a small table; with a larger one it splits a location that holds much of the data.
     """
-    known = risk_table.select("location").where("location IS NOT NULL").distinct()
+    listed = risk_table.where("location IS NOT NULL").select("location").distinct().withColumn("_listed", F.lit(True))
     kept = [f"`{name}`" for name in df.columns if name != "location_risk"]
-    columns = [*kept, f"{flag('_listed')} AS location_risk"]
-    rows, size = (
-        known.limit(broadcast_rows + 1)
-        .selectExpr("count(*)", "coalesce(sum(octet_length(location)), 0)")
-        .first()
-    )
-    if rows <= broadcast_rows and size <= BROADCAST_BYTES:
-        listed = F.broadcast(known.selectExpr("location", "true AS _listed"))
-        return df.join(listed, "location", "left").selectExpr(*columns)
-    listed = known.selectExpr(
-        "location", f"explode(sequence(0, {SALTS - 1})) AS _salt", "true AS _listed"
-    )
-    salt = f"CAST(pmod(xxhash64(transaction_id, kafka_timestamp), {SALTS}) AS INT)"
-    salted = with_sql(df, {"_salt": salt})
-    return salted.join(listed, ["location", "_salt"], "left").selectExpr(*columns)
+    return df.join(listed, "location", "left").selectExpr(*kept, f"{flag('_listed')} AS location_risk")

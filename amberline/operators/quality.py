@@ -86,18 +86,18 @@ def freshness(df: DataFrame, as_of: str, by: str | None = None) -> DataFrame:
 def deduplicate(df: DataFrame, within: str = "10 minutes") -> DataFrame:
     """One row per ``transaction_id``, the earliest to arrive; rows without an id are all kept.
 
+    The source is read once: rows without an id get a key of their own, which nothing repeats.
     On a stream the repeats of an id are recognised within ``within`` of arrival time; copies of
-    one id meet in one task, at most as many as a trigger takes in. In batch each task keeps one
-    copy per id before the shuffle, so an id repeated many times stays cheap.
+    one id meet in one task, at most as many as a trigger takes in, and each row without an id
+    takes one entry of state until ``within`` has passed. In batch each task keeps one copy per
+    id before the shuffle, so an id repeated many times stays cheap.
     """
-    anonymous = df.where("transaction_id IS NULL")
-    named = df.where("transaction_id IS NOT NULL")
+    alone = "uuid()" if df.isStreaming else "CAST(monotonically_increasing_id() AS STRING)"
+    keyed = df.selectExpr("*", f"CASE WHEN transaction_id IS NULL THEN {alone} END AS _alone")
+    key = ["transaction_id", "_alone"]
     if df.isStreaming:
-        unique = named.withWatermark("kafka_timestamp", within).dropDuplicatesWithinWatermark(
-            ["transaction_id"]
-        )
-    else:
-        rest = [name for name in df.columns if name not in ("transaction_id", "kafka_timestamp")]
-        earliest = F.min(F.struct("kafka_timestamp", *rest)).alias("r")
-        unique = named.groupBy("transaction_id").agg(earliest).select("transaction_id", "r.*")
-    return unique.unionByName(anonymous)
+        unique = keyed.withWatermark("kafka_timestamp", within).dropDuplicatesWithinWatermark(key)
+        return unique.drop("_alone")
+    rest = [name for name in df.columns if name not in ("transaction_id", "kafka_timestamp")]
+    earliest = F.min(F.struct("kafka_timestamp", *rest)).alias("r")
+    return keyed.groupBy(*key).agg(earliest).select("transaction_id", "r.*")

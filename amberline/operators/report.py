@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from amberline.functions.columns import (
     aliased,
-    money_count,
-    money_parts,
-    money_sum,
+    amount_count,
+    amount_sum,
+    money,
     percent,
     ratio,
     text,
@@ -38,19 +38,15 @@ _PRECISION = f"{_if_both(ratio('true_positives', 'fraud_detected'))} AS precisio
 _RECALL = f"{_if_both(ratio('true_positives', 'actual_fraud'))} AS recall"
 
 
-def _with_money(df: DataFrame) -> DataFrame:
-    return df.selectExpr("is_fraud_predicted", "is_fraud", *aliased(money_parts("amount")))
-
-
 def summary(df: DataFrame) -> DataFrame:
     """One row of counts, shares, precision, recall and amounts; null where undefined."""
     amounts = {
-        "total_amount": money_sum(),
-        "fraud_amount": money_sum(_FLAGGED),
-        "n_amounts": money_count(),
-        "n_flagged_amounts": money_count(_FLAGGED),
+        "total": amount_sum(),
+        "flagged": amount_sum(within=_FLAGGED),
+        "n_amounts": amount_count(),
+        "n_flagged_amounts": amount_count(within=_FLAGGED),
     }
-    totals = _with_money(df).selectExpr(*aliased(_COUNTS), *aliased(amounts))
+    totals = df.selectExpr(*aliased(_COUNTS), *aliased(amounts))
     return totals.selectExpr(
         "total_transactions",
         "fraud_detected",
@@ -60,10 +56,10 @@ def summary(df: DataFrame) -> DataFrame:
         "true_positives",
         _PRECISION,
         _RECALL,
-        "total_amount",
-        "fraud_amount",
-        f"{ratio('total_amount', 'n_amounts')} AS avg_amount",
-        f"{ratio('fraud_amount', 'n_flagged_amounts')} AS avg_fraud_amount",
+        f"{money('total')} AS total_amount",
+        f"{money('flagged')} AS fraud_amount",
+        f"{money(ratio('total', 'n_amounts'))} AS avg_amount",
+        f"{money(ratio('flagged', 'n_flagged_amounts'))} AS avg_fraud_amount",
     )
 
 
@@ -75,12 +71,12 @@ def quality_metrics(df: DataFrame) -> DataFrame:
 
 def kpis(df: DataFrame) -> DataFrame:
     """The headline tiles: total, flagged, flagged share and volume in whole currency units."""
-    totals = _with_money(df).selectExpr(*aliased(_COUNTS), f"{money_sum()} AS volume")
+    totals = df.selectExpr(*aliased(_COUNTS), f"{amount_sum()} AS volume")
     return totals.selectExpr(
         "total_transactions",
         "fraud_detected",
         f"{percent('fraud_detected', 'total_transactions')} AS fraud_rate",
-        "round(volume, 0) AS total_amount",
+        f"{money('volume', 0)} AS total_amount",
     )
 
 
@@ -131,13 +127,14 @@ def histogram(
 
     Bins are closed on the left, the last on both sides. All classes of ``by`` share one range:
     ``bounds``, or else the column's own minimum and maximum, which takes a second scan that
-    reads the needed columns only. Null and NaN values, and values outside ``bounds``, are in
-    no bin.
+    reads the needed columns only. Null, NaN and infinite values, and values outside ``bounds``,
+    are in no bin.
     """
     # Each (bin, class) is a cell number; what belongs to none is cell -1, which no row of the
     # frame below matches. A filter, or a key that can be null, would be pushed below the
     # projections and compute the column again.
     value = f"nanvl(CAST(`{column}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+    value = f"CASE WHEN abs({value}) < CAST('Infinity' AS DOUBLE) THEN {value} END"
     if bounds:
         low, high = (f"{float(end)}D" for end in bounds)
         value = f"CASE WHEN {value} BETWEEN {low} AND {high} THEN {value} END"

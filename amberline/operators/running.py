@@ -81,17 +81,19 @@ def running_fraud_rate(
     every: int = 50,
     start: tuple[int, int] = (0, 0),
     partitions: int | None = None,
+    work: str | None = None,
 ) -> DataFrame:
     """Transactions and labelled frauds seen so far, at every ``every``-th row and at the end.
 
     Order is (kafka_timestamp, transaction_id, label). ``start`` is the (transactions, frauds)
-    seen before this frame, so a stream can carry on from batch to batch. Batch frames only;
+    seen before this frame, so a stream can carry on from batch to batch. The result reads
+    intermediate data in ``work``, by default a fresh scratch folder. Batch frames only;
     the frame is read three times (bucket sizes, range bounds, rows), three columns each.
     """
     spark = df.sparkSession
     slots = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.selectExpr("kafka_timestamp", "transaction_id", f"{flag('is_fraud = 1')} AS label")
-    path = scratch_path(spark, "running")
+    path = work or scratch_path(spark, "running")
     (
         _with_copies(rows, slots)
         .repartitionByRange(slots, *_KEY)
@@ -99,7 +101,7 @@ def running_fraud_rate(
         .select("copies", "label")
         .mapInArrow(_run_finder(), _RUN)
         .select(F.spark_partition_id().alias("slot"), "*")
-        .write.parquet(path)
+        .write.mode("overwrite").parquet(path)
     )
     runs = spark.read.schema(f"slot int, {_RUN}").parquet(path)
 

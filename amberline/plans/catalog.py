@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ from amberline.operators.features import (
     location_features,
 )
 from amberline.operators.running import running_fraud_rate
-from amberline.operators.scoring import score, score_ensemble, score_model, score_rules, train_model
+from amberline.operators.scoring import score, score_ensemble, score_model, score_rules
 from amberline.operators.unions import union_all
 from amberline.schemas import CSV_OPTIONS, SCORED, names
 from amberline.session import scratch_path
@@ -28,9 +31,9 @@ from amberline.sources.kafka import read_batch
 from amberline.sources.models import load_model
 from amberline.sources.tables import transactions
 from amberline.streaming import monitor
-from amberline.streaming.compaction import compact_predictions
+from amberline.streaming.compaction import compact, read_compacted
 from amberline.streaming.run import JobConfig, run_job
-from amberline.streaming.sinks import output_path
+from amberline.streaming.sinks import FILE_SINKS, output_path
 from amberline.streaming.totals import start_running_rate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,25 +141,36 @@ def predictions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*names(SCORED)).withColumn("amount_log", F.round("amount_log", 8))
 
 
+# The features of two values.
+FLAGS = ("is_weekend", "is_high_amount", "is_low_amount", "location_risk", "is_online_merchant")
+
+
 def _features_with_model(spark: SparkSession, sf_dir: str):
+    """Feature rows, and a model fitted on all of them in closed form, saved and loaded again."""
     rows = engineer_features(transactions(spark, sf_dir))
     path = scratch_path(spark, "model")
-    train_model(rows).save(path)
+    bayes = NaiveBayes(modelType="bernoulli", smoothing=1.0, featuresCol="features", labelCol="is_fraud")
+    Pipeline(stages=[VectorAssembler(inputCols=list(FLAGS), outputCol="features"), bayes]).fit(rows).save(path)
     return rows, load_model(path)
 
 
+def _verdicts(scored: DataFrame) -> DataFrame:
+    return scored.select(
+        "transaction_id",
+        F.round("fraud_probability", 6).alias("fraud_probability"),
+        "is_fraud_predicted",
+        "prediction_method",
+    )
+
+
 def score_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = _features_with_model(spark, sf_dir)
-    return score_model(rows, model).select(
-        "transaction_id", "fraud_probability", "is_fraud_predicted", "prediction_method"
-    )
+    return _verdicts(score_model(rows, model))
 
 
 def score_ensemble_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = _features_with_model(spark, sf_dir)
-    return score_ensemble(rows, model, weight=0.7).select(
-        "transaction_id", "fraud_probability", "is_fraud_predicted", "prediction_method"
-    )
+    return _verdicts(score_ensemble(rows, model, weight=0.7))
 
 
 # --- reports -------------------------------------------------------------------------------
@@ -213,6 +227,18 @@ def results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_results(spark, path)
 
 
+def results_other_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results in files of four layouts: as written now, without a method, in another order, with odd columns more."""
+    path = scratch_path(spark, "results")
+    rows = _results(spark, sf_dir)
+    extra = {"batch no": F.lit(7), "risk-score": F.lit(0.5), "1st_amount": F.col("amount")}
+    kinds = [rows, rows.drop("prediction_method"), rows.select(*reversed(rows.columns)), rows.withColumns(extra)]
+    for kind, shaped in enumerate(kinds):
+        part = shaped.where(F.pmod(F.col("transaction_id").cast("bigint"), F.lit(4)) == kind)
+        part.write.options(**CSV_OPTIONS).csv(f"{path}/kind={kind}")
+    return read_results(spark, path)
+
+
 def alerts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "alerts")
     _alerts(spark, sf_dir).write.json(path)
@@ -241,7 +267,7 @@ def _run_stream(spark: SparkSession, sf_dir: str, **settings) -> str:
     base = scratch_path(spark, "stream")
     messages(spark, sf_dir).write.parquet(f"{base}/messages")
     source = {"format": "parquet", "path": f"{base}/messages", "maxFilesPerTrigger": "100"}
-    run_job(spark, JobConfig(base, source, console=False, available_now=True, **settings))
+    run_job(spark, JobConfig(base, source, available_now=True, **{"sinks": FILE_SINKS, **settings}))
     return base
 
 
@@ -256,13 +282,38 @@ def stream_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_alerts(spark, output_path(_run_stream(spark, sf_dir), "alerts"))
+
+
+def separate_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _run_stream(spark, sf_dir, fan_out=False, sinks=("predictions",))
+    rows = read_predictions(spark, output_path(base, "predictions"))
+    return rows.withColumn("amount_log", F.round("amount_log", 8))
+
+
+def separate_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _run_stream(spark, sf_dir, fan_out=False, sinks=("results",))
+    return read_results(spark, output_path(base, "results"))
+
+
+def separate_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _run_stream(spark, sf_dir, fan_out=False, sinks=("alerts",))
     return read_alerts(spark, output_path(base, "alerts"))
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that the job could not take, kept by its quarantine query."""
+    base = scratch_path(spark, "stream")
+    tampered(spark, sf_dir).write.parquet(f"{base}/messages")
+    source = {"format": "parquet", "path": f"{base}/messages"}
+    run_job(spark, JobConfig(base, source, sinks=("predictions",), available_now=True, quarantine=True))
+    kept = spark.read.schema("value string, reason string, kafka_timestamp timestamp")
+    return kept.json(output_path(base, "quarantine"))
+
+
 def stream_separate_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three file sinks as queries of their own; how many rows each one wrote."""
-    base = _run_stream(spark, sf_dir, fan_out=False, sinks=("predictions", "results", "alerts"))
+    base = _run_stream(spark, sf_dir, fan_out=False)
     readers = {"predictions": read_predictions, "results": read_results, "alerts": read_alerts}
     counts = [
         reader(spark, output_path(base, name)).agg(F.lit(name).alias("sink"), F.count("*").alias("n_rows"))
@@ -278,19 +329,27 @@ def stream_running_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema("value string, timestamp timestamp").parquet(f"{base}/messages")
     start_running_rate(parse_transactions(stream), base, available_now=True).awaitTermination()
     written = spark.read.parquet(output_path(base, "running"))
-    return written.where("NOT is_final").select("transactions", "frauds", "fraud_rate")
+    return written.select("transactions", "frauds", "fraud_rate", "is_final")
 
 
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _run_stream(spark, sf_dir)
-    rows = compact_predictions(spark, output_path(base, "predictions"), f"{base}/compacted")
-    return rows.groupBy("arrival_date").agg(
-        F.count("*").alias("transactions"), F.sum("is_fraud_predicted").alias("flagged")
-    )
+    """Rows of two streamed halves, the first of them compacted, of the later half of January."""
+    base = scratch_path(spark, "stream")
+    source = {"format": "parquet", "path": f"{base}/messages"}
+    whole = messages(spark, sf_dir)
+    for half in ("timestamp < TIMESTAMP '2024-01-20'", "timestamp >= TIMESTAMP '2024-01-20'"):
+        whole.where(half).write.mode("append").parquet(f"{base}/messages")
+        run_job(spark, JobConfig(base, source, sinks=("predictions", "alerts"), available_now=True))
+        compact(spark, base, "predictions")
+    rows = read_compacted(spark, base, "predictions", since="2024-01-16")
+    return rows.withColumn("amount_log", F.round("amount_log", 8))
 
 
 def write_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.latency(spark, output_path(_run_stream(spark, sf_dir), "predictions"))
+    """Waiting times of streamed rows, were all of them written at one moment."""
+    rows = read_predictions(spark, output_path(_run_stream(spark, sf_dir), "predictions"))
+    times = rows.selectExpr("kafka_timestamp AS arrival", "TIMESTAMP '2024-02-01 00:00:00' AS written")
+    return monitor.waiting_times(times, accuracy=1_000_000)
 
 
 # --- quality -------------------------------------------------------------------------------
@@ -348,11 +407,16 @@ QUERIES: dict[str, Query] = {
     "running_fraud_rate": running_rate,
     "results_roundtrip": results_roundtrip,
     "alerts_roundtrip": alerts_roundtrip,
+    "results_other_headers": results_other_headers,
     "union_results": union_results,
     "stream_score": stream_score,
     "stream_results": stream_results,
     "stream_alerts": stream_alerts,
     "stream_separate_sinks": stream_separate_sinks,
+    "separate_score": separate_score,
+    "separate_results": separate_results,
+    "separate_alerts": separate_alerts,
+    "stream_quarantine": stream_quarantine,
     "stream_running_rate": stream_running_rate,
     "compacted_predictions": compacted,
     "write_latency": write_latency,
@@ -362,7 +426,7 @@ QUERIES: dict[str, Query] = {
     ),
     "schema_violations": lambda spark, sf_dir: quality.schema_violations(tampered(spark, sf_dir)),
     "quarantine": lambda spark, sf_dir: quality.quarantine(tampered(spark, sf_dir)).select(
-        "reason", "kafka_timestamp"
+        "value", "reason", "kafka_timestamp"
     ),
     "null_profile": null_profile,
     "freshness": freshness,

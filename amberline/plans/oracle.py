@@ -91,9 +91,8 @@ def _on_scored(body: str, more: str = "") -> str:
     return f"WITH {_TX}, {_FEATURES}, {_RULES}, {_SCORED}{more} {body}"
 
 
-_CENTS = "CAST(floor(amount * 100 + 0.5) AS BIGINT)"
-_SUM_ALL = f"CAST(sum({_CENTS}) AS DOUBLE) / 100"
-_SUM_FLAGGED = f"CAST(sum({_CENTS}) FILTER (WHERE is_fraud_predicted = 1) AS DOUBLE) / 100"
+_SUM_ALL = "sum(amount)"
+_SUM_FLAGGED = "sum(amount) FILTER (WHERE is_fraud_predicted = 1)"
 _COUNTS = """
 counts AS (
   SELECT count(*) AS total_transactions,
@@ -180,6 +179,45 @@ def _union(selects: list[str]) -> str:
     return " UNION ALL ".join(selects)
 
 
+# What the spoilt messages held.
+_BODY = """to_json({'transaction_id': transaction_id, 'user_id': user_id, 'amount': amount, 'timestamp': "timestamp",
+                    'location': location, 'merchant': merchant, 'is_fraud': is_fraud})"""
+_QUARANTINE = f"""WITH {_TX},
+        bodies AS (SELECT tx.*, CAST(transaction_id AS BIGINT) % 8 AS kind, CAST({_BODY} AS VARCHAR) AS body FROM tx)
+        SELECT CASE kind WHEN 0 THEN 'not json ' || merchant WHEN 2 THEN regexp_replace(body, '"user_id":([0-9]+)', '"user_id":"\\1"')
+                         WHEN 3 THEN left(body, length(body) - 1) WHEN 4 THEN ''
+                         WHEN 5 THEN regexp_replace(body, '"is_fraud":[01]', '"is_fraud":true') END AS value,
+               CASE WHEN kind IN (1, 4) THEN 'empty' WHEN kind IN (0, 3) THEN 'not_json'
+                    ELSE 'wrong_type' END AS reason, kafka_timestamp
+        FROM bodies WHERE kind NOT IN (6, 7)"""
+
+_FLAGS = ("is_weekend", "is_high_amount", "is_low_amount", "location_risk", "is_online_merchant")
+
+
+def _bayes(probability: str, method: str) -> str:
+    """Scores of Bernoulli naive Bayes with add-one smoothing over the 0/1 features, fitted on all rows."""
+    sums = ", ".join(f"sum({name}) AS s_{name}" for name in _FLAGS)
+    log_odds = [
+        f"{name} * ln((s_{name} + 1.0) / (n + 2.0)) + (1 - {name}) * ln(1 - (s_{name} + 1.0) / (n + 2.0))" for name in _FLAGS
+    ]
+    return _on_scored(
+        f"""SELECT transaction_id, round({probability}, 6) AS fraud_probability,
+                   CASE WHEN {probability} > 0.5 THEN 1 ELSE 0 END AS is_fraud_predicted, '{method}' AS prediction_method
+            FROM chances""",
+        f""",
+fitted AS (SELECT is_fraud AS y, count(*) AS n, (SELECT count(*) FROM scored) AS total, {sums} FROM scored GROUP BY is_fraud),
+weights AS (
+  SELECT s.transaction_id, s.fraud_probability, y,
+         exp(ln((n + 1.0) / (total + 2.0)) + {' + '.join(log_odds)}) AS w
+  FROM scored s CROSS JOIN fitted
+),
+chances AS (
+  SELECT transaction_id, fraud_probability, sum(w) FILTER (WHERE y = 1) / sum(w) AS p
+  FROM weights GROUP BY transaction_id, fraud_probability
+)""",
+    )
+
+
 _AMOUNT_BUCKETS = """
 buckets(bucket_no, bucket, low, high) AS (
   VALUES (0, '$0-100', 0, 100), (1, '$100-500', 100, 500), (2, '$500-1K', 500, 1000),
@@ -194,6 +232,12 @@ _RUNNING = _on_tx(
         WHERE transactions % 50 = 0{{tail}}"""
 )
 
+_RUNNING_WITH_FINAL = _RUNNING.format(
+    extra=", FALSE AS is_final",
+    tail=f" UNION ALL SELECT count(*), CAST(sum(is_fraud) AS BIGINT), "
+    f"{_share('sum(is_fraud)', 'count(*)')}, TRUE FROM tx",
+)
+
 _PARSED = _on_tx(f"SELECT {_PARSED_COLUMNS} FROM tx")
 _ALL_SCORED = _on_scored(f"SELECT {_SCORED_COLUMNS} FROM scored")
 _RESULTS_MS = _on_scored(f"SELECT {_RESULT_COLUMNS} FROM scored").replace(
@@ -282,9 +326,10 @@ ORACLE: dict[str, str] = {
         f"""SELECT total_transactions, fraud_detected,
                    {_share('fraud_detected', 'total_transactions')} AS fraud_detected_pct,
                    actual_fraud, {_share('actual_fraud', 'total_transactions')} AS actual_fraud_pct,
-                   true_positives, {_PRECISION}, {_RECALL}, total_amount, fraud_amount,
-                   total_amount / total_transactions AS avg_amount,
-                   fraud_amount / fraud_detected AS avg_fraud_amount
+                   true_positives, {_PRECISION}, {_RECALL},
+                   round(total_amount, 2) AS total_amount, round(fraud_amount, 2) AS fraud_amount,
+                   round(total_amount / total_transactions, 2) AS avg_amount,
+                   round(fraud_amount / fraud_detected, 2) AS avg_fraud_amount
             FROM counts""",
         f",{_COUNTS}",
     ),
@@ -337,13 +382,11 @@ ORACLE: dict[str, str] = {
                   CASE WHEN is_fraud_predicted = 1 THEN 'FRAUD' ELSE 'LEGIT' END AS status
            FROM scored ORDER BY kafka_timestamp DESC, transaction_id LIMIT 8"""
     ),
-    "running_fraud_rate": _RUNNING.format(
-        extra=", FALSE AS is_final",
-        tail=f" UNION ALL SELECT count(*), CAST(sum(is_fraud) AS BIGINT), "
-        f"{_share('sum(is_fraud)', 'count(*)')}, TRUE FROM tx",
-    ),
+    "running_fraud_rate": _RUNNING_WITH_FINAL,
     "results_roundtrip": _RESULTS_MS,
-    "alerts_roundtrip": _ALERTS_MS,
+    "results_other_headers": _RESULTS_MS.replace(
+        "is_fraud, prediction_method", "is_fraud, CASE WHEN CAST(transaction_id AS BIGINT) % 4 <> 1 THEN prediction_method END AS prediction_method"
+    ),
     "union_results": _on_scored(
         f"SELECT {_RESULT_COLUMNS} FROM scored".replace(
             "prediction_method", "CASE WHEN is_fraud = 0 THEN prediction_method END AS prediction_method"
@@ -361,10 +404,15 @@ ORACLE: dict[str, str] = {
             ]
         )
     ),
-    "stream_running_rate": _RUNNING.format(extra="", tail=""),
-    "compacted_predictions": _on_scored(
-        """SELECT CAST(kafka_timestamp AS DATE) AS arrival_date, count(*) AS transactions,
-                  CAST(sum(is_fraud_predicted) AS BIGINT) AS flagged FROM scored GROUP BY 1"""
+    "stream_running_rate": _RUNNING_WITH_FINAL,
+    "separate_score": _ALL_SCORED,
+    "separate_results": _RESULTS_MS,
+    "separate_alerts": _ALERTS_MS,
+    "compacted_predictions": f"{_ALL_SCORED} WHERE kafka_timestamp >= TIMESTAMP '2024-01-16'",
+    "write_latency": _on_tx(
+        """SELECT count(*) AS transactions, quantile_disc(us, 0.5) / 1e6 AS p50, quantile_disc(us, 0.95) / 1e6 AS p95,
+                  quantile_disc(us, 0.99) / 1e6 AS p99, max(us) / 1e6 AS max
+           FROM (SELECT epoch_us(TIMESTAMP '2024-02-01') - epoch_us(kafka_timestamp) AS us FROM tx)"""
     ),
     "throughput": _on_tx(
         """SELECT date_trunc('hour', kafka_timestamp) AS window_start,
@@ -388,10 +436,11 @@ ORACLE: dict[str, str] = {
             for check, condition in _CHECKS.items()
         ]
     ),
-    "quarantine": f"""WITH {_TX}, {_TAMPERED}
-        SELECT CASE WHEN kind IN (1, 4) THEN 'empty' WHEN kind IN (0, 3) THEN 'not_json'
-                    ELSE 'wrong_type' END AS reason, kafka_timestamp
-        FROM tampered WHERE kind NOT IN (6, 7)""",
+    "quarantine": _QUARANTINE,
+    # JSON keeps milliseconds, and leaves out a null value.
+    "stream_quarantine": _QUARANTINE.replace(", kafka_timestamp\n", f", {_TO_MILLIS} AS kafka_timestamp\n"),
+    "score_model": _bayes("CAST(p AS DOUBLE)", "model"),
+    "score_ensemble": _bayes("0.7 * fraud_probability + (1 - 0.7) * p", "ensemble"),
     "null_profile": f"WITH {_TX}, {_TAMPERED} "
     + _union(
         [

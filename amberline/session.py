@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,15 +30,22 @@ def build_session(app_name: str = "amberline", master: str | None = None, **conf
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``, the folder all executors share.
-
-    Only a local master, where driver and executors are one machine, may go without that
-    setting; it then gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="amberline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """A fresh path in a folder that all executors share: ``spark.checkpoint.dir``, or else the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data."""
+    files, place = _place(spark, path)
+    files.delete(place, True)

@@ -2,60 +2,64 @@
 
 from __future__ import annotations
 
+import csv
+import logging
 from collections.abc import Callable, Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amberline.operators.unions import union_all
 from amberline.operators.views import coerce_results
 from amberline.schemas import ALERTS, CSV_OPTIONS, RESULTS, SCORED, Layout, ddl, names, struct
 
+log = logging.getLogger(__name__)
 _TEXT_FIRST = {"amount", "fraud_probability", "processed_time"}
+#: Types of the folder columns that this library writes.
+FOLDERS = {"run": "string", "batch_id": "int", "chunk": "string", "arrival_date": "date"}
 
 
-def _or_empty(spark: SparkSession, layout: Layout, read: Callable[[], DataFrame]) -> DataFrame:
+def _or_empty(spark: SparkSession, layout: Layout, partitions: Sequence[str], read: Callable[[], DataFrame]) -> DataFrame:
     try:
         return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], struct(layout))
+        empty = spark.createDataFrame([], struct(layout))
+        return empty.selectExpr("*", *(f"CAST(NULL AS {FOLDERS.get(name, 'string')}) AS `{name}`" for name in partitions))
 
 
-def _folder_options(nested: bool) -> dict[str, str]:
+def _folder_options(nested: bool, lenient: bool = True) -> dict[str, str]:
     # Recursive lookup turns partition discovery off, so it is for folders without partitions.
-    options = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
+    options = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"} if lenient else {}
     return {**options, "recursiveFileLookup": "true"} if nested else options
 
 
-def _raw(name: str) -> str:
-    """Type a results column is read as, before text is made typed; unknown columns are text."""
-    return "string" if name in _TEXT_FIRST else dict(RESULTS).get(name, "string")
+def _first_lines(spark: SparkSession, path: str, nested: bool) -> DataFrame:
+    """``file, line``: the first line of each file, by its position, whatever it holds."""
+    lines = spark.read.options(**_folder_options(nested)).text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),  # grows along a block
+    )
+    return lines.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
 
 
-def _other_headers(spark: SparkSession, path: str, nested: bool) -> dict[str, list[str]]:
-    """Files whose header is not the standard one, by header line.
+def unread_files(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """``file, length`` of the files under ``path`` that hold bytes but cannot be read as text."""
+    try:
+        files = spark.read.format("binaryFile").options(**_folder_options(nested)).load(path)
+        listed = files.select(F.col("_metadata.file_path").alias("file"), "length").where("length > 0")
+        return listed.join(_first_lines(spark, path, nested), "file", "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string, length bigint")
 
-    One scan of the text, which keeps only lines that look like a header: names throughout,
-    one of them known. A file with the standard header is standard whatever its text holds.
-    """
-    known = "|".join(names(RESULTS))
-    name = '"?[A-Za-z_][A-Za-z0-9_]*"?'
-    lines = spark.read.options(**_folder_options(nested)).text(path).select(
-        F.rtrim(F.col("value")).alias("line"), F.col("_metadata.file_path").alias("file")
-    )
-    headers = lines.where(F.col("line").rlike(f"^{name}(,{name})*$") & F.col("line").rlike(rf"\b({known})\b"))
-    per_file = headers.groupBy("file").agg(
-        F.max(F.replace("line", F.lit('"'), F.lit("")) == ",".join(names(RESULTS))).alias("standard"),
-        F.max_by("line", F.length("line")).alias("line"),
-    )
-    found: dict[str, list[str]] = {}
-    for row in per_file.where("NOT standard").collect():
-        found.setdefault(row.line.replace('"', ""), []).append(row.file)
-    return found
+
+def _header(line: str) -> list[str]:
+    return next(csv.reader([line.removeprefix("﻿")]), [])
 
 
 def read_results(
@@ -64,49 +68,55 @@ def read_results(
     nested: bool = False,
     partitions: Sequence[str] = (),
     multiline: bool = True,
-    by_name: bool = True,
 ) -> DataFrame:
-    """Result rows from CSV files with a header; unreadable files are skipped.
+    """Result rows from CSV files with a header; unreadable files are skipped, and their number logged.
 
     Numbers and times that do not parse are null. ``partitions`` names folder columns to keep
     (``batch_id``), on which filters prune folders. Text may hold line breaks, so each file,
     one writer task's share of a micro-batch, is read by one task; for larger files known to
     have none, ``multiline=False`` lets Spark split them.
 
-    Files with columns in another order, missing or added are matched by name; a missing column
-    is null. Finding them takes a scan of the text, which ``by_name=False`` leaves out where all
-    files are known to be written by this library; other files would then be skipped.
+    Columns go by the name in each file's own first line: in another order, with columns missing
+    (null) or added (left out). The different first lines, not the files, are gathered. Where all
+    are the standard one, that is all; else files are read by position and each row is put in
+    order by its file's header.
     """
 
-    def scan(columns: Sequence[str], paths: str | list[str], besides: Sequence[str] = ()) -> DataFrame:
-        reader = (
-            spark.read.schema(", ".join(f"`{name}` {_raw(name)}" for name in columns))
-            .options(**CSV_OPTIONS, enforceSchema="false", multiLine=str(multiline).lower())
-            .options(**_folder_options(nested))
-        )
-        if isinstance(paths, list) and partitions:
-            reader = reader.option("basePath", path)
-        wanted = [name for name in columns if name in names(RESULTS)]
-        files = reader.csv(paths)
-        if besides:
-            files = files.where(~F.col("_metadata.file_path").isin(*besides))
-        return files.select(*wanted, *partitions)
-
     def read() -> DataFrame:
-        others = _other_headers(spark, path, nested) if by_name else {}
-        frames = [scan(names(RESULTS), path, besides=sum(others.values(), []))]
-        for header, files in others.items():
-            # The metadata column has paths as URIs, the reader takes them plain.
-            frames.append(scan(header.split(","), [unquote(file) for file in files]))
-        return coerce_results(union_all(frames)).select(*names(RESULTS), *partitions)
-
-    return _or_empty(spark, RESULTS, read)
+        firsts = _first_lines(spark, path, nested)
+        lines = [row.line for row in firsts.select("line").distinct().collect()]
+        skipped = unread_files(spark, path, nested).count()
+        if skipped:
+            log.warning("%d unreadable files under %s are skipped", skipped, path)
+        headers = {line: _header(line) for line in lines}
+        reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multiline).lower()).options(**_folder_options(nested))
+        if all(header == names(RESULTS) for header in headers.values()):
+            raw = {name: "string" if name in _TEXT_FIRST else kind for name, kind in RESULTS}
+            rows = reader.schema(", ".join(f"`{name}` {kind}" for name, kind in raw.items())).csv(path)
+        else:
+            width = max(map(len, headers.values()))
+            texts = reader.schema(", ".join(f"_c{i} string" for i in range(width))).csv(path)
+            places = [(line, [header.index(name) if name in header else None for name in names(RESULTS)]) for line, header in headers.items()]
+            orders = spark.createDataFrame(places, "line string, places array<int>")
+            by_file = firsts.join(orders, "line").select(F.col("file").alias("_file"), "places")
+            cells = F.array(*(f"_c{i}" for i in range(width)))
+            rows = texts.select(cells.alias("_cells"), F.col("_metadata.file_path").alias("_file"), *partitions).join(by_file, "_file")
+            typed = [
+                f"try_cast(get(_cells, places[{i}]) AS {'string' if name in _TEXT_FIRST else kind}) AS `{name}`" for i, (name, kind) in enumerate(RESULTS)
+            ]
+            rows = rows.selectExpr(*typed, *partitions)
+        return coerce_results(rows).select(*names(RESULTS), *partitions)
+
+    return _or_empty(spark, RESULTS, partitions, read)
 
 
 def read_alerts(
     spark: SparkSession, path: str, nested: bool = False, partitions: Sequence[str] = ()
 ) -> DataFrame:
-    """Alert rows from JSON lines. Only a line that is not JSON is dropped; absent keys are null."""
+    """Alert rows from JSON lines. Only a line that is not JSON is dropped; absent keys are null.
+
+    Unreadable files are skipped; ``unread_files`` lists them.
+    """
     fields = names(ALERTS)
 
     def read() -> DataFrame:
@@ -123,16 +133,16 @@ def read_alerts(
         ).isNotNull()
         return lines.where(usable).select(*fields, *partitions)
 
-    return _or_empty(spark, ALERTS, read)
+    return _or_empty(spark, ALERTS, partitions, read)
 
 
 def read_predictions(
     spark: SparkSession, path: str, nested: bool = False, partitions: Sequence[str] = ()
 ) -> DataFrame:
-    """Scored rows from Parquet, all 20 columns."""
+    """Scored rows from Parquet, all 20 columns. A file that is damaged or vanishes is an error."""
 
     def read() -> DataFrame:
-        files = spark.read.schema(ddl(SCORED)).options(**_folder_options(nested)).parquet(path)
+        files = spark.read.schema(ddl(SCORED)).options(**_folder_options(nested, lenient=False)).parquet(path)
         return files.select(*names(SCORED), *partitions)
 
-    return _or_empty(spark, SCORED, read)
+    return _or_empty(spark, SCORED, partitions, read)

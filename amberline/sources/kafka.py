@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from amberline.operators.decode import json_value
 from amberline.schemas import MESSAGE, struct
 
-# Default topic and broker address.
+# Fixed value: the default topic.
 TOPIC = "transactions"
-SERVERS = "kafka:29092"
 MAX_PER_TRIGGER = 5_000_000
 
 
 def stream_options(
-    servers: str = SERVERS,
+    servers: str,
     topic: str = TOPIC,
     starting: str = "latest",
     max_per_trigger: int = MAX_PER_TRIGGER,
@@ -39,7 +38,7 @@ def stream_options(
 
 
 def replay_options(
-    servers: str = SERVERS, topic: str = TOPIC, min_partitions: int | None = None
+    servers: str, topic: str = TOPIC, min_partitions: int | None = None
 ) -> dict[str, str]:
     """Source options to read a whole topic once, from its beginning to its present end."""
     options = {
@@ -53,7 +52,7 @@ def replay_options(
     return options
 
 
-def publish_options(servers: str = SERVERS, topic: str = TOPIC) -> dict[str, str]:
+def publish_options(servers: str, topic: str = TOPIC) -> dict[str, str]:
     """Sink options: every replica acknowledges, three retries, order kept per partition."""
     return {
         "kafka.bootstrap.servers": servers,
@@ -64,13 +63,13 @@ def publish_options(servers: str = SERVERS, topic: str = TOPIC) -> dict[str, str
     }
 
 
-def read_stream(spark: SparkSession, options: Mapping[str, str] | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """A stream of messages.
 
     Without ``format`` the options are those of the Kafka source. With a file format (``json``,
     ``parquet``, ...) they need a ``path``; the files hold ``value`` and ``timestamp``.
     """
-    given = dict(options if options is not None else stream_options())
+    given = dict(options)
     kind = given.pop("format", "kafka")
     reader = spark.readStream.format(kind)
     if kind != "kafka":
@@ -78,9 +77,9 @@ def read_stream(spark: SparkSession, options: Mapping[str, str] | None = None) -
     return reader.options(**given).load()
 
 
-def read_batch(spark: SparkSession, options: Mapping[str, str] | None = None) -> DataFrame:
+def read_batch(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """Messages as a batch: a topic from its beginning, or files as in ``read_stream``."""
-    given = dict(options if options is not None else replay_options())
+    given = dict(options)
     kind = given.pop("format", "kafka")
     reader = spark.read.format(kind)
     if kind != "kafka":
@@ -88,6 +87,6 @@ def read_batch(spark: SparkSession, options: Mapping[str, str] | None = None) ->
     return reader.options(**given).load()
 
 
-def publish(df: DataFrame, options: Mapping[str, str] | None = None) -> None:
+def publish(df: DataFrame, options: Mapping[str, str]) -> None:
     """Send each row as a JSON message."""
-    df.select(json_value(df)).write.format("kafka").options(**(options or publish_options())).save()
+    df.select(json_value(df)).write.format("kafka").options(**options).save()

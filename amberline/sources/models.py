@@ -4,27 +4,21 @@ from __future__ import annotations
 
 import logging
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
 
-log = logging.getLogger(__name__)
-
+from amberline.session import exists
 
-def _is_missing(error: Exception) -> bool:
-    text = str(error)
-    return any(mark in text for mark in ("PATH_NOT_FOUND", "InvalidInputException", "FileNotFoundException"))
+log = logging.getLogger(__name__)
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """The fitted pipeline saved at ``path``, or none, with a warning, when nothing is there.
+    """The fitted pipeline saved at ``path``, or none, with a warning, when there is no such folder.
 
-    Spark ML's own format is read; pickles are not, as unpickling can run any code.
+    A folder that is there must hold a whole model; anything else raises. Spark ML's own format is
+    read; pickles are not, as unpickling can run any code.
     """
-    try:
-        return PipelineModel.load(path)
-    except (Py4JJavaError, AnalysisException) as error:
-        if not _is_missing(error):
-            raise
+    if not exists(SparkSession.active(), path):
         log.warning("no model at %s; scoring by rules", path)
         return None
+    return PipelineModel.load(path)

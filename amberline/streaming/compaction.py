@@ -1,25 +1,87 @@
-"""Turn many small batch folders into few well-sized files per arrival date."""
+"""Turn many small batch folders into few well-sized files per arrival date, a piece at a time.
+
+``<name>_daily/chunk=<id>/arrival_date=<day>`` holds the rows of one compaction; ``<name>_done``
+says, once they are written, up to which batch of which run they reach. Readers take the chunks
+that are listed there and the batches after them, so every row is read once, also while a
+compaction runs or after one that failed.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amberline.sources.files import read_predictions
+from amberline.session import exists
+from amberline.sources.files import read_alerts, read_predictions
+from amberline.streaming.sinks import output_path
 
+Reader = Callable[..., DataFrame]
+_DONE = "chunk string, run string, last_batch int"
+# The time of arrival in each kind of output.
+KINDS: dict[str, tuple[Reader, str]] = {"predictions": (read_predictions, "kafka_timestamp"), "alerts": (read_alerts, "alert_time")}
+
+
+def _done(spark: SparkSession, base: str, name: str) -> list:
+    path = f"{output_path(base, name)}_done"
+    return spark.read.schema(_DONE).json(path).collect() if exists(spark, path) else []  # a row for each run and compaction
+
+
+def _reached(done: list) -> dict[str, int]:
+    last: dict[str, int] = {}
+    for row in done:
+        last[row.run] = max(row.last_batch, last.get(row.run, -1))
+    return last
 
-def compact_predictions(
-    spark: SparkSession, source: str, target: str, batches: tuple[int, int] | None = None
-) -> DataFrame:
-    """Rewrite scored rows to ``target`` under ``arrival_date=<day>``, on which reports can prune.
 
-    ``batches`` limits the work to batch ids from-to. What ``target`` held is replaced, so a run
-    can be repeated; give each range of batches a folder of its own. The rebalance lets adaptive execution
-    size the files: small dates are packed together, a date with much of the data is split.
+def _after(last: dict[str, int]) -> str:
+    """A condition on folder columns: batches that no chunk holds."""
+    known = [f"(run = '{run}' AND batch_id <= {batch})" for run, batch in sorted(last.items())]
+    return f"NOT ({' OR '.join(known)})" if known else "true"
+
+
+def compact(spark: SparkSession, base: str, name: str = "predictions", keep: int = 1) -> str | None:
+    """Compact the batches that no earlier compaction has taken; the newest ``keep`` of each run are left.
+
+    The newest batch may still be being written, or be written again after a failure. Returns the
+    chunk's name, or None when there was nothing to do. The rebalance lets adaptive execution size
+    the files: small dates are packed together, a date with much of the data is split.
     """
-    rows = read_predictions(spark, source, partitions=["batch_id"] if batches else [])
-    if batches:
-        rows = rows.where(F.col("batch_id").between(*batches)).drop("batch_id")
-    dated = rows.withColumn("arrival_date", F.to_date("kafka_timestamp"))
-    dated.hint("rebalance", "arrival_date").write.mode("overwrite").partitionBy("arrival_date").parquet(target)
-    return read_predictions(spark, target, partitions=["arrival_date"])
+    reader, arrival = KINDS[name]
+    reached = _reached(_done(spark, base, name))
+    rows = reader(spark, output_path(base, name), partitions=["run", "batch_id"]).where(_after(reached))
+    newest = rows.groupBy("run").agg(F.max("batch_id").alias("last")).collect()
+    ends = [r for r in newest if r.last is not None and r.last - keep > reached.get(r.run, -1)]
+    taken = [f"(run = '{r.run}' AND batch_id <= {r.last - keep})" for r in ends]
+    if not taken:
+        return None
+    rows = rows.where(" OR ".join(taken)).drop("run", "batch_id").withColumn("arrival_date", F.to_date(arrival))
+    chunk = uuid.uuid4().hex
+    target = f"{output_path(base, name)}_daily/chunk={chunk}"
+    rows.hint("rebalance", "arrival_date").write.partitionBy("arrival_date").parquet(target)
+    marks = spark.createDataFrame([(chunk, r.run, r.last - keep) for r in ends], _DONE)
+    marks.coalesce(1).write.mode("append").json(f"{output_path(base, name)}_done")
+    return chunk
+
+
+def read_compacted(
+    spark: SparkSession, base: str, name: str = "predictions", since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """All rows of an output, compacted or not; ``since`` and ``until`` (dates, both included) prune compacted folders."""
+    reader, arrival = KINDS[name]
+    done = _done(spark, base, name)
+    rest = reader(spark, output_path(base, name), partitions=["run", "batch_id"]).where(_after(_reached(done))).drop("run", "batch_id")
+    rest = rest.withColumn("arrival_date", F.to_date(arrival))
+    rows = rest
+    if done:
+        chunks = sorted({row.chunk for row in done})
+        path = f"{output_path(base, name)}_daily"
+        files = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rest.schema)}, chunk string").parquet(path)
+        rows = files.where(F.col("chunk").isin(chunks)).drop("chunk").unionByName(rest)
+    if since:
+        rows = rows.where(f"arrival_date >= DATE '{since}'")
+    if until:
+        rows = rows.where(f"arrival_date <= DATE '{until}'")
+    return rows.drop("arrival_date")

@@ -2,44 +2,61 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from amberline.operators.views import alerts_view, console_view, results_view
 from amberline.schemas import CSV_OPTIONS, SCORED, struct
-from amberline.streaming.sinks import CONSOLE_OPTIONS, checkpoint_path, output_path
+from amberline.session import exists
+from amberline.streaming.sinks import CONSOLE_OPTIONS, FILE_ROWS, FILE_SINKS, SINKS, checkpoint_path, output_path
+
+
+def run_of(batch: DataFrame) -> str:
+    """The id of the streaming query that a micro-batch is of; it lives as long as its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
-def write_batch(batch: DataFrame, batch_id: int, base: str, console: bool = False) -> None:
-    """Write one micro-batch to every sink, under ``batch_id=<n>``.
+def write_batch(batch: DataFrame, batch_id: int, base: str, sinks: Sequence[str] = FILE_SINKS) -> None:
+    """Write one micro-batch to the named sinks, under ``run=<query id>/batch_id=<n>``.
 
-    The scored rows are computed once, into Parquet; results and alerts are derived from those
-    files, reading only their columns. A batch that is run again after a failure overwrites its
-    own folders, so nothing is written twice.
+    The scored rows are computed once, into Parquet; alerts come next and then results, both
+    derived from those files, reading only their columns. A batch that is run again after a
+    failure overwrites its own folders, so nothing is written twice. Batch numbers start again
+    with a new checkpoint, which is a new query and so a new ``run``.
     """
+    run = run_of(batch)
 
     def folder(name: str) -> str:
-        return f"{output_path(base, name)}/batch_id={batch_id}"
+        return f"{output_path(base, name)}/run={run}/batch_id={batch_id}"
 
     batch.write.mode("overwrite").parquet(folder("predictions"))
     written = batch.sparkSession.read.schema(struct(SCORED)).parquet(folder("predictions"))
-    results_view(written).write.mode("overwrite").options(**CSV_OPTIONS).csv(folder("results"))
-    alerts_view(written).write.mode("overwrite").json(folder("alerts"))
-    if console:
+    if "alerts" in sinks:
+        alerts_view(written).write.mode("overwrite").json(folder("alerts"))
+    if "results" in sinks:
+        results = results_view(written).write.mode("overwrite")
+        results.options(**CSV_OPTIONS, maxRecordsPerFile=FILE_ROWS).csv(folder("results"))
+    if "console" in sinks:
         console_view(written).show(int(CONSOLE_OPTIONS["numRows"]), truncate=False)
 
 
 def start_fan_out(
     scored: DataFrame,
     base: str,
-    every: str = "10 seconds",
+    every: str = "5 seconds",
     available_now: bool = False,
-    console: bool = False,
+    sinks: Sequence[str] = tuple(SINKS),
 ) -> StreamingQuery:
+    """Start the query. Alerts go out every ``every``, without waiting for results or the console."""
+    for name in FILE_SINKS:
+        if exists(scored.sparkSession, f"{output_path(base, name)}/_spark_metadata"):
+            raise ValueError(f"{base} holds outputs of separate sinks, whose log would hide others; use another base")
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return (
         scored.writeStream.outputMode("append")
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, base, console))
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, base, sinks))
         .option("checkpointLocation", checkpoint_path(base, "fan_out"))
         .trigger(**trigger)
         .start()

@@ -11,9 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from amberline.operators.decode import json_value
 from amberline.operators.views import alerts_view, console_view, results_view
 from amberline.schemas import CSV_OPTIONS
-from amberline.sources.kafka import publish_options
+from amberline.session import exists
 
 CONSOLE_OPTIONS = {"numRows": "20", "truncate": "false"}
+#: Text with line breaks makes a CSV file unsplittable, so files are kept small.
+FILE_ROWS = "500000"
 
 
 def all_columns(scored: DataFrame) -> DataFrame:
@@ -36,9 +38,10 @@ class Sink:
 SINKS: dict[str, Sink] = {
     "console": Sink(console_view, "console", "10 seconds", CONSOLE_OPTIONS),
     "predictions": Sink(all_columns, "parquet", "30 seconds"),
-    "results": Sink(results_view, "csv", "20 seconds", CSV_OPTIONS),
+    "results": Sink(results_view, "csv", "20 seconds", {**CSV_OPTIONS, "maxRecordsPerFile": FILE_ROWS}),
     "alerts": Sink(alerts_view, "json", "5 seconds"),
 }
+FILE_SINKS = tuple(name for name, sink in SINKS.items() if sink.keeps_files)
 
 
 def output_path(base: str, name: str) -> str:
@@ -52,8 +55,16 @@ def checkpoint_path(base: str, name: str) -> str:
 def start_sink(
     scored: DataFrame, name: str, base: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Start one sink in append mode; ``available_now`` takes what is there and ends."""
+    """Start one sink in append mode; ``available_now`` takes what is there and ends.
+
+    A folder belongs to the checkpoint it was begun with: the sink's log counts batches from 0, so
+    another checkpoint, or the fan-out, would have its batches ignored or hidden. That is refused.
+    """
     sink = SINKS[name]
+    if sink.keeps_files:
+        spark, path = scored.sparkSession, output_path(base, name)
+        if exists(spark, path) and not exists(spark, checkpoint_path(base, name)):
+            raise ValueError(f"{path} holds outputs of another checkpoint; use another base")
     writer = sink.shape(scored).writeStream.outputMode("append").format(sink.format)
     writer = writer.options(**sink.options).queryName(f"{name}:{base}")
     if sink.keeps_files:
@@ -75,12 +86,12 @@ def start_sinks(
 
 
 def start_publisher(
-    df: DataFrame, checkpoint: str, options: dict[str, str] | None = None
+    df: DataFrame, checkpoint: str, options: dict[str, str]
 ) -> StreamingQuery:
     """Send each row of a stream to a topic as a JSON message."""
     writer = df.select(json_value(df)).writeStream.format("kafka")
     return (
-        writer.options(**(options or publish_options()))
+        writer.options(**options)
         .option("checkpointLocation", checkpoint)
         .start()
     )

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from amberline.operators.running import running_fraud_rate
+from amberline.session import remove
+from amberline.streaming.fanout import run_of
 from amberline.streaming.sinks import checkpoint_path, output_path
 
 
@@ -13,19 +15,22 @@ def write_running_batch(batch: DataFrame, batch_id: int, base: str, every: int =
     """Write this batch's milestones, going on from the batch before.
 
     A batch run again after a failure reads only the earlier batch and overwrites its own folder.
+    Intermediate data lies below ``_work``, outside what readers see, until the milestones are written.
     """
-    path = output_path(base, "running")
+    path, run = output_path(base, "running"), run_of(batch)
     start = (0, 0)
     if batch_id > 0:
-        earlier = batch.sparkSession.read.parquet(f"{path}/batch_id={batch_id - 1}")
+        earlier = batch.sparkSession.read.parquet(f"{path}/run={run}/batch_id={batch_id - 1}")
         last = earlier.where("is_final").first()
         start = (last["transactions"], last["frauds"])
+    work = f"{path}/_work/run={run}/batch_id={batch_id}"
     narrow = batch.select("kafka_timestamp", "transaction_id", "is_fraud").persist()
     try:
-        milestones = running_fraud_rate(narrow, every, start)
-        milestones.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        milestones = running_fraud_rate(narrow, every, start, work=work)
+        milestones.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
     finally:
         narrow.unpersist()
+        remove(batch.sparkSession, work)
 
 
 def start_running_rate(

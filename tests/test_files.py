@@ -7,8 +7,8 @@ from amberline.operators.unions import union_all
 from amberline.operators.views import alerts_view, console_view, results_view
 from amberline.schemas import ALERTS, CONSOLE_COLUMNS, CSV_OPTIONS, RESULTS, SCORED, names
 from amberline.session import scratch_path
-from amberline.sources.files import read_alerts, read_predictions, read_results
-from amberline.streaming.compaction import compact_predictions
+from amberline.sources.files import read_alerts, read_predictions, read_results, unread_files
+from amberline.streaming.compaction import compact, read_compacted
 from amberline.streaming.fanout import write_batch
 from tests.helpers import ARRIVED, frame, tx
 
@@ -94,7 +94,6 @@ def test_files_are_matched_by_column_name(spark, tmp_path, multiline):
     assert rows["std"].merchant == ("amount\nmerchant\n" if multiline else "M")
     assert rows["reversed & 50% so"].processed_time == ARRIVED
     assert (rows["short"].amount, rows["short"].location, rows["short"].batch_id) == (5.5, None, 1)
-    assert read_results(spark, str(tmp_path / "all"), by_name=False).count() == 2
     assert read_results(spark, str(tmp_path / "all"), nested=True).count() == 5
 
 
@@ -132,10 +131,50 @@ def test_bad_alert_line_drops_only_itself(spark, tmp_path):
     assert alerts.where("amount > 5").count() == 1
 
 
-def test_unreadable_parquet_file_is_skipped(spark, scored, tmp_path):
-    scored.coalesce(1).write.parquet(str(tmp_path / "p"))
-    (tmp_path / "p" / "part-bad.parquet").write_bytes(b"not parquet at all")
-    assert read_predictions(spark, str(tmp_path / "p")).count() == 6
+def test_damaged_predictions_are_an_error(spark, scored, tmp_path):
+    write_batch(scored.coalesce(1), 0, str(tmp_path))
+    write_batch(scored.coalesce(1), 1, str(tmp_path))
+    (file,) = (tmp_path / "predictions" / "run=none" / "batch_id=0").glob("*.parquet")
+    file.write_bytes(file.read_bytes()[:-200])
+    with pytest.raises(Exception, match="(?i)parquet"):  # noqa: PT011
+        read_predictions(spark, str(tmp_path / "predictions")).collect()
+    with pytest.raises(Exception, match="(?i)parquet"):  # noqa: PT011
+        compact(spark, str(tmp_path), keep=0)
+    assert read_compacted(spark, str(tmp_path), "alerts").count() == 6
+
+
+def test_headers_of_any_names_are_read(spark, tmp_path):
+    standard = names(RESULTS)
+    folder = tmp_path / "all"
+    folder.mkdir()
+    row = {"transaction_id": "?", "merchant": "Merchant_amount_location_services", "location": "amount", "amount": "2.5"}
+
+    def write(key, columns):
+        values = [{**row, "transaction_id": key}.get(c, "x" if c not in standard else "") for c in columns]
+        (folder / f"{key}.csv").write_text(f"{','.join(columns)}\n{','.join(values)}\n")
+
+    write("standard", standard)
+    write("space", [*standard, "batch no"])
+    write("dash", ["risk-score", *standard])
+    write("digit", [*standard[:3], "1st_amount", *standard[3:]])
+    write("comma", ['"a,b"', *standard])
+    write("few", ["merchant", "location"])
+    (folder / "empty.csv").write_text("")
+    (folder / "header_only.csv").write_text("x y,z\n")
+    rows = read_results(spark, str(folder)).collect()
+    assert sorted(r.transaction_id or "" for r in rows) == ["", "comma", "dash", "digit", "space", "standard"]
+    assert {(r.merchant, r.location) for r in rows} == {(row["merchant"], row["location"])}
+    assert sum(r.amount == 2.5 for r in rows) == 5
+
+
+def test_skipped_results_are_logged_and_listed(spark, scored, tmp_path, caplog):
+    path = str(tmp_path / "csv")
+    results_view(scored).write.options(**CSV_OPTIONS).csv(path)
+    (tmp_path / "csv" / "broken.csv.gz").write_bytes(b"no gzip")
+    assert read_results(spark, path).count() == 6
+    assert "1 unreadable files" in caplog.text
+    assert [r.length for r in unread_files(spark, path).collect()] == [7]
+    assert unread_files(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_union_fills_missing_columns(spark):
@@ -144,17 +183,61 @@ def test_union_fills_missing_columns(spark):
     assert sorted(map(tuple, union_all([left, right]).collect())) == [("a", 1, None), ("b", None, 2.0)]
 
 
+def everything(spark, base, **dates):
+    return {name: sorted(map(str, read_compacted(spark, base, name, **dates).collect())) for name in ("predictions", "alerts")}
+
+
 def test_compaction_keeps_rows_and_prunes(spark, scored, tmp_path):
+    base = str(tmp_path)
     for batch in range(3):
-        write_batch(scored, batch, str(tmp_path))
-    rows = compact_predictions(spark, str(tmp_path / "predictions"), str(tmp_path / "days"), batches=(1, 2))
-    assert rows.count() == 12
-    day = rows.where("arrival_date = DATE '2024-03-10'")
-    assert day.count() == 12
-    assert "arrival_date" in day._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+        write_batch(scored, batch, base)
+    before = everything(spark, base)
+    assert len(before["predictions"]) == 18 and len(before["alerts"]) == 9
+    for name in before:
+        assert compact(spark, base, name)  # leaves the newest batch
+        assert compact(spark, base, name) is None
+    assert everything(spark, base) == before
+    write_batch(scored, 3, base)
+    assert compact(spark, base, "predictions") and not compact(spark, base, "predictions")
+    assert read_compacted(spark, base).count() == 24
+    assert read_compacted(spark, base, since="2024-03-11").count() == 0
+    day = read_compacted(spark, base, since="2024-03-10", until="2024-03-10")
+    assert day.count() == 24
+    filters = day._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1:]
+    assert any("arrival_date" in part for part in filters) and any("batch_id" in part for part in filters)
+
+
+def test_chunk_without_a_mark_is_not_read(spark, scored, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    for batch in range(2):
+        write_batch(scored, batch, base)
+    before = everything(spark, base)
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost on purpose")))
+    with pytest.raises(RuntimeError, match="lost on purpose"):
+        compact(spark, base)
+    monkeypatch.undo()
+    assert everything(spark, base) == before
+    assert compact(spark, base) and everything(spark, base) == before
+
+
+def test_missing_folders_have_their_partition_columns(spark, tmp_path):
+    empty = read_predictions(spark, str(tmp_path / "none"), partitions=["run", "batch_id"])
+    assert empty.columns[-2:] == ["run", "batch_id"] and empty.where("batch_id BETWEEN 0 AND 9").count() == 0
+    assert compact(spark, str(tmp_path / "none")) is None
+    assert read_compacted(spark, str(tmp_path / "none"), "alerts", since="2024-01-01").count() == 0
 
 
 def test_scratch_is_under_the_named_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(root) and first != second
+
+
+def test_scratch_without_a_setting_is_in_the_warehouse(spark):
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(name, default=""):
+                return {"spark.sql.warehouse.dir": "file:/wh/"}.get(name, default)
+
+    assert scratch_path(Session, "x").startswith("file:/wh/_scratch/x-")

@@ -5,16 +5,17 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from amberline.operators.features import engineer_features
+from amberline.operators.features import engineer_features, flag_risky_locations
+from amberline.operators.quality import deduplicate
 from amberline.operators.report import kpis, top_locations
 from amberline.operators.scoring import score_rules
 from amberline.operators.views import alerts_view
-from amberline.plans.catalog import QUERIES, tampered
+from amberline.plans.catalog import QUERIES, parsed, tampered
 from amberline.sources.tables import transactions
 
 LAZY = sorted(
     set(QUERIES)
-    - {name for name in QUERIES if name.startswith("stream")}
+    - {name for name in QUERIES if name.startswith(("stream", "separate"))}
     - {"score_model", "score_ensemble", "compacted_predictions", "write_latency"}
 )
 
@@ -48,9 +49,19 @@ def test_reports_read_only_their_columns(spark, data, tmp_path):
 
 
 def test_messages_are_parsed_once(spark, data):
-    for name in ("top_locations_from_messages", "schema_violations"):
-        frame = contract.queries()[name](spark, data)
-        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    deduplicated = deduplicate(parsed(spark, data))
+    for frame in (*(QUERIES[name](spark, data) for name in ("top_locations_from_messages", "schema_violations")), deduplicated):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1 and plan.count("parquet") == 1
+
+
+def test_risk_table_is_computed_once_and_needs_no_job(spark, data):
+    tracker = spark.sparkContext.statusTracker()
+    rows = transactions(spark, data)
+    spark.sparkContext.setJobGroup("planning", "plans only")
+    plan = flag_risky_locations(rows, rows.groupBy("location").count())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2 and not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert tampered(spark, data).count() == transactions(spark, data).count()
 
 

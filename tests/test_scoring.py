@@ -92,15 +92,19 @@ def test_time(spark, text, hour, day, weekend):
     assert (row.hour, row.day_of_week, row.is_weekend) == (hour, day, weekend)
 
 
-@pytest.mark.parametrize("limit", [100, 1])
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
 def test_risk_table_small_and_large_agree(spark, limit):
     places = ["Lagos", "Mumbai", "Denver", None, "O'Hara"]
     rows = frame(spark, [tx(transaction_id=str(i), location=p) for i, p in enumerate(places * 3)])
     table = spark.createDataFrame([("Lagos",), ("O'Hara",), ("Lagos",), (None,), ("Oslo",)], "location string")
-    flagged = flag_risky_locations(rows, table, broadcast_rows=limit)
-    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
-    assert ("strategy=broadcast" in plan) == (limit == 100)
-    found = flagged.collect()
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for name in names:
+            spark.conf.set(name, limit)
+        found = flag_risky_locations(rows, table).collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
     assert len(found) == 15
     assert all(row.location_risk == int(row.location in ("Lagos", "O'Hara")) for row in found)
 
@@ -182,6 +186,19 @@ def test_ensemble_blends(spark, labelled):
         assert row.prediction_method == "ensemble"
 
 
+def test_half_a_model_is_an_error(spark, labelled, tmp_path):
+    path = tmp_path / "model"
+    train_model(labelled).save(str(path))
+    for part in (path / "stages").rglob("*"):
+        if part.is_file():
+            part.unlink()
+    with pytest.raises(Exception):  # noqa: B017, PT011  which one is Spark's choice
+        load_model(str(path))
+    (tmp_path / "empty" / "metadata").mkdir(parents=True)
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        load_model(str(tmp_path / "empty"))
+
+
 def test_no_model_means_rules(spark, labelled, tmp_path, caplog):
     assert load_model(str(tmp_path / "absent")) is None
     assert "scoring by rules" in caplog.text

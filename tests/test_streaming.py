@@ -17,6 +17,9 @@ from amberline.streaming.sinks import SINKS, start_sinks
 from tests.helpers import ARRIVED, frame, tx
 
 
+FILES = ("predictions", "results", "alerts")
+
+
 def send(spark, folder, rows, extra=()):
     messages = to_messages(frame(spark, rows)).selectExpr("CAST(value AS STRING) AS value", "timestamp")
     if extra:
@@ -54,7 +57,6 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path, fan_out):
         base,
         source_of(inbox, maxFilesPerTrigger="1"),
         fan_out=fan_out,
-        console=False,
         sinks=("predictions", "results", "alerts"),
         available_now=True,
     )
@@ -75,7 +77,7 @@ def test_batch_that_failed_half_way_is_written_once(spark, tmp_path, monkeypatch
     inbox, base = tmp_path / "in", str(tmp_path / "out")
     send(spark, inbox, batch_of(0))
     send(spark, inbox, batch_of(20))
-    config = JobConfig(base, source_of(inbox, maxFilesPerTrigger="1"), console=False, available_now=True)
+    config = JobConfig(base, source_of(inbox, maxFilesPerTrigger="1"), sinks=FILES, available_now=True)
     calls = []
 
     def failing_once(scored):
@@ -99,12 +101,11 @@ def test_console(spark, tmp_path, capfd):
     inbox = tmp_path / "in"
     send(spark, inbox, batch_of(0, 3))
     source = source_of(inbox)
-    (query,) = start_job(
-        spark, JobConfig(str(tmp_path / "a"), source, fan_out=False, sinks=("console",), available_now=True)
-    )
+    config = JobConfig(str(tmp_path / "a"), source, fan_out=False, sinks=("console",), available_now=True)
+    (query,) = start_job(spark, config)
     wait_for([query])
     assert sum(progress["numInputRows"] for progress in query.recentProgress) == 3
-    run_job(spark, JobConfig(str(tmp_path / "b"), source, console=True, available_now=True))
+    run_job(spark, JobConfig(str(tmp_path / "b"), source, available_now=True))
     assert "fraud_probability" in capfd.readouterr().out
 
 
@@ -120,7 +121,7 @@ def test_sink_table():
 def test_processing_time_trigger_runs_until_stopped(spark, tmp_path):
     inbox = tmp_path / "in"
     send(spark, inbox, batch_of(0, 4))
-    queries = start_job(spark, JobConfig(str(tmp_path / "o"), source_of(inbox), console=False, every="1 second"))
+    queries = start_job(spark, JobConfig(str(tmp_path / "o"), source_of(inbox), sinks=FILES, every="1 second"))
     try:
         queries[0].processAllAvailable()
         assert queries[0].isActive
@@ -154,7 +155,7 @@ def test_model_on_a_stream(spark, tmp_path):
     base = str(tmp_path / "o")
     run_job(
         spark,
-        JobConfig(base, source_of(inbox), model_path=str(tmp_path / "m"), console=False, available_now=True),
+        JobConfig(base, source_of(inbox), model_path=str(tmp_path / "m"), sinks=FILES, available_now=True),
     )
     out = read_predictions(spark, f"{base}/predictions")
     assert out.count() == 20 and {r.prediction_method for r in out.collect()} == {"model"}
@@ -164,7 +165,7 @@ def test_stream_dedup_keeps_rows_without_id(spark, tmp_path):
     inbox, base = tmp_path / "in", str(tmp_path / "o")
     send(spark, inbox, batch_of(0, 5), extra=["bad", "bad"])
     send(spark, inbox, batch_of(3, 5))
-    config = JobConfig(base, source_of(inbox, maxFilesPerTrigger="1"), console=False, available_now=True, dedup_within="1 hour")
+    config = JobConfig(base, source_of(inbox, maxFilesPerTrigger="1"), sinks=FILES, available_now=True, dedup_within="1 hour")
     run_job(spark, config)
     ids = [r.transaction_id for r in read_predictions(spark, f"{base}/predictions").collect()]
     assert sorted(i for i in ids if i) == [f"{i:03}" for i in range(8)]
@@ -229,6 +230,8 @@ def test_lag_records(spark, tmp_path):
     listener = monitor.LagListener(spark, str(tmp_path / "lag"))
     listener.record(LAG)
     listener.record({**LAG, "sources": []})
+    assert not (tmp_path / "lag").exists()  # waits for more
+    listener.onQueryTerminated(None)
     (row,) = spark.read.schema(monitor.LagListener.COLUMNS).json(str(tmp_path / "lag")).collect()
     assert (row.query, row.batch_id, row.min_behind, row.avg_behind, row.max_behind) == ("alerts", 3, 1, 2, 4)
 
@@ -245,7 +248,7 @@ def test_lag_listener_sees_real_progress(spark, tmp_path):
     spark.streams.addListener(listener)
     try:
         send(spark, tmp_path / "in", batch_of(0, 2))
-        run_job(spark, JobConfig(str(tmp_path / "o"), source_of(tmp_path / "in"), console=False, available_now=True))
+        run_job(spark, JobConfig(str(tmp_path / "o"), source_of(tmp_path / "in"), sinks=FILES, available_now=True))
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
     finally:
         spark.streams.removeListener(listener)
@@ -253,18 +256,18 @@ def test_lag_listener_sees_real_progress(spark, tmp_path):
 
 
 def test_kafka_options():
-    assert kafka.stream_options() == {
-        "kafka.bootstrap.servers": "kafka:29092",
+    assert kafka.stream_options("b:1") == {
+        "kafka.bootstrap.servers": "b:1",
         "subscribe": "transactions",
         "startingOffsets": "latest",
         "maxOffsetsPerTrigger": str(kafka.MAX_PER_TRIGGER),
     }
     replay = kafka.replay_options(servers="b:1", topic="t", min_partitions=64)
     assert (replay["startingOffsets"], replay["endingOffsets"], replay["minPartitions"]) == ("earliest", "latest", "64")
-    assert kafka.stream_options(min_partitions=9)["minPartitions"] == "9"
-    assert kafka.publish_options()["kafka.acks"] == "all"
-    assert kafka.publish_options()["kafka.retries"] == "3"
-    assert kafka.publish_options()["kafka.max.in.flight.requests.per.connection"] == "1"
+    assert kafka.stream_options("b:1", min_partitions=9)["minPartitions"] == "9"
+    assert kafka.publish_options("b:1")["kafka.acks"] == "all"
+    assert kafka.publish_options("b:1")["kafka.retries"] == "3"
+    assert kafka.publish_options("b:1")["kafka.max.in.flight.requests.per.connection"] == "1"
 
 
 class FakeReader:
@@ -290,8 +293,8 @@ def test_kafka_readers_use_the_connector():
         read = FakeReader()
         readStream = FakeReader()
 
-    assert read_batch(FakeSession) == {"format": "kafka", **kafka.replay_options()}
-    assert read_stream(FakeSession, kafka.stream_options(topic="x")) == {"format": "kafka", **kafka.stream_options(topic="x")}
+    for reader, options in ((read_batch, kafka.replay_options("b:1")), (read_stream, kafka.stream_options("b:1", topic="x"))):
+        assert reader(FakeSession, options) == {"format": "kafka", **options}
 
 
 def test_publish_value_is_plain_json(spark):
@@ -300,3 +303,75 @@ def test_publish_value_is_plain_json(spark):
         '{"transaction_id":"t1","user_id":1001,"amount":50.0,"timestamp":"2024-03-06T12:00:00",'
         '"location":"Denver","is_fraud":0}'
     )
+
+
+def outputs(spark, base):
+    return [rows_of(reader(spark, f"{base}/{name}")) for name, reader in zip(FILES, (read_predictions, read_results, read_alerts), strict=True)]
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_a_base_serves_one_mode_and_keeps_its_rows(spark, tmp_path, first):
+    inbox, base = tmp_path / "in", str(tmp_path / "out")
+    send(spark, inbox, batch_of(0))
+    run_job(spark, JobConfig(base, source_of(inbox), fan_out=first, sinks=FILES, available_now=True))
+    before = outputs(spark, base)
+    send(spark, inbox, batch_of(20, 5))
+    with pytest.raises(ValueError, match="another base"):
+        run_job(spark, JobConfig(base, source_of(inbox), fan_out=not first, sinks=FILES, available_now=True))
+    assert outputs(spark, base) == before and len(before[0]) == 20
+
+
+def test_a_new_checkpoint_keeps_what_was_written(spark, tmp_path):
+    inbox, base = tmp_path / "in", str(tmp_path / "out")
+    send(spark, inbox, batch_of(0))
+    run_job(spark, JobConfig(base, source_of(inbox), sinks=FILES, available_now=True))
+    send(spark, tmp_path / "other", batch_of(20, 5))
+    (tmp_path / "out" / "checkpoints").rename(tmp_path / "lost")
+    run_job(spark, JobConfig(base, source_of(tmp_path / "other"), sinks=FILES, available_now=True))
+    assert read_predictions(spark, f"{base}/predictions").count() == 25
+    assert read_results(spark, f"{base}/results").count() == 25
+    assert len(list((tmp_path / "out" / "predictions").glob("run=*"))) == 2
+
+
+def test_a_separate_sink_refuses_the_folder_of_another_checkpoint(spark, tmp_path):
+    inbox, base = tmp_path / "in", str(tmp_path / "out")
+    send(spark, inbox, batch_of(0))
+    config = JobConfig(base, source_of(inbox), fan_out=False, sinks=("predictions",), available_now=True)
+    run_job(spark, config)
+    (tmp_path / "out" / "checkpoints").rename(tmp_path / "lost")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run_job(spark, config)
+    assert read_predictions(spark, f"{base}/predictions").count() == 20
+
+
+def test_alerts_are_written_before_results(spark, tmp_path, monkeypatch):
+    from amberline.streaming import fanout
+
+    order = []
+    for name in ("alerts_view", "results_view"):
+        view = getattr(fanout, name)
+        monkeypatch.setattr(fanout, name, lambda rows, name=name, view=view: (order.append(name), view(rows))[1])
+    fanout.write_batch(score_rules(engineer_features(frame(spark, batch_of(0, 3)))), 0, str(tmp_path), FILES)
+    assert order == ["alerts_view", "results_view"]
+    assert JobConfig("b", {}).every == "5 seconds"
+
+
+def test_a_deduplicated_stream_parses_once(spark, tmp_path):
+    from amberline.streaming.run import scored_stream
+
+    inbox = tmp_path / "in"
+    send(spark, inbox, batch_of(0, 3))
+    config = JobConfig(str(tmp_path / "o"), source_of(inbox), dedup_within="1 hour")
+    query = scored_stream(spark, config).where("amount > 1").writeStream.format("noop").trigger(availableNow=True)
+    query = query.option("checkpointLocation", str(tmp_path / "c")).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("from_json(") == 1
+
+
+def test_quarantine_query(spark, tmp_path):
+    inbox, base = tmp_path / "in", str(tmp_path / "out")
+    send(spark, inbox, batch_of(0, 3), extra=["not json", ""])
+    run_job(spark, JobConfig(base, source_of(inbox), sinks=FILES, available_now=True, quarantine=True))
+    kept = spark.read.schema("value string, reason string").json(f"{base}/quarantine")
+    assert sorted(map(tuple, kept.collect())) == [("", "empty"), ("not json", "not_json")]
