@@ -13,6 +13,7 @@ all documents. That only steers the order: any counts give the same links.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -146,8 +147,9 @@ def forest(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def _verify(percent: int):
-    """Links within each list of sets; the rows of a list follow each other."""
+def _verify(percent: int, size: int):
+    """Links within each list of texts; the rows of a list follow each other."""
+    shape = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def links(reps, sets):
         if len(reps) > 1:
@@ -155,27 +157,33 @@ def _verify(percent: int):
                 if reps[i] != reps[r]:
                     yield reps[i], reps[r]
 
+    def batch_of(found):
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=shape)
+
     def run(batches):
-        shape = pa.schema([("u", pa.int64()), ("v", pa.int64())])
         now, reps, sets, found = None, [], [], []
         for batch in batches:
-            for name, rep, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            columns = (c.to_pylist() for c in batch.columns[:3])
+            for name, rep, key, tokens in zip(*columns, shingle_sets(batch.column(3), size), strict=True):
+                if set_key(tokens) != key:  # another row of this id
+                    continue
                 if name != now:
                     found += links(reps, sets)
                     now, reps, sets = name, [], []
                 reps.append(rep)
-                sets.append(np.frombuffer(tokens, np.uint64))
+                sets.append(tokens)
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=shape)
+                yield batch_of(found)
                 found = []
         found += links(reps, sets)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=shape)
+            yield batch_of(found)
 
     return run
 
 
 def _signed(docs: DataFrame, signer: Signer, size: int) -> DataFrame:
+    """``doc_id, n_shingles, set_key, node, signatures``; ``node`` is a whole number made of ``set_key``."""
     shared = docs.sparkSession.sparkContext.broadcast(signer)
 
     def run(batches):
@@ -185,46 +193,49 @@ def _signed(docs: DataFrame, signer: Signer, size: int) -> DataFrame:
                 keys.append(set_key(tokens))
                 counts.append(len(tokens))
                 found.append(shared.value.signatures(tokens).view(np.int64))
+            nodes = np.frombuffer(b"".join(keys), np.int64)[::2]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_key", "signatures"],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(nodes), pa.array(found, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "set_key", "node", "signatures"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signatures array<long>")
-
-
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The token sets of the wanted ``rep, set_key``, computed again rather than kept for all documents."""
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, node long, signatures array<long>")
 
-    def run(batches):
-        for batch in batches:
-            rows = [
-                (rep, key, tokens.tobytes())
-                for rep, key, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2), size), strict=True)
-                if set_key(tokens) == key
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["rep", "set_key", "tokens"])
 
-    rows = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("rep", "set_key", "text")
-    return rows.mapInArrow(run, "rep long, set_key binary, tokens binary")
+def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
+    """Lists of nodes to compare: ``list, node``, such that any two that share a signature and are of like size share a list.
 
-
-def candidate_lists(signed: DataFrame) -> DataFrame:
-    """Lists of class representatives that share a signature: ``list, rep`` with at most about 2 * BLOCK rows a list.
-
-    A signature of many sets is dealt into blocks, and every pair of blocks is a list, so no task
-    gets an unbounded group and no pair is left out. Equal lists of different signatures are one.
+    Sets meet under a signature only within neighbouring size bands. Each node has a home, led by
+    the smallest node that it meets (or that one meets, and so on twice more); a home of many nodes
+    is dealt into parts of about ``BLOCK``, homes of their own. A home is a list, and so are, of
+    each two homes that meet under some signature, the nodes by which they do. So a set is sent
+    once to its home and seldom elsewhere, no task gets an unbounded group, and no pair is left out.
     """
-    sign = signed.select("rep", F.explode("signatures").alias("signature"))
-    often = sign.groupBy("signature").agg(F.count("*").alias("n")).where("n > 1")
-    rows = sign.join(often, "signature").withColumn("parts", F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / BLOCK))).cast("int"))
-    rows = rows.withColumn("parts", F.greatest("parts", F.lit(1)))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pair = (F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
-    lists = rows.groupBy("signature", *pair).agg(F.sort_array(F.collect_set("rep")).alias("reps")).where("size(reps) > 1")
-    lists = lists.select("reps").distinct()
-    return lists.select(F.xxhash64("reps").alias("list"), F.explode("reps").alias("rep"))
+    sign = signed.select("node", "n_shingles", F.explode("signatures").alias("signature"))
+    ends = (F.min("node").alias("low"), F.max("node").alias("high"))
+    often = sign.groupBy("signature").agg(*ends).where("low <> high").select("signature")
+    # The hair that makes bands wider covers rounding.
+    band = F.floor(F.log("n_shingles") / (1.0001 * math.log(100 / percent))) if percent < 100 else F.col("n_shingles")
+    rows = sign.join(often, "signature").select("node", "signature", F.explode(F.array(band, band + 1)).alias("band"))
+    rows = saved(rows.select(F.xxhash64("signature", "band").alias("key"), "node").distinct(), "meetings")
+    keys = rows.groupBy("key").agg(*ends).where("low <> high").select("key", "low")
+    rows = saved(rows.join(keys, "key"), "shared")
+    lead = rows.groupBy("node").agg(F.min("low").alias("lead"))
+    for _ in range(2):
+        lead = saved(lead, "leaders")
+        above = lead.select(F.col("node").alias("lead"), F.col("lead").alias("above"))
+        lead = lead.join(above, "lead").select("node", F.col("above").alias("lead"))
+    lead = saved(lead, "leaders")
+    parts = lead.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    home = F.xxhash64("lead", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")))
+    homes = saved(lead.join(parts, "lead").select("node", home.alias("home")), "homes")
+    rows = rows.join(homes, "node").select("key", "node", "home")
+    several = rows.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low <> high").select("key")
+    rows = saved(rows.join(several, "key"), "between")
+    others = rows.select("key", F.col("home").alias("other")).distinct()
+    between = rows.join(others, "key").where("home <> other")
+    between = between.select(F.xxhash64(F.least("home", "other"), F.greatest("home", "other")).alias("list"), "node").distinct()
+    return homes.select(F.col("home").alias("list"), "node").unionByName(between)
 
 
 def join_similar(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame:
@@ -235,19 +246,20 @@ def join_similar(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame
     with a null ``doc_id`` links with nothing and has a null component. Repeated rows are equal
     documents. An empty table gives an empty result.
 
-    Documents with equal sets are one class, of which only the set's key and smallest id go on.
+    Documents with equal sets are one class; only the document with its smallest id is compared,
+    and its text is read again for that rather than all sets being kept.
     """
     signer = Signer(cell_counts(docs, size), percent)
     signed = saved(_signed(docs, signer, size), "signed")
-    classes = signed.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.any_value("signatures").alias("signatures"))
-    classes = saved(classes, "classes")
-    lists = saved(candidate_lists(classes), "lists")
-    wanted = lists.select("rep").distinct().join(classes.select("rep", "set_key"), "rep")
-    sets = _sets(docs, wanted, size).select("rep", "tokens")
-    grouped = lists.join(sets, "rep").select("list", "rep", "tokens").repartition("list").sortWithinPartitions("list")
-    links = components(grouped.mapInArrow(_verify(percent), "u long, v long"))
+    single = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    usable = signed.where(~single)
+    classes = saved(usable.groupBy("set_key", "node").agg(F.min("doc_id").alias("rep")), "classes")
+    lists = candidate_lists(usable, percent)
+    wanted = saved(lists.join(classes, "node").select("list", "rep", "set_key"), "lists")
+    rows = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("list", "rep", "set_key", "text")
+    grouped = rows.repartition("list").sortWithinPartitions("list")
+    links = components(grouped.mapInArrow(_verify(percent, size), "u long, v long"))
     named = classes.select("set_key", "rep").join(links.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("set_key", F.coalesce("component", "rep").alias("component_id"))
-    single = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    joined = signed.where(~single).select("doc_id", "n_shingles", "set_key").join(named, "set_key").drop("set_key")
+    joined = usable.select("doc_id", "n_shingles", "set_key").join(named, "set_key").drop("set_key")
     return joined.unionByName(signed.where(single).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
