@@ -4,8 +4,9 @@ Method: all shingles ("tokens") stand in one global order, rare before frequent.
 Jaccard similarity t or more differ, seen from a set of n tokens, in at most n - ceil(t n) of its
 tokens. So a set's prefix is made long enough that any such loss leaves one signature whole: a
 single token of the rare class, or k tokens of the same frequent class. Frequent tokens cost k - 1
-tokens per class, by which the prefix is extended. Sets that share no signature can't be similar;
-those that share one are compared exactly.
+tokens per class, by which the prefix is extended. Sets that share no signature can't be similar.
+Those that share one and are of like size are compared by small histograms of their tokens, which
+bound the difference from below, and those left by their whole sets.
 
 The class of a token comes from how often its cell (of a fixed number of hash cells) occurs over
 all documents. That only steers the order: any counts give the same links.
@@ -134,6 +135,45 @@ def similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
 
 
+CAP = 6
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """Counts of a set's tokens in hash buckets, a power of two between half and all of its size."""
+    if not len(tokens):
+        return b""
+    bits = len(tokens).bit_length() - 1
+    places = (tokens >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(tokens), np.int64)
+    return np.minimum(np.bincount(places, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(sketches: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets may have the similarity, by their sketches; never false for a pair that has it.
+
+    Counts that differ mean tokens that differ, also if they are capped or neighbouring buckets are
+    joined, so the sum of differences bounds the sets' difference from below.
+    """
+    widths, n = np.array([len(x) for x in sketches]), len(sketches)
+    out = np.zeros((n, n), bool)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero((widths == width) | (widths == 2 * width))
+        if len(rows) < 2:
+            continue
+        counts = np.stack([np.frombuffer(sketches[i], np.uint8).reshape(width, -1).sum(1, dtype=np.int32) for i in rows])
+        counts = np.minimum(counts, CAP)
+        common = np.zeros((len(rows), len(rows)), np.float64)
+        for least in range(1, int(counts.max()) + 1):
+            part = (counts >= least).astype(np.float32)
+            common += part @ part.T
+        total, size = counts.sum(1), sizes[rows]
+        apart = total[:, None] + total[None, :] - 2 * common
+        both = size[:, None] + size[None, :]
+        fine = (apart * (100 + percent) <= both * (100 - percent)) & (100 * np.minimum(size[:, None], size) >= percent * np.maximum(size[:, None], size))
+        out[np.ix_(rows, rows)] |= fine
+    np.fill_diagonal(out, False)
+    return out
+
+
 def forest(linked: np.ndarray) -> np.ndarray:
     """For each row the first row of its component."""
     root = np.full(len(linked), -1)
@@ -182,24 +222,56 @@ def _verify(percent: int, size: int):
     return run
 
 
+def _sifted(percent: int):
+    """Of each list of sketches, whose rows follow each other, the groups that may hold similar sets, as lists of their own."""
+
+    def groups(name, nodes, sizes, sketches):
+        if len(nodes) > 1:
+            linked = may_be_similar(sketches, np.array(sizes), percent)
+            some = np.flatnonzero(linked.any(0))
+            roots = forest(linked)[some]
+            names = mix(mix(np.array(nodes, np.int64).view(np.uint64)[roots]) ^ np.int64(name).view(np.uint64)).view(np.int64)
+            yield from zip(names.tolist(), (nodes[i] for i in some), strict=True)
+
+    def run(batches):
+        now, nodes, sizes, sketches, found = None, [], [], [], []
+        for batch in batches:
+            for name, node, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if name != now:
+                    found += groups(now, nodes, sizes, sketches)
+                    now, nodes, sizes, sketches = name, [], [], []
+                nodes.append(node)
+                sizes.append(n)
+                sketches.append(data)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["list", "node"])
+                found = []
+        found += groups(now, nodes, sizes, sketches)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["list", "node"])
+
+    return run
+
+
 def _signed(docs: DataFrame, signer: Signer, size: int) -> DataFrame:
-    """``doc_id, n_shingles, set_key, node, signatures``; ``node`` is a whole number made of ``set_key``."""
+    """``doc_id, n_shingles, set_key, node, sketch, signatures``; ``node`` is a whole number made of ``set_key``."""
     shared = docs.sparkSession.sparkContext.broadcast(signer)
 
     def run(batches):
         for batch in batches:
-            keys, counts, found = [], [], []
+            keys, counts, sketches, found = [], [], [], []
             for tokens in shingle_sets(batch.column(1), size):
                 keys.append(set_key(tokens))
                 counts.append(len(tokens))
+                sketches.append(sketch(tokens))
                 found.append(shared.value.signatures(tokens).view(np.int64))
             nodes = np.frombuffer(b"".join(keys), np.int64)[::2]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(nodes), pa.array(found, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_key", "node", "signatures"],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(nodes), pa.array(sketches, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "set_key", "node", "sketch", "signatures"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, node long, signatures array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, node long, sketch binary, signatures array<long>")
 
 
 def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
@@ -253,9 +325,11 @@ def join_similar(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame
     signed = saved(_signed(docs, signer, size), "signed")
     single = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     usable = signed.where(~single)
-    classes = saved(usable.groupBy("set_key", "node").agg(F.min("doc_id").alias("rep")), "classes")
-    lists = candidate_lists(usable, percent)
-    wanted = saved(lists.join(classes, "node").select("list", "rep", "set_key"), "lists")
+    classes = usable.groupBy("set_key", "node", "n_shingles").agg(F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch"))
+    classes = saved(classes, "classes")
+    lists = candidate_lists(usable, percent).join(classes, "node").select("list", "node", "n_shingles", "sketch")
+    lists = lists.repartition("list").sortWithinPartitions("list").mapInArrow(_sifted(percent), "list long, node long")
+    wanted = saved(lists.distinct().join(classes, "node").select("list", "rep", "set_key"), "lists")
     rows = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("list", "rep", "set_key", "text")
     grouped = rows.repartition("list").sortWithinPartitions("list")
     links = components(grouped.mapInArrow(_verify(percent, size), "u long, v long"))
