@@ -30,6 +30,8 @@ CELL_BITS = 18
 CELLS = 1 << CELL_BITS
 ROW_CELLS = 256
 BLOCK = 256
+#: Rows of about 50 bytes that may be broadcast.
+BROADCAST_ROWS = 400_000
 #: A cell this many times the mean holds frequent tokens, of class k = 2 and k = 3.
 FREQUENT = ((2, 4, 16), (3, 32, 128))
 #: Tokens meant for one class of k-token combinations.
@@ -277,11 +279,12 @@ def _signed(docs: DataFrame, signer: Signer, size: int) -> DataFrame:
 def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
     """Lists of nodes to compare: ``list, node``, such that any two that share a signature and are of like size share a list.
 
-    Sets meet under a signature only within neighbouring size bands. Each node has a home, led by
-    the smallest node that it meets (or that one meets, and so on twice more); a home of many nodes
-    is dealt into parts of about ``BLOCK``, homes of their own. A home is a list, and so are, of
-    each two homes that meet under some signature, the nodes by which they do. So a set is sent
-    once to its home and seldom elsewhere, no task gets an unbounded group, and no pair is left out.
+    Sets meet under a signature only within neighbouring size bands. Each node has a leader, the
+    smallest node that it meets, or that one meets, and so on twice more. Nodes of one leader are
+    a list; if many, they are dealt into parts of about ``BLOCK``, and each two parts are a list.
+    Nodes of different leaders that meet under some signature share the list of their two parts.
+    So a set is sent once to its leader's list and seldom elsewhere, no task gets an unbounded
+    group, and no pair is left out.
     """
     sign = signed.select("node", "n_shingles", F.explode("signatures").alias("signature"))
     ends = (F.min("node").alias("low"), F.max("node").alias("high"))
@@ -298,16 +301,19 @@ def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
         above = lead.select(F.col("node").alias("lead"), F.col("lead").alias("above"))
         lead = lead.join(above, "lead").select("node", F.col("above").alias("lead"))
     lead = saved(lead, "leaders")
-    parts = lead.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    home = F.xxhash64("lead", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")))
-    homes = saved(lead.join(parts, "lead").select("node", home.alias("home")), "homes")
-    rows = rows.join(homes, "node").select("key", "node", "home")
-    several = rows.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low <> high").select("key")
+    sizes = saved(lead.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "sizes")
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
+    homes = saved(lead.join(sizes, "lead").select("node", "lead", part.alias("part"), "parts"), "homes")
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other_part")
+    own = homes.select("node", "lead", "part", F.col("lead").alias("other"), each)
+    rows = rows.join(homes, "node").select("key", "node", "lead", "part")
+    several = rows.groupBy("key").agg(F.min("lead").alias("low"), F.max("lead").alias("high")).where("low <> high").select("key")
     rows = saved(rows.join(several, "key"), "between")
-    others = rows.select("key", F.col("home").alias("other")).distinct()
-    between = rows.join(others, "key").where("home <> other")
-    between = between.select(F.xxhash64(F.least("home", "other"), F.greatest("home", "other")).alias("list"), "node").distinct()
-    return homes.select(F.col("home").alias("list"), "node").unionByName(between)
+    others = rows.select("key", F.col("lead").alias("other")).distinct()
+    meet = rows.join(others, "key").where("lead <> other").select("node", "lead", "part", "other").distinct()
+    meet = meet.join(sizes.withColumnRenamed("lead", "other"), "other").select("node", "lead", "part", "other", each)
+    ends = F.struct("lead", "part"), F.struct(F.col("other").alias("lead"), F.col("other_part").alias("part"))
+    return own.unionByName(meet).select(F.xxhash64(F.least(*ends), F.greatest(*ends)).alias("list"), "node")
 
 
 def join_similar(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame:
@@ -330,6 +336,8 @@ def join_similar(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame
     lists = candidate_lists(usable, percent).join(classes, "node").select("list", "node", "n_shingles", "sketch")
     lists = lists.repartition("list").sortWithinPartitions("list").mapInArrow(_sifted(percent), "list long, node long")
     wanted = saved(lists.distinct().join(classes, "node").select("list", "rep", "set_key"), "lists")
+    if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
+        wanted = F.broadcast(wanted)
     rows = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("list", "rep", "set_key", "text")
     grouped = rows.repartition("list").sortWithinPartitions("list")
     links = components(grouped.mapInArrow(_verify(percent, size), "u long, v long"))
