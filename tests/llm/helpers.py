@@ -1,0 +1,37 @@
+"""Small frames for the training-data operators, with columns that clash with the operators' own."""
+
+from pyspark.sql import functions as F
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs(spark, rows):
+    """Rows ``(doc_id, text)`` as ``documents``."""
+    full = [(i, text, "en", "src0", None if text is None else len(text)) for i, text in rows]
+    return spark.createDataFrame(full, DOCS).coalesce(2)
+
+
+def clashing(frame):
+    """The frame with columns named like those that operators make."""
+    names = "row body words lines good kept lost rep signatures set_key list tokens score spans length bucket slot rank first digest payload host page marks unit weight own n_words clean_text".split()
+    return frame.withColumns({name: F.lit(f"given {name}") for name in names})
+
+
+def by_id(frame, key="doc_id"):
+    return {row[key]: row for row in frame.collect()}
+
+
+# Texts that every operator must take: null, empty, white space, one word, very long, odd characters.
+ODD = [
+    (1, None),
+    (2, ""),
+    (3, " \n\t "),
+    (4, "word"),
+    (5, "long words. " * 30_000),
+    (6, "ÀÉ ñandú İ ΑΣ 日本語。 \U0001f600 á b c \x1c\x85 d"),
+    (7, "two words"),
+    (8, "two words"),
+    (8, "two words"),
+    (None, "two words"),
+    (None, None),
+]

@@ -1,0 +1,87 @@
+import base64
+import hashlib
+import io
+import zipfile
+import zlib
+
+import pyarrow as pa
+import pytest
+
+from amberline.llm import warc
+from tests.llm.helpers import by_id, clashing
+
+SHAPE = "page_id long, url string, html string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, SHAPE).coalesce(2)
+
+
+def expect(html):
+    data = (html or "").encode()
+    return len(data), base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def test_round_trip_of_odd_rows(spark):
+    rows = [(1, "http://a/1", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://b", None), (4, "http://b", ""), (5, "u\r\nX: y", "\r\n\r\n"), (6, "v", "x" * 3_000_000), (7, "v", "WARC/1.1\r\n\r\n"), (8, "w", "<p>é</p>")]
+    got = by_id(warc.archive_round_trip(spark, clashing(pages(spark, rows))), "page_id")
+    assert len(got) == len(rows)
+    for page_id, _, html in rows:
+        assert (got[page_id].payload_bytes, got[page_id].payload_digest) == expect(html)
+    assert {i: r.refers_to for i, r in got.items() if r.record_type == "revisit"} == {2: 1, 8: 1, 4: 3}
+    assert all(r.refers_to is None for r in got.values() if r.record_type == "response")
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, "a", "x"), (5, "b", "x"), (5, "b", "x"), (None, "c", "alone"), (None, "d", "alone")]
+    got = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in warc.archive_round_trip(spark, pages(spark, rows)).collect())
+    assert got == [(0, "response", None), (0, "response", None), (0, "revisit", 5), (5, "response", None), (5, "response", None)]
+
+
+def test_least_size_and_empty_table(spark):
+    rows = [(1, "a", "ab"), (2, "a", "ab"), (3, "a", "abcdef"), (4, "a", "abcdef")]
+    packages = warc.write_packages(pages(spark, rows), warc.scratch_path(spark, "warc"), least=3)
+    got = by_id(warc.read_packages(packages), "page_id")
+    assert [got[i].record_type for i in (1, 2, 3, 4)] == ["response", "response", "response", "revisit"]
+    assert bytes(got[3].html) == b"abcdef" and got[3].url == "a"
+    assert warc.archive_round_trip(spark, pages(spark, [])).count() == 0
+
+
+def reader(data):
+    return pa.BufferReader(data)
+
+
+def test_package_is_a_zip_and_directory_agrees():
+    package = warc.Package()
+    raws = [warc.record(i, f"http://h/{i}", b"<p>%d</p>" % i, None) for i in range(50)]
+    for raw in raws:
+        package.add(raw)
+    data = package.to_bytes()
+    with zipfile.ZipFile(io.BytesIO(data)) as known:
+        assert known.namelist() == [warc.ARCHIVE, warc.INDEX]
+        assert zlib.decompress(known.read(warc.ARCHIVE), 31) == raws[0]
+    members = warc.directory(reader(data))
+    assert [m.name for m in members] == [warc.ARCHIVE, warc.INDEX]
+    start = warc.data_at(reader(data), members[0])
+    offset, length = map(int, package.lines[7].split())
+    assert zlib.decompress(data[start + offset : start + offset + length], 31) == raws[7]
+
+
+def test_zip64_directory(monkeypatch):
+    monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 3)
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 100)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as package:
+        for i in range(9):
+            package.writestr(f"m{i}", bytes([65 + i]) * 150)
+        package.comment = b"a comment"
+    data = out.getvalue()
+    assert warc.END64 in data
+    for i, member in enumerate(warc.directory(reader(data))):
+        at = warc.data_at(reader(data), member)
+        assert data[at : at + member.size] == bytes([65 + i]) * 150
+
+
+def test_broken_package():
+    with pytest.raises(ValueError):
+        warc.directory(reader(b"no zip here, just text that is long enough to hold an end record"))
