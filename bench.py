@@ -2,7 +2,8 @@
 
 ``BENCH_SF_DIR`` names the data, ``BENCH_CPUS`` the number of local cores. Each query runs to
 the end on a sink that keeps nothing; its time is the better of two runs after a warm-up of
-the session. ``rows_per_sec`` relates decode, features and rules to the rows of ``events``.
+the session. ``rows_per_sec`` relates decode, features and rules to the rows of ``events``, and
+``scaling`` to 1, 4 and 16 times as many messages in as many files, so that all cores have work.
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ import os
 import tempfile
 import time
 
-from amberline.operators.decode import to_messages
+from amberline.operators.decode import parse_transactions, to_messages
+from amberline.operators.features import engineer_features
+from amberline.operators.scoring import score
 from amberline.plans.catalog import QUERIES
 from amberline.session import build_session
+from amberline.sources.kafka import read_batch
 from amberline.sources.tables import transactions
 
 HEADLINE = (
@@ -48,9 +52,26 @@ def run_once(spark, query, sf_dir: str) -> float:
     return time.perf_counter() - started
 
 
+def scaling(spark, sf_dir: str, folder: str) -> dict[str, int]:
+    """Messages decoded, given features and scored per second, by how many copies of all messages there are."""
+    found = {}
+    for copies in (1, 4, 16):
+        sent = to_messages(transactions(spark, sf_dir)).selectExpr("CAST(value AS STRING) AS value", "timestamp")
+        path = f"{folder}/messages-{copies}"
+        sent.crossJoin(spark.range(copies)).drop("id").repartition(4 * copies).write.parquet(path)
+        stored = read_batch(spark, {"format": "parquet", "path": path})
+        rows = stored.count()
+        started = time.perf_counter()
+        scored = score(engineer_features(parse_transactions(stored, guard=False)))
+        scored.write.format("noop").mode("overwrite").save()
+        found[str(copies)] = round(rows / (time.perf_counter() - started))
+    return found
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    folder = tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         "bench",
         f"local[{cpus}]",
@@ -58,7 +79,7 @@ def main() -> None:
         spark__driver__memory="8g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
-        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
+        spark__checkpoint__dir=folder,
     )
     spark.sparkContext.setLogLevel("ERROR")
     to_messages(transactions(spark, sf_dir)).write.format("noop").mode("overwrite").save()
@@ -77,6 +98,7 @@ def main() -> None:
                     "batch_decode_to_score": round(events / seconds["predictions_view"]),
                     "stream_to_three_sinks": round(events / seconds["stream_score"]),
                 },
+                "scaling": scaling(spark, sf_dir, folder),
             }
         )
     )
