@@ -58,7 +58,8 @@ def scaling(spark, sf_dir: str, folder: str) -> dict[str, int]:
     for copies in (1, 4, 16):
         sent = to_messages(transactions(spark, sf_dir)).selectExpr("CAST(value AS STRING) AS value", "timestamp")
         path = f"{folder}/messages-{copies}"
-        sent.crossJoin(spark.range(copies)).drop("id").repartition(4 * copies).write.parquet(path)
+        sent = sent.selectExpr("*", f"explode(sequence(1, {copies})) AS copy").drop("copy")
+        sent.repartition(4 * copies).write.parquet(path)
         stored = read_batch(spark, {"format": "parquet", "path": path})
         rows = stored.count()
         started = time.perf_counter()
