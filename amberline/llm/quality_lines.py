@@ -77,8 +77,7 @@ def judged(docs: DataFrame) -> DataFrame:
             "good": F.filter(F.split("body", "\n"), lambda x: ~x.rlike(HAS_WORD) | ~line_fails(x)),
         }
     )
-    out = out.select(
-        "row",
+    figures = F.struct(
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("body", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -87,6 +86,8 @@ def judged(docs: DataFrame) -> DataFrame:
         F.array_join("good", "\n").alias("clean_text"),
         (F.size(F.split("body", "\n")) - F.size("good")).cast("long").alias("n_lines_removed"),
     )
+    # A generator, as filters on the figures do not pass it: they would compute all again, and the words for each window.
+    out = out.select("row", F.inline(F.array(figures)))
     left = F.length(F.regexp_replace("clean_text", WHITE, ""))
     return out.withColumns(
         {
