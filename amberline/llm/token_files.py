@@ -8,6 +8,7 @@ batch, so any of them is read without decoding others. A second file lists the d
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 
@@ -17,19 +18,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amberline.llm.common import open_store, saved, texts
+from amberline.llm.common import open_store, saved, slices, texts
 from amberline.session import scratch_path
 
 LENGTH = 2048
 SEQUENCES = 64
-CACHE = 600_000
+CACHE = 400_000
 UNKNOWN = 2000
-#: Characters that every rule of the tokenizer takes as white space, so no token crosses them.
-SPLIT = str.maketrans(dict.fromkeys("\t\n\r\x0b\x0c", " "))
+SLICE_BYTES = 4 << 20
+#: Characters that Python's split takes as white space and the tokenizer does not.
+_OTHER, _WHITE = re.compile(r"[\x1c-\x1f]"), re.compile(r"[ \t\n\r\x0b\x0c]+")
 
 
 class WordEncoder:
-    """Ids of whole texts by the ids of their words; each word goes to the tokenizer once, then to a bounded cache."""
+    """Ids of whole texts by the ids of their words.
+
+    No token crosses white space, so a text's ids are those of its words one after the other. Each
+    word goes through the tokenizer's normalizer, pre-tokenizer and model once, then to a bounded cache.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -39,28 +45,55 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            if len(self.pieces) > 2 * CACHE:
+                self.pieces.clear()
+            found = self.pieces[piece] = self._ids([token.id for token in self.tokenizer.model.tokenize(piece)])
+        return found
 
     def learn(self, words: list[str]) -> None:
+        """Put the ids of words without white space into the cache."""
         for low in range(0, len(words), UNKNOWN):
             part = words[low : low + UNKNOWN]
-            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, self.kind)
-            owner = np.array([-1 if x is None else x for x in found.word_ids], np.int64)
-            ends = np.searchsorted(owner, np.arange(len(part) + 1))
-            for i, word in enumerate(part):
-                self.known[word] = ids[ends[i] : ends[i + 1]].tobytes()
+            line = self.tokenizer.normalizer.normalize_str(" ".join(part))
+            normal = line.split(" ")
+            if len(normal) != len(part):  # a word has odd white space inside
+                for word in part:
+                    self.known[word] = self._ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
+                continue
+            pieces, at, end = iter(self.tokenizer.pre_tokenizer.pre_tokenize_str(line)), 0, -1
+            piece, (start, _) = next(pieces, ("", (1 << 60, 0)))
+            for word, form in zip(part, normal, strict=True):
+                end += len(form) + 1
+                ids = b""
+                while start < end:
+                    ids += self._piece(piece)
+                    piece, (start, _) = next(pieces, ("", (1 << 60, 0)))
+                self.known[word] = ids
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        """The ids of each text as the bytes of little-endian numbers of ``kind``."""
-        split = [text.translate(SPLIT).split(" ") for text in batch]
+        """The ids of each text, as the bytes of little-endian numbers of ``kind``."""
+        split = [text.split() if not _OTHER.search(text) else _WHITE.split(text) for text in batch]
         if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        fresh = {word for words in split for word in words if word not in known}
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        fresh = []
+        for word in set().union(*split):
+            if word not in known:
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    fresh.append(word)
         known[""] = b""
-        fresh.discard("")
-        if fresh:
-            self.learn(list(fresh))
+        self.learn([word for word in fresh if word])
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
@@ -152,9 +185,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
             if not writers:
                 sinks = [store.open_output_stream(open_store(p)[1]) for p in (ids_path, docs_path)]
                 writers = SequenceWriter(sinks[0], encoder.kind, length), pa.ipc.new_file(sinks[1], shape)
-            for low in range(0, batch.num_rows, 500):
-                rows = batch.slice(low, 500)
-                found = [ids + end for ids in encoder.encode(texts(rows.column(1)))]
+            whole = texts(batch.column(1))
+            for low, high in slices([len(text) for text in whole], SLICE_BYTES):
+                rows = batch.slice(low, high - low)
+                found = [ids + end for ids in encoder.encode(whole[low:high])]
                 counts = np.array([len(ids) // np.dtype(encoder.kind).itemsize for ids in found], np.int64)
                 for ids in found:
                     writers[0].add(ids)
