@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from amberline.llm.common import texts
 from amberline.llm.words import mix, shingle_sets
 
-PER_CLASS = 2500
+PER_CLASS = 1500
 THRESHOLD = 0.3
 SPAN = 0.5
 WORD = re.compile(r"[^\W\d_]+")
