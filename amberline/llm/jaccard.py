@@ -29,7 +29,7 @@ from amberline.llm.words import mix, set_key, shingle_sets
 CELL_BITS = 18
 CELLS = 1 << CELL_BITS
 ROW_CELLS = 256
-BLOCK = 256
+BLOCK = 512
 #: Rows of about 50 bytes that may be broadcast.
 BROADCAST_ROWS = 400_000
 #: A cell this many times the mean holds frequent tokens, of class k = 2 and k = 3.
@@ -137,14 +137,14 @@ def similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
 
 
-CAP = 6
+CAP = 8
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Counts of a set's tokens in hash buckets, a power of two between half and all of its size."""
+    """Counts of a set's tokens in hash buckets, a power of two between a quarter and half of its size."""
     if not len(tokens):
         return b""
-    bits = len(tokens).bit_length() - 1
+    bits = max(0, len(tokens).bit_length() - 2)
     places = (tokens >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(tokens), np.int64)
     return np.minimum(np.bincount(places, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
@@ -276,6 +276,11 @@ def _signed(docs: DataFrame, signer: Signer, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, node long, sketch binary, signatures array<long>")
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows`` for a join that broadcasts them if they are few; else both sides are shuffled."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
     """Lists of nodes to compare: ``list, node``, such that any two that share a signature and are of like size share a list.
 
@@ -306,7 +311,7 @@ def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
     homes = saved(lead.join(sizes, "lead").select("node", "lead", part.alias("part"), "parts"), "homes")
     each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other_part")
     own = homes.select("node", "lead", "part", F.col("lead").alias("other"), each)
-    rows = rows.join(homes, "node").select("key", "node", "lead", "part")
+    rows = rows.join(_small(homes), "node").select("key", "node", "lead", "part")
     several = rows.groupBy("key").agg(F.min("lead").alias("low"), F.max("lead").alias("high")).where("low <> high").select("key")
     rows = saved(rows.join(several, "key"), "between")
     others = rows.select("key", F.col("lead").alias("other")).distinct()
@@ -333,12 +338,11 @@ def join_similar(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame
     usable = signed.where(~single)
     classes = usable.groupBy("set_key", "node", "n_shingles").agg(F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch"))
     classes = saved(classes, "classes")
-    lists = candidate_lists(usable, percent).join(classes, "node").select("list", "node", "n_shingles", "sketch")
+    lists = _small(saved(candidate_lists(usable, percent), "candidates"))
+    lists = classes.join(lists, "node").select("list", "node", "n_shingles", "sketch")
     lists = lists.repartition("list").sortWithinPartitions("list").mapInArrow(_sifted(percent), "list long, node long")
     wanted = saved(lists.distinct().join(classes, "node").select("list", "rep", "set_key"), "lists")
-    if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
-        wanted = F.broadcast(wanted)
-    rows = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("list", "rep", "set_key", "text")
+    rows = docs.select(F.col("doc_id").alias("rep"), "text").join(_small(wanted), "rep").select("list", "rep", "set_key", "text")
     grouped = rows.repartition("list").sortWithinPartitions("list")
     links = components(grouped.mapInArrow(_verify(percent, size), "u long, v long"))
     named = classes.select("set_key", "rep").join(links.withColumnRenamed("node", "rep"), "rep", "left")
