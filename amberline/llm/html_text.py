@@ -1,13 +1,15 @@
 """Main text of web pages, with removal of site templates.
 
 The subtrees of each page's elements are hashed by tag, text and structure and counted per host in
-Spark; those that recur on many pages of a host are its template and are deleted. Elements whose
+Spark; those that recur on pages of many different main texts of a host are its template and are
+deleted, so copies of a page count once. An element that holds most of a page's text stays. Elements whose
 tag, role or class names a menu, footer, form, advert or the like go as well, which also covers
 hosts of few pages. Of what is left, the article (or the main element, or else all) is the text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -18,8 +20,11 @@ from pyspark.sql import functions as F
 
 from amberline.llm.common import saved, texts
 
-#: A subtree on so many pages of a host, and on this share of them, is its template.
+#: A subtree on pages of so many different texts of a host, and of this share of them, is its template.
+#: By number alone, short cells and list items that recur by chance would be template on every large host.
 LEAST_PAGES, LEAST_SHARE = 10, 0.01
+#: An element with this share of a page's text is no template there; near copies share as much.
+MOST = 0.8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -48,10 +53,10 @@ NAMES = frozenset(
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children", "dropped", "mark")
+    __slots__ = ("tag", "attributes", "children", "dropped", "mark", "size")
 
     def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.attributes, self.children, self.mark = tag, attributes, [], None
+        self.tag, self.attributes, self.children, self.mark, self.size = tag, attributes, [], None, 0
         self.dropped = tag in DROPPED or bool(attributes) and _is_other(attributes)
 
 
@@ -132,15 +137,17 @@ def contents(root: Element) -> list[Element]:
     return [root]
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def mark(root: Element, roots: list[Element]) -> list[int]:
-    """Hash the subtrees that a template may own, and return their hashes.
+    """Hash the subtrees that a template may own, and return their hashes; count the characters of text in each element.
 
     Not hashed are inline elements, those without text, the elements that hold the page's text and
     all around them, and, inside an article, paragraphs, headings and the like: articles may quote
     one passage.
     """
-    import hashlib
-
     holders = {id(x) for x in roots}
     article = roots[0] is not root
     out: list[int] = []
@@ -151,14 +158,16 @@ def mark(root: Element, roots: list[Element]) -> list[int]:
         for child in element.children:
             if isinstance(child, str):
                 parts.append(_SPACE.sub(" ", child).strip())
+                element.size += len(parts[-1])
             else:
                 text, around = walk(child, inside or holder)
                 holder |= around
+                element.size += 0 if child.dropped else child.size
                 parts.append(text)
         content = "\x01".join(p for p in parts if p)
         if content and not holder and element.tag not in INLINE and not (article and inside and element.tag in PROSE):
             name = f"<{element.tag}>{content}</>"
-            element.mark = int.from_bytes(hashlib.blake2b(name.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+            element.mark = _hash(name)
             out.append(element.mark)
             return f"<{element.tag} {element.mark}>", holder
         return f"<{element.tag}>{content}</>" if content else "", holder
@@ -191,13 +200,22 @@ def _deep(walk, root: Element) -> None:
 
 
 def extract(source: str, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """The text of a page without the subtrees of its site's template."""
+    """The text of a page without the subtrees of its site's template.
+
+    A subtree with ``MOST`` of the text stays whole, and so does all if no text would be left.
+    """
     root = parse(source)
     roots = contents(root)
     if template:
         mark(root, roots)
+        return _text(roots, template) or _text(roots)
+    return _text(roots)
+
+
+def _text(roots: list[Element], template: frozenset[int] | set[int] = frozenset()) -> str:
     blocks: list[str] = []
     line: list[str] = []
+    most = MOST * sum(x.size for x in roots)
 
     def flush():
         text = _SPACE.sub(" ", html.unescape("".join(line))).strip()
@@ -207,56 +225,77 @@ def extract(source: str, template: frozenset[int] | set[int] = frozenset()) -> s
 
     for top in roots:
         waiting: list = [top]
+        spared = None  # while its subtree is read, nothing in it is template
         while waiting:
             x = waiting.pop()
             if isinstance(x, str):
                 line.append(x)
-            elif x is None:
+                continue
+            if x is None:
                 flush()
-            elif x.dropped and x is not top or x.mark is not None and x.mark in template:
+                continue
+            if isinstance(x, _End):
+                spared = None
+                continue
+            found = spared is None and x.mark is not None and x.mark in template
+            if x.dropped and x is not top or found and x.size < most:
                 line.append(" ")
-            elif x.tag in INLINE:
-                waiting += reversed(x.children)
-            else:
+                continue
+            if found:
+                spared = x
+                waiting.append(_End())
+            if x.tag not in INLINE:
                 flush()
                 waiting.append(None)
-                waiting += reversed(x.children)
+            waiting += reversed(x.children)
         flush()
     return " ".join(blocks)
 
 
+class _End:
+    """Stands behind the children of an element that is spared."""
+
+
 def _keyed(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]*)", 1))
     return pages.select("page_id", "url", "html", host.alias("host"), F.xxhash64("page_id", "url", "html").alias("page"))
 
 
 def template_marks(keyed: DataFrame, least_pages: int, least_share: float) -> DataFrame:
-    """``page, marks``: the hashes of each page's subtrees that are its host's template; pages without any are left out."""
+    """``page, marks``: the hashes of each page's subtrees that are its host's template; pages without any are left out.
+
+    Pages of a host with the same main text, before templates go, count once. Each page has one row
+    with a null mark, for the number of its host's texts. Only subtrees of enough pages are counted by texts.
+    """
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 rows = batch.slice(low, 500)
-                found = []
+                found, main = [], []
                 for source in texts(rows.column(2)):
                     root = parse(source)
-                    found.append(np.unique(np.array(mark(root, contents(root)), np.int64)))
-                at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-                marks = pa.array(np.concatenate(found) if found else np.empty(0, np.int64))
-                yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), marks], ["page", "host", "mark"])
-
-    marks = saved(keyed.select("page", "host", "html").mapInArrow(run, "page long, host string, mark long"), "marks")
-    sizes = keyed.groupBy("host").agg(F.count("*").alias("pages"))
-    often = marks.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-    often = often.join(sizes, "host").where(F.col("n") >= F.col("pages") * least_share).select("host", "mark")
-    return marks.join(often, ["host", "mark"]).groupBy("page").agg(F.collect_set("mark").alias("marks"))
+                    roots = contents(root)
+                    found.append(np.unique(np.array(mark(root, roots), np.int64)))
+                    main.append(_hash(_text(roots)))
+                at = pa.array(np.concatenate([np.arange(len(found)), np.repeat(np.arange(len(found)), [len(x) for x in found])]))
+                marks = pa.concat_arrays([pa.nulls(len(found), pa.int64()), pa.array(np.concatenate(found))])
+                yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), pa.array(main, pa.int64()).take(at), marks], ["page", "host", "main", "mark"])
+
+    marks = saved(keyed.select("page", F.xxhash64("host").alias("host"), "html").mapInArrow(run, "page long, host long, main long, mark long"), "marks")
+    sizes = marks.where("mark IS NULL").groupBy("host").agg(F.countDistinct("main").alias("texts"))
+    often = marks.where("mark IS NOT NULL").groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    rows = saved(marks.join(often.select("host", "mark"), ["host", "mark"]), "frequent-marks")
+    often = rows.groupBy("host", "mark").agg(F.countDistinct("main").alias("n")).where(F.col("n") >= least_pages)
+    often = often.join(sizes, "host").where(F.col("n") >= F.col("texts") * least_share).select("host", "mark")
+    return rows.join(often, ["host", "mark"]).groupBy("page").agg(F.collect_set("mark").alias("marks"))
 
 
 def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """The main text of every row of ``pages`` (``page_id, url, html``): ``page_id, url, text, n_chars``.
 
     A null ``html`` is an empty page with an empty text. Pages with a null or odd ``url`` share the
-    host "". Null ids and repeated rows pass through; repeated rows count as pages of their own.
+    host "". Null ids and repeated rows pass through; rows of one main text count as one page of a template.
     An empty table gives an empty result.
 
     A page's own marks are bounded by its elements. Host and template counts are partial

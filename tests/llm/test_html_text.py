@@ -67,6 +67,33 @@ def test_articles_keep_quoted_passages(spark):
     assert {r.page_id: r.text for r in html_text.extract_pages(frame(spark, rows)).collect()} == {i: f"One passage that all quote. Page {i}" for i in range(20)}
 
 
+BODY = "<h2>Head</h2><p>The first of the paragraphs.</p><p>The second one.</p>"
+
+
+@pytest.mark.parametrize("page", [f"<body>{BODY}</body>", f"<article>{BODY}</article>", f"<article><div class=body>{BODY}</div></article>", f"<body><table><tr><td>{BODY}</table></body>", f"<body><div>{BODY}</div></body>"])
+def test_copies_of_a_page_are_no_template(spark, page):
+    rows = [(i, f"http://h.example/{i}", f"<head><title>{i}</title></head>{page}<footer>{i}</footer>") for i in range(20)]
+    rows += [(20 + i % 2, "http://h.example/", page) for i in range(4)]  # repeated rows
+    out = html_text.extract_pages(frame(spark, rows)).collect()
+    assert len(out) == 24 and {r.text for r in out} == {"Head The first of the paragraphs. The second one."}
+
+
+def test_copies_lose_the_template_of_their_host(spark):
+    box = "<div><span>About this site</span> and its team</div>"
+    rows = [(i, f"http://h.example/{i}", f"<body>{box}{BODY}</body>") for i in range(20)]
+    rows += [(100 + i, f"http://h.example/{i}", f"<body>{box}<p>Text of page {i}</p></body>") for i in range(9)]
+    got = {r.page_id: r.text for r in html_text.extract_pages(frame(spark, rows)).collect()}
+    assert {got[i] for i in range(20)} == {"Head The first of the paragraphs. The second one."}
+    assert [got[100 + i] for i in range(9)] == [f"Text of page {i}" for i in range(9)]
+
+
+@pytest.mark.parametrize("page", ["<article><h1>{}</h1><div class=body>%s</div></article>", "<body><h1>{}</h1><div>%s</div></body>"])
+def test_most_of_a_page_is_no_template(spark, page):
+    rows = [(i, "http://h.example/x", page.replace("{}", str(i)) % BODY) for i in range(20)]
+    got = {r.page_id: r.text for r in html_text.extract_pages(frame(spark, rows)).collect()}
+    assert got == {i: f"{i} Head The first of the paragraphs. The second one." for i in range(20)}
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (None, "http://a/", "<p>x</p>"), (None, "http://a/", "<p>x</p>"), (3, "no url", ""), (3, "no url", ""), (4, "HTTP://User@A:80/", "<p>é</p>")]
     out = html_text.extract_pages(frame(spark, rows).selectExpr("*", "'x' AS host", "'x' AS page", "'x' AS marks", "'x' AS text", "'x' AS n")).collect()
