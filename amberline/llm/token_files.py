@@ -35,14 +35,19 @@ class WordEncoder:
 
     No token crosses white space, so a text's ids are those of its words one after the other. Each
     word goes through the tokenizer's normalizer, pre-tokenizer and model once, then to a bounded cache.
+    With ``added``, texts that hold an added token, as ``<|endoftext|>``, go through the tokenizer
+    whole, which gives it the token's id as the library does by default; else it is read as text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.tokenizer.no_truncation()
+        tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
+        # A token that is looked for in normalized text may stand in any text.
+        self.added = [""] if any(t.normalized for t in tokens) else [t.content for t in tokens]
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -81,6 +86,14 @@ class WordEncoder:
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text, as the bytes of little-endian numbers of ``kind``."""
+        whole = [any(token in text for token in self.added) for text in batch]
+        if any(whole):
+            rest = iter(self.encode_words([text for text, all_of_it in zip(batch, whole, strict=True) if not all_of_it]))
+            return [self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids) if all_of_it else next(rest) for text, all_of_it in zip(batch, whole, strict=True)]
+        return self.encode_words(batch)
+
+    def encode_words(self, batch: list[str]) -> list[bytes]:
+        """The ids of texts without added tokens."""
         split = [text.split() if not _OTHER.search(text) else _WHITE.split(text) for text in batch]
         if len(self.known) > CACHE:
             self.older, self.known = self.known, {}
@@ -168,12 +181,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
 
     Returns the files: ``part, path, docs_path, n_docs, n_tokens, start`` (tokens of all files
     before). Null ids come first, equal ids by their text; a null text is empty and has only the
-    end id. An empty table gives no file. A task that runs again writes files of other names, of
+    end id. Ids are those of the library's ``encode(text, add_special_tokens=False)``, also for added
+    tokens in a text. An empty table gives no file. A task that runs again writes files of other names, of
     which only those that its last run lists count.
     """
 
     def run(batches):
-        encoder, part, name = WordEncoder(tokenizer), TaskContext.get().partitionId(), uuid.uuid4().hex
+        encoder, part, name = WordEncoder(tokenizer, added=True), TaskContext.get().partitionId(), uuid.uuid4().hex
         store, base = open_store(folder)
         store.create_dir(base, recursive=True)
         ids_path, docs_path = f"{folder}/{part:06}-{name}.tokens.arrow", f"{folder}/{part:06}-{name}.docs.arrow"

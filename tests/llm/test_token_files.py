@@ -71,5 +71,17 @@ def test_odd_rows_and_random_access(spark, known):
     assert schema.field("ids").type == pa.list_(pa.uint16(), 64) and schema.field("mask").type == pa.list_(pa.bool_(), 64)
 
 
+def test_added_tokens_get_the_ids_of_the_library_call(spark):
+    plain = Tokenizer.from_file(PATH)
+    rows = [(i, t) for i, t in enumerate(["x <|endoftext|> y", "a<|startoftext|>b c", "plain words", "<|ENDOFTEXT|> <|endof text|>", "<|endoftext|>" * 3, "more words"])]
+    assert plain.encode(rows[0][1], add_special_tokens=False).ids == [343, 49407, 344]
+    got = {r.doc_id: r for r in token_files.token_round_trip(spark, docs(spark, rows), PATH).collect()}
+    at = 0
+    for doc_id, text in rows:
+        ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert (got[doc_id].start, got[doc_id].n_tokens, got[doc_id].ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
 def test_empty(spark):
     assert token_files.token_round_trip(spark, docs(spark, []), PATH).count() == 0
