@@ -38,7 +38,7 @@ RANK = {"or": 1, "and": 2, "with": 3}
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _TAG = re.compile(r"(?i)spdx-license-identifier:[ \t]*([^\r\n]*)")
-_PART = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+_PART = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 
 
 def label_of(identifier: str) -> str:
@@ -46,6 +46,37 @@ def label_of(identifier: str) -> str:
     return next((label for start, label in FAMILIES if low.startswith(start)), low)
 
 
+def leading(line: str) -> str:
+    """The longest beginning of a tag's line that is an expression; it ends at a comment's end, a sentence's end or prose.
+
+    Where prose follows, a plain word after an operator in small letters is prose as well ("MIT and
+    other terms"), unless it names a known licence.
+    """
+    parts, depth, operand, at = [], 0, True, 0
+    whole = sure = 0  # parts of the longest expression, and of that without doubtful words
+    doubt = prose = False
+    for found in _PART.finditer(line):
+        part, low = found[0], found[0].lower()
+        if parts and line[at : found.start()].strip(" \t\"'`") or (low in RANK or part == ")") == operand or part == ")" and not depth:
+            prose = part not in "()"
+            break
+        at = found.start() + len(part)
+        if part in "()":
+            depth += 1 if part == "(" else -1
+        elif low in RANK:
+            operand = True
+        else:
+            part = part.rstrip(".:-")
+            at = found.start() + len(part)  # what was cut off ends the expression
+            doubt |= bool(parts) and parts[-1] in RANK and part.isalpha() and label_of(part) not in FREEDOM
+            operand = False
+        parts.append(part)
+        if not operand and not depth:
+            whole = len(parts)
+            sure = sure if doubt else whole
+    return " ".join(parts[: sure if prose else whole])
+
+
 def to_postfix(expression: str) -> list[str] | None:
     """Shunting-yard; None if the expression is malformed. ``with`` binds most, then ``and``, then ``or``."""
     out, stack, operand = [], [], True
@@ -123,7 +154,7 @@ def scan_text(text: str, machine) -> tuple:
             labels.add(NOTICE_PHRASES[phrase])
     free = [FREEDOM[x] for x in base | labels]
     for expression in _TAG.findall(text) if tagged else ():
-        if (value := evaluate(expression)) is not None:
+        if (value := evaluate(leading(expression))) is not None:
             labels |= value[0]
             free.append(value[1])
     first = line.count(" ", 0, min(starts)) if starts else None
@@ -134,8 +165,8 @@ def scan_text(text: str, machine) -> tuple:
 def scan(docs: DataFrame) -> DataFrame:
     """Scan every text of ``docs`` (``doc_id, text``).
 
-    ``score`` is the freedom of the strictest licence found, 0.5 without one; see ``FREEDOM``. A
-    malformed expression after a tag gives no label. A null text counts as empty: no words, empty
+    ``score`` is the freedom of the strictest licence found, 0.5 without one; see ``FREEDOM``. Of the
+    line after a tag the longest beginning that is an expression counts; without any it gives no label. A null text counts as empty: no words, empty
     labels. Null ids and repeated rows pass through; an empty table gives an empty result.
     """
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]

@@ -71,6 +71,35 @@ def test_expressions_match_trees(tree):
     assert licences.evaluate(written(tree))[1] == valued(tree)
 
 
+@pytest.mark.parametrize(
+    ("line", "labels", "score"),
+    [
+        ("<!-- SPDX-License-Identifier: MIT -->", "mit", 1.0),
+        ("<!-- SPDX-License-Identifier: LicenseRef-Own-->", "licenseref-own", 0.5),
+        ("/* SPDX-License-Identifier: GPL-2.0-only OR MIT */ int x;", "gpl,mit", 1.0),
+        ("The licence has SPDX-License-Identifier: Apache-2.0. This file and others", "apache", 1.0),
+        ("SPDX-License-Identifier: GPL-2.0+. And more", "gpl", 0.4),
+        ("(SPDX-License-Identifier: MIT) AND so on", "mit", 1.0),
+        ("SPDX-License-Identifier: MIT and the rest of it", "mit", 1.0),
+        ("SPDX-License-Identifier: MIT and GPL-3.0 in the rest", "gpl,mit", 0.4),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-3.0+ -- see COPYING", "apache,gpl,mit", 0.4),
+        ('x = "SPDX-License-Identifier: MIT", y', "mit", 1.0),
+        ('SPDX-License-Identifier: "MIT" OR "Zlib"', "mit,zlib", 1.0),
+        ("SPDX-License-Identifier: MIT or Zlib", "mit,zlib", 1.0),
+        ("SPDX-License-Identifier: MIT (see LICENSE)", "mit", 1.0),
+        ("SPDX-License-Identifier: --", "", 0.5),
+        ("SPDX-License-Identifier: AND MIT", "", 0.5),
+    ],
+)
+def test_tags_in_comments_and_in_lines(line, labels, score):
+    assert licences.scan_text(line, MACHINE)[5:] == (labels, score)
+
+
+@given(TREES, st.sampled_from(["", " -->", " */", ". This file is free", ", see below", " and other terms apply"]))
+def test_expressions_before_other_text(tree, rest):
+    assert licences.evaluate(licences.leading(written(tree) + rest)) == licences.evaluate(written(tree))
+
+
 def test_scan(spark):
     rows = [*ODD, (20, "Released under the MIT License.\n// SPDX-License-Identifier: GPL-2.0-only OR BSD-3-Clause\n"), (21, "SPDX-License-Identifier: (oops"), (22, "Licensed under CC BY-NC 4.0.")]
     out = licences.scan(clashing(docs(spark, rows)))
