@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from amberline.llm import jaccard, length_buckets, quality_lines, toxicity
 from amberline.llm.common import saved, table
 
+#: Documents with this Jaccard similarity of their shingles of so many words are near duplicates. (90 and 3 are op5's own.)
+NEAR_PERCENT, NEAR_WORDS = 80, 5
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove failing lines; documents that the rules reject go. A document that loses no line keeps its text as it is."""
@@ -33,7 +36,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays, and once; rows with a null id stay."""
-    named = jaccard.join_similar(docs)
+    named = jaccard.join_similar(docs, percent=NEAR_PERCENT, size=NEAR_WORDS)
     copies = named.where("doc_id <> component_id").select("doc_id").distinct()
     left = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
     return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))

@@ -62,6 +62,19 @@ def test_against_all_pairs(spark, monkeypatch, seed, percent, common):
     assert got == brute(rows, percent)
 
 
+@pytest.mark.parametrize("common", [False, True])
+def test_five_words_against_all_pairs(spark, monkeypatch, common):
+    if common:
+        monkeypatch.setattr(jaccard, "FREQUENT", ((2, 0, 2), (3, 0, 12)))
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rows = corpus(6)
+    sets = [(i, token_set(t, 5)) for i, t in rows]
+    links = [(a, b) for k, (a, s) in enumerate(sets) for b, t in sets[:k] if 100 * len(s & t) >= 80 * len(s | t)]
+    name = closure([i for i, _ in rows], links)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_similar(docs(spark, rows), percent=80, size=5).collect()}
+    assert links and got == {i: (len(s), name[i]) for i, s in sets}
+
+
 def test_signatures_lose_no_pair():
     rng = np.random.default_rng(5)
     counts = rng.integers(0, 2000, jaccard.CELLS)

@@ -40,6 +40,16 @@ def test_stages_keep_columns_and_odd_rows(spark, data):
         assert stage(spark, frame.limit(0), data).count() == 0
 
 
+def test_near_copies_of_five_words_go(spark, data):
+    words = [f"w{i}" for i in range(54)]
+    changed = [*words[:27], "other", *words[28:]]  # similarity 45/55 at five words, 49/55 at three
+    apart = [*words[:20], "other", *words[21:40], "another", *words[41:]]  # 40/60 at five words
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(apart))]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(50)} for i, t in rows}
+    assert {j for j in (2, 3) if len(sets[1] & sets[j]) >= 0.8 * len(sets[1] | sets[j])} == {2}
+    assert {r.doc_id for r in pipeline.near_duplicates(spark, docs(spark, rows), data).collect()} == {1, 3}
+
+
 def test_a_document_without_failing_lines_keeps_its_text(spark, data):
     given = table(spark, data, "documents")
     out = {r.doc_id: r for r in pipeline.quality(spark, given, data).collect()}
