@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from amberline.llm.licences import BASE_PHRASES, FREEDOM, NOTICE_PHRASES
 from amberline.llm.quality_lines import BOILERPLATE, MAX_LOST, SENTENCE_MARK, WORDS_PER_SEPARATOR
+from amberline.llm.turn_repair import END_MARKS, INSERT, UNDELETED_TRUNCATED
 
 WHITE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -89,4 +90,67 @@ links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id < b.
 n AS (SELECT x, count(*) AS n FROM ways GROUP BY x)
 SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(component.c, vec_id) AS component_id, coalesce(component.c, vec_id) = vec_id AS kept
 FROM v LEFT JOIN component ON component.x = vec_id LEFT JOIN n ON n.x = vec_id""",
+    "op11_turn_repair": f"""
+WITH RECURSIVE base AS (SELECT coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations),
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, _: xor(c >> 1, (c & 1) * 3988292384))) AS tab),
+ids AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+h AS (SELECT *, xor(list_reduce([4294967295] || list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT)),
+    lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])), 4294967295) % 20 AS kind FROM base, crc),
+v AS (SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '{END_MARKS}', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM h JOIN ids ON h.conv_id IS NOT DISTINCT FROM ids.conv_id WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(text)) AS i, regexp_replace(text, '{WHITE}$', '') AS bare FROM v),
+f AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT contains('{END_MARKS}', right(bare, 1)) THEN 'truncated' ELSE '' END AS fault, left(role, 1) AS letter,
+    lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) AS pair FROM o),
+n AS (SELECT c, max(i) AS n, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM f GROUP BY c),
+back(c, i, e, s, u, a) AS (
+  SELECT c, n, {{'c': 0, 't': ''}}, {{'c': {2 * INSERT}, 't': 'II'}}, {{'c': {INSERT}, 't': 'I'}}, {{'c': 0, 't': ''}} FROM n
+  UNION ALL
+  SELECT c, i - 1, list_min([e1, {{'c': u2.c + {INSERT}, 't': 'I' || u2.t}}]), list_min([s1, {{'c': u2.c + {INSERT}, 't': 'I' || u2.t}}]), u2, a2
+  FROM (SELECT *, list_min([u1, {{'c': a1.c + {INSERT}, 't': 'I' || a1.t}}]) AS u2, list_min([a1, {{'c': u1.c + {INSERT}, 't': 'I' || u1.t}}]) AS a2
+    FROM (SELECT c, i, list_min([d.e, CASE WHEN may THEN ru END, CASE WHEN may AND letter = 's' THEN ks WHEN may AND letter = 'u' THEN ku END]) AS e1,
+        list_min([d.s, CASE WHEN may THEN ru END, CASE WHEN may AND letter = 'u' THEN ku END]) AS s1,
+        list_min([d.u, CASE WHEN may THEN ra END, CASE WHEN may AND letter = 'a' THEN ka END]) AS u1,
+        list_min([d.a, CASE WHEN may THEN ru END, CASE WHEN may AND letter = 'u' THEN ku END]) AS a1
+      FROM (SELECT b.c, b.i, letter, fault NOT IN ('blank', 'duplicate') AS may, CASE WHEN fault = 'truncated' THEN {UNDELETED_TRUNCATED} ELSE 0 END AS extra,
+          {{'e': {{'c': e.c + 2, 't': 'D' || e.t}}, 's': {{'c': s.c + 2, 't': 'D' || s.t}}, 'u': {{'c': u.c + 2, 't': 'D' || u.t}}, 'a': {{'c': a.c + 2, 't': 'D' || a.t}}}} AS d,
+          {{'c': s.c + extra, 't': 'K' || s.t}} AS ks, {{'c': u.c + extra, 't': 'K' || u.t}} AS ku, {{'c': a.c + extra, 't': 'K' || a.t}} AS ka,
+          {{'c': u.c + extra + 1, 't': 'R' || u.t}} AS ru, {{'c': a.c + extra + 1, 't': 'R' || a.t}} AS ra
+        FROM back b JOIN f ON f.c = b.c AND f.i = b.i)))),
+best AS (SELECT c, e.c AS cost, e.t AS audit FROM back WHERE i = 0),
+x AS (SELECT c, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS p FROM best WHERE audit <> ''),
+y AS (SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER q AS i, count(*) FILTER (WHERE edit <> 'D') OVER q AS j,
+    count(*) FILTER (WHERE edit <> 'D') OVER (PARTITION BY c) AS all_out FROM x WINDOW q AS (PARTITION BY c ORDER BY p)),
+z AS (SELECT y.c, string_agg(CASE WHEN edit = 'K' THEN role ELSE CASE WHEN (j + all_out) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS line FROM y LEFT JOIN f ON f.c = y.c AND f.i = y.i WHERE edit <> 'D' GROUP BY y.c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(line, '')) AS repaired_sha256
+FROM ids LEFT JOIN n USING (c) LEFT JOIN best USING (c) LEFT JOIN z USING (c)""",
+    "op12_top_k": f"""
+WITH v AS (SELECT row_number() OVER () AS line, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.line, q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(range(1, least(len(q.e), len(c.e)) + 1), lambda i: q.e[i] * c.e[i])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.line <> c.line WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY line ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op13_collocations": f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, 5)) AS size)),
+f AS (SELECT lang, phrase, size, count(*) AS n FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, size, n AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND n >= 30),
+k AS (SELECT lang, phrase, a, size, words, unnest(range(1, size)) AS k FROM c),
+l AS (SELECT k.lang, k.phrase, a, k, x.n AS l, y.n AS r, CAST(CAST(2000000 AS HUGEINT) * a // (CAST(x.n AS HUGEINT) + y.n) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(words[1 : k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(words[k + 1 : k.size], ' ')),
+b AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, a AS longer, unnest(flatten(list_transform(range(2, size), lambda s: list_transform(range(1, size - s + 2), lambda j: array_to_string(words[j : j + s - 1], ' '))))) AS phrase FROM c WHERE size > 2),
+m AS (SELECT lang, phrase, max(longer) AS longer FROM i GROUP BY ALL),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN m ON m.lang = b.lang AND m.phrase = b.phrase WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+SELECT o.lang, rank, phrase, a, l, r, t.n, score FROM o JOIN t ON t.lang = o.lang WHERE rank <= 2000""",
 }

@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from amberline.llm import bpe, embeddings, html_text, jaccard, length_buckets, licences, quality_lines, token_files, toxicity, warc
+from amberline.llm import (
+    block_search,
+    bpe,
+    collocations,
+    embeddings,
+    html_text,
+    jaccard,
+    length_buckets,
+    licences,
+    quality_lines,
+    token_files,
+    toxicity,
+    turn_repair,
+    warc,
+)
 from amberline.llm.common import table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -54,6 +68,18 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -62,5 +88,20 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc, op2_quality, op3_toxicity, op4_bpe, op5_jaccard, op6_token_files, op7_packing, op8_html, op9_licences, op10_embeddings, pipeline)
+    for f in (
+        op1_warc,
+        op2_quality,
+        op3_toxicity,
+        op4_bpe,
+        op5_jaccard,
+        op6_token_files,
+        op7_packing,
+        op8_html,
+        op9_licences,
+        op10_embeddings,
+        op11_turn_repair,
+        op12_top_k,
+        op13_collocations,
+        pipeline,
+    )
 }
