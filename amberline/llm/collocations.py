@@ -5,10 +5,9 @@ step on. A longer phrase becomes active after the step in which both of its subp
 last, all but the first) have reached the threshold, so lengths interleave; it is counted in the next
 ``CYCLE`` steps, which is every shard once, and is then complete. Scans end when nothing is active.
 
-Whether a phrase has reached the threshold is kept per slot, a hash of it: a slot's counter is at least the
-count of any phrase in it, so none is missed, and the step a slot got there is one number for all tasks,
-so a phrase's own steps are the same everywhere and its count is exact. Slots shared by several phrases only
-make more phrases active. The counters are a fixed-size sketch: tasks add theirs up by ranges of slots.
+Counters are slots, each a hash of phrases: a slot holds at least the count of any phrase in it, so no phrase
+at the threshold is missed, and slots shared by several phrases only leave more of them. They are a sketch
+of fixed size that tasks add up by ranges. One last scan counts the phrases that are left as they are.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from amberline.session import scratch_path
 CYCLE = 4
 LONGEST = 4
 #: Bytes of text for which one slot is kept, and the bounds of the number of slots (powers of two).
-TEXT_PER_SLOT = 128
+TEXT_PER_SLOT = 64
 LEAST_BITS, MOST_BITS = 12, 24
 #: Slots in one row of the sketch.
 RANGE_BITS = 16
@@ -44,10 +43,10 @@ _KIND[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-COUNTS_SHAPE = "lang string, phrase string, size int, n long, slot int, range int, sketch binary"
-COUNTS = pa.schema(
-    [("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64()), ("slot", pa.int32()), ("range", pa.int32()), ("sketch", pa.binary())]
-)
+COUNTS_SHAPE = "lang string, phrase string, size int, n long"
+COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64())])
+SKETCH_SHAPE = "range int, sketch binary"
+SKETCH = pa.schema([("range", pa.int32()), ("sketch", pa.binary())])
 
 
 def parts(text: bytes, window: int) -> list[tuple[bytes, int]]:
@@ -118,18 +117,16 @@ class Words:
         self.known = known.dictionary
         size = len(self.known)
         bounds = np.frombuffer(self.known.buffers()[1], np.int32)[: size + 1].astype(np.int64) if size else np.zeros(1, np.int64)
-        self.known_text, self.known_bounds = np.frombuffer(self.known.buffers()[2] or b"", np.uint8)[: bounds[-1]], bounds
+        known_text = np.frombuffer(self.known.buffers()[2] or b"", np.uint8)[: bounds[-1]]
         seed = np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
-        self.own = word_hashes(self.known_text, np.array([0, len(self.known_text)]))[0]
-        self.hash = self.own[self.ids]
-        self.known_chain = mix(self.own ^ seed)
-        self.chain = self.known_chain[self.ids]
+        own = word_hashes(known_text, np.array([0, len(known_text)]))[0]
+        self.hash = own[self.ids]
+        self.chain = mix(own ^ seed)[self.ids]
 
-    def longer(self, size: int) -> np.ndarray:
-        """Hashes of all runs of ``size`` words, from those of one word less."""
+    def longer(self, size: int) -> None:
+        """Go on to the hashes of all runs of ``size`` words, from those of one word less."""
         left = len(self.ids) - size + 1
         self.chain = mix(self.chain[:left] * SPREAD[0] + self.hash[size - 1 :] * SPREAD[1]) if left > 0 else self.chain[:0]
-        return self.chain
 
     def counted(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The first place and the number of each different run of ``size`` words that begins at ``at``."""
@@ -142,93 +139,114 @@ class Words:
         return at[first], n
 
 
-def count_active(lang: str, text: bytes, skip: int, step: int, cycle: int, longest: int, bits: int, reached: np.ndarray):
-    """``size, phrases, n, slots`` of the phrases that are active in a step; the first ``skip`` words were counted before."""
-    shift = np.uint64(64 - bits)
-    words = Words(lang, text)
-    if step < cycle and len(words.ids) > skip:
-        n = np.bincount(words.ids[skip:], minlength=len(words.known))
-        there = np.flatnonzero(n)
-        starts, stops = words.known_bounds[:-1][there], words.known_bounds[1:][there] - 1
-        yield 1, _texts(words.known_text, starts, stops - starts), n[there], (words.known_chain[there] >> shift).astype(np.int64)
-    for size in range(2, longest + 1):
-        since = reached[(words.chain >> shift).astype(np.int64)].astype(np.int64)
-        chain = words.longer(size)
-        if not len(chain):
+    def slots(self, bits: int) -> np.ndarray:
+        """The slots of the runs that ``longer`` was last called for, of words before that."""
+        return (self.chain >> np.uint64(64 - bits)).astype(np.int64)
+
+    def together(self, size: int, skip: int) -> np.ndarray:
+        """Whether runs of ``size`` words stand in one piece and end behind the first ``skip`` words."""
+        good = self.piece[: len(self.ids) - size + 1] == self.piece[size - 1 :]
+        good[: max(0, skip - size + 1)] = False
+        return good
+
+
+def add_active(sketch: np.ndarray, words: Words, skip: int, step: int, cycle: int, longest: int, bits: int, reached: np.ndarray) -> None:
+    """Count in their slots the phrases of up to ``longest - 1`` words that are active in a step."""
+    if step < cycle:
+        np.add.at(sketch, words.slots(bits)[skip:], 1)
+    for size in range(2, longest):
+        since = reached[words.slots(bits)]
+        words.longer(size)
+        if len(words.ids) < size:
             return
         since = np.maximum(since[:-1], since[1:])
-        active = (since < step) & (step <= since + cycle) & (words.piece[: len(chain)] == words.piece[size - 1 :])
-        active[: max(0, skip - size + 1)] = False
-        at = np.flatnonzero(active)
+        at = np.flatnonzero((since < step) & (since + np.int64(cycle) >= step) & words.together(size, skip))
+        np.add.at(sketch, words.slots(bits)[at], 1)
+
+
+def count_reached(words: Words, skip: int, longest: int, bits: int, reached: np.ndarray):
+    """``size, phrases, n`` of the phrases whose subphrases and own slots reached the threshold, and of size 0 all words."""
+    yield 0, pa.array([""]), np.array([len(words.ids) - skip])
+    good = np.ones(len(words.ids), bool)
+    for size in range(1, longest + 1):
+        if size > 1:
+            words.longer(size)
+            if len(words.ids) < size:
+                return
+            good = good[:-1] & good[1:]
+        if size < longest:
+            good = good & (reached[words.slots(bits)] < NEVER)
+        at = np.flatnonzero(good & words.together(size, skip))
         if len(at):
             first, n = words.counted(at, size)
-            yield size, _texts(words.text, words.begins[first], words.ends[first + size - 1] - words.begins[first]), n, (chain[first] >> shift).astype(np.int64)
+            yield size, _texts(words.text, words.begins[first], words.ends[first + size - 1] - words.begins[first]), n
 
 
-def _scan(step: int, cycle: int, longest: int, bits: int, reached, window: int):
-    def run(batches):
-        sketch, pending, size = np.zeros(1 << bits, np.int32), {}, 0
-
-        def flush(most: int):
-            nonlocal pending, size
-            for lang, texts in pending.items():
-                for text, skip in _stretches(texts, most):
-                    for length, phrases, n, slots in count_active(lang, text, skip, step, cycle, longest, bits, reached.value):
-                        if length < longest:
-                            np.add.at(sketch, slots, np.minimum(n, NEVER).astype(np.int32))
-                        k = len(n)
-                        columns = [pa.repeat(lang, k), phrases, pa.repeat(pa.scalar(length, pa.int32()), k), pa.array(n, pa.int64()), pa.array(slots.astype(np.int32)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())]
-                        yield pa.RecordBatch.from_arrays(columns, schema=COUNTS)
-            np.minimum(sketch, 1 << 20, out=sketch)
-            pending, size = {}, 0
+def _by_window(batches, window: int):
+    """Words of one language after another, of about ``window`` bytes of text at a time."""
+    pending: dict[str, list[bytes]] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            data = text.encode()
+            if size and size + len(data) > window:
+                yield from _stretches(pending, window)
+                pending, size = {}, 0
+            pending.setdefault(lang, []).append(data)
+            size += len(data)
+    yield from _stretches(pending, window)
 
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = text.encode()
-                if size and size + len(data) > window:
-                    yield from flush(window)
-                pending.setdefault(lang, []).append(data)
-                size += len(data)
-        yield from flush(window)
+
+def _stretches(pending: dict[str, list[bytes]], window: int):
+    """Short texts together, long ones in parts."""
+    for lang, texts in pending.items():
+        together = [text for text in texts if len(text) <= window]
+        if together:
+            yield lang, Words(lang, b"\n".join(together)), 0
+        for text in texts:
+            if len(text) > window:
+                for part, skip in parts(text, window):
+                    yield lang, Words(lang, part), skip
+
+
+def _step(step: int, cycle: int, longest: int, bits: int, reached, window: int):
+    """A task's sketch of the phrases active in a step, by ranges of slots."""
+
+    def run(batches):
+        sketch = np.zeros(1 << bits, np.int32)
+        for _, words, skip in _by_window(batches, window):
+            add_active(sketch, words, skip, step, cycle, longest, bits, reached.value)
+            np.minimum(sketch, NEVER, out=sketch)
         for low in range(0, 1 << bits, 1 << RANGE_BITS):
-            part = np.minimum(sketch[low : low + (1 << RANGE_BITS)], NEVER).astype(np.uint8)
+            part = sketch[low : low + (1 << RANGE_BITS)].astype(np.uint8)
             if part.any():
-                columns = [pa.nulls(1, f.type) for f in list(COUNTS)[:5]] + [pa.array([low >> RANGE_BITS], pa.int32()), pa.array([part.tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, schema=COUNTS)
+                yield pa.RecordBatch.from_arrays([pa.array([low >> RANGE_BITS], pa.int32()), pa.array([pa.compress(part, "zstd", asbytes=True)], pa.binary())], schema=SKETCH)
 
     return run
 
 
-def _stretches(texts: list[bytes], window: int):
-    """Short texts together, long ones in parts."""
-    together = [text for text in texts if len(text) <= window]
-    if together:
-        yield b"\n".join(together), 0
-    for text in texts:
-        if len(text) > window:
-            yield from parts(text, window)
-
-
-def _added(batches):
+def _added(bits: int):
     """The sums of sketches, one row a range, as far as they count."""
-    shape = pa.schema([("range", pa.int32()), ("sketch", pa.binary())])
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for low, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            part = np.frombuffer(data, np.uint8)
-            total[low] = np.minimum(total[low].astype(np.int32) + part, NEVER).astype(np.uint8) if low in total else part
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], schema=shape)
+    size = 1 << min(bits, RANGE_BITS)
 
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for low, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = np.frombuffer(pa.decompress(data, size, "zstd"), np.uint8)
+                total[low] = part if low not in total else np.minimum(total[low].astype(np.int32) + part, NEVER).astype(np.uint8)
+        for low, part in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([low], pa.int32()), pa.array([pa.compress(part, "zstd", asbytes=True)], pa.binary())], schema=SKETCH)
 
-def _possible(longest: int, reached):
-    """Counts of phrases that may be at the threshold, by their slots."""
+    return run
 
+
+def _reached(longest: int, bits: int, reached, window: int):
     def run(batches):
-        for batch in batches:
-            slots, sizes = batch.column(4).to_numpy(), batch.column(2).to_numpy()
-            good = (sizes == longest) | (reached.value[slots] < NEVER)
-            yield batch.select([0, 1, 2, 3]).filter(pa.array(good))
+        for lang, words, skip in _by_window(batches, window):
+            for size, phrases, n in count_reached(words, skip, longest, bits, reached.value):
+                k = len(n)
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, k), phrases, pa.repeat(pa.scalar(size, pa.int32()), k), pa.array(n, pa.int64())], schema=COUNTS)
 
     return run
 
@@ -249,28 +267,25 @@ def count_phrases(documents: DataFrame, least: int = 30, longest: int = LONGEST,
     if bits is None:
         volume = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         bits = min(MOST_BITS, max(LEAST_BITS, (volume // TEXT_PER_SLOT).bit_length()))
-    reached, counters = np.full(1 << bits, NEVER, np.uint8), np.zeros(1 << bits, np.int32)
-    counts, step, last = None, 0, -cycle
+    reached, counters = np.full(1 << bits, NEVER, np.uint8), np.zeros(1 << bits, np.uint16)
+    step, last, size = 0, -cycle, 1 << min(bits, RANGE_BITS)
     while step < cycle or step <= last + cycle:
         sent = spark.sparkContext.broadcast(reached)
         shard = shards.where(F.col("shard") == step % cycle).select("lang", "text")
-        found = saved(shard.mapInArrow(_scan(step, cycle, longest, bits, sent, WINDOW), COUNTS_SHAPE), "phrase-counts")
-        counts = found if counts is None else counts.unionByName(found)
-        sums = found.where("sketch IS NOT NULL").select("range", "sketch").repartition("range").mapInArrow(_added, "range int, sketch binary")
-        for low, data in sums.collect():  # one byte a slot in all
-            part = np.frombuffer(data, np.uint8)
-            counters[low << RANGE_BITS : (low << RANGE_BITS) + len(part)] += part
+        sketches = shard.mapInArrow(_step(step, cycle, longest, bits, sent, WINDOW), SKETCH_SHAPE)
+        sums = sketches.repartition("range").mapInArrow(_added(bits), SKETCH_SHAPE)
+        for place, data in sums.collect():  # a byte a slot at most
+            counters[place << RANGE_BITS : (place << RANGE_BITS) + size] += np.frombuffer(pa.decompress(data, size, "zstd"), np.uint8)
+        np.minimum(counters, NEVER, out=counters)
         sent.destroy()
         new = (counters >= least) & (reached == NEVER)
         if new.any():
             reached = np.where(new, np.uint8(step), reached)
             last = step
         step += 1
-    counts = counts.where("phrase IS NOT NULL")
-    totals = counts.where("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    likely = counts.select("lang", "phrase", "size", "n", "slot").mapInArrow(_possible(longest, spark.sparkContext.broadcast(reached)), "lang string, phrase string, size int, n long")
-    phrases = likely.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return saved(phrases, "phrases"), saved(totals, "words-of-languages")
+    left = shards.select("lang", "text").mapInArrow(_reached(longest, bits, spark.sparkContext.broadcast(reached), WINDOW), COUNTS_SHAPE)
+    counts = saved(left.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
+    return counts.where("size > 0"), counts.where("size = 0").select("lang", "n")
 
 
 def _part(start: str, length: str) -> str:
