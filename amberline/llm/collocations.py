@@ -34,6 +34,8 @@ RANGE_BITS = 16
 #: Bytes of text whose phrases are counted together in a task.
 WINDOW = 8 << 20
 NEVER = 255
+#: Bytes of text that a task scans at least where there is work for all cores: larger tasks send each phrase less often.
+TASK_TEXT = 64 << 20
 #: Parts of a language that are ranked before the whole is.
 PARTS = 64
 
@@ -264,14 +266,15 @@ def count_phrases(documents: DataFrame, least: int = 30, longest: int = LONGEST,
     rows = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"), (F.monotonically_increasing_id() % cycle).cast("int").alias("shard"))
     rows.write.partitionBy("shard").parquet(path)
     shards = spark.read.schema("lang string, text string, shard int").parquet(path)
+    volume = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cores = spark.sparkContext.defaultParallelism
     if bits is None:
-        volume = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         bits = min(MOST_BITS, max(LEAST_BITS, (volume // TEXT_PER_SLOT).bit_length()))
     reached, counters = np.full(1 << bits, NEVER, np.uint8), np.zeros(1 << bits, np.uint16)
     step, last, size = 0, -cycle, 1 << min(bits, RANGE_BITS)
     while step < cycle or step <= last + cycle:
         sent = spark.sparkContext.broadcast(reached)
-        shard = shards.where(F.col("shard") == step % cycle).select("lang", "text")
+        shard = shards.where(F.col("shard") == step % cycle).select("lang", "text").coalesce(max(cores, volume // cycle // TASK_TEXT))
         sketches = shard.mapInArrow(_step(step, cycle, longest, bits, sent, WINDOW), SKETCH_SHAPE)
         sums = sketches.repartition("range").mapInArrow(_added(bits), SKETCH_SHAPE)
         for place, data in sums.collect():  # a byte a slot at most
@@ -283,7 +286,7 @@ def count_phrases(documents: DataFrame, least: int = 30, longest: int = LONGEST,
             reached = np.where(new, np.uint8(step), reached)
             last = step
         step += 1
-    left = shards.select("lang", "text").mapInArrow(_reached(longest, bits, spark.sparkContext.broadcast(reached), WINDOW), COUNTS_SHAPE)
+    left = shards.select("lang", "text").coalesce(max(cores, volume // TASK_TEXT)).mapInArrow(_reached(longest, bits, spark.sparkContext.broadcast(reached), WINDOW), COUNTS_SHAPE)
     counts = saved(left.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
     return counts.where("size > 0"), counts.where("size = 0").select("lang", "n")
 
