@@ -2,9 +2,11 @@
 
 The subtrees of each page's elements are hashed by tag, text and structure and counted per host in
 Spark; those that recur on pages of many different main texts of a host are its template and are
-deleted, so copies of a page count once. An element that holds most of a page's text stays. Elements whose
-tag, role or class names a menu, footer, form, advert or the like go as well, which also covers
-hosts of few pages. Of what is left, the article (or the main element, or else all) is the text.
+deleted, so copies of a page count once. Where they hold most of a page's text, the pages are near copies,
+not a template, and stay whole. Elements whose tag, role or class names a menu, footer, form, advert or the
+like go as well, which also covers hosts of few pages; never the body, an article, what holds one, or, where
+there is none, what holds most of the text. Of what is left, the article (or the main element, or else all)
+is the text.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from amberline.llm.common import saved, texts
 #: A subtree on pages of so many different texts of a host, and of this share of them, is its template.
 #: By number alone, short cells and list items that recur by chance would be template on every large host.
 LEAST_PAGES, LEAST_SHARE = 10, 0.01
-#: An element with this share of a page's text is no template there; near copies share as much.
+#: Elements that together hold this share of a page's text are no template there; near copies share as much.
+#: On a page without an article, what holds as much of the text does not go by its tag or class.
 MOST = 0.8
 
 _TOKEN = re.compile(
@@ -52,74 +55,167 @@ NAMES = frozenset(
 )
 
 
+# Words that beside one of these change nothing about it, and words that turn it round.
+PLAIN_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons center col column container content div footer form group header icon icons inner item items label left link links list main "
+    "message module outer page panel placeholder post posts right row section site slot spot text title top unit user wrap wrapper zone".split()
+)
+TURNING_WORDS = frozenset("no non not without with has have is hide hides hidden off show shows".split())
+HEADERS = frozenset("header site-header page-header global-header top-header".split())
+WHOLE = frozenset("html body article main".split())
+#: Dropped unless they hold an article or most of the text: pages stand in one form on some sites.
+HOLDING = frozenset("form aside dialog".split())
+
+
 class Element:
-    __slots__ = ("tag", "attributes", "children", "dropped", "mark", "size")
+    __slots__ = ("tag", "attributes", "children", "dropped", "named", "mark", "size")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children, self.mark, self.size = tag, attributes, [], None, 0
-        self.dropped = tag in DROPPED or bool(attributes) and _is_other(attributes)
+        self.dropped = tag in DROPPED and tag not in HOLDING
+        self.named = tag in HOLDING
+        if attributes and not self.dropped:
+            self.dropped, other = _is_hidden(attributes), _is_other(attributes)
+            self.named = tag not in WHOLE and (self.named or other) or tag in ("article", "main") and other and _is_comment(attributes)
 
 
-def _is_other(attributes: str) -> bool:
+def _tokens(attributes: str):
     for name, *values in _ATTRIBUTE.findall(attributes):
-        value, name = "".join(values).lower(), name.lower()
-        if name in ("class", "id") and not NAMES.isdisjoint(_NAME.findall(value)):
-            return True
-        if name == "role" and value.strip() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-    return False
+        if name.lower() in ("class", "id"):
+            yield from "".join(values).lower().split()
+
+
+def _is_hidden(attributes: str) -> bool:
+    found = [(name.lower(), "".join(values).lower()) for name, *values in _ATTRIBUTE.findall(attributes)]
+    return any(name == "hidden" or name == "aria-hidden" and value == "true" for name, value in found)
+
+
+def _is_name(token: str) -> bool:
+    """Whether one class or id names a part other than the text: a name, alone, last, or among plain words."""
+    words = _NAME.findall(token)
+    if NAMES.isdisjoint(words) or not TURNING_WORDS.isdisjoint(words):
+        return False
+    return words[-1] in NAMES or all(w in NAMES or w in PLAIN_WORDS or w.isdigit() or len(w) == 1 for w in words)
+
+
+def _is_other(attributes: str) -> bool:
+    roles = ("".join(values).lower().strip() for name, *values in _ATTRIBUTE.findall(attributes) if name.lower() == "role")
+    return any(role in ROLES for role in roles) or any(_is_name(token) for token in _tokens(attributes))
+
+
+def _is_comment(attributes: str) -> bool:
+    """Readers' comments are articles on some sites."""
+    return any(token in ("comment", "reply") for token in _tokens(attributes))
+
+
+# Which open elements end an element of a kind, and which hide them from it.
+_ENDED = {"p": ({"p"}, frozenset(("table", "td", "th", "li", "div", "article", "section", "blockquote", "body", "main")))}
+_ENDED |= {tag: (CLOSES[tag], SCOPE[tag]) for tag in CLOSES}
+
+
+class _Open:
+    """The open elements; where the next one to close stands is known without a search."""
+
+    def __init__(self, root: Element):
+        self.elements, self.places, self.near = [root], {}, [dict.fromkeys(_ENDED, 0)]
+
+    def push(self, element: Element) -> None:
+        tag, depth = element.tag, len(self.elements)
+        self.places.setdefault(tag, []).append(depth)
+        above = self.near[-1]
+        if tag in _CHANGING:
+            above = {kind: depth if tag in tags else 0 if tag in scope else above[kind] for kind, (tags, scope) in _ENDED.items()}
+        self.near.append(above)
+        self.elements.append(element)
+
+    def cut(self, depth: int) -> None:
+        """Close the element at a depth and all in it; the root stays."""
+        for element in self.elements[depth:]:
+            self.places[element.tag].pop()
+        del self.elements[depth:], self.near[depth:]
+
+    def end(self, tag: str) -> None:
+        if self.places.get(tag):
+            self.cut(self.places[tag][-1])
+
+    def make_room(self, kind: str) -> None:
+        if self.near[-1][kind]:
+            self.cut(self.near[-1][kind])
+
+
+_CHANGING = frozenset().union(*(tags | scope for tags, scope in _ENDED.values()))
 
 
 def parse(source: str) -> Element:
     """A tree of elements and text. Unclosed and wrongly nested elements are closed as browsers mostly do."""
     root = Element("html")
-    stack, at, end = [root], 0, len(source)
+    stack, at, end = _Open(root), 0, len(source)
     while at < end:
         found = _TOKEN.search(source, at)
         if not found:
             break
         if found.start() > at:
-            stack[-1].children.append(source[at : found.start()])
+            stack.elements[-1].children.append(source[at : found.start()])
         at = found.end()
         tag = (found[2] or found[5] or "").lower()
         if not tag:
             continue
         if found[1] or found[4]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            stack.end(tag)
             continue
-        if tag in ("html", "body", "head") and any(x.tag == tag for x in stack[: 2 if tag != "html" else 1]):
+        if tag in ("html", "body", "head") and any(x.tag == tag for x in stack.elements[: 2 if tag != "html" else 1]):
             continue
         if tag in ENDS_PARAGRAPH:
-            _close(stack, {"p"}, frozenset(("table", "td", "th", "li", "div", "article", "section", "blockquote", "body", "main")))
+            stack.make_room("p")
         if tag in CLOSES:
-            _close(stack, CLOSES[tag], SCOPE[tag])
+            stack.make_room(tag)
         if tag == "body":
-            del stack[1:]
+            stack.cut(1)
         attributes = found[3] if found[2] else found[6]
         element = Element(tag, attributes or "")
-        stack[-1].children.append(element)
+        stack.elements[-1].children.append(element)
         if tag in RAW:
             closing = re.compile(rf"</{tag}[\s/>]", re.I).search(source, at)
             at = closing.start() if closing else end
             closed = source.find(">", at)
             at = closed + 1 if closing and closed >= 0 else end
         elif tag not in VOID and not (attributes or "").endswith("/"):
-            stack.append(element)
+            stack.push(element)
     if at < end:
-        stack[-1].children.append(source[at:])
+        stack.elements[-1].children.append(source[at:])
+    _settle(root)
     return root
 
 
-def _close(stack: list[Element], tags: set, scope: frozenset | set) -> None:
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag in tags:
-            del stack[depth:]
-            return
-        if stack[depth].tag in scope:
-            return
+def _settle(root: Element) -> None:
+    """Decide what goes by its tag or class, from the whole page: sizes first, then the rest from the top."""
+    order, waiting = [], [root]
+    while waiting:
+        element = waiting.pop()
+        order.append(element)
+        waiting += [x for x in element.children if not isinstance(x, str) and not x.dropped]
+    holds: dict[int, bool] = {}
+    for element in reversed(order):
+        below = [x for x in element.children if not isinstance(x, str) and not x.dropped]
+        element.size = sum(len(x.strip()) for x in element.children if isinstance(x, str)) + sum(x.size for x in below)
+        holds[id(element)] = any(holds[id(x)] or _is_holder(x) and not x.named for x in below)
+    alone = not holds[id(root)]
+    waiting = [root]
+    while waiting:
+        element = waiting.pop()
+        if element is not root:
+            header = alone and (element.tag == "header" or not HEADERS.isdisjoint(_tokens(element.attributes)))
+            most = alone and element.size >= MOST * root.size
+            element.dropped |= (element.named or header) and not holds[id(element)] and not (most and not _is_comments(element))
+        waiting += [x for x in element.children if not isinstance(x, str) and not x.dropped]
+
+
+def _is_comments(element: Element) -> bool:
+    return not {"comment", "comments", "replies", "disqus"}.isdisjoint(w for token in _tokens(element.attributes) if _is_name(token) for w in _NAME.findall(token))
+
+
+def _is_holder(element: Element) -> bool:
+    return element.tag in ("article", "main") or "main" in element.attributes and bool(re.search(r"role\s*=\s*[\"']?main", element.attributes))
 
 
 def contents(root: Element) -> list[Element]:
@@ -128,7 +224,7 @@ def contents(root: Element) -> list[Element]:
         found, waiting = [], [root]
         while waiting:
             element = waiting.pop()
-            if element.tag == kind or kind == "main" and "main" in element.attributes and re.search(r"role\s*=\s*[\"']?main", element.attributes):
+            if element.tag == kind or kind == "main" and _is_holder(element):
                 found.append(element)
             else:
                 waiting += [x for x in reversed(element.children) if not isinstance(x, str) and not x.dropped]
@@ -153,7 +249,7 @@ def mark(root: Element, roots: list[Element]) -> list[int]:
     out: list[int] = []
 
     def walk(element: Element, inside: bool) -> tuple[str, bool]:
-        holder = id(element) in holders
+        holder, element.size = id(element) in holders, 0
         parts = []
         for child in element.children:
             if isinstance(child, str):
@@ -202,20 +298,32 @@ def _deep(walk, root: Element) -> None:
 def extract(source: str, template: frozenset[int] | set[int] = frozenset()) -> str:
     """The text of a page without the subtrees of its site's template.
 
-    A subtree with ``MOST`` of the text stays whole, and so does all if no text would be left.
+    Where these together hold ``MOST`` of the text, or no text would be left, all stays.
     """
     root = parse(source)
     roots = contents(root)
     if template:
         mark(root, roots)
-        return _text(roots, template) or _text(roots)
+        if _owned(roots, template) < MOST * sum(x.size for x in roots):
+            return _text(roots, template) or _text(roots)
     return _text(roots)
 
 
+def _owned(roots: list[Element], template: frozenset[int] | set[int]) -> int:
+    """Characters in subtrees of the template."""
+    total, waiting = 0, list(roots)
+    while waiting:
+        element = waiting.pop()
+        if element.mark is not None and element.mark in template:
+            total += element.size
+        else:
+            waiting += [x for x in element.children if not isinstance(x, str) and not x.dropped]
+    return total
+
+
 def _text(roots: list[Element], template: frozenset[int] | set[int] = frozenset()) -> str:
     blocks: list[str] = []
     line: list[str] = []
-    most = MOST * sum(x.size for x in roots)
 
     def flush():
         text = _SPACE.sub(" ", html.unescape("".join(line))).strip()
@@ -225,7 +333,6 @@ def _text(roots: list[Element], template: frozenset[int] | set[int] = frozenset(
 
     for top in roots:
         waiting: list = [top]
-        spared = None  # while its subtree is read, nothing in it is template
         while waiting:
             x = waiting.pop()
             if isinstance(x, str):
@@ -234,16 +341,9 @@ def _text(roots: list[Element], template: frozenset[int] | set[int] = frozenset(
             if x is None:
                 flush()
                 continue
-            if isinstance(x, _End):
-                spared = None
-                continue
-            found = spared is None and x.mark is not None and x.mark in template
-            if x.dropped and x is not top or found and x.size < most:
+            if x.dropped and x is not top or x.mark is not None and x.mark in template:
                 line.append(" ")
                 continue
-            if found:
-                spared = x
-                waiting.append(_End())
             if x.tag not in INLINE:
                 flush()
                 waiting.append(None)
@@ -252,10 +352,6 @@ def _text(roots: list[Element], template: frozenset[int] | set[int] = frozenset(
     return " ".join(blocks)
 
 
-class _End:
-    """Stands behind the children of an element that is spared."""
-
-
 def _keyed(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]*)", 1))
     return pages.select("page_id", "url", "html", host.alias("host"), F.xxhash64("page_id", "url", "html").alias("page"))

@@ -37,6 +37,50 @@ CASES = {
 }
 
 
+# Classes of large parts and of the text itself, page headers, forms around pages.
+KEPT = {
+    "<body class='no-sidebar single-post'><article><p>Hello there</p></article>": "Hello there",
+    "<article class='post has-comments'><p>Hello there</p></article>": "Hello there",
+    "<body class='ad'><p>Hello there</p>": "Hello there",
+    "<div id='alert-level-study'><p>Hello there</p></div><p>more</p>": "Hello there more",
+    "<article><p>a</p><section class='related-work'><p>Earlier papers</p></section></article>": "a Earlier papers",
+    "<div class='sidebar'><article><p>Hello</p></article><p>no</p></div>": "Hello",
+    "<form id='aspnetForm'><nav>menu</nav><p>The whole page stands in a form</p></form>": "The whole page stands in a form",
+    "<form><main><p>text</p></main></form>": "text",
+    "<div class='widget'><p>All of the text of this page</p></div><p>x</p>": "All of the text of this page x",
+    "<body><header><h1>Site name</h1></header><p>Hello there you</p>": "Hello there you",
+    "<div class='site-header'>Site name</div><p>Hello there you</p>": "Hello there you",
+    "<article><header><h1>Title</h1></header><p>Hello</p></article>": "Title Hello",
+    "<article><p>Hi.</p><section id='comments'><p>A long comment of a reader, and one more.</p></section></article>": "Hi.",
+    "<p>Hi there.</p><div class='comment-list'><p>A long comment of a reader, and one more.</p></div>": "Hi there.",
+    "<p>Hello there you</p><div class='left-sidebar'>no</div><div class='ad-slot-3'>no</div><div class='share_buttons'>no</div><div class='main-nav'>no</div>": "Hello there you",
+    "<p>Hello there you</p><div class='without-sidebar'>yes</div><div class='shared-memory'>yes</div><div class='social-science'>yes</div>": "Hello there you yes yes yes",
+}
+
+
+@pytest.mark.parametrize("source", KEPT)
+def test_classes_and_headers(source):
+    assert html_text.extract(source) == KEPT[source]
+
+
+@pytest.mark.parametrize("unit", ["<ul>", "<h1>", "<i></b>", "</i>", "<ul><li>", "<p><table><h1>", "<div></p>"])
+def test_closing_takes_constant_time(unit):
+    import time
+
+    started = time.process_time()
+    html_text.parse("<p><i>" + unit * 100_000 + "x")
+    assert time.process_time() - started < 15
+
+
+@pytest.mark.parametrize("page", ["<body>{}</body>", "<article><div>{}</div></article>", "<article><div><div>{}</div></div></article>"])
+def test_near_copies_are_no_template(spark, page):
+    shared = "".join(f"<div>Paragraph {k} stands on every edition of this text.</div>" for k in range(4))
+    rows = [(i, "http://h.example/x", page.replace("{}", f"{shared}<div>Edition {i} only.</div>")) for i in range(12)]
+    got = {r.page_id: r.text for r in html_text.extract_pages(frame(spark, rows)).collect()}
+    whole = " ".join(f"Paragraph {k} stands on every edition of this text." for k in range(4))
+    assert got == {i: f"{whole} Edition {i} only." for i in range(12)}
+
+
 @pytest.mark.parametrize("source", CASES)
 def test_text(source):
     assert html_text.extract(source) == CASES[source]

@@ -24,8 +24,8 @@ def closure(ids, links):
     return name
 
 
-def brute(rows, percent=90):
-    rows = [(i, token_set(t)) for i, t in rows if i is not None]
+def brute(rows, percent=90, size=3):
+    rows = [(i, token_set(t, size)) for i, t in rows if i is not None]
     links = [(a, b) for k, (a, s) in enumerate(rows) for b, t in rows[:k] if s and t and 100 * len(s & t) >= percent * len(s | t)]
     name = closure([i for i, _ in rows], links)
     return {i: (len(s), name[i]) for i, s in rows}

@@ -16,7 +16,7 @@ def test_run(spark, data):
     model = toxicity.train(given.where(given.doc_id.isin(list(left))).drop("text").join(spark.createDataFrame(list(left.items()), "doc_id long, text string"), "doc_id"), table(spark, data, "labels"))
     score = dict(zip(left, toxicity.Scorer(model).score(list(left.values()))[0], strict=True))
     left = {i: t for i, t in left.items() if score[i] < toxicity.THRESHOLD}
-    named = brute(list(left.items()))
+    named = brute(list(left.items()), pipeline.NEAR_PERCENT, pipeline.NEAR_WORDS)
     left = {i: t for i, t in left.items() if named[i][1] == i}
     out = pipeline.run(spark, data).collect()
     got = {r.doc_id: r.length for r in out}
