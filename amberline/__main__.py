@@ -14,7 +14,7 @@ from amberline.operators.decode import parse_transactions
 from amberline.operators.features import engineer_features
 from amberline.operators.scoring import score
 from amberline.session import build_session
-from amberline.sources.files import read_results, unread_files
+from amberline.sources.files import unread_files
 from amberline.sources.kafka import (
     MAX_PER_TRIGGER,
     TOPIC,
@@ -23,8 +23,8 @@ from amberline.sources.kafka import (
     stream_options,
 )
 from amberline.sources.models import load_model
-from amberline.streaming import compaction
-from amberline.streaming.compaction import KINDS, read_compacted
+from amberline.streaming import compaction, state
+from amberline.streaming.compaction import KINDS, take_snapshot
 from amberline.streaming.monitor import LagListener
 from amberline.streaming.run import JobConfig, run_job
 from amberline.streaming.sinks import SINKS, output_path
@@ -81,29 +81,33 @@ def show_report(
 ) -> None:
     """Parquet holds the same rows as the CSV folder, and lets each figure read its columns only.
 
-    Compacted days are read instead of the batches they hold; ``since`` and ``until`` prune them.
+    All is read at one snapshot of complete batches. Compacted days are read instead of the batches they
+    hold; ``since`` and ``until`` prune them. Without these, totals come from the states of the batches.
     """
+    snapshot = take_snapshot(spark, base)
     if kind == "csv":
-        results = read_results(spark, output_path(base, "results"))
-        results = results.where(_between("processed_time", since, until))
+        results = snapshot.results().where(_between("processed_time", since, until))
     else:
-        results = views.results_view(read_compacted(spark, base, "predictions", since, until))
-    alerts = read_compacted(spark, base, "alerts", since, until)
+        results = views.results_view(snapshot.rows("predictions", since, until))
+    alerts = snapshot.rows("alerts", since, until)
+    totals, source = (state, snapshot.state()) if kind == "parquet" and not since and not until else (report, None)
+    if source is None:
+        totals, source = report, results
     for name in ("results", "alerts"):
         skipped = unread_files(spark, output_path(base, name))
         if kind == "csv" or name == "alerts":
             for row in skipped.toLocalIterator():
                 print(f"unreadable, skipped: {row.file} ({row.length} bytes)")
-    report.summary(results).show(vertical=True, truncate=False)
+    totals.summary(source).show(vertical=True, truncate=False)
     latest = views.recent_alerts(alerts, with_total=True)
     views.alert_card(latest).show(truncate=False)
     latest.selectExpr("coalesce(max(total_alerts), 0) AS total_alerts").show()
     if charts:
-        report.class_split(results).show()
+        totals.class_split(source).show()
         report.amount_histogram(results).orderBy("bin", "is_fraud_predicted").show(60)
         report.probability_histogram(results).orderBy("bin").show()
-        report.amount_buckets(results).orderBy("bucket_no").show()
-        report.top_locations(results).show(truncate=False)
+        totals.amount_buckets(source).orderBy("bucket_no").show()
+        totals.top_locations(source).show(truncate=False)
         views.recent_transactions(results).show(truncate=False)
 
 
@@ -125,6 +129,7 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     for name in KINDS:
         chunk = compaction.compact(spark, args.base, name, args.keep)
         print(f"{name}: {chunk or 'nothing to compact'}")
+    print(f"state: {compaction.compact_state(spark, args.base, args.keep) or 'nothing to compact'}")
 
 
 def parser() -> argparse.ArgumentParser:

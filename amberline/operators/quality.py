@@ -34,6 +34,16 @@ def _judged(messages: DataFrame) -> DataFrame:
     )
 
 
+def judge_transactions(messages: DataFrame) -> DataFrame:
+    """As ``parse_transactions``, with ``_body`` (the message) and ``_reason`` (null, or why it cannot be taken), from one decode."""
+    return _judged(messages).selectExpr("r.* EXCEPT (bad)", "kafka_timestamp", "body AS _body", "reason AS _reason")
+
+
+def refused(judged: DataFrame) -> DataFrame:
+    """The judged messages that cannot be taken, as ``quarantine`` gives them."""
+    return judged.where("_reason IS NOT NULL").selectExpr("_body AS value", "_reason AS reason", "kafka_timestamp")
+
+
 def quarantine(messages: DataFrame) -> DataFrame:
     """Messages that are empty, not JSON, of a wrong type or without any known field, and why."""
     judged = _judged(messages).where("reason IS NOT NULL")

@@ -46,7 +46,11 @@ def summary(df: DataFrame) -> DataFrame:
         "n_amounts": amount_count(),
         "n_flagged_amounts": amount_count(within=_FLAGGED),
     }
-    totals = df.selectExpr(*aliased(_COUNTS), *aliased(amounts))
+    return summary_of(df.selectExpr(*aliased(_COUNTS), *aliased(amounts)))
+
+
+def summary_of(totals: DataFrame) -> DataFrame:
+    """The summary, from one row of counts and sums."""
     return totals.selectExpr(
         "total_transactions",
         "fraud_detected",
@@ -87,13 +91,17 @@ CLASS_LABELS = {0: "Legitimate", 1: "Fraudulent"}
 def class_split(df: DataFrame) -> DataFrame:
     """Rows per predicted class with their share of the classified rows; absent classes are left out."""
     counts = {name: f"count_if(is_fraud_predicted = {value})" for value, name in CLASS_LABELS.items()}
-    classified = f"({' + '.join(counts)})"
+    return class_split_of(df.selectExpr(*aliased(counts)))
+
+
+def class_split_of(counted: DataFrame) -> DataFrame:
+    """The split, from one row of counts by label."""
+    classified = f"({' + '.join(CLASS_LABELS.values())})"
     rows = ", ".join(
         f"struct({value} AS is_fraud_predicted, {text(name)} AS label, {name} AS transactions, "
         f"{percent(name, classified)} AS share_pct)"
         for value, name in CLASS_LABELS.items()
     )
-    counted = df.selectExpr(*aliased(counts))
     return counted.selectExpr(f"inline(array({rows}))").where("transactions > 0")
 
 
@@ -201,25 +209,30 @@ AMOUNT_BUCKETS: tuple[tuple[str, int], ...] = (
 OTHER_BUCKET = "other"
 
 
+def bucket_no() -> Column:
+    """The number of an amount's bucket; null, NaN and negative amounts are in the last one."""
+    other = len(AMOUNT_BUCKETS)
+    downwards = " ".join(f"WHEN amount >= {low} THEN {index}" for index, (_, low) in reversed(list(enumerate(AMOUNT_BUCKETS))))
+    return F.expr(f"CASE WHEN isnan(amount) THEN {other} {downwards} ELSE {other} END")
+
+
 def amount_buckets(df: DataFrame) -> DataFrame:
     """Legitimate and fraudulent rows per amount bucket, in bucket order, empty ones included.
 
     Buckets are closed on the left. Null, NaN and negative amounts are counted as ``other``.
     """
-    labels = [label for label, _ in AMOUNT_BUCKETS] + [OTHER_BUCKET]
-    other = len(labels) - 1
-    downwards = " ".join(
-        f"WHEN amount >= {low} THEN {index}" for index, (_, low) in reversed(list(enumerate(AMOUNT_BUCKETS)))
-    )
-    placed = df.selectExpr(
-        f"CASE WHEN isnan(amount) THEN {other} {downwards} ELSE {other} END AS bucket_no",
-        "is_fraud_predicted",
-    )
+    placed = df.select(bucket_no().alias("bucket_no"), "is_fraud_predicted")
     counted = placed.groupBy("bucket_no").agg(
         F.expr("count_if(is_fraud_predicted = 0) AS legitimate"),
         F.expr(f"count_if({_FLAGGED}) AS fraudulent"),
     )
-    frame = df.sparkSession.range(0, len(labels), 1, 1).selectExpr("CAST(id AS INT) AS bucket_no")
+    return amount_buckets_of(counted)
+
+
+def amount_buckets_of(counted: DataFrame) -> DataFrame:
+    """All buckets, from the counts of those that have any."""
+    labels = [label for label, _ in AMOUNT_BUCKETS] + [OTHER_BUCKET]
+    frame = counted.sparkSession.range(0, len(labels), 1, 1).selectExpr("CAST(id AS INT) AS bucket_no")
     return frame.join(F.broadcast(counted), "bucket_no", "left").selectExpr(
         "bucket_no",
         f"element_at(array({', '.join(map(text, labels))}), bucket_no + 1) AS bucket",

@@ -30,8 +30,8 @@ from amberline.sources.files import read_alerts, read_predictions, read_results
 from amberline.sources.kafka import read_batch
 from amberline.sources.models import load_model
 from amberline.sources.tables import transactions
-from amberline.streaming import monitor
-from amberline.streaming.compaction import compact, read_compacted
+from amberline.streaming import monitor, state
+from amberline.streaming.compaction import compact, compact_state, read_compacted, take_snapshot
 from amberline.streaming.run import JobConfig, run_job
 from amberline.streaming.sinks import FILE_SINKS, output_path
 from amberline.streaming.totals import start_running_rate
@@ -308,7 +308,28 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = {"format": "parquet", "path": f"{base}/messages"}
     run_job(spark, JobConfig(base, source, sinks=("predictions",), available_now=True, quarantine=True))
     kept = spark.read.schema("value string, reason string, kafka_timestamp timestamp")
-    return kept.json(output_path(base, "quarantine"))
+    return kept.json(output_path(base, "quarantine")).select("value", "reason", "kafka_timestamp")
+
+
+def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages given, refused and scored by a job that keeps refused ones apart, over several batches."""
+    base = scratch_path(spark, "stream")
+    tampered(spark, sf_dir).repartition(4).write.parquet(f"{base}/messages")
+    source = {"format": "parquet", "path": f"{base}/messages", "maxFilesPerTrigger": "2"}
+    run_job(spark, JobConfig(base, source, sinks=("predictions",), available_now=True, quarantine=True))
+    snapshot = take_snapshot(spark, base)
+    scored = snapshot.rows("predictions").agg(F.count("*").alias("scored")).scalar()
+    return state.intake(snapshot.state()).select("messages", "refused", scored.alias("scored"))
+
+
+def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged state of a stream of several batches, half of them compacted."""
+    base = scratch_path(spark, "stream")
+    messages(spark, sf_dir).repartition(6).write.parquet(f"{base}/messages")
+    source = {"format": "parquet", "path": f"{base}/messages", "maxFilesPerTrigger": "2"}
+    run_job(spark, JobConfig(base, source, sinks=("predictions",), available_now=True))
+    compact_state(spark, base)
+    return take_snapshot(spark, base).state()
 
 
 def stream_separate_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,6 +439,11 @@ QUERIES: dict[str, Query] = {
     "separate_alerts": separate_alerts,
     "stream_quarantine": stream_quarantine,
     "stream_running_rate": stream_running_rate,
+    "stream_intake": stream_intake,
+    "state_summary": lambda spark, sf_dir: state.summary(_state(spark, sf_dir)),
+    "state_class_split": lambda spark, sf_dir: state.class_split(_state(spark, sf_dir)),
+    "state_amount_buckets": lambda spark, sf_dir: state.amount_buckets(_state(spark, sf_dir)),
+    "state_top_locations": lambda spark, sf_dir: state.top_locations(_state(spark, sf_dir)),
     "compacted_predictions": compacted,
     "write_latency": write_latency,
     "throughput": lambda spark, sf_dir: monitor.throughput(transactions(spark, sf_dir), "1 hour"),

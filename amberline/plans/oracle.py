@@ -460,3 +460,7 @@ ORACLE: dict[str, str] = {
     ),
     "deduplicated": _PARSED,
 }
+# Figures from the states of batches are those of all rows.
+ORACLE |= {f"state_{name}": ORACLE[name] for name in ("summary", "class_split", "amount_buckets", "top_locations")}
+ORACLE["stream_intake"] = f"""WITH {_TX}, kinds AS (SELECT CAST(transaction_id AS BIGINT) % 8 AS kind FROM tx)
+SELECT count(*) AS messages, count(*) FILTER (WHERE kind NOT IN (6, 7)) AS refused, count(*) FILTER (WHERE kind IN (6, 7)) AS scored FROM kinds"""

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amberline.session import exists
-from amberline.sources.files import read_alerts, read_predictions
+from amberline.sources.files import read_alerts, read_predictions, read_results
+from amberline.streaming import commits
+from amberline.streaming.state import KEYS, STATE, SUMS, merged, read_state
 from amberline.streaming.sinks import output_path
 
 Reader = Callable[..., DataFrame]
@@ -24,19 +27,19 @@ _DONE = "chunk string, run string, last_batch int"
 KINDS: dict[str, tuple[Reader, str]] = {"predictions": (read_predictions, "kafka_timestamp"), "alerts": (read_alerts, "alert_time")}
 
 
-def _done(spark: SparkSession, base: str, name: str) -> list:
+def done_rows(spark: SparkSession, base: str, name: str) -> list:
     path = f"{output_path(base, name)}_done"
     return spark.read.schema(_DONE).json(path).collect() if exists(spark, path) else []  # a row for each run and compaction
 
 
-def _reached(done: list) -> dict[str, int]:
+def reached(done: list) -> dict[str, int]:
     last: dict[str, int] = {}
     for row in done:
         last[row.run] = max(row.last_batch, last.get(row.run, -1))
     return last
 
 
-def _after(last: dict[str, int]) -> str:
+def after(last: dict[str, int]) -> str:
     """A condition on folder columns: batches that no chunk holds."""
     known = [f"(run = '{run}' AND batch_id <= {batch})" for run, batch in sorted(last.items())]
     return f"NOT ({' OR '.join(known)})" if known else "true"
@@ -50,29 +53,87 @@ def compact(spark: SparkSession, base: str, name: str = "predictions", keep: int
     the files: small dates are packed together, a date with much of the data is split.
     """
     reader, arrival = KINDS[name]
-    reached = _reached(_done(spark, base, name))
-    rows = reader(spark, output_path(base, name), partitions=["run", "batch_id"]).where(_after(reached))
-    newest = rows.groupBy("run").agg(F.max("batch_id").alias("last")).collect()
-    ends = [r for r in newest if r.last is not None and r.last - keep > reached.get(r.run, -1)]
-    taken = [f"(run = '{r.run}' AND batch_id <= {r.last - keep})" for r in ends]
-    if not taken:
+    rows = reader(spark, output_path(base, name), partitions=["run", "batch_id"])
+    rows, ends = _to_take(spark, base, name, keep, rows)
+    if not ends:
         return None
-    rows = rows.where(" OR ".join(taken)).drop("run", "batch_id").withColumn("arrival_date", F.to_date(arrival))
+    rows = rows.drop("run", "batch_id").withColumn("arrival_date", F.to_date(arrival))
     chunk = uuid.uuid4().hex
     target = f"{output_path(base, name)}_daily/chunk={chunk}"
     rows.hint("rebalance", "arrival_date").write.partitionBy("arrival_date").parquet(target)
-    marks = spark.createDataFrame([(chunk, r.run, r.last - keep) for r in ends], _DONE)
-    marks.coalesce(1).write.mode("append").json(f"{output_path(base, name)}_done")
+    _list(spark, base, name, chunk, ends)
+    return chunk
+
+
+def compact_state(spark: SparkSession, base: str, keep: int = 1) -> str | None:
+    """Merge the states that no earlier compaction has taken into one; as ``compact``."""
+    path = output_path(base, "state")
+    if not exists(spark, path):
+        return None
+    rows = spark.read.schema(f"{STATE}, run string, batch_id int").parquet(path)
+    rows, ends = _to_take(spark, base, "state", keep, rows)
+    if not ends:
+        return None
+    chunk = uuid.uuid4().hex
+    merged(rows.select(*KEYS, *SUMS)).write.parquet(f"{path}_daily/chunk={chunk}")
+    _list(spark, base, "state", chunk, ends)
     return chunk
 
 
+def _to_take(spark: SparkSession, base: str, name: str, keep: int, rows: DataFrame) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """The rows of complete batches that are to be taken, and each run's last such batch."""
+    before = reached(done_rows(spark, base, name))
+    rows = rows.where(after(before)).where(commits.complete(commits.committed(spark, base)))
+    newest = rows.groupBy("run").agg(F.max("batch_id").alias("last")).collect()
+    ends = [(r.run, r.last - keep) for r in newest if r.last is not None and r.last - keep > before.get(r.run, -1)]
+    taken = " OR ".join(f"(run = '{run}' AND batch_id <= {last})" for run, last in ends)
+    return rows.where(taken or "false"), ends
+
+
+def _list(spark: SparkSession, base: str, name: str, chunk: str, ends: list[tuple[str, int]]) -> None:
+    marks = spark.createDataFrame([(chunk, run, last) for run, last in ends], _DONE)
+    marks.coalesce(1).write.mode("append").json(f"{output_path(base, name)}_done")
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """All outputs as they stood together at one moment: batches complete by then, and what of them was compacted.
+
+    Readers of one snapshot agree on the batches, whatever is written or compacted meanwhile.
+    """
+
+    spark: SparkSession
+    base: str
+    done: dict[str, list]
+    last: dict[str, int]
+
+    def rows(self, name: str, since: str | None = None, until: str | None = None) -> DataFrame:
+        """Predictions or alerts, as ``read_compacted``."""
+        return read_compacted(self.spark, self.base, name, since, until, self)
+
+    def results(self) -> DataFrame:
+        rows = read_results(self.spark, output_path(self.base, "results"), partitions=["run", "batch_id"])
+        return rows.where(commits.complete(self.last)).drop("run", "batch_id")
+
+    def state(self) -> DataFrame | None:
+        return read_state(self.spark, self.base, self.last, self.done["state"])
+
+
+def take_snapshot(spark: SparkSession, base: str) -> Snapshot:
+    """What was compacted is looked up first: all of it is complete when the batches are."""
+    done = {name: done_rows(spark, base, name) for name in (*KINDS, "state")}
+    return Snapshot(spark, base, done, commits.committed(spark, base))
+
+
 def read_compacted(
-    spark: SparkSession, base: str, name: str = "predictions", since: str | None = None, until: str | None = None
+    spark: SparkSession, base: str, name: str = "predictions", since: str | None = None, until: str | None = None, snapshot: Snapshot | None = None
 ) -> DataFrame:
-    """All rows of an output, compacted or not; ``since`` and ``until`` (dates, both included) prune compacted folders."""
+    """All rows of complete batches of an output, compacted or not; ``since`` and ``until`` (dates, both included) prune compacted folders."""
     reader, arrival = KINDS[name]
-    done = _done(spark, base, name)
-    rest = reader(spark, output_path(base, name), partitions=["run", "batch_id"]).where(_after(_reached(done))).drop("run", "batch_id")
+    snapshot = snapshot or take_snapshot(spark, base)
+    done = snapshot.done[name]
+    rest = reader(spark, output_path(base, name), partitions=["run", "batch_id"])
+    rest = rest.where(after(reached(done))).where(commits.complete(snapshot.last)).drop("run", "batch_id")
     rest = rest.withColumn("arrival_date", F.to_date(arrival))
     rows = rest
     if done:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from amberline.operators.decode import parse_transactions
 from amberline.operators.features import engineer_features
-from amberline.operators.quality import deduplicate, quarantine
+from amberline.operators.quality import deduplicate, judge_transactions, quarantine
 from amberline.operators.scoring import score
 from amberline.sources.kafka import read_stream
 from amberline.sources.models import load_model
@@ -24,7 +24,9 @@ class JobConfig:
 
     ``fan_out`` runs one query that feeds all ``sinks``; otherwise each of them is a query of its
     own. A base serves one of the two modes. ``dedup_within`` drops repeats of an id that arrive
-    that close together. ``quarantine`` adds a query that keeps messages that cannot be taken.
+    that close together. ``quarantine`` keeps messages that cannot be taken apart: each message is
+    either scored or there. The fan-out splits its one decode; separate sinks score all and a query
+    of its own keeps them.
     """
 
     base: str
@@ -41,7 +43,9 @@ class JobConfig:
 def scored_stream(spark: SparkSession, config: JobConfig) -> DataFrame:
     # Without dedup the fan-out filters only rows it has written, so its parse needs no guard.
     guard = not config.fan_out or config.dedup_within is not None
-    parsed = parse_transactions(read_stream(spark, config.source), guard=guard)
+    messages = read_stream(spark, config.source)
+    split = config.quarantine and config.fan_out
+    parsed = judge_transactions(messages) if split else parse_transactions(messages, guard=guard)
     if config.dedup_within:
         parsed = deduplicate(parsed, config.dedup_within)
     model = load_model(config.model_path) if config.model_path else None
@@ -63,9 +67,8 @@ def start_quarantine(spark: SparkSession, config: JobConfig) -> StreamingQuery:
 def start_job(spark: SparkSession, config: JobConfig) -> list[StreamingQuery]:
     scored = scored_stream(spark, config)
     if config.fan_out:
-        queries = [start_fan_out(scored, config.base, config.every, config.available_now, config.sinks)]
-    else:
-        queries = start_sinks(scored, config.base, config.sinks, config.available_now)
+        return [start_fan_out(scored, config.base, config.every, config.available_now, config.sinks)]
+    queries = start_sinks(scored, config.base, config.sinks, config.available_now)
     return [*queries, start_quarantine(spark, config)] if config.quarantine else queries
 
 
