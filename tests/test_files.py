@@ -1,5 +1,10 @@
+import gzip
+import os
+from urllib.parse import unquote
+
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from amberline.operators.features import engineer_features
 from amberline.operators.scoring import score_rules
@@ -7,7 +12,7 @@ from amberline.operators.unions import union_all
 from amberline.operators.views import alerts_view, console_view, results_view
 from amberline.schemas import ALERTS, CONSOLE_COLUMNS, CSV_OPTIONS, RESULTS, SCORED, names
 from amberline.session import scratch_path
-from amberline.sources.files import read_alerts, read_predictions, read_results, unread_files
+from amberline.sources.files import HEAD_BLOCK, HEAD_MOST, first_records, read_alerts, read_predictions, read_results, unread_files
 from amberline.streaming.compaction import compact, read_compacted
 from amberline.streaming.fanout import write_batch
 from tests.helpers import ARRIVED, frame, tx
@@ -241,3 +246,43 @@ def test_scratch_without_a_setting_is_in_the_warehouse(spark):
                 return {"spark.sql.warehouse.dir": "file:/wh/"}.get(name, default)
 
     assert scratch_path(Session, "x").startswith("file:/wh/_scratch/x-")
+
+
+def test_headers_take_a_block_of_each_file(spark, tmp_path):
+    folder = tmp_path / "r"
+    folder.mkdir()
+    line = "t1,1,5.0,Denver,Acme,0.1,0,0,rule_based,2024-03-10T08:00:00.000Z\n"
+    for i in range(3):
+        (folder / f"big {i} & co.csv").write_text(",".join(names(RESULTS)) + "\n" + line * 20_000)
+    (folder / "quoted.csv").write_text('"transaction_id","odd\nname","amount"\nq1,x,2.5\n')
+    (folder / "marked.csv").write_bytes("\ufefftransaction_id,amount\r\nm1,3.5\r\n".encode())
+    (folder / "empty.csv").write_bytes(b"")
+    with gzip.open(folder / "zipped.csv.gz", "wt") as packed:
+        packed.write(",".join(names(RESULTS)) + "\n" + line)
+    (folder / "broken.csv.gz").write_bytes(b"no gzip")
+    heads = {os.path.basename(unquote(r.file)): r for r in first_records(spark, str(folder)).collect()}
+    assert len(heads) == 7 and all(r.fetched <= HEAD_BLOCK for r in heads.values())
+    assert sum(p.stat().st_size for p in folder.iterdir()) > 40 * HEAD_BLOCK
+    assert heads["quoted.csv"].header == ["transaction_id", "odd\nname", "amount"] and heads["marked.csv"].header == ["transaction_id", "amount"]
+    assert not heads["broken.csv.gz"].readable and heads["zipped.csv.gz"].header == names(RESULTS)
+    assert [os.path.basename(r.file) for r in unread_files(spark, str(folder)).collect()] == ["broken.csv.gz"]
+    rows = {r.transaction_id: r["n"] for r in read_results(spark, str(folder)).groupBy("transaction_id").agg(F.count("*").alias("n")).collect()}
+    assert rows == {"t1": 60_001, "q1": 1, "m1": 1}
+
+
+def test_an_open_quote_does_not_read_the_file(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "odd.csv").write_text('transaction_id,"amount\n' + "x,1\n" * 1_000_000)
+    (row,) = first_records(spark, str(tmp_path / "r")).collect()
+    assert row.line == 'transaction_id,"amount' and row.fetched <= HEAD_MOST + HEAD_BLOCK < row.length
+
+
+def test_stores_that_tasks_cannot_open(spark, tmp_path):
+    scored_csv = tmp_path / "r"
+    scored_csv.mkdir()
+    (scored_csv / "a.csv").write_text("amount,transaction_id\n2.5,a1\n")
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.heads.link./in", f"file://{scored_csv}")
+    (row,) = first_records(spark, "viewfs://heads/in").collect()
+    assert (row.line, row.header, row.readable) == ("amount,transaction_id", ["amount", "transaction_id"], True)
+    assert [(r.transaction_id, r.amount) for r in read_results(spark, "viewfs://heads/in").collect()] == [("a1", 2.5)]
