@@ -6,6 +6,7 @@ from __future__ import annotations
 import argparse
 import time
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import SparkSession
 
@@ -129,7 +130,11 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     for name in KINDS:
         chunk = compaction.compact(spark, args.base, name, args.keep)
         print(f"{name}: {chunk or 'nothing to compact'}")
+        if args.reclaim_after is not None:
+            print(f"{name}: {compaction.reclaim(spark, args.base, name, timedelta(hours=args.reclaim_after))} batch folders deleted")
     print(f"state: {compaction.compact_state(spark, args.base, args.keep) or 'nothing to compact'}")
+    if args.reclaim_after is not None:
+        print(f"state: {compaction.reclaim(spark, args.base, 'state', timedelta(hours=args.reclaim_after))} batch folders deleted")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -170,6 +175,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--to", help="last day of arrival")
     sub = command("compact", compact)
     sub.add_argument("--keep", type=int, default=1, help="newest batches of each run to leave as they are")
+    sub.add_argument("--reclaim-after", type=float, help="delete compacted batch folders after so many hours")
     return root
 
 

@@ -49,3 +49,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate data."""
     files, place = _place(spark, path)
     files.delete(place, True)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The names of what a folder holds; nothing where there is none."""
+    files, place = _place(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []

@@ -30,6 +30,11 @@ def _or_empty(spark: SparkSession, layout: Layout, partitions: Sequence[str], re
         return empty.selectExpr("*", *(f"CAST(NULL AS {FOLDERS.get(name, 'string')}) AS `{name}`" for name in partitions))
 
 
+def _folder_types(partitions: Sequence[str]) -> str:
+    """Folder columns for a schema, so that a folder that has none left still has the columns."""
+    return "".join(f", `{name}` {FOLDERS.get(name, 'string')}" for name in partitions)
+
+
 def _folder_options(nested: bool, lenient: bool = True) -> dict[str, str]:
     # Recursive lookup turns partition discovery off, so it is for folders without partitions.
     options = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"} if lenient else {}
@@ -226,7 +231,7 @@ def read_alerts(
 
     def read() -> DataFrame:
         lines = (
-            spark.read.schema(f"{ddl(ALERTS)}, `_bad` string")
+            spark.read.schema(f"{ddl(ALERTS)}, `_bad` string{_folder_types(partitions)}")
             .options(
                 mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", **_folder_options(nested)
             )
@@ -247,7 +252,7 @@ def read_predictions(
     """Scored rows from Parquet, all 20 columns. A file that is damaged or vanishes is an error."""
 
     def read() -> DataFrame:
-        files = spark.read.schema(ddl(SCORED)).options(**_folder_options(nested, lenient=False)).parquet(path)
+        files = spark.read.schema(ddl(SCORED) + _folder_types(partitions)).options(**_folder_options(nested, lenient=False)).parquet(path)
         return files.select(*names(SCORED), *partitions)
 
     return _or_empty(spark, SCORED, partitions, read)

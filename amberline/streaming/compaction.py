@@ -1,9 +1,13 @@
 """Turn many small batch folders into few well-sized files per arrival date, a piece at a time.
 
 ``<name>_daily/chunk=<id>/arrival_date=<day>`` holds the rows of one compaction; ``<name>_done``
-says, once they are written, up to which batch of which run they reach. Readers take the chunks
-that are listed there and the batches after them, so every row is read once, also while a
+says, once they are written, up to which batch of which run they reach, and when. Readers take the
+chunks that are listed there and the batches after them, so every row is read once, also while a
 compaction runs or after one that failed.
+
+Within a day rows are dealt and sorted by range of ``transaction_id``, with Bloom filters in the
+files, so that a lookup by id reads few row groups. ``reclaim`` deletes batch folders that a chunk
+has held for longer than any reader of them may still run.
 """
 
 from __future__ import annotations
@@ -11,18 +15,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amberline.session import exists
+from amberline.session import exists, listed, remove
 from amberline.sources.files import read_alerts, read_predictions, read_results
 from amberline.streaming import commits
 from amberline.streaming.state import KEYS, STATE, SUMS, merged, read_state
 from amberline.streaming.sinks import output_path
 
 Reader = Callable[..., DataFrame]
-_DONE = "chunk string, run string, last_batch int"
+_DONE = "chunk string, run string, last_batch int, listed_at timestamp"
 # The time of arrival in each kind of output.
 KINDS: dict[str, tuple[Reader, str]] = {"predictions": (read_predictions, "kafka_timestamp"), "alerts": (read_alerts, "alert_time")}
 
@@ -48,9 +53,8 @@ def after(last: dict[str, int]) -> str:
 def compact(spark: SparkSession, base: str, name: str = "predictions", keep: int = 1) -> str | None:
     """Compact the batches that no earlier compaction has taken; the newest ``keep`` of each run are left.
 
-    The newest batch may still be being written, or be written again after a failure. Returns the
-    chunk's name, or None when there was nothing to do. The rebalance lets adaptive execution size
-    the files: small dates are packed together, a date with much of the data is split.
+    Only complete batches are taken. Returns the chunk's name, or None when there was nothing to do. Ranges
+    of arrival date and id are of like size whatever the dates hold, and adaptive execution joins small ones.
     """
     reader, arrival = KINDS[name]
     rows = reader(spark, output_path(base, name), partitions=["run", "batch_id"])
@@ -60,7 +64,8 @@ def compact(spark: SparkSession, base: str, name: str = "predictions", keep: int
     rows = rows.drop("run", "batch_id").withColumn("arrival_date", F.to_date(arrival))
     chunk = uuid.uuid4().hex
     target = f"{output_path(base, name)}_daily/chunk={chunk}"
-    rows.hint("rebalance", "arrival_date").write.partitionBy("arrival_date").parquet(target)
+    rows = rows.repartitionByRange("arrival_date", "transaction_id").sortWithinPartitions("arrival_date", "transaction_id")
+    rows.write.partitionBy("arrival_date").options(**{"parquet.bloom.filter.enabled#transaction_id": "true"}).parquet(target)
     _list(spark, base, name, chunk, ends)
     return chunk
 
@@ -91,10 +96,35 @@ def _to_take(spark: SparkSession, base: str, name: str, keep: int, rows: DataFra
 
 
 def _list(spark: SparkSession, base: str, name: str, chunk: str, ends: list[tuple[str, int]]) -> None:
-    marks = spark.createDataFrame([(chunk, run, last) for run, last in ends], _DONE)
+    marks = spark.createDataFrame([(chunk, run, last, datetime.now(UTC)) for run, last in ends], _DONE)
     marks.coalesce(1).write.mode("append").json(f"{output_path(base, name)}_done")
 
 
+def reclaim(spark: SparkSession, base: str, name: str = "predictions", grace: timedelta = timedelta(hours=1)) -> int:
+    """Delete the batch folders whose rows a chunk has held for ``grace`` or longer; how many were deleted.
+
+    ``grace`` is the longest time that a reader may take: one that began before the chunk was listed reads
+    the folders, later ones the chunk. Batches that are written again after a failure were not complete, so
+    no chunk holds them. Listing the folder then costs as much as the batches since the last chunks.
+    """
+    before = datetime.now(UTC) - grace
+    old = [row for row in done_rows(spark, base, name) if row.listed_at is not None and row.listed_at.astimezone(UTC) <= before]
+    deleted = 0
+    for run, last in reached(old).items():
+        for batch in batches_of(spark, base, name, run):
+            if batch <= last:
+                remove(spark, f"{output_path(base, name)}/run={run}/batch_id={batch}")
+                deleted += 1
+    return deleted
+
+
+def batches_of(spark: SparkSession, base: str, name: str, run: str) -> list[int]:
+    """The batches of a run that have a folder of an output."""
+    folder = f"{output_path(base, name)}/run={run}"
+    found = [entry.rpartition("=")[2] for entry in listed(spark, folder) if entry.startswith("batch_id=")]
+    return sorted(int(batch) for batch in found)
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """All outputs as they stood together at one moment: batches complete by then, and what of them was compacted.

@@ -42,7 +42,7 @@ def test_options_of_the_stream(spark, tmp_path, capfd):
     words = ["stream", "--base", base, "--messages", inbox, "--once", "--sinks", "predictions,alerts,console"]
     run(spark, *words, "--no-console", "--every", "1 second", "--quarantine")
     assert "fraud_probability" not in capfd.readouterr().out
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["alerts", "checkpoints", "predictions", "quarantine"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["alerts", "checkpoints", "commits", "predictions", "quarantine", "state"]
     assert parser().parse_args(["stream", "--base", "b"]).every == "5 seconds"
     with pytest.raises(SystemExit, match="--servers"):
         run(spark, "stream", "--base", base)

@@ -1,5 +1,8 @@
 """Batches as a whole: the split of a batch, states that add up, and readers that see complete batches only."""
 
+from datetime import timedelta
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from amberline.operators.scoring import score_rules
 from amberline.sources.files import read_predictions
 from amberline.sources.kafka import read_batch
 from amberline.streaming import commits, fanout, state
-from amberline.streaming.compaction import compact, compact_state, read_compacted, take_snapshot
+from amberline.streaming.compaction import batches_of, compact, compact_state, read_compacted, reclaim, take_snapshot
 from amberline.streaming.fanout import write_batch
 from amberline.streaming.run import JobConfig, run_job
 from tests.helpers import ARRIVED, frame, tx
@@ -174,3 +177,50 @@ def test_outputs_of_older_runs_are_complete(spark, tmp_path):
     rows.write.parquet(f"{base}/predictions/run=old/batch_id=7")
     write_batch(rows.limit(5), 0, base, ("predictions",))
     assert read_compacted(spark, base).count() == rows.count() + 5
+
+
+@pytest.mark.parametrize("keep", [0, 1])
+def test_reclaimed_batches_stay_readable(spark, tmp_path, keep):
+    base, rows = str(tmp_path), scored_rows(spark)
+    for batch in range(4):
+        write_batch(rows.where(F.col("transaction_id").cast("int") % 8 == batch), batch, base)
+    before = outputs(take_snapshot(spark, base))
+    for name in ("predictions", "alerts"):
+        assert compact(spark, base, name, keep) and reclaim(spark, base, name) == 0  # readers may still run
+        assert len(batches_of(spark, base, name, "none")) == 4
+    compact_state(spark, base, keep)
+    assert outputs(take_snapshot(spark, base)) == before
+    for name in ("predictions", "alerts", "state"):
+        assert reclaim(spark, base, name, timedelta(0)) == 4 - keep and reclaim(spark, base, name, timedelta(0)) == 0
+        assert batches_of(spark, base, name, "none") == [3][: keep]
+    assert outputs(take_snapshot(spark, base)) == before
+    write_batch(rows.where("transaction_id = '7'"), 4, base)
+    assert len(outputs(take_snapshot(spark, base))[0]) == len(before[0]) + 1
+    compare(spark, base, rows.where(F.col("transaction_id").cast("int") % 8 < 4).unionByName(rows.where("transaction_id = '7'")))
+    assert reclaim(spark, str(tmp_path / "none")) == 0
+
+
+def test_a_lookup_by_id_reads_few_row_groups(spark, tmp_path):
+    base, rows = str(tmp_path / "out"), scored_rows(spark).drop("transaction_id", "kafka_timestamp")
+    many = spark.range(40_000).selectExpr("lpad(cast(hash(id) AS STRING), 12, '0') AS transaction_id", "timestamp_seconds(1700000000 + id % 3 * 86400) AS kafka_timestamp")
+    columns = scored_rows(spark).columns
+    write_batch(many.crossJoin(F.broadcast(rows.limit(1))).select(*columns), 0, base, ("predictions",))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        compact(spark, base, keep=0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    wanted = many.selectExpr("max(transaction_id)").first()[0]
+    holding = 0
+    by_day: dict[str, list] = {}
+    for file in (tmp_path / "out" / "predictions_daily").rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for group in range(meta.num_row_groups):
+            stats = meta.row_group(group).column(0).statistics
+            by_day.setdefault(file.parent.name, []).append((stats.min, stats.max))
+            holding += stats.min <= wanted <= stats.max
+    assert sum(map(len, by_day.values())) >= 4 and all(a[1] <= b[0] for ends in by_day.values() for a, b in zip(sorted(ends), sorted(ends)[1:], strict=False))
+    found = read_compacted(spark, base).where(F.col("transaction_id") == wanted)
+    assert found.count() == 1 and holding <= 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(transaction_id" in plan
