@@ -242,7 +242,7 @@ def decode_stream(ids: list[int], tokens: dict[int, bytes]) -> Iterator[bytes]:
     """The bytes of a token stream in parts that end between characters; bytes that are no UTF-8 pass unchanged."""
     stream = Utf8Stream()
     for low in range(0, len(ids), DECODE):
-        yield stream.feed(b"".join([tokens[i] for i in ids[low : low + DECODE]]))
+        yield stream.feed(b"".join(map(tokens.__getitem__, ids[low : low + DECODE])))
     yield stream.close()
 
 
@@ -259,6 +259,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
     def run(batches):
         encoder = Encoder(load_ranks(ranks_path), pattern)
         tokens = encoder.machine.tokens
+        decimal = [str(i) for i in range(max(tokens, default=0) + 1)].__getitem__
         for batch in batches:
             rows, whole = [], texts(batch.column(1))
             for low, high in slices([len(text) for text in whole], SLICE_BYTES):
@@ -266,7 +267,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
                     decoded = hashlib.sha256()
                     for part in decode_stream(ids, tokens):
                         decoded.update(part)
-                    listed = ",".join(map(str, ids)).encode()
+                    listed = ",".join(map(decimal, ids)).encode()
                     rows.append((len(ids), hashlib.sha256(listed).hexdigest(), decoded.hexdigest(), ids if with_ids else None))
             found = zip(*rows, strict=True) if rows else [[]] * 4
             columns = [pa.array(c, t) for c, t in zip(found, kinds, strict=True)]
