@@ -236,7 +236,8 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
 def read_packages(packages: DataFrame) -> DataFrame:
     """All records of the packages named in ``path``: ``page_id, url, payload_bytes, payload_digest, record_type, refers_to, html``.
 
-    Packages are divided into ranges, which are dealt out to tasks whatever package they are of.
+    Packages are divided into ranges, which are dealt out to tasks whatever package they are of. No packages
+    give no records.
     """
 
     def ranges(batches):
@@ -256,7 +257,9 @@ def read_packages(packages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), shape, strict=True)], schema=shape)
 
     found = packages.select("path").mapInArrow(ranges, "path string, at array<long>, lengths array<long>")
-    found = found.repartition(F.xxhash64("path", F.col("at")[0]))
+    # With a number given, adaptive execution does not join the few bytes of many ranges into one task.
+    parts = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = found.repartition(parts, F.xxhash64("path", F.col("at")[0]))
     return found.mapInArrow(records, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html binary")
 
 

@@ -85,3 +85,10 @@ def test_zip64_directory(monkeypatch):
 def test_broken_package():
     with pytest.raises(ValueError):
         warc.directory(reader(b"no zip here, just text that is long enough to hold an end record"))
+
+
+def test_records_are_read_back_in_several_tasks(spark, tmp_path):
+    rows = [(i, f"http://a/{i}", f"<p>{i}</p>") for i in range(50)]
+    packages = warc.write_packages(pages(spark, rows), str(tmp_path))
+    read = warc.read_packages(packages)
+    assert read.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and read.count() == 50
