@@ -115,7 +115,8 @@ class SequenceWriter:
 
     def __init__(self, sink, kind, length: int):
         self.length, self.kind = length, np.dtype(kind)
-        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))])
+        fields = [("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))]
+        self.schema = pa.schema(fields, metadata={"sequences": str(SEQUENCES)})  # in each batch but the last
         self.writer = pa.ipc.new_file(sink, self.schema)
         self.parts, self.waiting = [], 0
 
@@ -123,12 +124,14 @@ class SequenceWriter:
         self.parts.append(ids)
         self.waiting += len(ids) // self.kind.itemsize
         if self.waiting >= self.length * SEQUENCES:
-            self._put(self.waiting - self.waiting % self.length)
-
-    def _put(self, n: int) -> None:
-        ids = np.frombuffer(b"".join(self.parts), self.kind)
-        self.parts, self.waiting = [ids[n:].tobytes()], max(0, len(ids) - n)
-        ids, full = ids[:n], -(-n // self.length) * self.length
+            ids, size = np.frombuffer(b"".join(self.parts), self.kind), self.length * SEQUENCES
+            for low in range(0, len(ids) - size + 1, size):
+                self._put(ids[low : low + size])
+            left = ids[len(ids) - len(ids) % size :]
+            self.parts, self.waiting = [left.tobytes()], len(left)
+
+    def _put(self, ids: np.ndarray) -> None:
+        full = -(-len(ids) // self.length) * self.length
         mask = np.arange(full) < len(ids)
         ids = np.concatenate([ids, np.zeros(full - len(ids), self.kind)])
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
@@ -136,8 +139,7 @@ class SequenceWriter:
 
     def close(self) -> None:
         if self.waiting:
-            n = self.waiting
-            self._put(n)
+            self._put(np.frombuffer(b"".join(self.parts), self.kind))
         self.writer.close()
 
 
@@ -149,15 +151,13 @@ class SequenceReader:
         self.source = pa.memory_map(name) if store.type_name == "local" else store.open_input_file(name)
         self.file = pa.ipc.open_file(self.source)
         self.length = self.file.schema.field("ids").type.list_size
-        self.ends, self.at, self.flat = [], -1, np.empty(0)
-        for i in range(self.file.num_record_batches):
-            self.ends.append((self.ends[-1] if self.ends else 0) + self.file.get_batch(i).num_rows * self.length)
+        self.size = self.length * int(self.file.schema.metadata[b"sequences"])  # ids in each batch but the last
+        self.at, self.flat = -1, np.empty(0)
 
     def sequence(self, i: int) -> tuple[np.ndarray, pa.Array]:
         """The ids (a view of the file) and the mask of sequence i."""
-        start = i * self.length
-        ids = self._batch(int(np.searchsorted(self.ends, start, "right")))
-        low = start - (self.ends[self.at - 1] if self.at else 0)
+        k, low = divmod(i * self.length, self.size)
+        ids = self._batch(k)
         mask = self.file.get_batch(self.at).column("mask").flatten().slice(low, self.length)
         return ids[low : low + self.length], mask
 
@@ -169,8 +169,8 @@ class SequenceReader:
     def tokens(self, start: int, n: int):
         """Views of the ids ``start`` to ``start + n``, one for each record batch that they lie in."""
         while n:
-            k = int(np.searchsorted(self.ends, start, "right"))
-            ids, low = self._batch(k), start - (self.ends[k - 1] if k else 0)
+            k, low = divmod(start, self.size)
+            ids = self._batch(k)
             found = ids[low : low + n]
             yield found
             start, n = start + len(found), n - len(found)
@@ -224,7 +224,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
 
 
 def read_documents(files: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document, read back from the files' sequences."""
+    """``doc_id, start, n_tokens, ids_crc32`` of every document, read back from the files' sequences; no files give no rows."""
 
     def run(batches):
         shape = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -244,7 +244,9 @@ def read_documents(files: DataFrame) -> DataFrame:
                         starts = pa.array(np.asarray(rows.column(1)) + base)
                         yield pa.RecordBatch.from_arrays([rows.column(0), starts, rows.column(2), pa.array(sums, pa.int64())], schema=shape)
 
-    spread = files.select("path", "docs_path", "start").repartition(F.xxhash64("path"))
+    # With a number given, adaptive execution does not join the few bytes of many files into one task.
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = files.select("path", "docs_path", "start").repartition(parts, F.xxhash64("path"))
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -85,3 +85,29 @@ def test_added_tokens_get_the_ids_of_the_library_call(spark):
 
 def test_empty(spark):
     assert token_files.token_round_trip(spark, docs(spark, []), PATH).count() == 0
+
+
+def test_files_are_read_back_in_several_tasks(spark):
+    texts = [(i, f"Words of text {i}. " * 40) for i in range(400)]
+    files = token_files.write_tokens(docs(spark, texts), scratch_path(spark, "tokens"), PATH, length=8)
+    many = files.unionByName(files).unionByName(files).unionByName(files)  # the same files, with paths of their own hash
+    read = token_files.read_documents(many.withColumn("path", many.path))
+    assert read.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert read.count() == 4 * 400
+
+
+@pytest.mark.parametrize("length", [1, 5, 64])
+def test_batches_are_of_one_size(tmp_path, length):
+    path, n = str(tmp_path / "x.arrow"), 3 * token_files.SEQUENCES * length + 7
+    ids = np.arange(n, dtype=np.uint16)
+    with open(path, "wb") as sink:
+        writer = token_files.SequenceWriter(sink, "<u2", length)
+        for low in range(0, n, 10_001):
+            writer.add(ids[low : low + 10_001].tobytes())
+        writer.close()
+    reader = token_files.SequenceReader(path)
+    sizes = [reader.file.get_batch(i).num_rows for i in range(reader.file.num_record_batches)]
+    assert sizes[:-1] == [token_files.SEQUENCES] * 3 and sizes[-1] == -(-7 // length)
+    for start, size in ((0, n), (n - 3, 3), (token_files.SEQUENCES * length - 2, 5)):
+        assert np.concatenate(list(reader.tokens(start, size))).tolist() == ids[start : start + size].tolist()
+    assert reader.sequence(1)[0].tolist() == ids[length : 2 * length].tolist()
