@@ -1,5 +1,6 @@
 """Command line: ``stream`` runs the scoring job, ``report`` prints figures over its outputs,
-``compact`` rewrites small files, ``replay`` scores a whole topic or message folder once."""
+``compact`` rewrites small files, ``replay`` scores a whole topic or message folder once, ``train``
+fits a model on labelled rows and chooses its threshold."""
 
 from __future__ import annotations
 
@@ -13,7 +14,7 @@ from pyspark.sql import SparkSession
 from amberline.operators import report, views
 from amberline.operators.decode import parse_transactions
 from amberline.operators.features import engineer_features
-from amberline.operators.scoring import score
+from amberline.operators.scoring import decision_threshold, score, train_and_evaluate
 from amberline.session import build_session
 from amberline.sources.files import unread_files
 from amberline.sources.kafka import (
@@ -112,6 +113,20 @@ def show_report(
         views.recent_transactions(results).show(truncate=False)
 
 
+def train(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Fit on the messages given, or else on the scored rows of the base, and save the model with its threshold."""
+    if args.messages or args.servers:
+        messages = read_batch(spark, _source(args, replay_options, args.min_partitions))
+        rows = engineer_features(parse_transactions(messages))
+    else:
+        rows = take_snapshot(spark, args.base).rows("predictions", getattr(args, "from"), args.to)
+    model, figures = train_and_evaluate(rows, holdout=args.holdout, least_precision=args.precision)
+    writer = model.write().overwrite() if args.overwrite else model.write()
+    writer.save(args.model)
+    figures.show(truncate=False)
+    print(f"threshold {decision_threshold(model)!r}, model saved in {args.model}")
+
+
 def _between(column: str, since: str | None, until: str | None) -> str:
     ends = [f"to_date({column}) >= DATE '{since}'"] if since else []
     ends += [f"to_date({column}) <= DATE '{until}'"] if until else []
@@ -137,6 +152,11 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"state: {compaction.reclaim(spark, args.base, 'state', timedelta(hours=args.reclaim_after))} batch folders deleted")
 
 
+def _days(sub: argparse.ArgumentParser) -> None:
+    sub.add_argument("--from", help="first day of arrival, as 2024-01-31")
+    sub.add_argument("--to", help="last day of arrival")
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="amberline")
     root.add_argument("--master")
@@ -148,14 +168,19 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--base", required=True, help="folder of outputs and checkpoints")
         return sub
 
-    for name, run in (("stream", stream), ("replay", replay)):
+    for name, run in (("stream", stream), ("replay", replay), ("train", train)):
         sub = command(name, run)
         sub.add_argument("--servers", help="addresses of the topic's brokers")
         sub.add_argument("--topic", default=TOPIC)
         sub.add_argument("--messages", help="read message files from this folder instead of a topic")
         sub.add_argument("--format", default="parquet", help="format of the message files")
-        sub.add_argument("--model", help="folder of a fitted pipeline")
+        sub.add_argument("--model", required=name == "train", help="folder of a fitted pipeline")
         sub.add_argument("--min-partitions", type=int, help="split the topic into at least this many tasks")
+        if name == "train":
+            sub.add_argument("--holdout", type=int, default=20, help="percentage of ids that choose the threshold")
+            sub.add_argument("--precision", type=float, help="least precision; without it the best f1 counts")
+            sub.add_argument("--overwrite", action="store_true", help="replace the model that is there")
+            _days(sub)
         if name == "stream":
             sub.add_argument("--starting", default="latest", choices=["latest", "earliest"])
             sub.add_argument("--max-per-trigger", type=int, default=MAX_PER_TRIGGER)
@@ -171,8 +196,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--results", choices=["parquet", "csv"], default="parquet")
     sub.add_argument("--times", type=int, default=1)
     sub.add_argument("--refresh", type=int, default=20, help="seconds between reports")
-    sub.add_argument("--from", help="first day of arrival, as 2024-01-31")
-    sub.add_argument("--to", help="last day of arrival")
+    _days(sub)
     sub = command("compact", compact)
     sub.add_argument("--keep", type=int, default=1, help="newest batches of each run to leave as they are")
     sub.add_argument("--reclaim-after", type=float, help="delete compacted batch folders after so many hours")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from amberline.functions.columns import aliased, status_label
 from amberline.functions.rules import DEFAULT_RULES
-from amberline.operators import quality, report, views
+from amberline.operators import evaluation, quality, report, views
 from amberline.operators.decode import parse_transactions, to_messages
 from amberline.operators.features import (
     AMOUNT_FEATURES,
@@ -173,6 +173,22 @@ def score_ensemble_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(score_ensemble(rows, model, weight=0.7))
 
 
+def amount_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The amount as a score: how well each threshold of it tells frauds, on the ids outside the holdout."""
+    rows = transactions(spark, sf_dir).where(f"NOT {evaluation.in_holdout()}")
+    return evaluation.precision_recall(rows, "amount")
+
+
+def model_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = _features_with_model(spark, sf_dir)
+    scored = score_model(rows, model).select(F.round("fraud_probability", 6).alias("p"), "is_fraud")
+    return evaluation.precision_recall(scored, "p")
+
+
+def amount_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.best_threshold(evaluation.precision_recall(transactions(spark, sf_dir), "amount"))
+
+
 # --- reports -------------------------------------------------------------------------------
 
 
@@ -403,6 +419,9 @@ QUERIES: dict[str, Query] = {
     "score_rules": score_rules_query,
     "score_model": score_model_query,
     "score_ensemble": score_ensemble_query,
+    "amount_curve": amount_curve,
+    "amount_threshold": amount_threshold,
+    "model_curve": model_curve,
     "predictions_view": predictions_view,
     "console_view": _on_scored(views.console_view),
     "results_view": _results,

@@ -464,3 +464,26 @@ ORACLE: dict[str, str] = {
 ORACLE |= {f"state_{name}": ORACLE[name] for name in ("summary", "class_split", "amount_buckets", "top_locations")}
 ORACLE["stream_intake"] = f"""WITH {_TX}, kinds AS (SELECT CAST(transaction_id AS BIGINT) % 8 AS kind FROM tx)
 SELECT count(*) AS messages, count(*) FILTER (WHERE kind NOT IN (6, 7)) AS refused, count(*) FILTER (WHERE kind IN (6, 7)) AS scored FROM kinds"""
+
+
+# A row is flagged when its score is above the threshold; the floor flags all.
+_CURVE = """
+counted AS (SELECT s, count(*) AS n, sum(is_fraud) AS y FROM judged_rows GROUP BY s UNION ALL SELECT CAST(-1 AS DOUBLE), 0, 0),
+curve AS (
+  SELECT s AS threshold, CAST(coalesce(sum(n) OVER above, 0) AS BIGINT) AS flagged,
+         CAST(coalesce(sum(y) OVER above, 0) AS BIGINT) AS true_positives, CAST(sum(y) OVER () AS DOUBLE) AS frauds
+  FROM counted WINDOW above AS (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+judged_curve AS (
+  SELECT threshold, flagged, true_positives, CAST(true_positives AS DOUBLE) / nullif(flagged, 0) AS precision,
+         true_positives / frauds AS recall, CAST(2 * true_positives AS DOUBLE) / (flagged + frauds) AS f1
+  FROM curve
+)"""
+_NOT_HELD = "NOT CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT) % 100 < 20"
+ORACLE["amount_curve"] = f"""WITH {_TX}, judged_rows AS (SELECT amount AS s, is_fraud FROM tx WHERE {_NOT_HELD}), {_CURVE}
+SELECT * FROM judged_curve"""
+ORACLE["amount_threshold"] = f"""WITH {_TX}, judged_rows AS (SELECT amount AS s, is_fraud FROM tx), {_CURVE}
+SELECT * FROM judged_curve ORDER BY f1 DESC, threshold DESC LIMIT 1"""
+ORACLE["model_curve"] = f"""WITH chances AS ({ORACLE["score_model"]}),
+judged_rows AS (SELECT fraud_probability AS s, CASE WHEN CAST(transaction_id AS BIGINT) % 33 = 0 THEN 1 ELSE 0 END AS is_fraud FROM chances), {_CURVE}
+SELECT * FROM judged_curve"""

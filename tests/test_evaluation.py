@@ -1,0 +1,111 @@
+"""The precision/recall curve against a sequential count, the holdout, and thresholds that are saved with a model."""
+
+import numpy as np
+import pytest
+
+from amberline.__main__ import parser
+from amberline.functions.rules import DECISION_THRESHOLD
+from amberline.operators.evaluation import CURVE, FLOOR, best_threshold, in_holdout, precision_recall
+from amberline.operators.features import engineer_features
+from amberline.operators.scoring import decision_threshold, score, train_and_evaluate, train_model, with_threshold
+from amberline.sources.models import load_model
+from tests.helpers import frame, tx
+from tests.test_streaming import send
+
+
+def brute(rows):
+    rows = [(s, y) for s, y in rows if s is not None and y is not None]
+    frauds, out = sum(y for _, y in rows), []
+    for t in sorted({s for s, _ in rows} | {FLOOR}, reverse=True):
+        above = [y for s, y in rows if s > t]
+        precision = sum(above) / len(above) if above else None
+        recall = sum(above) / frauds if frauds else None
+        f1 = 2 * sum(above) / (len(above) + frauds) if len(above) + frauds else None
+        out.append((t, len(above), sum(above), precision, recall, f1))
+    return out
+
+
+def scores(spark, rows):
+    return spark.createDataFrame(rows, "fraud_probability double, is_fraud int")
+
+
+@pytest.mark.parametrize("ties", [1, 7, 1000])
+@pytest.mark.parametrize("hot", [0.0, 0.6])
+def test_curve_equals_a_sequential_count(spark, ties, hot):
+    rng = np.random.default_rng(ties)
+    rows = [(0.5 if rng.random() < hot else float(rng.integers(ties) / ties), int(rng.random() < 0.2)) for _ in range(500)]
+    rows += [(None, 1), (0.7, None), (None, None), (0.0, 1), (-0.0, 0)]
+    curve = precision_recall(scores(spark, rows), partitions=5)
+    assert curve.columns == CURVE
+    got = [tuple(r) for r in curve.orderBy("threshold", ascending=False).collect()]
+    assert got == brute(rows)
+    best = best_threshold(curve).first()
+    assert tuple(best) == max(brute(rows), key=lambda r: (r[5], r[0]))
+    strict = best_threshold(curve, least_precision=0.25).first()
+    wanted = [r for r in brute(rows) if r[3] is not None and r[3] >= 0.25 and r[2]]
+    assert (tuple(strict) if strict else None) == max(wanted, key=lambda r: (r[4], r[0]), default=None)
+
+
+def test_curve_of_nothing_and_of_one_label(spark):
+    assert [tuple(r) for r in precision_recall(scores(spark, [])).collect()] == [(FLOOR, 0, 0, None, None, None)]
+    clean = precision_recall(scores(spark, [(0.5, 0), (0.7, 0)]))
+    assert best_threshold(clean).first() is None
+    assert sorted(r.flagged for r in clean.collect()) == [0, 1, 2]
+
+
+def test_nan_stands_above_all_numbers(spark):
+    rows = precision_recall(scores(spark, [(float("nan"), 1), (0.4, 0)])).collect()
+    assert {str(r.threshold): r.flagged for r in rows} == {"nan": 0, "0.4": 1, "-1.0": 2}
+
+
+def test_holdout_goes_by_id(spark):
+    ids = spark.range(10_000).selectExpr("CAST(id % 5000 AS STRING) AS transaction_id")
+    held = ids.where(in_holdout(30))
+    assert 0.27 < held.count() / 10_000 < 0.33
+    assert held.count() == 2 * held.distinct().count()
+    assert spark.sql("SELECT CAST(NULL AS STRING) AS transaction_id").where(in_holdout(100)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = np.random.default_rng(3)
+    rows = [tx(transaction_id=str(i), amount=float(a), is_fraud=int(a + rng.normal(0, 400) > 4500)) for i, a in enumerate(rng.uniform(0, 6000, 600))]
+    return engineer_features(frame(spark, rows)).cache()
+
+
+def test_threshold_is_chosen_on_the_holdout_and_saved(spark, labelled, tmp_path):
+    model, figures = train_and_evaluate(labelled, holdout=30)
+    (row,) = figures.collect()
+    assert row.f1 > 0.8 and decision_threshold(model) == row.threshold != DECISION_THRESHOLD
+    model.save(str(tmp_path / "m"))
+    again = load_model(str(tmp_path / "m"))
+    assert decision_threshold(again) == row.threshold
+    flagged = score(labelled.where(in_holdout(30)), again).where("is_fraud_predicted = 1")
+    assert flagged.count() == row.flagged and flagged.where("is_fraud = 1").count() == row.true_positives
+
+
+def test_models_without_a_choice_keep_one_half(spark, labelled):
+    model, figures = train_and_evaluate(labelled, holdout=30, least_precision=1.5)
+    assert figures.first() is None and decision_threshold(model) == DECISION_THRESHOLD
+    assert decision_threshold(with_threshold(train_model(labelled), FLOOR)) == 0.0
+
+
+def test_train_command(spark, tmp_path, capsys):
+    rng = np.random.default_rng(5)
+    rows = [tx(transaction_id=str(i), amount=float(a), is_fraud=int(a > 2500)) for i, a in enumerate(rng.uniform(0, 5000, 300))]
+    inbox, base, model = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "model")
+    send(spark, inbox, rows)
+
+    def run(*words):
+        args = parser().parse_args(list(words))
+        args.run(spark, args)
+
+    run("stream", "--base", base, "--messages", inbox, "--once", "--no-console")
+    run("train", "--base", base, "--model", model)
+    from_rows = capsys.readouterr().out
+    assert f"threshold {decision_threshold(load_model(model))!r}" in from_rows
+    run("train", "--base", base, "--model", model, "--messages", inbox, "--overwrite", "--precision", "0.9")
+    assert "true_positives" in capsys.readouterr().out
+    run("replay", "--base", base, "--messages", inbox, "--model", model)
+    replayed = spark.read.parquet(f"{base}/replay")
+    assert replayed.where("is_fraud_predicted = is_fraud").count() > 0.9 * 300
