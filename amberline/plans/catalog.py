@@ -34,7 +34,7 @@ from amberline.streaming import monitor, state
 from amberline.streaming.compaction import compact, compact_state, read_compacted, take_snapshot
 from amberline.streaming.run import JobConfig, run_job
 from amberline.streaming.sinks import FILE_SINKS, output_path
-from amberline.streaming.totals import start_running_rate
+from amberline.streaming.totals import start_running_rate, waiting_rate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -369,6 +369,18 @@ def stream_running_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.select("transactions", "frauds", "fraud_rate", "is_final")
 
 
+def stream_running_rate_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Milestones of a stream whose batches each hold rows of all times; those that wait at its end are counted last."""
+    base = scratch_path(spark, "stream")
+    messages(spark, sf_dir).repartition(4, F.md5("value")).write.parquet(f"{base}/messages")
+    stream = spark.readStream.schema("value string, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(f"{base}/messages")
+    query = start_running_rate(parse_transactions(stream), base, available_now=True, late="40 DAYS")
+    query.awaitTermination()
+    columns = ["transactions", "frauds", "fraud_rate", "is_final"]
+    written = spark.read.parquet(output_path(base, "running")).where("NOT is_final").select(*columns)
+    return written.unionByName(waiting_rate(spark, base, query.id))
+
+
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of two streamed halves, the first of them compacted, of the later half of January."""
     base = scratch_path(spark, "stream")
@@ -458,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "separate_alerts": separate_alerts,
     "stream_quarantine": stream_quarantine,
     "stream_running_rate": stream_running_rate,
+    "stream_running_rate_shuffled": stream_running_rate_shuffled,
     "stream_intake": stream_intake,
     "state_summary": lambda spark, sf_dir: state.summary(_state(spark, sf_dir)),
     "state_class_split": lambda spark, sf_dir: state.class_split(_state(spark, sf_dir)),

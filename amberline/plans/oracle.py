@@ -406,6 +406,7 @@ ORACLE: dict[str, str] = {
         )
     ),
     "stream_running_rate": _RUNNING_WITH_FINAL,
+    "stream_running_rate_shuffled": _RUNNING_WITH_FINAL,
     "separate_score": _ALL_SCORED,
     "separate_results": _RESULTS_MS,
     "separate_alerts": _ALERTS_MS,

@@ -97,3 +97,39 @@ def test_stream_equals_batch_in_arrival_order(spark, tmp_path, monkeypatch):
     again = frame(spark, rows[222:])
     write_running_batch(again, 2, base)
     assert found(spark.read.parquet(f"{base}/running").where("NOT is_final").select(*milestones.columns)) == expected(rows, 50)[:-1]
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_late_rows_within_the_watermark_take_their_place(spark, tmp_path, monkeypatch, fails):
+    rows = [tx(transaction_id=f"{i:04}", is_fraud=int(i % 7 == 0), kafka_timestamp=ARRIVED + timedelta(seconds=i)) for i in range(400)]
+    order = np.argsort(np.arange(400) + np.random.default_rng(1).integers(0, 60, 400))  # a row comes up to 60 places late
+    base, columns = str(tmp_path / "out"), ["transactions", "frauds", "fraud_rate", "is_final"]
+    monkeypatch.setattr(totals, "run_of", lambda batch: "r")
+    for batch_id in range(5):
+        batch = frame(spark, [rows[i] for i in order[batch_id * 80 : batch_id * 80 + 80]])
+        if fails and batch_id in (2, 4):
+            with monkeypatch.context() as broken:
+                broken.setattr(totals, "running_fraud_rate", lambda *given, **more: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    write_running_batch(batch, batch_id, base, late="70 SECONDS")
+        write_running_batch(batch, batch_id, base, late="70 SECONDS")
+    written = spark.read.parquet(f"{base}/running").where("NOT is_final").select(*columns)
+    assert 0 < written.count() < 8  # the newest rows wait
+    whole = written.unionByName(totals.waiting_rate(spark, base, "r"))
+    assert found(whole) == expected(rows, 50)
+    assert len(list((tmp_path / "out" / "running" / "_waiting" / "run=r").iterdir())) == 2
+
+
+def test_rows_later_than_the_watermark_are_counted_when_they_come(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(totals, "run_of", lambda batch: "r")
+    base = str(tmp_path / "out")
+    late = [tx(transaction_id="late", is_fraud=1), tx(transaction_id="no time", kafka_timestamp=None)]
+    write_running_batch(frame(spark, [tx(transaction_id=str(i), kafka_timestamp=ARRIVED + timedelta(hours=i)) for i in range(5)]), 0, base, 2, "1 HOUR")
+    write_running_batch(frame(spark, late), 1, base, 2, "1 HOUR")
+    write_running_batch(frame(spark, []), 2, base, 2, "1 HOUR")
+    (last,) = spark.read.parquet(f"{base}/running").where("is_final AND batch_id = 2").collect()
+    assert (last.transactions, last.frauds) == (5, 1)
+    (final,) = totals.waiting_rate(spark, base, "r", 2).where("is_final").collect()
+    assert (final.transactions, final.frauds) == (7, 1)
+    with pytest.raises(ValueError, match="no batch"):
+        totals.waiting_rate(spark, base, "other")
