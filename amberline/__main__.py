@@ -10,6 +10,7 @@ from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from amberline.operators import report, views
 from amberline.operators.decode import parse_transactions
@@ -80,6 +81,7 @@ def show_report(
     kind: str = "parquet",
     since: str | None = None,
     until: str | None = None,
+    waits: bool = False,
 ) -> None:
     """Parquet holds the same rows as the CSV folder, and lets each figure read its columns only.
 
@@ -111,6 +113,8 @@ def show_report(
         totals.amount_buckets(source).orderBy("bucket_no").show()
         totals.top_locations(source).show(truncate=False)
         views.recent_transactions(results).show(truncate=False)
+    if waits and snapshot.state() is not None:
+        state.waits(snapshot.state(), "1 hour").orderBy(F.desc("window_start")).show(24, truncate=False)
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -138,7 +142,7 @@ def report_loop(spark: SparkSession, args: argparse.Namespace) -> None:
     for turn in range(args.times):
         if turn:
             time.sleep(args.refresh)
-        show_report(spark, args.base, turn % CHARTS_EVERY == 0, args.results, getattr(args, "from"), args.to)
+        show_report(spark, args.base, turn % CHARTS_EVERY == 0, args.results, getattr(args, "from"), args.to, args.waits)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -191,10 +195,11 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--every", default="5 seconds", help="trigger interval of the one query")
             sub.add_argument("--quarantine", action="store_true", help="keep messages that cannot be taken")
             sub.add_argument("--once", action="store_true", help="take what is there and end")
-            sub.add_argument("--dedup-within", help="drop repeats of an id this close together")
+            sub.add_argument("--dedup-within", help="drop repeats of an id this close together, or always")
     sub = command("report", report_loop)
     sub.add_argument("--results", choices=["parquet", "csv"], default="parquet")
     sub.add_argument("--times", type=int, default=1)
+    sub.add_argument("--waits", action="store_true", help="how long rows waited, per hour of writing")
     sub.add_argument("--refresh", type=int, default=20, help="seconds between reports")
     _days(sub)
     sub = command("compact", compact)

@@ -93,18 +93,26 @@ def freshness(df: DataFrame, as_of: str, by: str | None = None) -> DataFrame:
     return newest.selectExpr("*", f"{age} AS age_seconds")
 
 
+#: As ``within``: repeats are recognised however much later they come.
+ALWAYS = "always"
+
+
 def deduplicate(df: DataFrame, within: str = "10 minutes") -> DataFrame:
     """One row per ``transaction_id``, the earliest to arrive; rows without an id are all kept.
 
     The source is read once: rows without an id get a key of their own, which nothing repeats.
     On a stream the repeats of an id are recognised within ``within`` of arrival time; copies of
     one id meet in one task, at most as many as a trigger takes in, and each row without an id
-    takes one entry of state until ``within`` has passed. In batch each task keeps one copy per
+    takes one entry of state until ``within`` has passed. With ``ALWAYS`` every id ever seen stays in the
+    state, which RocksDB keeps on disk and looks up by Bloom filters, so a batch costs what it holds and
+    not what came before; checkpoints hold changes only. In batch each task keeps one copy per
     id before the shuffle, so an id repeated many times stays cheap.
     """
     alone = "uuid()" if df.isStreaming else "CAST(monotonically_increasing_id() AS STRING)"
     keyed = df.selectExpr("*", f"CASE WHEN transaction_id IS NULL THEN {alone} END AS _alone")
     key = ["transaction_id", "_alone"]
+    if df.isStreaming and within == ALWAYS:
+        return keyed.dropDuplicates(key).drop("_alone")
     if df.isStreaming:
         unique = keyed.withWatermark("kafka_timestamp", within).dropDuplicatesWithinWatermark(key)
         return unique.drop("_alone")

@@ -370,11 +370,16 @@ def stream_running_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_running_rate_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Milestones of a stream whose batches each hold rows of all times; those that wait at its end are counted last."""
+    """Milestones of a stream in which messages come up to two days late; those that wait at its end are counted last."""
     base = scratch_path(spark, "stream")
-    messages(spark, sf_dir).repartition(4, F.md5("value")).write.parquet(f"{base}/messages")
+    delayed = messages(spark, sf_dir).withColumn("seen", F.expr("timestamp + make_dt_interval(0, pmod(crc32(value), 48))"))
+    before = F.lit("0001-01-01")
+    for until in ("2024-01-08", "2024-01-16", "2024-01-24", "9999-12-31"):
+        part = delayed.where((F.col("seen") >= before) & (F.col("seen") < until)).drop("seen")
+        part.coalesce(1).write.mode("append").parquet(f"{base}/messages")
+        before = F.lit(until)
     stream = spark.readStream.schema("value string, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(f"{base}/messages")
-    query = start_running_rate(parse_transactions(stream), base, available_now=True, late="40 DAYS")
+    query = start_running_rate(parse_transactions(stream), base, available_now=True, late="2 DAYS")
     query.awaitTermination()
     columns = ["transactions", "frauds", "fraud_rate", "is_final"]
     written = spark.read.parquet(output_path(base, "running")).where("NOT is_final").select(*columns)
@@ -401,6 +406,13 @@ def write_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.waiting_times(times, accuracy=1_000_000)
 
 
+def waits_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Waiting times per hour of arrival from merged sketches of two halves, were all rows written at one moment."""
+    times = transactions(spark, sf_dir).selectExpr("kafka_timestamp AS arrival", "TIMESTAMP '2024-02-01 00:00:00' AS written", "crc32(transaction_id) % 2 AS half")
+    halves = [monitor.wait_sketches(times.where(F.col("half") == half), "1 hour", at="arrival") for half in (0, 1)]
+    return monitor.waits_over_time(union_all(halves), "1 hour")
+
+
 # --- quality -------------------------------------------------------------------------------
 
 
@@ -418,6 +430,18 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.deduplicate(union_all([rows, rows]))
 
 
+def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows of a stream that is sent the whole log again a year later."""
+    base = scratch_path(spark, "stream")
+    sent = messages(spark, sf_dir)
+    source = {"format": "parquet", "path": f"{base}/messages"}
+    for part in (sent, sent.withColumn("timestamp", F.expr("timestamp + INTERVAL 1 YEAR"))):
+        part.write.mode("append").parquet(f"{base}/messages")
+        run_job(spark, JobConfig(base, source, sinks=("predictions",), available_now=True, dedup_within=quality.ALWAYS))
+    rows = read_predictions(spark, output_path(base, "predictions"))
+    return rows.withColumn("amount_log", F.round("amount_log", 8))
+
+
 QUERIES: dict[str, Query] = {
     "parse_transactions": parsed,
     "parse_tampered": parse_tampered,
@@ -471,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "stream_running_rate": stream_running_rate,
     "stream_running_rate_shuffled": stream_running_rate_shuffled,
+    "stream_deduplicated": stream_deduplicated,
     "stream_intake": stream_intake,
     "state_summary": lambda spark, sf_dir: state.summary(_state(spark, sf_dir)),
     "state_class_split": lambda spark, sf_dir: state.class_split(_state(spark, sf_dir)),
@@ -478,6 +503,7 @@ QUERIES: dict[str, Query] = {
     "state_top_locations": lambda spark, sf_dir: state.top_locations(_state(spark, sf_dir)),
     "compacted_predictions": compacted,
     "write_latency": write_latency,
+    "waits_by_window": waits_by_window,
     "throughput": lambda spark, sf_dir: monitor.throughput(transactions(spark, sf_dir), "1 hour"),
     "flag_rate_over_time": lambda spark, sf_dir: monitor.flag_rate_over_time(
         _scored(spark, sf_dir), "1 hour"

@@ -394,6 +394,7 @@ ORACLE: dict[str, str] = {
         )
     ),
     "stream_score": _ALL_SCORED,
+    "stream_deduplicated": _ALL_SCORED,
     "stream_results": _RESULTS_MS,
     "stream_alerts": _ALERTS_MS,
     "stream_separate_sinks": _on_scored(
@@ -488,3 +489,9 @@ SELECT * FROM judged_curve ORDER BY f1 DESC, threshold DESC LIMIT 1"""
 ORACLE["model_curve"] = f"""WITH chances AS ({ORACLE["score_model"]}),
 judged_rows AS (SELECT fraud_probability AS s, CASE WHEN CAST(transaction_id AS BIGINT) % 33 = 0 THEN 1 ELSE 0 END AS is_fraud FROM chances), {_CURVE}
 SELECT * FROM judged_curve"""
+
+# Sketches of few values are exact.
+ORACLE["waits_by_window"] = f"""WITH {_TX}, waits AS (
+  SELECT date_trunc('hour', kafka_timestamp) AS window_start, epoch_us(TIMESTAMP '2024-02-01') - epoch_us(kafka_timestamp) AS us FROM tx)
+SELECT window_start, count(*) AS transactions, quantile_disc(us, 0.5) / 1e6 AS p50, quantile_disc(us, 0.95) / 1e6 AS p95,
+       quantile_disc(us, 0.99) / 1e6 AS p99, max(us) / 1e6 AS max FROM waits GROUP BY window_start"""

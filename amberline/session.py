@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Event times are strings, so hours and weekdays depend on the session zone: pin it.
-# Dedup state can outgrow the heap, so it goes to RocksDB.
+# Dedup state can outgrow the heap, so it goes to RocksDB, and its checkpoints hold changes.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from amberline.session import exists, listed, remove
 from amberline.sources.files import read_alerts, read_predictions, read_results
 from amberline.streaming import commits
-from amberline.streaming.state import KEYS, STATE, SUMS, merged, read_state
+from amberline.streaming.state import KEYS, SKETCHES, STATE, SUMS, merged, read_state
 from amberline.streaming.sinks import output_path
 
 Reader = Callable[..., DataFrame]
@@ -80,7 +80,7 @@ def compact_state(spark: SparkSession, base: str, keep: int = 1) -> str | None:
     if not ends:
         return None
     chunk = uuid.uuid4().hex
-    merged(rows.select(*KEYS, *SUMS)).write.parquet(f"{path}_daily/chunk={chunk}")
+    merged(rows.select(*KEYS, *SUMS, *SKETCHES)).write.parquet(f"{path}_daily/chunk={chunk}")
     _list(spark, base, "state", chunk, ends)
     return chunk
 

@@ -13,7 +13,7 @@ from amberline.operators.views import alerts_view, console_view, results_view
 from amberline.schemas import CSV_OPTIONS, SCORED, names, struct
 from amberline.session import exists
 from amberline.streaming import commits
-from amberline.streaming.state import batch_state, counted
+from amberline.streaming.state import batch_state, counted, waited
 from amberline.streaming.sinks import CONSOLE_OPTIONS, FILE_ROWS, FILE_SINKS, SINKS, checkpoint_path, output_path
 
 
@@ -52,7 +52,7 @@ def write_batch(batch: DataFrame, batch_id: int, base: str, sinks: Sequence[str]
     if "results" in sinks:
         results = results_view(written).write.mode("overwrite")
         results.options(**CSV_OPTIONS, maxRecordsPerFile=FILE_ROWS).csv(folder("results"))
-    figures = batch_state(written)
+    figures = batch_state(written).unionByName(waited(written))
     figures = figures if counts is None else figures.unionByName(counted(spark, *counts))
     figures.write.mode("overwrite").parquet(folder("state"))
     commits.commit(spark, base, run, batch_id)

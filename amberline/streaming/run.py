@@ -24,7 +24,7 @@ class JobConfig:
 
     ``fan_out`` runs one query that feeds all ``sinks``; otherwise each of them is a query of its
     own. A base serves one of the two modes. ``dedup_within`` drops repeats of an id that arrive
-    that close together. ``quarantine`` keeps messages that cannot be taken apart: each message is
+    that close together, or all of them (``always``). ``quarantine`` keeps messages that cannot be taken apart: each message is
     either scored or there. The fan-out splits its one decode; separate sinks score all and a query
     of its own keeps them.
     """

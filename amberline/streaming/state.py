@@ -14,14 +14,21 @@ from amberline.functions.columns import aliased, amount_count, amount_sum
 from amberline.operators import report
 from amberline.session import exists
 from amberline.streaming import commits
+from amberline.streaming.monitor import wait_sketches, waits_over_time
 from amberline.streaming.sinks import output_path
 
-KEYS = ["kind", "location", "is_fraud_predicted", "is_fraud", "bucket_no"]
+KEYS = ["kind", "location", "is_fraud_predicted", "is_fraud", "bucket_no", "window_start"]
 SUMS = ["n", "amount_total", "n_amounts"]
-STATE = "kind string, location string, is_fraud_predicted int, is_fraud int, bucket_no int, n long, amount_total double, n_amounts long"
+SKETCHES = ["worst", "sketch"]
+STATE = (
+    "kind string, location string, is_fraud_predicted int, is_fraud int, bucket_no int, n long, amount_total double, n_amounts long, "
+    "window_start timestamp, worst long, sketch binary"
+)
 ROWS, PLACES = "rows", "places"
 #: How many messages a batch had, and how many of them it refused.
 MESSAGES, REFUSED = "messages", "refused"
+#: Waiting times per minute of writing, as sketches.
+WAITED = "waited"
 
 
 def batch_state(rows: DataFrame) -> DataFrame:
@@ -41,13 +48,24 @@ def _shaped(part: DataFrame, kind: str) -> DataFrame:
 
 def counted(spark: SparkSession, messages: int, refused: int) -> DataFrame:
     """A batch's messages and refused messages as rows of state."""
-    rows = [(kind, None, None, None, None, n, None, None) for kind, n in ((MESSAGES, messages), (REFUSED, refused))]
+    rows = [(kind, None, None, None, None, n, None, None, None, None, None) for kind, n in ((MESSAGES, messages), (REFUSED, refused))]
     return spark.createDataFrame(rows, STATE)
 
 
+def waited(files: DataFrame) -> DataFrame:
+    """State of rows as read from their files: how long they waited from arrival to the write of their file."""
+    return _shaped(wait_sketches(files.selectExpr("kafka_timestamp AS arrival", "_metadata.file_modification_time AS written")), WAITED)
+
+
 def merged(states: DataFrame) -> DataFrame:
     """Many states as one."""
-    return states.groupBy(*KEYS).agg(*(F.sum(name).alias(name) for name in SUMS)).select(*KEYS, *SUMS)
+    sums = (F.sum(name).alias(name) for name in SUMS)
+    figures = states.where(f"kind <> '{WAITED}'").groupBy(*KEYS).agg(*sums)
+    sketched = states.where(f"kind = '{WAITED}'").groupBy("window_start").agg(
+        F.sum("n").alias("n"), F.max("worst").alias("worst"), F.expr("kll_merge_agg_bigint(sketch)").alias("sketch")
+    )
+    without = {"worst": F.lit(None).cast("long"), "sketch": F.lit(None).cast("binary")}
+    return figures.withColumns(without).unionByName(_shaped(sketched, WAITED))
 
 
 def read_state(spark: SparkSession, base: str, last: dict[str, int] | None = None, done: list | None = None) -> DataFrame | None:
@@ -63,10 +81,10 @@ def read_state(spark: SparkSession, base: str, last: dict[str, int] | None = Non
     done = done_rows(spark, base, "state") if done is None else done
     last = commits.committed(spark, base) if last is None else last
     states = spark.read.schema(f"{STATE}, run string, batch_id int").parquet(path)
-    rows = states.where(after(reached(done))).where(commits.complete(last)).select(*KEYS, *SUMS)
+    rows = states.where(after(reached(done))).where(commits.complete(last)).select(*KEYS, *SUMS, *SKETCHES)
     if done:
         chunks = spark.read.schema(f"{STATE}, chunk string").parquet(f"{path}_daily")
-        rows = chunks.where(F.col("chunk").isin(sorted({row.chunk for row in done}))).select(*KEYS, *SUMS).unionByName(rows)
+        rows = chunks.where(F.col("chunk").isin(sorted({row.chunk for row in done}))).select(*KEYS, *SUMS, *SKETCHES).unionByName(rows)
     return merged(rows)
 
 
@@ -117,3 +135,8 @@ def intake(state: DataFrame) -> DataFrame:
     """One row: messages that batches were given, and how many of them were refused; only batches that count them."""
     counts = {name: _summed("n", f"kind = '{name}'") for name in (MESSAGES, REFUSED)}
     return state.selectExpr(*aliased(counts))
+
+
+def waits(state: DataFrame, width: str = "1 minute") -> DataFrame:
+    """Waiting times per window of writing, from the sketches that batches keep."""
+    return waits_over_time(state.where(f"kind = '{WAITED}'").select("window_start", "n", "worst", "sketch"), width)

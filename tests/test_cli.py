@@ -36,6 +36,14 @@ def test_stream_report_compact_replay(spark, tmp_path, capsys):
     assert read_predictions(spark, f"{base}/replay").count() == 10
 
 
+def test_waits_in_the_report(spark, tmp_path, capsys):
+    inbox, base = str(tmp_path / "in"), str(tmp_path / "out")
+    send(spark, inbox, batch_of(0, 10))
+    run(spark, "stream", "--base", base, "--messages", inbox, "--once", "--no-console")
+    run(spark, "report", "--base", base, "--waits")
+    assert "|p95" in capsys.readouterr().out
+
+
 def test_options_of_the_stream(spark, tmp_path, capfd):
     inbox, base = str(tmp_path / "in"), str(tmp_path / "out")
     send(spark, inbox, batch_of(0, 3), extra=["not json"])

@@ -1,17 +1,20 @@
+from datetime import timedelta
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from amberline.operators.decode import parse_transactions, to_messages
 from amberline.operators.features import engineer_features
-from amberline.operators.quality import deduplicate
+from amberline.operators.quality import ALWAYS, deduplicate
 from amberline.operators.scoring import score_rules
 from amberline.operators.views import alerts_view, results_view
 from amberline.schemas import MESSAGE, ddl
 from amberline.sources import kafka
 from amberline.sources.files import read_alerts, read_predictions, read_results
 from amberline.sources.kafka import read_batch, read_stream
-from amberline.streaming import monitor
+from amberline.streaming import monitor, state
+from amberline.streaming.compaction import compact_state
 from amberline.streaming.run import JobConfig, run_job, start_job, wait_for
 from amberline.streaming.sinks import SINKS, start_sinks
 from tests.helpers import ARRIVED, frame, tx
@@ -375,3 +378,92 @@ def test_quarantine_query(spark, tmp_path):
     run_job(spark, JobConfig(base, source_of(inbox), sinks=FILES, available_now=True, quarantine=True))
     kept = spark.read.schema("value string, reason string").json(f"{base}/quarantine").select("value", "reason")
     assert sorted(map(tuple, kept.collect())) == [("", "empty"), ("not json", "not_json")]
+
+
+def test_sketches_of_waits_merge_within_their_bound(spark):
+    rows = spark.range(40_000).selectExpr("ARRIVED - make_dt_interval(0, 0, 0, pmod(id * 7919, 40000) / 100) AS arrival".replace("ARRIVED", "TIMESTAMP '2024-03-10 08:00:00'"), "TIMESTAMP '2024-03-10 08:00:00' AS written", "id % 5 AS part")
+    parts = [monitor.wait_sketches(rows.where(f"part = {part}")) for part in range(5)]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    whole = monitor.waits_over_time(monitor.wait_sketches(rows), "1 hour").first()
+    found = monitor.waits_over_time(together, "1 hour").first()
+    assert found.transactions == 40_000 and found.max == 399.99
+    for row in (whole, found):  # the k-th smallest wait is k / 100 seconds, so seconds are ranks
+        for name, share in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+            assert abs(row[name] / 400 - share) < 0.011
+    assert monitor.waits_over_time(monitor.wait_sketches(rows.where("false"))).count() == 0
+
+
+def test_waits_are_kept_with_the_batches(spark, tmp_path):
+    base = str(tmp_path / "out")
+    for k in range(2):
+        send(spark, tmp_path / "in", batch_of(20 * k))
+    run_job(spark, JobConfig(base, source_of(tmp_path / "in", maxFilesPerTrigger="1"), sinks=("predictions",), available_now=True))
+    found = state.waits(state.read_state(spark, base), "1000 days").first()
+    exact = monitor.latency(spark, f"{base}/predictions").first()
+    assert found.transactions == 40 and found.max == exact.max and found.p50 == exact.p50
+    assert compact_state(spark, base, keep=0)
+    assert state.waits(state.read_state(spark, base), "1000 days").first() == found
+
+
+OFFSETS = {"id": "q", "batchId": 1, "timestamp": "t"}
+
+
+def test_lag_from_offsets_of_any_source(spark):
+    def lag(start, end, latest):
+        return [(r["taken"], r["behind"]) for r in monitor.offset_lag({**OFFSETS, "sources": [{"description": "s", "startOffset": start, "endOffset": end, "latestOffset": latest}]})]
+
+    topic = {"topic": {"0": 5, "1": 7}}
+    assert lag(topic, {"topic": {"0": 6, "1": 9}}, {"topic": {"0": 10, "1": 9, "2": 3}}) == [(3, 7)]
+    assert lag(None, 4, 9) == [(4, 5)] and lag("3", "4", "9") == [(1, 5)]
+    assert lag({"logOffset": 1}, {"logOffset": 2}, None) == [] and lag(topic, topic, "no json") == []
+    assert lag(5, 9, 7) == [(4, 0)]
+
+
+def test_backlog_of_message_files(spark, tmp_path):
+    inbox, base = tmp_path / "in it", str(tmp_path / "out")
+    checkpoint = f"{base}/checkpoints/fan_out"
+
+    def backlog():
+        return monitor.file_backlog(spark, str(inbox), checkpoint).first()
+
+    for k in range(3):
+        send(spark, inbox, batch_of(10 * k, 10))
+    files = list(inbox.glob("*.parquet"))
+    assert (backlog().files, backlog().bytes) == (3, sum(f.stat().st_size for f in files))
+    config = JobConfig(base, source_of(inbox, maxFilesPerTrigger="1"), sinks=("predictions",), available_now=True)
+    run_job(spark, config)
+    assert tuple(backlog()) == (0, 0, None)
+    for k in range(3, 5):
+        send(spark, inbox, batch_of(10 * k, 10))
+    assert backlog().files == 2 and backlog().oldest is not None
+    # A batch that was planned but not committed still waits.
+    run_job(spark, config)
+    newest = max((tmp_path / "out" / "checkpoints" / "fan_out" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    newest.unlink()
+    assert backlog().files == 1
+
+
+def test_repeats_days_apart_are_dropped_and_nothing_else(spark, tmp_path):
+    base = str(tmp_path / "out")
+    config = JobConfig(base, source_of(tmp_path / "in"), sinks=("predictions",), available_now=True, dedup_within=ALWAYS)
+    counts = []
+    for day in range(3):  # each day half of the day before again, rows without an id, and new ones
+        later = ARRIVED + timedelta(days=100 * day)
+        rows = [{**row, "kafka_timestamp": later} for row in batch_of(10 * day)]
+        send(spark, tmp_path / "in", [*rows, tx(transaction_id=None, kafka_timestamp=later), tx(transaction_id=None, kafka_timestamp=later)])
+        run_job(spark, config)
+        counts.append(read_predictions(spark, f"{base}/predictions").count())
+    assert counts == [22, 34, 46]
+    rows = read_predictions(spark, f"{base}/predictions").where("transaction_id IS NOT NULL")
+    assert rows.count() == rows.select("transaction_id").distinct().count() == 40
+    assert rows.groupBy("kafka_timestamp").count().orderBy("kafka_timestamp").collect()[0]["count"] == 20
+
+
+def test_listener_records_lag_by_offsets(spark, tmp_path):
+    listener = monitor.LagListener(spark, str(tmp_path / "lag"))
+    listener.record({**LAG, "sources": [{**LAG["sources"][0], "startOffset": 1, "endOffset": 3, "latestOffset": 8}, {"description": "rate", "endOffset": 2, "latestOffset": 2}]})
+    listener.flush()
+    rows = spark.read.schema(monitor.LagListener.COLUMNS).json(str(tmp_path / "lag")).collect()
+    assert {(r.source, r.max_behind, r.taken, r.behind) for r in rows} == {("Kafka", 4, 2, 5), ("rate", None, 2, 0)}
