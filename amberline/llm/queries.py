@@ -37,7 +37,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored.selectExpr("doc_id", "held_out", "score", "predicted", "cast(size(spans) as long) AS n_spans")
+    offsets = "array_join(transform(spans, s -> concat(s.start, '-', s.stop)), ',') AS spans"
+    return scored.selectExpr("doc_id", "held_out", "score", "predicted", "cast(size(spans) as long) AS n_spans", offsets)
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

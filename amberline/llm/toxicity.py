@@ -6,13 +6,13 @@ the sample one counts. The chain learns from these tokens in their surroundings.
 of a text its probability to be toxic; a logistic curve, fitted on documents that the chain has not
 seen, turns the largest and the sum of them into the document's score.
 
-All that is learned comes from a bounded sample of labelled rows: ``PER_CLASS`` of each label.
+All that is learned comes from a bounded sample of labelled rows: ``PER_CLASS`` of each label, of at most
+``LONGEST`` characters each. Words are numbers there, so the sample takes little more than its texts.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from amberline.llm.common import texts
 from amberline.llm.words import mix, shingle_sets
 
-PER_CLASS = 1500
+PER_CLASS = 2500
+#: Longer texts are no examples (they are scored whole), which bounds the sample in bytes.
+LONGEST = 100_000
 THRESHOLD = 0.3
 SPAN = 0.5
 WORD = re.compile(r"[^\W\d_]+")
@@ -120,17 +122,19 @@ def _chunk_gradient(e, labels, mask, transition):
     return np.where(mask, labels - probability, 0), seen - pairs
 
 
-def telling_features(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
-    """Features whose presence tells toxic documents from clean ones, by a log-likelihood ratio."""
-    in_toxic, in_clean = Counter(f for x in toxic for f in x), Counter(f for x in clean for f in x)
-    share = len(toxic) / max(1, len(toxic) + len(clean))
-    found = set()
-    for f, n in in_toxic.items() if 0 < share < 1 else ():
-        c = in_clean[f]
-        part = n / (n + c)
-        if part > share and n * np.log(part / share) + c * np.log(max(1 - part, TINY) / (1 - share)) >= TELLING:
-            found.add(f)
-    return found
+def telling_features(in_toxic: np.ndarray, in_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Which features, by the documents of either kind that hold them, tell toxic from clean ones: a log-likelihood ratio."""
+    share = toxic / max(1, toxic + clean)
+    if not 0 < share < 1:
+        return np.zeros(len(in_toxic), bool)
+    part = in_toxic / np.maximum(in_toxic + in_clean, 1)
+    ratio = in_toxic * np.log(np.maximum(part, TINY) / share) + in_clean * np.log(np.maximum(1 - part, TINY) / (1 - share))
+    return (part > share) & (ratio >= TELLING)
+
+
+def numbered(words: list[str], place: dict[str, int]) -> np.ndarray:
+    """Words as numbers; new ones are added to ``place``."""
+    return np.array([place.setdefault(w.lower(), len(place)) for w in words], np.int32)
 
 
 def without_copies(rows: list, column: list[str]) -> list:
@@ -145,17 +149,17 @@ def without_copies(rows: list, column: list[str]) -> list:
     return out
 
 
-def train_chain(documents: list[tuple[list[str], int]]) -> tuple[dict[str, float], float, np.ndarray]:
-    """Feature weights, bias and transitions from tokenised documents and their labels."""
+def train_chain(rows: list[np.ndarray], labels: np.ndarray, words: list[str]) -> tuple[dict[str, float], float, np.ndarray]:
+    """Feature weights, bias and transitions from documents as numbers of ``words``, and their labels."""
     place: dict[str, int] = {}
-    rows = [np.array([place.setdefault(w.lower(), len(place)) for w in words], np.int64) for words, _ in documents]
-    words = list(place)
-    labels = np.array([label for _, label in documents])
-    names = [features(w) for w in words]
-    presence = [{f for i in np.unique(row).tolist() for f in names[i]} for row in rows]
-    telling = telling_features([x for x, label in zip(presence, labels, strict=True) if label], [x for x, label in zip(presence, labels, strict=True) if not label])
-    toxic_word = np.array([any(f in telling for f in fs) for fs in names], bool)
-    often = Counter(f for x in presence for f in x)
+    of_each = [np.array([place.setdefault(f, len(place)) for f in features(w)], np.int32) for w in words]
+    names = list(place)
+    counts = np.zeros((2, len(names)), np.int64)
+    for row, label in zip(rows, labels.tolist(), strict=True):
+        if len(row):
+            counts[label, np.unique(np.concatenate([of_each[i] for i in np.unique(row)]))] += 1
+    telling = telling_features(counts[1], counts[0], int(labels.sum()), int((labels == 0).sum()))
+    toxic_word = np.array([telling[fs].any() for fs in of_each], bool)
     chunks = []
     for row, label in zip(rows, labels, strict=True):
         tags = (toxic_word[row] & bool(label)).astype(np.int64)
@@ -167,8 +171,9 @@ def train_chain(documents: list[tuple[list[str], int]]) -> tuple[dict[str, float
     transition = np.array([[0.0, -2.0], [0.0, 0.0]])
     if not hits:
         return {}, -12.0, transition
-    known = {f: i for i, f in enumerate(sorted(f for f, n in often.items() if n >= 3))}
-    pairs = [(i, known[f]) for i, fs in enumerate(names) for f in fs if f in known]
+    often = counts.sum(0) >= 3
+    known = {f: i for i, f in enumerate(sorted(f for f, n in zip(names, often.tolist(), strict=True) if n))}
+    pairs = [(i, known[names[f]]) for i, fs in enumerate(of_each) for f in fs if often[f]]
     of_word, of_feature = np.array(pairs, np.int64).reshape(-1, 2).T
     token, tag, mask = (np.zeros((len(chosen), CHUNK), np.int64) for _ in range(3))
     for i, (_, row, tags) in enumerate(chosen):
@@ -222,19 +227,21 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     counts = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     sample = [usable.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for label in (0, 1)]
     ids = F.broadcast(sample[0].unionByName(sample[1]).dropDuplicates(["doc_id"]))  # 2 * per_class rows
-    rows = docs.select("doc_id", "text").join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(2 * per_class).collect()
-    rows = without_copies(rows, [r.text or "" for r in rows])
-    documents = [(WORD.findall(r.text or ""), r.toxic) for r in rows]
-    weights, bias, transition = train_chain(documents[::2])
-    model = Model(weights, bias, transition, np.zeros(3))
-    rest = documents[1::2] or documents
+    short = docs.select("doc_id", "text").where(F.length(F.coalesce("text", F.lit(""))) <= LONGEST)
+    sampled = short.join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(2 * per_class).collect()
+    sampled = without_copies(sampled, [r.text or "" for r in sampled])
+    place: dict[str, int] = {}
+    rows = [numbered(WORD.findall(r.text or ""), place) for r in sampled]
+    kinds, words = np.array([r.toxic for r in sampled], np.int64), list(place)
+    model = Model(*train_chain(rows[::2], kinds[::2], words), np.zeros(3))
+    rest, labels_of_rest = (rows[1::2], kinds[1::2]) if len(rows) > 1 else (rows, kinds)
     share = {k: v / max(1, sum(counts.values())) for k, v in counts.items()}
-    if len({label for _, label in rest}) < 2:
+    if len(set(labels_of_rest.tolist())) < 2:
         return model._replace(curve=np.array([np.log((share.get(1, 0) + 0.01) / (share.get(0, 0) + 0.01)), 0.0, 0.0]))
-    lengths = np.array([len(words) for words, _ in rest], np.int64)
-    emission = np.array([model.emission(w) for words, _ in rest for w in words])
-    x = summary(marginals(emission, lengths, transition), lengths)
-    return model._replace(curve=fit_curve(x, np.array([label for _, label in rest]), (share.get(0, 0), share.get(1, 0))))
+    lengths = np.array([len(row) for row in rest], np.int64)
+    emission = np.array([model.emission(w) for w in words])[np.concatenate(rest)] if lengths.sum() else np.empty(0)
+    x = summary(marginals(emission, lengths, model.transition), lengths)
+    return model._replace(curve=fit_curve(x, labels_of_rest, (share.get(0, 0), share.get(1, 0))))
 
 
 class Scorer:
