@@ -18,7 +18,8 @@ MAX_LOST = 0.5
 WORDS_PER_SEPARATOR = 4
 SEPARATORS = "[^|»›•·]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
-SENTENCE_MARK = r"[.!?…。！？][\"'”’»)\]*%&#$!.]*([\x20\x09-\x0D]|$)"
+# Fixed set: marks that end sentences, of Latin, Chinese, Arabic, Indic, Armenian, Ethiopic, Burmese and Khmer script.
+SENTENCE_MARK = r"[.!?…。！？｡．؟۔।॥։።፧။។៕][\"'”’»)\]*%&#$!.]*([\x20\x09-\x0D]|$)"
 # Fixed phrases of menus, notices and forms, in lower case.
 BOILERPLATE = (
     "all rights reserved|privacy policy|terms of (use|service)|cookie policy|use of cookies|accept cookies|"

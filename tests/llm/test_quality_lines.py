@@ -68,3 +68,9 @@ def test_clashing_columns_ids_and_empty(spark):
 def test_native_plan(spark):
     plan = clean(docs(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_end_marks_of_other_scripts(spark):
+    texts = ["यह एक साधारण वाक्य है जो बारह शब्दों से बना हुआ है।", "هل هذه جملة عادية من عشر كلمات أو أكثر في هذا النص؟", "no mark in this line of more than ten plain words at all"]
+    given_docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: (r.kept, r.lost) for r in clean(given_docs).collect()} == {0: (True, 0.0), 1: (True, 0.0), 2: (False, 1.0)}
