@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from amberline.llm.common import saved
-from amberline.llm.words import SPREAD, mix, word_hashes
+from amberline.llm.common import saved, slices
+from amberline.llm.words import SLICE_BYTES, SPREAD, mix, word_hashes
 from amberline.session import scratch_path
 
 #: Shards, and so steps that a phrase is counted for.
@@ -32,7 +32,9 @@ LEAST_BITS, MOST_BITS = 12, 24
 #: Slots in one row of the sketch.
 RANGE_BITS = 16
 #: Bytes of text whose phrases are counted together in a task.
-WINDOW = 8 << 20
+WINDOW = 4 << 20
+#: Rows of a batch that are taken from it at a time.
+ROWS = 256
 NEVER = 255
 #: Bytes of text that a task scans at least where there is work for all cores: larger tasks send each phrase less often.
 TASK_TEXT = 64 << 20
@@ -121,7 +123,10 @@ class Words:
         bounds = np.frombuffer(self.known.buffers()[1], np.int32)[: size + 1].astype(np.int64) if size else np.zeros(1, np.int64)
         known_text = np.frombuffer(self.known.buffers()[2] or b"", np.uint8)[: bounds[-1]]
         seed = np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
-        own = word_hashes(known_text, np.array([0, len(known_text)]))[0]
+        own = np.empty(size, np.uint64)
+        for low, high in slices(np.diff(bounds).tolist(), SLICE_BYTES):  # hashing takes 40 bytes and more for each one of text
+            part = known_text[bounds[low] : bounds[high]]
+            own[low:high] = word_hashes(part, np.array([0, len(part)]))[0]
         self.hash = own[self.ids]
         self.chain = mix(own ^ seed)[self.ids]
 
@@ -189,13 +194,14 @@ def _by_window(batches, window: int):
     pending: dict[str, list[bytes]] = {}
     size = 0
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            data = text.encode()
-            if size and size + len(data) > window:
-                yield from _stretches(pending, window)
-                pending, size = {}, 0
-            pending.setdefault(lang, []).append(data)
-            size += len(data)
+        for low in range(0, batch.num_rows, ROWS):
+            langs, found = (column.slice(low, ROWS) for column in batch.columns)
+            for lang, data in zip(langs.to_pylist(), found.cast(pa.binary()).to_pylist(), strict=True):
+                if size and size + len(data) > window:
+                    yield from _stretches(pending, window)
+                    pending, size = {}, 0
+                pending.setdefault(lang, []).append(data)
+                size += len(data)
     yield from _stretches(pending, window)
 
 

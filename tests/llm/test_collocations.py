@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from amberline.llm import collocations
@@ -111,3 +113,15 @@ def test_parts_hold_every_phrase_once():
 def test_least_must_fit_a_counter(spark):
     with pytest.raises(ValueError):
         count_phrases(docs(spark, []), least=256)
+
+
+def test_memory_of_a_scan_is_bounded_by_its_window():
+    """Many different words, which take the most to hash, of a batch much larger than a window."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(40_000)) for i in range(40)]
+    batch = pa.record_batch({"lang": ["en"] * len(texts), "text": texts})
+    tracemalloc.start()
+    for _, words, _ in collocations._by_window([batch], collocations.WINDOW):
+        assert len(words.known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
