@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame
 from amberline.llm.common import slices, texts
 
 STATES = 300_000
-PIECES = 300_000
+PIECES = 500_000
 PAIRS = 500_000
 NEVER = 1 << 60
 DECODE = 4096
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 8 << 20
 BYTES = [bytes((i,)) for i in range(256)]
 #: The tokenizers' white space is Unicode's.
 WHITE_SPACE = r"\p{White_Space}"
@@ -127,10 +127,18 @@ class Transducer:
                     done = (b"", token, (*waiting, token))
         found.append(done)
         first, sure = found[0][2], 0
-        while sure < len(first) and all(len(w) > sure and w[sure] == first[sure] for _, _, w in found):
-            sure += 1
-        if sure:
-            found = [(part, last, waiting[sure:]) for part, last, waiting in found]
+        if first:  # what the least and the greatest begin with, all do
+            waits = [waiting for _, _, waiting in found]
+            least, greatest = min(waits), max(waits)
+            if least is greatest:
+                sure = len(least)
+            else:
+                for x, y in zip(least, greatest, strict=False):
+                    if x != y:
+                        break
+                    sure += 1
+            if sure:
+                found = [(part, last, waiting[sure:]) for part, last, waiting in found]
         following = tuple(found)
         number = self.numbers.get(following)
         if number is None:
@@ -202,6 +210,12 @@ class Encoder:
             yield list(chain.from_iterable(map(known.__getitem__, pieces)))
 
 
+@lru_cache(1)
+def encoder_of(ranks_path: str, pattern: str) -> Encoder:
+    """A worker's encoder: its caches, bounded as they are, serve all tasks that the worker runs."""
+    return Encoder(load_ranks(ranks_path), pattern)
+
+
 class Utf8Stream:
     """Incremental UTF-8: takes bytes as they come, gives back whole characters and keeps an unfinished one."""
 
@@ -257,7 +271,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
     names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
 
     def run(batches):
-        encoder = Encoder(load_ranks(ranks_path), pattern)
+        encoder = encoder_of(ranks_path, pattern)
         tokens = encoder.machine.tokens
         decimal = [str(i) for i in range(max(tokens, default=0) + 1)].__getitem__
         for batch in batches:

@@ -74,3 +74,12 @@ def test_documents(spark, data):
             assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
             assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert bpe.encode_documents(docs(spark, []), PATHS[0], public_tokenizers.PATTERN).count() == 0
+
+
+def test_tasks_of_a_worker_share_one_encoder():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoder = bpe.encoder_of(path, public_tokenizers.PATTERN)
+    first = list(encoder.encode(["unheard-of wordings"]))
+    steps = len(encoder.machine.steps)
+    assert list(bpe.encoder_of(path, public_tokenizers.PATTERN).encode(["unheard-of wordings"])) == first
+    assert len(encoder.machine.steps) == steps > 0
