@@ -8,12 +8,13 @@ batch, so any of them is read without decoding others. A second file lists the d
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,18 +24,16 @@ from amberline.session import scratch_path
 
 LENGTH = 2048
 SEQUENCES = 64
-CACHE = 400_000
+CACHE = 600_000
 UNKNOWN = 2000
 SLICE_BYTES = 4 << 20
-#: Characters that Python's split takes as white space and the tokenizer does not.
-_OTHER, _WHITE = re.compile(r"[\x1c-\x1f]"), re.compile(r"[ \t\n\r\x0b\x0c]+")
 
 
 class WordEncoder:
     """Ids of whole texts by the ids of their words.
 
-    No token crosses white space, so a text's ids are those of its words one after the other. Each
-    word goes through the tokenizer's normalizer, pre-tokenizer and model once, then to a bounded cache.
+    No token crosses white space, so a text's ids are those of its words, cut at ASCII's, one after the other. Each
+    word goes through the tokenizer once, many in one call, then to a bounded cache.
     With ``added``, texts that hold an added token, as ``<|endoftext|>``, go through the tokenizer
     whole, which gives it the token's id as the library does by default; else it is read as text.
     """
@@ -45,44 +44,29 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
         self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
         # A token that is looked for in normalized text may stand in any text.
         self.added = [""] if any(t.normalized for t in tokens) else [t.content for t in tokens]
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) > 2 * CACHE:
-                self.pieces.clear()
-            found = self.pieces[piece] = self._ids([token.id for token in self.tokenizer.model.tokenize(piece)])
-        return found
-
     def learn(self, words: list[str]) -> None:
-        """Put the ids of words without white space into the cache."""
+        """Put the ids of words into the cache."""
+        size = np.dtype(self.kind).itemsize
         for low in range(0, len(words), UNKNOWN):
             part = words[low : low + UNKNOWN]
-            line = self.tokenizer.normalizer.normalize_str(" ".join(part))
-            normal = line.split(" ")
-            if len(normal) != len(part):  # a word has odd white space inside
-                for word in part:
-                    self.known[word] = self._ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
-                continue
-            pieces, at, end = iter(self.tokenizer.pre_tokenizer.pre_tokenize_str(line)), 0, -1
-            piece, (start, _) = next(pieces, ("", (1 << 60, 0)))
-            for word, form in zip(part, normal, strict=True):
-                end += len(form) + 1
-                ids = b""
-                while start < end:
-                    ids += self._piece(piece)
-                    piece, (start, _) = next(pieces, ("", (1 << 60, 0)))
-                self.known[word] = ids
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = self._ids(found.ids)
+            ends = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part))) * size
+            start = 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                self.known[word] = ids[start:end]
+                start = end
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text, as the bytes of little-endian numbers of ``kind``."""
@@ -94,12 +78,14 @@ class WordEncoder:
 
     def encode_words(self, batch: list[str]) -> list[bytes]:
         """The ids of texts without added tokens."""
-        split = [text.split() if not _OTHER.search(text) else _WHITE.split(text) for text in batch]
+        split = pc.ascii_split_whitespace(pa.array(batch, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.known) > CACHE:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         fresh = []
-        for word in set().union(*split):
+        for word in words:
             if word not in known:
                 if word in older:
                     known[word] = older[word]
@@ -107,7 +93,20 @@ class WordEncoder:
                     fresh.append(word)
         known[""] = b""
         self.learn([word for word in fresh if word])
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        # The ids of the different words one after the other, and from these those of all words in their order.
+        own = [known[word] for word in words]
+        sizes = np.array([len(ids) for ids in own], np.int64) // np.dtype(self.kind).itemsize
+        starts, n = (np.cumsum(sizes) - sizes)[index], sizes[index]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = np.frombuffer(b"".join(own), self.kind)[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], n)]
+        bounds = ends[split.offsets.to_numpy()].tolist()
+        return [ids[low:high].tobytes() for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+@lru_cache(1)
+def encoder_of(path: str, added: bool) -> WordEncoder:
+    """A worker's encoder: its cache, bounded as it is, serves all tasks that the worker runs."""
+    return WordEncoder(path, added)
 
 
 class SequenceWriter:
@@ -187,7 +186,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     """
 
     def run(batches):
-        encoder, part, name = WordEncoder(tokenizer, added=True), TaskContext.get().partitionId(), uuid.uuid4().hex
+        encoder, part, name = encoder_of(tokenizer, True), TaskContext.get().partitionId(), uuid.uuid4().hex
         store, base = open_store(folder)
         store.create_dir(base, recursive=True)
         ids_path, docs_path = f"{folder}/{part:06}-{name}.tokens.arrow", f"{folder}/{part:06}-{name}.docs.arrow"

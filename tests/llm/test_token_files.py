@@ -111,3 +111,10 @@ def test_batches_are_of_one_size(tmp_path, length):
     for start, size in ((0, n), (n - 3, 3), (token_files.SEQUENCES * length - 2, 5)):
         assert np.concatenate(list(reader.tokens(start, size))).tolist() == ids[start : start + size].tolist()
     assert reader.sequence(1)[0].tolist() == ids[length : 2 * length].tolist()
+
+
+def test_tasks_of_a_worker_share_one_encoder(known):
+    text = "Words, not met\u00a0before ß Σς \x1c x"
+    encoder = token_files.encoder_of(PATH, True)
+    assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == known(text)
+    assert token_files.encoder_of(PATH, True) is encoder and set(text.split(" ")) & set(encoder.known)
