@@ -376,11 +376,11 @@ def stream_running_rate_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = F.lit("0001-01-01")
     for until in ("2024-01-08", "2024-01-16", "2024-01-24", "9999-12-31"):
         part = delayed.where((F.col("seen") >= before) & (F.col("seen") < until)).drop("seen")
-        part.coalesce(1).write.mode("append").parquet(f"{base}/messages")
+        part.write.mode("append").parquet(f"{base}/messages")
+        stream = spark.readStream.schema("value string, timestamp timestamp").parquet(f"{base}/messages")
+        query = start_running_rate(parse_transactions(stream), base, available_now=True, late="2 DAYS")
+        query.awaitTermination()  # one batch a part, of however many files
         before = F.lit(until)
-    stream = spark.readStream.schema("value string, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(f"{base}/messages")
-    query = start_running_rate(parse_transactions(stream), base, available_now=True, late="2 DAYS")
-    query.awaitTermination()
     columns = ["transactions", "frauds", "fraud_rate", "is_final"]
     written = spark.read.parquet(output_path(base, "running")).where("NOT is_final").select(*columns)
     return written.unionByName(waiting_rate(spark, base, query.id))
