@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -37,6 +38,8 @@ from amberline.streaming.sinks import FILE_SINKS, output_path
 from amberline.streaming.totals import start_running_rate, waiting_rate
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Messages in one file of a log that is dealt into batches.
+FILE_MESSAGES = 250_000
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +320,13 @@ def separate_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_alerts(spark, output_path(base, "alerts"))
 
 
+def _write_messages(rows: DataFrame, path: str, batches: int) -> dict[str, str]:
+    """Write messages in files of bounded size; returns the source that reads them in ``batches`` batches."""
+    files = 2 * max(1, math.ceil(rows.count() / (2 * batches * FILE_MESSAGES)))
+    rows.repartition(batches * files).write.parquet(path)
+    return {"format": "parquet", "path": path, "maxFilesPerTrigger": str(files)}
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages that the job could not take, kept by its quarantine query."""
     base = scratch_path(spark, "stream")
@@ -330,8 +340,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages given, refused and scored by a job that keeps refused ones apart, over several batches."""
     base = scratch_path(spark, "stream")
-    tampered(spark, sf_dir).repartition(4).write.parquet(f"{base}/messages")
-    source = {"format": "parquet", "path": f"{base}/messages", "maxFilesPerTrigger": "2"}
+    source = _write_messages(tampered(spark, sf_dir), f"{base}/messages", 2)
     run_job(spark, JobConfig(base, source, sinks=("predictions",), available_now=True, quarantine=True))
     snapshot = take_snapshot(spark, base)
     scored = snapshot.rows("predictions").agg(F.count("*").alias("scored")).scalar()
@@ -341,8 +350,7 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged state of a stream of several batches, half of them compacted."""
     base = scratch_path(spark, "stream")
-    messages(spark, sf_dir).repartition(6).write.parquet(f"{base}/messages")
-    source = {"format": "parquet", "path": f"{base}/messages", "maxFilesPerTrigger": "2"}
+    source = _write_messages(messages(spark, sf_dir), f"{base}/messages", 3)
     run_job(spark, JobConfig(base, source, sinks=("predictions",), available_now=True))
     compact_state(spark, base)
     return take_snapshot(spark, base).state()

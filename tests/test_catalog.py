@@ -32,3 +32,11 @@ def test_delayed_messages_are_written_by_many_tasks(spark, events):
     got = catalog.stream_running_rate_shuffled(spark, path).orderBy("transactions", "is_final").collect()
     assert got == catalog.running_fraud_rate(transactions(spark, path)).select("transactions", "frauds", "fraud_rate", "is_final").orderBy("transactions", "is_final").collect()
     assert max(row["count"] for row in _files(spark, made[0])) < 600  # a quarter of the log and more, were a part one file
+
+
+def test_messages_files_are_bounded(spark, events, monkeypatch):
+    path, made = events
+    monkeypatch.setattr(catalog, "FILE_MESSAGES", 300)
+    assert catalog.stream_intake(spark, path).collect()[0].asDict() == {"messages": 4000, "refused": 3000, "scored": 1000}
+    files = _files(spark, made[0])
+    assert len(files) == 16 and max(row["count"] for row in files) <= 300
