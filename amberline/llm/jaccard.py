@@ -293,7 +293,8 @@ def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
     """
     sign = signed.select("node", "n_shingles", F.explode("signatures").alias("signature"))
     ends = (F.min("node").alias("low"), F.max("node").alias("high"))
-    often = sign.groupBy("signature").agg(*ends).where("low <> high").select("signature")
+    # Counted and kept before the join begins, so that one shuffle of all signatures is gone before the other is written.
+    often = _small(saved(sign.groupBy("signature").agg(*ends).where("low <> high").select("signature"), "often"))
     # The hair that makes bands wider covers rounding.
     band = F.floor(F.log("n_shingles") / (1.0001 * math.log(100 / percent))) if percent < 100 else F.col("n_shingles")
     rows = sign.join(often, "signature").select("node", "signature", F.explode(F.array(band, band + 1)).alias("band"))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from amberline.llm import jaccard
+from amberline.llm.common import saved
 from amberline.llm.graph import components
 from tests.llm.helpers import ODD, by_id, clashing, docs
 
@@ -114,3 +115,10 @@ def test_components(spark):
     nodes = {x for a, b in links if a != b for x in (a, b)}
     want = closure(nodes, [x for x in links if x[0] != x[1]])
     assert got == want
+
+
+def test_a_saved_step_leaves_no_shuffle(spark, tmp_path):
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    out = saved(spark.range(10_000).selectExpr("id % 100 AS k", "id").groupBy("k").count(), "counted")
+    assert tracker.shuffleStatuses().size() <= before and out.count() == 100
