@@ -19,7 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from amberline.llm.common import saved
@@ -32,6 +32,8 @@ ROW_CELLS = 256
 BLOCK = 512
 #: Rows of about 50 bytes that may be broadcast.
 BROADCAST_ROWS = 400_000
+#: Signatures of about so many rows (of 20 bytes) are not gathered in a task; found by one document in ``PART``.
+HOT_ROWS, PART = 250_000, 64
 #: A cell this many times the mean holds frequent tokens, of class k = 2 and k = 3.
 FREQUENT = ((2, 4, 16), (3, 32, 128))
 #: Tokens meant for one class of k-token combinations.
@@ -281,6 +283,38 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
+def hot_signatures(sign: DataFrame, least: int) -> DataFrame:
+    """Signatures of about ``least`` rows or more, by one document of ``PART`` of them; few, as each has so many rows."""
+    some = sign.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(PART)) == 0)
+    return some.groupBy("signature").agg(F.count("*").alias("n")).where(F.col("n") >= max(1, least // PART)).select("signature")
+
+
+def meetings(signed: DataFrame, percent: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``key, node, low``: each node under each key (a signature and a size band) at which nodes meet, and the key's smallest.
+
+    Rows are shuffled once, by signature, and the ends of each key found where they then are. Signatures of very many
+    rows, which one task would get, go by key and node instead, in partial aggregates and a join that adaptive execution
+    splits. Which signatures those are only steers the way; both ways give the same rows.
+    """
+    ends = (F.min("node").alias("low"), F.max("node").alias("high"))
+    # The hair that makes bands wider covers rounding.
+    band = F.floor(F.log("n_shingles") / (1.0001 * math.log(100 / percent))) if percent < 100 else F.col("n_shingles")
+    sign = signed.select("doc_id", "node", band.cast("int").alias("band"), F.explode("signatures").alias("signature"))
+    hot = saved(hot_signatures(sign, hot_rows), "hot")
+    sign = sign.select("signature", "node", "band")
+    each = F.explode(F.array("band", F.col("band") + 1)).alias("band")
+
+    dealt = sign.join(F.broadcast(hot), "signature", "left_anti").repartition("signature").select("signature", "node", each)
+    key = Window.partitionBy("signature", "band")
+    met = dealt.withColumns({"low": F.min("node").over(key), "high": F.max("node").over(key)}).where("low <> high")
+    met = met.select("signature", "band", "node", "low").distinct().select(F.xxhash64("signature", "band").alias("key"), "node", "low")
+
+    dealt = sign.join(F.broadcast(hot), "signature", "left_semi").select("signature", "node", each)
+    dealt = saved(dealt.select(F.xxhash64("signature", "band").alias("key"), "node").distinct(), "meetings")
+    keys = dealt.groupBy("key").agg(*ends).where("low <> high").select("key", "low")
+    return met.unionByName(dealt.join(keys, "key").select("key", "node", "low"))
+
+
 def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
     """Lists of nodes to compare: ``list, node``, such that any two that share a signature and are of like size share a list.
 
@@ -291,16 +325,7 @@ def candidate_lists(signed: DataFrame, percent: int) -> DataFrame:
     So a set is sent once to its leader's list and seldom elsewhere, no task gets an unbounded
     group, and no pair is left out.
     """
-    sign = signed.select("node", "n_shingles", F.explode("signatures").alias("signature"))
-    ends = (F.min("node").alias("low"), F.max("node").alias("high"))
-    # Counted and kept before the join begins, so that one shuffle of all signatures is gone before the other is written.
-    often = _small(saved(sign.groupBy("signature").agg(*ends).where("low <> high").select("signature"), "often"))
-    # The hair that makes bands wider covers rounding.
-    band = F.floor(F.log("n_shingles") / (1.0001 * math.log(100 / percent))) if percent < 100 else F.col("n_shingles")
-    rows = sign.join(often, "signature").select("node", "signature", F.explode(F.array(band, band + 1)).alias("band"))
-    rows = saved(rows.select(F.xxhash64("signature", "band").alias("key"), "node").distinct(), "meetings")
-    keys = rows.groupBy("key").agg(*ends).where("low <> high").select("key", "low")
-    rows = saved(rows.join(keys, "key"), "shared")
+    rows = saved(meetings(signed, percent), "shared")
     lead = rows.groupBy("node").agg(F.min("low").alias("lead"))
     for _ in range(2):
         lead = saved(lead, "leaders")

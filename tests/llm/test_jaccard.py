@@ -122,3 +122,26 @@ def test_a_saved_step_leaves_no_shuffle(spark, tmp_path):
     before = tracker.shuffleStatuses().size()
     out = saved(spark.range(10_000).selectExpr("id % 100 AS k", "id").groupBy("k").count(), "counted")
     assert tracker.shuffleStatuses().size() <= before and out.count() == 100
+
+
+def test_signatures_are_shuffled_once_and_hot_ones_by_key_and_node(spark):
+    rows = [(i, [7, 8, 100 + i] if i % 3 else [9, 200 + i // 6], n, i % 50) for i, n in enumerate([20, 21, 22, 40] * 100)]
+    signed = saved(spark.createDataFrame([(i, node, n, s) for i, s, n, node in rows], "doc_id long, node long, n_shingles long, signatures array<long>"), "signed")
+    found = jaccard.meetings(signed, 90)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [signature") == 1
+    assert "Join Inner, (signature" not in plan
+    assert "Aggregate [signature" in plan  # the last step against repeated rows, where rows already lie by signature
+    assert "Exchange hashpartitioning(signature" in found._jdf.queryExecution().executedPlan().toString()
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(signature") == 1
+    plain = sorted(map(tuple, found.collect()))
+    assert plain and len(plain) == len(set(plain))
+    assert plain == sorted(map(tuple, jaccard.meetings(signed, 90, hot_rows=1).collect()))
+
+
+def test_hot_signatures_lose_no_link(spark, monkeypatch):
+    rows = corpus(5)
+    real = jaccard.meetings
+    monkeypatch.setattr(jaccard, "meetings", lambda signed, percent: real(signed, percent, hot_rows=1))
+    monkeypatch.setattr(jaccard, "PART", 2)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_similar(docs(spark, rows)).collect()} == brute(rows)
