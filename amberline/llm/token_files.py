@@ -8,6 +8,7 @@ batch, so any of them is read without decoding others. A second file lists the d
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from functools import lru_cache
@@ -27,6 +28,18 @@ SEQUENCES = 64
 CACHE = 600_000
 UNKNOWN = 2000
 SLICE_BYTES = 4 << 20
+# Rules of a tokenizer that gives marks behind a letter ids of their own, and those of a text in lower case.
+# Neither rule joins such a letter with a mark, and Unicode never composes the two.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+TAIL = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)$"
 
 
 class WordEncoder:
@@ -49,6 +62,9 @@ class WordEncoder:
         # A token that is looked for in normalized text may stand in any text.
         self.added = [""] if any(t.normalized for t in tokens) else [t.content for t in tokens]
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.cuts_tails = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -76,11 +92,25 @@ class WordEncoder:
             return [self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids) if all_of_it else next(rest) for text, all_of_it in zip(batch, whole, strict=True)]
         return self.encode_words(batch)
 
-    def encode_words(self, batch: list[str]) -> list[bytes]:
-        """The ids of texts without added tokens."""
-        split = pc.ascii_split_whitespace(pa.array(batch, pa.large_string()))
-        coded = split.flatten().dictionary_encode()
-        words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words one after the other, and how many each has.
+
+        Where the tokenizer is known to cut there anyway, words are taken without the marks behind them, and ASCII ones
+        in lower case, so that fewer are different and unknown.
+        """
+        if not self.cuts_tails:
+            return self.cached(words.to_pylist())
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(words, TAIL, r"\1 \2"))
+        parts = cut.flatten()
+        lower, plain = pc.ascii_lower(parts), pc.string_is_ascii(parts)
+        for token in self.added:  # which no word becomes
+            plain = pc.and_(plain, pc.invert(pc.match_substring(lower, token)))
+        coded = pc.if_else(plain, lower, parts).dictionary_encode()
+        ids, ends = gathered(*self.cached(coded.dictionary.to_pylist()), coded.indices.to_numpy())
+        return ids, np.diff(ends[cut.offsets.to_numpy()])
+
+    def cached(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``ids_of`` of words as they are, through the cache."""
         if len(self.known) > CACHE:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
@@ -93,16 +123,26 @@ class WordEncoder:
                     fresh.append(word)
         known[""] = b""
         self.learn([word for word in fresh if word])
-        # The ids of the different words one after the other, and from these those of all words in their order.
         own = [known[word] for word in words]
-        sizes = np.array([len(ids) for ids in own], np.int64) // np.dtype(self.kind).itemsize
-        starts, n = (np.cumsum(sizes) - sizes)[index], sizes[index]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        ids = np.frombuffer(b"".join(own), self.kind)[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], n)]
+        return np.frombuffer(b"".join(own), self.kind), np.array([len(ids) for ids in own], np.int64) // np.dtype(self.kind).itemsize
+
+    def encode_words(self, batch: list[str]) -> list[bytes]:
+        """The ids of texts without added tokens."""
+        split = pc.ascii_split_whitespace(pa.array(batch, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        own, sizes = self.ids_of(coded.dictionary)
+        ids, ends = gathered(own, sizes, coded.indices.to_numpy())
         bounds = ends[split.offsets.to_numpy()].tolist()
         return [ids[low:high].tobytes() for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
+def gathered(ids: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of items that lie one after the other in ``ids``, those of ``index`` in its order, and the bounds between them."""
+    starts, n = (np.cumsum(sizes) - sizes)[index], sizes[index]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], n)], ends
+
+
 @lru_cache(1)
 def encoder_of(path: str, added: bool) -> WordEncoder:
     """A worker's encoder: its cache, bounded as it is, serves all tasks that the worker runs."""

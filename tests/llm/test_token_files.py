@@ -118,3 +118,22 @@ def test_tasks_of_a_worker_share_one_encoder(known):
     encoder = token_files.encoder_of(PATH, True)
     assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == known(text)
     assert token_files.encoder_of(PATH, True) is encoder and set(text.split(" ")) & set(encoder.known)
+
+
+def test_marks_behind_words_and_ascii_case_make_no_new_words():
+    plain = Tokenizer.from_file(PATH)
+    encoder = token_files.WordEncoder(PATH, True)
+    learned = []
+    learn = encoder.learn
+    encoder.learn = lambda words: learned.extend(words) or learn(words)
+    texts = ["Qulbrend qulbrend, QULBREND. qulbrend?! été été, Été.", "it's, IT'S 3.5. a.b, x́, ẞ. H̱, 's. ...a. <|ENDOFTEXT|>, İ. a b,"]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert learned.count("qulbrend") == 1
+    assert not [word for word in learned if word.lower().startswith("qulbrend") and word != "qulbrend"]
+    assert "été," not in learned
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(alphabet=st.sampled_from("aZéÉßİΣς'’.,;:!? 1٣̧̱́<|>-_字ª")))
+def test_cut_words_give_the_ids_of_the_text(encoder, known, text):
+    assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == known(text)
