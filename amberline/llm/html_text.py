@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,6 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z0-9]+")
 # Element names of HTML by their role here; fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,8 +75,19 @@ class Element:
         self.dropped = tag in DROPPED and tag not in HOLDING
         self.named = tag in HOLDING
         if attributes and not self.dropped:
-            self.dropped, other = _is_hidden(attributes), _is_other(attributes)
-            self.named = tag not in WHOLE and (self.named or other) or tag in ("article", "main") and other and _is_comment(attributes)
+            self.dropped, self.named = (_known_fate if len(attributes) <= SHORT else _fate)(tag, attributes)
+
+
+def _fate(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is hidden, and whether its tag or attributes name a part other than the text."""
+    other = _is_other(attributes)
+    named = tag not in WHOLE and (tag in HOLDING or other) or tag in ("article", "main") and other and _is_comment(attributes)
+    return _is_hidden(attributes), named
+
+
+#: Pages repeat their short attributes; those of up to so many characters are judged once while they are remembered.
+SHORT = 200
+_known_fate = lru_cache(1 << 14)(_fate)
 
 
 def _tokens(attributes: str):
@@ -123,8 +134,9 @@ class _Open:
         tag, depth = element.tag, len(self.elements)
         self.places.setdefault(tag, []).append(depth)
         above = self.near[-1]
-        if tag in _CHANGING:
-            above = {kind: depth if tag in tags else 0 if tag in scope else above[kind] for kind, (tags, scope) in _ENDED.items()}
+        if tag in _CHANGES:
+            ended, hidden = _CHANGES[tag]
+            above = above | dict.fromkeys(ended, depth) | hidden
         self.near.append(above)
         self.elements.append(element)
 
@@ -143,7 +155,11 @@ class _Open:
             self.cut(self.near[-1][kind])
 
 
-_CHANGING = frozenset().union(*(tags | scope for tags, scope in _ENDED.values()))
+# By tag, the kinds that end such an element, and those that it hides older ones from.
+_CHANGES = {
+    tag: ([kind for kind, (tags, _) in _ENDED.items() if tag in tags], {kind: 0 for kind, (tags, scope) in _ENDED.items() if tag in scope - tags})
+    for tag in frozenset().union(*(tags | scope for tags, scope in _ENDED.values()))
+}
 
 
 def parse(source: str) -> Element:
@@ -253,7 +269,7 @@ def mark(root: Element, roots: list[Element]) -> list[int]:
         parts = []
         for child in element.children:
             if isinstance(child, str):
-                parts.append(_SPACE.sub(" ", child).strip())
+                parts.append(" ".join(child.split()))
                 element.size += len(parts[-1])
             else:
                 text, around = walk(child, inside or holder)
@@ -326,7 +342,9 @@ def _text(roots: list[Element], template: frozenset[int] | set[int] = frozenset(
     line: list[str] = []
 
     def flush():
-        text = _SPACE.sub(" ", html.unescape("".join(line))).strip()
+        if not line:
+            return
+        text = " ".join(html.unescape("".join(line)).split())
         line.clear()
         if text:
             blocks.append(text)

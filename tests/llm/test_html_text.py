@@ -153,3 +153,14 @@ def test_table_against_its_articles(spark, data):
         blocks = (re.sub(r"\s+", " ", escapes.unescape(re.sub(r"<[^>]*>", "", b))).strip() for b in re.split(r"</?(?:p|h1)>|<br>", body))
         want = " ".join(b for b in blocks if b)
         assert (got[page_id].url, got[page_id].text, got[page_id].n_chars) == (page.url, want, len(want))
+
+
+def test_equal_attributes_are_judged_once(monkeypatch):
+    judged = []
+    real = html_text._is_other
+    monkeypatch.setattr(html_text, "_is_other", lambda attributes: judged.append(attributes) or real(attributes))
+    long = f' class="story" data-x="{"y" * html_text.SHORT}"'
+    source = '<div class="seen-once-here"><p>Some text.</p></div><div class="related-posts">Other.</div>' * 3 + f"<div{long}>More.</div>" * 2
+    assert html_text.extract(source) == "Some text. Some text. Some text. More. More."
+    assert judged.count(' class="seen-once-here"') == 1
+    assert judged.count(long) == 2  # long ones are not kept
