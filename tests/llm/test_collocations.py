@@ -5,6 +5,7 @@ import re
 import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -125,3 +126,47 @@ def test_memory_of_a_scan_is_bounded_by_its_window():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 200 << 20
+
+
+def test_scans_end_when_every_length_is_complete(spark, data, monkeypatch):
+    """Slots that lengths share would start phrases anew, and texts be scanned again and again."""
+    steps, step = [], collocations._step
+    monkeypatch.setattr(collocations, "_step", lambda *args: steps.append(args[0]) or step(*args))
+    given = spark.read.parquet(f"{data}/documents.parquet").where("doc_id < 300")
+    phrases, _ = count_phrases(given, 30, bits=12)
+    assert {(r.lang, r.phrase, r.n) for r in phrases.collect()} == {(lang, " ".join(k), n) for lang, f in counts(pairs(given)).items() for k, n in f.items() if n >= 30}
+    assert len(steps) <= collocations.CYCLE * (collocations.LONGEST - 1)
+
+
+def test_what_tasks_send_is_added_up_by_ranges():
+    chance, bits = np.random.default_rng(5), 18
+    found = [(size, chance.integers(0, 1 << bits, 5000).astype(np.int32)) for size in (1, 2, 2, 3)] + [(2, np.full(400, 7, np.int32))]
+    sent = pa.Table.from_batches([b for size, slots in found for b in collocations._sent({size: [(slots, np.ones(len(slots), np.int64))]})])
+    rows = list(collocations._added(bits, 2)(sent.sort_by([("size", "ascending"), ("range", "ascending")]).to_batches()))
+    # and once more, with the sums in place of what was sent
+    again = pa.Table.from_batches(rows).drop_columns("reached").to_batches()
+    for batches in (rows, list(collocations._added(bits, 2)(again))):
+        assert sum(b.num_rows for b in batches) == 3 * 4
+        for row in pa.Table.from_batches(batches).to_pylist():
+            slots = np.concatenate([s for size, s in found if size == row["size"]])
+            want = np.bincount(slots[slots >> 16 == row["range"]] & 65535, minlength=65536)
+            assert (np.frombuffer(pa.decompress(row["data"], 65536, "zstd"), np.uint8) == np.minimum(want, 255)).all()
+            if (want >= 2).any():
+                assert (np.unpackbits(np.frombuffer(pa.decompress(row["reached"], 8192, "zstd"), np.uint8)) == (want >= 2)).all()
+
+
+def test_phrases_of_one_hash_are_counted_apart():
+    words = collocations.Words.of("en", b"a b a c a b a c b")
+    at = np.arange(8)
+    for chain in (np.zeros(8, np.uint64), np.array([1, 2, 3, 2, 1, 2, 3, 4], np.uint64)):  # of "b a" and "c a" one
+        first, n = words.counted(at, chain, 2)
+        assert dict(zip(words.texts(at[first], 2).to_pylist(), n.tolist(), strict=True)) == {"a b": 2, "b a": 2, "a c": 2, "c a": 1, "c b": 1}
+
+
+def test_words_come_back_as_they_were_packed():
+    for text in (b"", b" .", "Ein Satz, é\x1c z; ein".encode(), b" ".join(b"w%d" % i for i in range(70_000))):
+        words = collocations.Words.of("de", text)
+        back, skip = next(collocations._unpacked([words.packed(1, 3).drop_columns("shard")]))
+        assert (back.lang, back.volume, skip) == ("de", len(text), 3)
+        assert all((getattr(back, name) == getattr(words, name)).all() for name in ("ids", "fresh", "own"))
+        assert back.known.to_pylist() == words.known.to_pylist()
